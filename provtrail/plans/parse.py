@@ -168,6 +168,7 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
     )
 
 
+EDGES = "array<struct<src: string, dst: string, breaks: boolean>>"
 NODE_FOLD = f"""struct<nid: int, size: int, out: array<{PTR}>,
     done: array<struct<nid: int, size: int, kids: array<int>, scope: array<array<{PTR}>>>>>"""
 
@@ -203,15 +204,89 @@ def _bind(desc: Column) -> Column:
 
 
 def _parse_level(level: DataFrame) -> DataFrame:
-    """Parse one nesting level of (sub)plans: plan_id, scope, plan_json, files."""
+    """Parse one nesting level of (sub)plans: plan_id, scope, plan_json, files.
+
+    What comes back per plan is compact: its nodes, scans, column edges and output columns.
+    """
     scope = F.col("scope")
-    nodes = level.withColumn("nodes", F.from_json("plan_json", PLAN_SCHEMA))
-    return (
-        nodes.withColumn("desc", F.transform("nodes", lambda n, i: _describe(n, i, scope).withField(
+    bound = (
+        level.withColumn("raw", F.from_json("plan_json", PLAN_SCHEMA))
+        .withColumn("subplans", F.flatten(F.transform("raw", _subplans_of)))
+        .withColumn("desc", F.transform("raw", lambda n, i: _describe(n, i, scope).withField(
             "prefix", F.concat_ws(":", scope, i.cast("string"), F.lit("")))))
+        .drop("raw", "plan_json")
         .withColumn("bound", F.when(F.size("desc") > 0, _bind(F.col("desc"))))
-        .withColumn("subplans", F.flatten(F.transform("nodes", _subplans_of)))
-        .drop("nodes", "plan_json")
+        .filter(F.col("bound").isNotNull())
+    )
+    leaves = F.transform(F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"])
+    edges = F.transform("bound.done", lambda b: _let(
+        F.get("desc", b["nid"]), lambda d: _edges_of(b["nid"], b["scope"], d, scope)))
+    roots = F.transform("bound.out", lambda p, i: _edge(_vertex(scope, F.lit("R"), i), p["v"]))
+    return bound.withColumn("leaves", leaves).select(
+        "plan_id", "scope", "subplans",
+        F.transform("bound.done", lambda b: _let(F.get("desc", b["nid"]), lambda d: F.struct(
+            b["nid"].alias("nid"), b["size"].alias("size"), b["kids"].alias("kids"), d["cls"].alias("cls"),
+            d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))).alias("nodes"),
+        F.transform(F.filter("desc", lambda d: d["is_scan"]), lambda d: F.struct(
+            d["nid"].alias("nid"), d["cls"].alias("cls"), d["own"].alias("own"),
+            F.coalesce(_stand_in(d["nid"], "table_name"), _stand_in(d["nid"], "view_name")).alias("known_as"),
+            F.get(F.filter("files", lambda f: f["leaf"] == F.array_position("leaves", d["nid"]) - 1),
+                  F.lit(0))["paths"].alias("paths"))).alias("scans"),
+        F.concat(F.flatten(edges), roots).alias("edges"),
+        F.transform("bound.out", lambda p: p["name"]).alias("outputs"),
+    )
+
+
+def _stand_in(nid: Column, field: str) -> Column:
+    """Name carried by the View / SubqueryAlias nodes directly above a scan leaf."""
+    def above(k):
+        return F.get("desc", nid - k)
+
+    def ok(k):
+        return F.coalesce((nid >= k) & above(k)["cls"].isin("View", "SubqueryAlias"), F.lit(False))
+
+    return F.coalesce(
+        F.when(ok(1), above(1)[field]),
+        F.when(ok(1) & ok(2), above(2)[field]),
+        F.when(ok(1) & ok(2) & ok(3), above(3)[field]))
+
+
+def _edge(src: Column, dst: Column, breaks: Column | None = None) -> Column:
+    return F.struct(src.alias("src"), dst.alias("dst"),
+                    (F.lit(False) if breaks is None else breaks).alias("breaks"))
+
+
+def _lookup(visible: Column, ids: Column) -> Column:
+    """Vertices of the visible columns with the given ids; unknown ids drop out."""
+    return _let(F.transform(visible, lambda p: p["id"]), lambda known: F.transform(
+        F.filter(ids, lambda r: F.array_contains(known, r)),
+        lambda r: F.get(visible, (F.array_position(known, r) - 1).cast("int"))["v"]))
+
+
+def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column:
+    """Column edges that one node contributes."""
+    def from_exprs(visible):
+        return F.flatten(F.transform(
+            F.arrays_zip(d["own"].alias("o"), d["exprs"].alias("e")),
+            lambda z: F.transform(
+                F.concat(
+                    F.array_distinct(_lookup(visible, z["e"]["refs"])),
+                    F.transform(z["e"]["subs"], lambda s: F.concat_ws(
+                        ":", F.concat_ws("/", scope, s.cast("string")), F.lit("R"), F.lit("0")))),
+                lambda dst: _edge(z["o"]["v"], dst, z["e"]["breaks"]))))
+
+    # The recursive branch of a loop refers to the loop itself: only the anchor counts.
+    branches = F.when(d["cls"] == "UnionLoop", F.slice(kid_cols, 1, 1)).otherwise(kid_cols)
+    by_position = F.flatten(F.transform(branches, lambda cols: F.transform(
+        cols, lambda p, i: _edge(_vertex(scope, nid, i), p["v"]))))
+    return (
+        F.when(d["cls"].isin(*SCOPES, "Window", "Generate"), _let(F.flatten(kid_cols), from_exprs))
+        .when(d["cls"].isin(*SET_OPS, "UnionLoop"), by_position)
+        .when(d["cls"] == "CTERelationDef", F.transform(
+            F.get(kid_cols, F.lit(0)), lambda p, i: _edge(_vertex(F.lit("cte"), d["cte"], i), p["v"])))
+        .when(d["cls"] == "CTERelationRef", F.transform(
+            d["own"], lambda p, i: _edge(p["v"], _vertex(F.lit("cte"), d["cte"], i))))
+        .otherwise(F.array().cast(EDGES))
     )
 
 
@@ -228,8 +303,8 @@ def parse_plans(plans: DataFrame) -> DataFrame:
     """Parse plans and the plans embedded in their expressions, level by level.
 
     ``plans``: plan_id, plan_json, optionally files. One row per (sub)plan comes back:
-    plan_id, scope, files, desc (described nodes), bound (visible columns). Each level is a
-    written table, so deeper levels start from compact rows.
+    plan_id, scope, nodes, scans, edges, outputs. Each level is a written table, so later
+    jobs read only the columns they need and deeper levels start from compact rows.
     """
     if "files" not in plans.columns:
         plans = plans.withColumn("files", F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>"))
@@ -249,112 +324,38 @@ def parse_plans(plans: DataFrame) -> DataFrame:
 
 
 def plan_nodes(parsed: DataFrame) -> DataFrame:
-    """One row per node: geometry, class, names, visible input columns."""
-    return (
-        parsed.filter(F.col("bound").isNotNull())
-        .withColumn("leaves", F.transform(
-            F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"]))
-        .select("plan_id", "scope", "files", "desc", "leaves", F.explode("bound.done").alias("b"))
-        .withColumn("d", F.get("desc", F.col("b.nid")))
-        .select(
-            "plan_id", "scope", F.col("b.nid").alias("nid"), F.col("b.size").alias("size"),
-            F.col("b.kids").alias("kids"), F.col("b.scope").alias("kid_cols"),
-            F.col("d.cls").alias("cls"), F.col("d.own").alias("own"), F.col("d.exprs").alias("exprs"),
-            F.col("d.cte").alias("cte"), F.col("d.view_name").alias("view_name"),
-            F.col("d.join_type").alias("join_type"), F.col("d.is_scan").alias("is_scan"),
-            _stand_in("view_name").alias("scan_view"), _stand_in("table_name").alias("scan_table"),
-            F.get(F.filter("files", lambda f: f["leaf"] == F.array_position("leaves", F.col("b.nid")) - 1),
-                  F.lit(0))["paths"].alias("paths"),
-        )
-    )
-
-
-def _stand_in(field: str) -> Column:
-    """Name carried by the View / SubqueryAlias nodes directly above a scan leaf."""
-    nid = F.col("b.nid")
-
-    def above(k):
-        return F.get("desc", nid - k)
-
-    def ok(k):
-        return F.coalesce((nid - k >= 0) & above(k)["cls"].isin("View", "SubqueryAlias"), F.lit(False))
+    """One row per node: plan_id, scope, nid (pre-order), size of its subtree, kids, cls,
+    view_name, join_type."""
+    return parsed.select("plan_id", "scope", F.explode("nodes").alias("n")).select("plan_id", "scope", "n.*")
 
-    out = F.lit(None).cast("string")
-    for k in (3, 2, 1):
-        chain = ok(1)
-        for j in range(2, k + 1):
-            chain = chain & ok(j)
-        out = F.coalesce(F.when(chain, above(k)[field]), out)
-    return F.when(F.get("desc", nid)["is_scan"], out)
 
+def scan_leaves(parsed: DataFrame, default_namespace: str) -> DataFrame:
+    """Scans with their dataset: plan_id, scope, nid, own (columns), dataset, paths.
 
-def scan_identity(nodes: DataFrame, default_namespace: str) -> DataFrame:
-    """Scan leaves with their dataset (namespace, name), files before names.
-
-    A named table or a view that only stands for its scan names the dataset; otherwise the
+    A table, or a view that only stands for its scan, names the dataset; otherwise the
     first file does; a scan with neither is (``file``, node class).
     """
-    name = F.coalesce("scan_table", "scan_view")
-    path = split_path(F.get("paths", F.lit(0)))
-    return nodes.filter("is_scan").withColumn(
-        "dataset",
-        F.when(name.isNotNull(), F.struct(F.lit(default_namespace).alias("namespace"), name.alias("name")))
-        .when(F.size("paths") > 0, path)
-        .otherwise(F.struct(F.lit("file").alias("namespace"), F.col("cls").alias("name"))))
-
-
-EDGE = "struct<src: string, dst: string, breaks: boolean>"
-
-
-def _lookup(scope: Column, ids: Column) -> Column:
-    """Vertices visible under ``scope`` for a list of column ids; unknown ids drop out."""
-    return _let(F.transform(scope, lambda p: p["id"]), lambda known: F.transform(
-        F.filter(ids, lambda r: F.array_contains(known, r)),
-        lambda r: F.get(scope, (F.array_position(known, r) - 1).cast("int"))["v"]))
+    return (
+        parsed.select("plan_id", "scope", F.explode("scans").alias("s")).select("plan_id", "scope", "s.*")
+        .withColumn(
+            "dataset",
+            F.when(F.col("known_as").isNotNull(), F.struct(
+                F.lit(default_namespace).alias("namespace"), F.col("known_as").alias("name")))
+            .when(F.size("paths") > 0, split_path(F.get("paths", F.lit(0))))
+            .otherwise(F.struct(F.lit("file").alias("namespace"), F.col("cls").alias("name"))))
+    )
 
 
-def column_edges(nodes: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Edges between vertices: plan_id, src, dst, breaks. Narrow: no shuffle."""
-    scope = F.col("scope")
-    visible = F.flatten("kid_cols")
-
-    def edge(src, dst, breaks):
-        return F.struct(src.alias("src"), dst.alias("dst"), breaks.alias("breaks"))
-
-    no = F.lit(False)
-    from_exprs = F.flatten(F.transform(
-        F.arrays_zip(F.col("own").alias("o"), F.col("exprs").alias("e")),
-        lambda z: F.transform(
-            F.concat(
-                F.array_distinct(_lookup(visible, z["e"]["refs"])),
-                F.transform(z["e"]["subs"], lambda s: F.concat_ws(":", F.concat_ws(
-                    "/", scope, s.cast("string")), F.lit("R"), F.lit("0"))),
-            ),
-            lambda dst: edge(z["o"]["v"], dst, z["e"]["breaks"]))))
-    by_position = F.flatten(F.transform(
-        F.when(F.col("cls") == "UnionLoop", F.slice("kid_cols", 1, 1)).otherwise(F.col("kid_cols")),
-        lambda cols: F.transform(cols, lambda p, i: edge(_vertex(scope, F.col("nid"), i), p["v"], no))))
-    cte_def = F.transform(
-        F.get("kid_cols", F.lit(0)),
-        lambda p, i: edge(_vertex(F.lit("cte"), F.col("cte"), i), p["v"], no))
-    cte_ref = F.transform(
-        "own", lambda p, i: edge(p["v"], _vertex(F.lit("cte"), F.col("cte"), i), no))
-    inner = nodes.select("plan_id", F.explode(
-        F.when(F.col("cls").isin(*SCOPES, "Window", "Generate"), from_exprs)
-        .when(F.col("cls").isin(*SET_OPS, "UnionLoop"), by_position)
-        .when(F.col("cls") == "CTERelationDef", cte_def)
-        .when(F.col("cls") == "CTERelationRef", cte_ref)).alias("e"))
-    roots = parsed.filter(F.col("bound").isNotNull()).select("plan_id", F.explode(F.transform(
-        "bound.out", lambda p, i: edge(_vertex(scope, F.lit("R"), i), p["v"], no))).alias("e"))
-    return inner.unionByName(roots).select("plan_id", "e.*")
+def column_edges(parsed: DataFrame) -> DataFrame:
+    """Edges between column vertices: plan_id, src, dst, breaks."""
+    return parsed.select("plan_id", F.explode("edges").alias("e")).select("plan_id", "e.*")
 
 
 def root_columns(parsed: DataFrame) -> DataFrame:
     """Output columns of every top-level plan: plan_id, ordinal, out_col, v."""
-    return parsed.filter((F.col("scope") == "0") & F.col("bound").isNotNull()).select(
-        "plan_id", F.posexplode("bound.out").alias("ordinal", "p")).select(
-        "plan_id", "ordinal", F.col("p.name").alias("out_col"),
-        _vertex(F.lit("0"), F.lit("R"), F.col("ordinal")).alias("v"))
+    return parsed.filter(F.col("scope") == "0").select(
+        "plan_id", F.posexplode("outputs").alias("ordinal", "out_col")).select(
+        "plan_id", "ordinal", "out_col", _vertex(F.lit("0"), F.lit("R"), F.col("ordinal")).alias("v"))
 
 
 def leaf_sources(scans: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from provtrail.operators.closure import close_edges
 from provtrail.plans import parse
 from provtrail.schema import DEFAULT_NAMESPACE
-from provtrail.session import materialize
 
 
 @dataclass
@@ -36,7 +35,7 @@ def distinct_plans(plan_log: DataFrame) -> DataFrame:
 def parse_log(plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> Parsed:
     levels = parse.parse_plans(plans)
     nodes = parse.plan_nodes(levels)
-    return Parsed(levels, nodes, parse.scan_identity(nodes, default_namespace))
+    return Parsed(levels, nodes, parse.scan_leaves(levels, default_namespace))
 
 
 def resolve_plans(
@@ -49,7 +48,7 @@ def resolve_plans(
     same name the last one stays.
     """
     parsed = parsed or parse_log(plans, default_namespace)
-    inner = parse.column_edges(parsed.nodes, parsed.levels)
+    inner = parse.column_edges(parsed.levels)
     sources = parse.leaf_sources(parsed.scans)
     # A leaf vertex ends at itself; every other edge goes on.
     edges = inner.select("plan_id", "src", "dst", "breaks", F.lit(False).alias("terminal")).unionByName(
@@ -118,15 +117,17 @@ def view_dependencies(parsed: Parsed) -> DataFrame:
     """
     views = parsed.nodes.filter(F.col("view_name").isNotNull()).select(
         "plan_id", "scope", F.col("nid").alias("vid"), F.col("size").alias("vsize"), "view_name")
-    scans = parsed.scans.select("plan_id", "scope", "nid", "scan_view", "scan_table", "dataset")
-    return (
+    scans = parsed.scans.select("plan_id", "scope", F.col("nid").alias("position"), "dataset")
+    beneath = (
         views.join(scans, ["plan_id", "scope"])
-        .filter((F.col("nid") > F.col("vid")) & (F.col("nid") < F.col("vid") + F.col("vsize")))
-        .filter(~F.col("view_name").eqNullSafe(F.col("dataset.name")))
-        .select("plan_id", "view_name", "scope", F.col("nid").alias("position"),
-                F.col("dataset.namespace").alias("namespace"), F.col("dataset.name").alias("name"))
-        .distinct()
+        .filter((F.col("position") > F.col("vid")) & (F.col("position") < F.col("vid") + F.col("vsize")))
+        .filter(F.col("view_name") != F.col("dataset.name"))
     )
+    # Of nested views the outermost one stands for the scan.
+    return beneath.groupBy("plan_id", "scope", "position", "dataset").agg(
+        F.min_by("view_name", "vid").alias("view_name")).select(
+        "plan_id", "view_name", "scope", "position",
+        F.col("dataset.namespace").alias("namespace"), F.col("dataset.name").alias("name"))
 
 
 def plan_inputs(parsed: Parsed, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
@@ -136,14 +137,13 @@ def plan_inputs(parsed: Parsed, default_namespace: str = DEFAULT_NAMESPACE) -> D
     """
     deps = view_dependencies(parsed)
     scans = scan_datasets(parsed).select("plan_id", "scope", "position", "namespace", "name")
-    direct = scans.join(deps.select("plan_id", "scope", "position"), ["plan_id", "scope", "position"], "left_anti")
-    tops = deps.select("plan_id", F.lit(default_namespace).alias("namespace"), F.col("view_name").alias("name"))
-    # Views inside another view are covered by the outer one.
+    direct = scans.join(deps, ["plan_id", "scope", "position"], "left_anti")
+    views = deps.select("plan_id", F.lit(default_namespace).alias("namespace"), F.col("view_name").alias("name"))
     return direct.select("plan_id", "namespace", "name", F.lit("TABLE").alias("dataset_type")).unionByName(
-        tops.withColumn("dataset_type", F.lit("VIEW"))).distinct()
+        views.withColumn("dataset_type", F.lit("VIEW"))).distinct()
 
 
 __all__ = [
-    "Parsed", "distinct_plans", "file_scan_datasets", "materialize", "parse_log", "plan_inputs",
+    "Parsed", "distinct_plans", "file_scan_datasets", "parse_log", "plan_inputs",
     "plan_key", "rejected_plans", "resolve_columns", "resolve_plans", "scan_datasets", "view_dependencies",
 ]
