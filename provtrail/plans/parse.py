@@ -216,7 +216,6 @@ def _parse_level(level: DataFrame) -> DataFrame:
             "prefix", F.concat_ws(":", scope, i.cast("string"), F.lit("")))))
         .drop("raw", "plan_json")
         .withColumn("bound", F.when(F.size("desc") > 0, _bind(F.col("desc"))))
-        .filter(F.col("bound").isNotNull())
     )
     leaves = F.transform(F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"])
     edges = F.transform("bound.done", lambda b: _let(
@@ -312,7 +311,8 @@ def parse_plans(plans: DataFrame) -> DataFrame:
     parsed = None
     while True:
         written = materialize(_parse_level(level), "parsed")
-        body = written.drop("subplans")
+        # Filtering before the write would make Spark parse every plan twice.
+        body = written.filter("outputs is not null").drop("subplans")
         parsed = body if parsed is None else parsed.unionByName(body)
         inner = written.filter(F.size("subplans") > 0)
         if inner.isEmpty():
