@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from provtrail.session import materialize
+
 
 def ordered_prefix(
     df: DataFrame, keys: list[str], bucket: str, order: list[Column | str],
@@ -95,3 +97,20 @@ def asof_join(
         carried, [*keys, "_b"])
     return found.withColumn("_f", F.coalesce("_f", "_c")).filter("_f is not null").select(
         "_l.*", *[F.col(f"_f.{c}").alias(c) for c in (right_time, *values)])
+
+
+def global_rank(df: DataFrame, order: str, out: str = "rnk", descending: bool = True) -> DataFrame:
+    """RANK() over all rows without sending them to one task.
+
+    Rows are range-partitioned by ``order`` (equal values share a partition), ranked inside
+    their partition and shifted by the row counts of the partitions before it. Only that
+    count table, one row per partition, is ranked in one place.
+    """
+    key = F.col(order).desc() if descending else F.col(order).asc()
+    parts = materialize(df.repartitionByRange(key).withColumn("_p", F.spark_partition_id()), "ranked")
+    counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    shift = counts.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_p").orderBy(key)
+    return parts.withColumn("_r", F.rank().over(inside)).join(shift, "_p").withColumn(
+        out, F.col("_r") + F.col("_shift")).drop("_p", "_r", "_shift")

@@ -32,7 +32,7 @@ TRACED: dict[str, str] = {
         JOIN (SELECT n_nationkey AS id, n_name AS name FROM nation) b ON a.id = b.id""",
     "q06_three_way": """SELECT o_orderkey, c_name, n_name FROM orders
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
-    "q06_five_way": """SELECT l_orderkey, l_linenumber, o_orderdate, c_name, n_name, r_name FROM lineitem
+    "q06_five_way": """SELECT l_orderkey, l_linenumber, o_orderpriority, c_name, n_name, r_name FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "q07_self_join": """SELECT a.o_orderkey AS first_key, b.o_orderkey AS next_key, b.o_totalprice AS next_price
@@ -122,7 +122,7 @@ TRACED: dict[str, str] = {
     "q30_strings": """SELECT c_custkey, UPPER(c_name) AS up, LOWER(c_name) AS low, SUBSTRING(c_name, 1, 4) AS head,
         TRIM(LOWER(REPLACE(c_name, 'C', 'k'))) AS clean, CONCAT(c_name, CAST(c_custkey AS STRING)) AS tagged
         FROM customer""",
-    "q31_dates": """SELECT o_orderkey, DATE_TRUNC('month', o_orderdate) AS month,
+    "q31_dates": """SELECT o_orderkey, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS month,
         EXTRACT(YEAR FROM o_orderdate) AS year FROM orders""",
     "q32_case": """SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN o_orderpriority ELSE 'low' END AS label,
         CASE WHEN o_totalprice > 200000 THEN UPPER(o_orderpriority) ELSE 'low' END AS shout FROM orders""",

@@ -48,11 +48,12 @@ RUN_FACETS = f"""struct<
     errorMessage: struct<{_HEAD}, message: string, programmingLanguage: string>,
     processing_engine: struct<{_HEAD}, version: string, name: string, openlineageAdapterVersion: string>>"""
 
+JOB_FACETS = f"struct<sql: struct<{_HEAD}, query: string>>"
+
 EVENT_DDL = f"""
     eventType string, eventTime string, producer string, schemaURL string,
     run struct<runId: string, facets: {RUN_FACETS}>,
-    job struct<namespace: string, name: string,
-        facets: struct<sql: struct<{_HEAD}, query: string>>>,
+    job struct<namespace: string, name: string, facets: {JOB_FACETS}>,
     inputs array<{INPUT_DATASET}>,
     outputs array<{OUTPUT_DATASET}>
 """
