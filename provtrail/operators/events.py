@@ -263,8 +263,11 @@ def start_events(
         facets = F.col("facets") if "facets" in df.columns else dataset_facets()
         extra = () if out == "inputs" else (F.lit(None).alias("outputFacets"),)
         dataset = F.struct("namespace", "name", facets.alias("facets"), *extra).cast(ddl)
+        # Facets hold maps, which do not sort, so the comparison names what does.
         by_position = F.array_sort(
-            F.collect_list(F.struct("position", dataset.alias("d"))), lambda a, b: a["position"] - b["position"])
+            F.collect_list(F.struct("position", dataset.alias("d"))),
+            lambda a, b: F.when(a["position"] < b["position"], -1).when(a["position"] > b["position"], 1)
+            .when(a["d"]["name"] < b["d"]["name"], -1).when(a["d"]["name"] > b["d"]["name"], 1).otherwise(0))
         return df.groupBy("query_id").agg(by_position.alias("_l")).select(
             "query_id", F.transform("_l", lambda x: x["d"]).alias(out))
 

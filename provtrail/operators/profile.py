@@ -109,17 +109,20 @@ def drop_utility(profile: DataFrame) -> DataFrame:
 def plan_log_nodes(parsed_nodes: DataFrame, scans: DataFrame) -> DataFrame:
     """Nodes of parsed plans in the layout ``profile_plans`` reads (query_id = plan_id).
 
-    Nodes of subqueries count as well: an EXISTS is a join to the reader of the plan.
+    A subquery in an expression counts as a join of its plan with the outer query. The
+    joins below are on the node's full key, so their keys are unique and even.
     """
+    key = ["plan_id", "scope", "nid"]
     parents = parsed_nodes.select("plan_id", "scope", F.col("nid").alias("parent_id"), F.explode("kids").alias("nid"))
-    named = scans.select("plan_id", "scope", "nid", F.element_at(F.split("known_as", "\\."), -1).alias("table_name"))
-    return (
-        parsed_nodes.join(parents, ["plan_id", "scope", "nid"], "left")
-        .join(named, ["plan_id", "scope", "nid"], "left")
-        .select(
-            F.col("plan_id").alias("query_id"),
-            # Subplans sort behind the top-level plan.
-            F.struct((F.col("scope") != "0").alias("inner"), "scope", "nid").alias("node_id"),
-            F.when(F.col("scope") == "0", F.col("parent_id")).alias("parent_id"),
-            operator_of(F.col("cls"), F.col("join_type")).alias("operator"), "table_name")
-    )
+    named = scans.select(*key, F.element_at(F.split("known_as", "\\."), -1).alias("table_name"))
+    inner = F.col("scope") != "0"
+    # Subplans sort behind the top-level plan.
+    node_id = F.struct(inner.alias("inner"), F.col("scope"), F.col("nid"))
+    nodes = parsed_nodes.join(parents, key, "left").join(named, key, "left").select(
+        F.col("plan_id").alias("query_id"), node_id.alias("node_id"),
+        F.when(~inner, F.col("parent_id")).alias("parent_id"),
+        operator_of(F.col("cls"), F.col("join_type")).alias("operator"), "table_name")
+    subqueries = parsed_nodes.filter(inner & (F.col("nid") == 0)).select(
+        F.col("plan_id").alias("query_id"), node_id.alias("node_id"), F.lit(None).cast("int").alias("parent_id"),
+        F.lit("COMPARISON_JOIN").alias("operator"), F.lit(None).cast("string").alias("table_name"))
+    return nodes.unionByName(subqueries)

@@ -70,14 +70,19 @@ def resolve_plans(
         F.when(F.col("r.breaks"), "INDIRECT").otherwise("DIRECT").alias("transformation_type"))
 
 
+def columns_per_plan(resolved: DataFrame) -> DataFrame:
+    """One row per plan: plan_id, cols. Small to join with a long query log."""
+    return resolved.groupBy("plan_id").agg(F.collect_list(
+        F.struct("ordinal", "out_col", "input_fields", "transformation_type")).alias("cols"))
+
+
 def resolve_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
     """Column lineage of every query of a plan log: query_id + columns of ``resolve_plans``.
 
     Plans that could not be traced are in ``rejected_plans`` instead.
     """
     resolved = resolve_plans(distinct_plans(plan_log), default_namespace)
-    per_plan = resolved.groupBy("plan_id").agg(F.collect_list(
-        F.struct("ordinal", "out_col", "input_fields", "transformation_type")).alias("cols"))
+    per_plan = columns_per_plan(resolved)
     keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
     return keyed.join(per_plan, "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
 
@@ -144,6 +149,6 @@ def plan_inputs(parsed: Parsed, default_namespace: str = DEFAULT_NAMESPACE) -> D
 
 
 __all__ = [
-    "Parsed", "distinct_plans", "file_scan_datasets", "parse_log", "plan_inputs",
+    "Parsed", "columns_per_plan", "distinct_plans", "file_scan_datasets", "parse_log", "plan_inputs",
     "plan_key", "rejected_plans", "resolve_columns", "resolve_plans", "scan_datasets", "view_dependencies",
 ]

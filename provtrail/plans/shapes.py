@@ -10,14 +10,13 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from provtrail.operators.recursive import recurse
 from provtrail.operators.windows import asof_join, first_per_key, global_rank, ordered_prefix, with_halo
 from provtrail.plans.traced import TRACED, traced
 from provtrail.session import materialize, work_dir
 from provtrail.sources.tables import register, small_side, table
-from pyspark.sql import Window
 
 MONEY = "decimal(18,2)"
 
@@ -118,7 +117,7 @@ def file_round_trip(spark: SparkSession, sf_dir: str, fmt: str, **options) -> Da
 
 def executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two staging joins, three aggregates and a fan-in summary, each a written table."""
-    register(spark, sf_dir)
+    register(spark, sf_dir, ["orders", "lineitem", "part", "customer"])
 
     def stage(name, text):
         materialize(spark.sql(text), name).createOrReplaceTempView(name)

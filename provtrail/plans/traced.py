@@ -6,12 +6,13 @@ queries, except where ``shapes`` has a form that stands up to hot keys.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from provtrail.plans.capture import capture, plan_log
-from provtrail.sources.tables import register
+from provtrail.sources.tables import TABLES, register
 
-DEC = "CAST({} AS DECIMAL(18,2))"
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 
 TRACED: dict[str, str] = {
@@ -149,15 +150,19 @@ VIEWS = {
 }
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Register the tables and views the traced queries read."""
-    register(spark, sf_dir)
-    for name, text in VIEWS.items():
-        spark.sql(text).createOrReplaceTempView(name)
+def prepare(spark: SparkSession, sf_dir: str, text: str | None = None) -> None:
+    """Register the tables and views that ``text``, or any traced query, reads."""
+    words = None if text is None else set(re.findall(r"\w+", text))
+    views = {n: v for n, v in VIEWS.items() if words is None or n in words}
+    if words is not None:
+        words.update(w for v in views.values() for w in re.findall(r"\w+", v))
+    register(spark, sf_dir, [t for t in TABLES if words is None or t in words])
+    for name, view in views.items():
+        spark.sql(view).createOrReplaceTempView(name)
 
 
 def traced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    prepare(spark, sf_dir)
+    prepare(spark, sf_dir, TRACED[name])
     return spark.sql(TRACED[name])
 
 

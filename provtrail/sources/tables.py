@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -12,9 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """Register every table as a temporary view of its own name."""
-    for name in TABLES:
+def register(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
+    """Register tables as temporary views of their own names."""
+    for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
