@@ -10,15 +10,17 @@ from provtrail.plans.traced import TRACED
 
 NAMES = sorted(TRACED)
 TABLE_COLUMNS = {
-    "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",
-    "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",
-    "nation": "n_nationkey,n_name,n_regionkey", "region": "r_regionkey,r_name",
-    "supplier": "s_suppkey,s_name,s_nationkey,s_acctbal",
-    "part": "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice",
-    "lineitem": "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,"
-                "l_returnflag,l_linestatus,l_shipdate",
-    "events": "event_id,ts,user_id,event_type,value,props",
-    "documents": "doc_id,text,lang,source,n_chars",
+    "orders": "o_orderkey bigint,o_custkey bigint,o_orderstatus string,o_totalprice double,"
+              "o_orderdate timestamp_ntz,o_orderpriority string",
+    "customer": "c_custkey bigint,c_name string,c_nationkey int,c_acctbal double,c_mktsegment string",
+    "nation": "n_nationkey int,n_name string,n_regionkey int", "region": "r_regionkey int,r_name string",
+    "supplier": "s_suppkey bigint,s_name string,s_nationkey int,s_acctbal double",
+    "part": "p_partkey bigint,p_name string,p_brand string,p_type string,p_size int,p_retailprice double",
+    "lineitem": "l_orderkey bigint,l_partkey bigint,l_suppkey bigint,l_linenumber int,l_quantity double,"
+                "l_extendedprice double,l_discount double,l_tax double,l_returnflag string,l_linestatus string,"
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint,ts timestamp_ntz,user_id bigint,event_type string,value double,props string",
+    "documents": "doc_id bigint,text string,lang string,source string,n_chars bigint",
 }
 LOG = f"""SELECT CAST(o_orderkey AS VARCHAR) AS query_id, o_orderkey % {len(NAMES)} AS t,
     '_' || (o_custkey // 20) AS tenant FROM orders"""
@@ -46,7 +48,7 @@ def _scans() -> str:
         for n in names:
             base = VIEW_BASES.get(n, n)
             rows.append((NAMES.index(q), "spark", base, TABLE_COLUMNS[base]))
-    rows.append((NAMES.index("q29_series"), "file", "Range", "id"))
+    rows.append((NAMES.index("q29_series"), "file", "Range", "id bigint"))
     return f"""SELECT query_id, namespace, CASE WHEN tbl = 'Range' THEN tbl ELSE tbl || tenant END AS name, fields
         FROM ({LOG}) log JOIN (VALUES {values(rows)}) e(t, namespace, tbl, fields) USING (t)"""
 
@@ -212,6 +214,12 @@ SQL: dict[str, str] = {
         WHERE k = 1""",
     "r21_required_facets": f"""SELECT 'START' AS "eventType", count(*) AS with_producer, count(*) AS with_engine,
         count(query) AS with_sql FROM ({STARTS}) s""",
+    "s04_s06_traced_writes": """SELECT 'COPY' AS sink_op, 'COMPLETE' AS event_type, count(*) AS row_count FROM orders
+            WHERE o_totalprice > 100000 UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*) FROM customer
+        UNION ALL SELECT 'INSERT', 'COMPLETE', count(*) FROM customer WHERE c_acctbal > 0""",
+    "s04_r01_traced_events": """SELECT 'START' AS "eventType", 'orders' AS input, CAST(NULL AS BIGINT) AS row_count,
+            'INDIRECT' AS total_type, 'OVERWRITE' AS state
+        UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), 'INDIRECT', 'OVERWRITE' FROM orders""",
     "s09_s10_event_round_trip": f"""SELECT eventType AS "eventType", job_name, count(*) AS n,
         CAST(sum(CASE WHEN has_stats THEN o_custkey END) AS BIGINT) AS row_count FROM ({ENDS}) e GROUP BY ALL""",
     "g01_dataset_edges": f"""SELECT DISTINCT i.name AS in_name, o.name AS out_name FROM ({fx.QUERY_INPUTS}) i

@@ -15,10 +15,10 @@ def close_edges(edges: DataFrame, keys: list[str], flag: str = "breaks", max_rou
     path of length n takes log2(n) rounds, and pairs met over several paths are merged
     before the next round (flag: true if any path has it). Rounds are written tables: each
     one starts from compact, durable rows, and the loop's only driver-side knowledge is
-    whether an open row is left.
+    whether an open row is left. ``edges`` is read twice, so it should be cheap to read.
     """
     group = [*keys, "src", "dst", "terminal"]
-    reach = materialize(edges.groupBy(*group).agg(F.max(flag).alias(flag)), "closure")
+    reach = edges.select(*group, flag)
     for _ in range(max_rounds):
         still_open = reach.filter(~F.col("terminal"))
         if still_open.isEmpty():

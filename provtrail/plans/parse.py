@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from provtrail.functions.ids import split_path
 from provtrail.session import materialize
 
-ELEM = "struct<class: string, `num-children`: int, name: string, exprId: struct<id: bigint>, plan: string>"
+ELEM = "struct<class: string, `num-children`: int, name: string, exprId: struct<id: bigint>, plan: string, dataType: string>"
 ATTRS = f"array<array<{ELEM}>>"
 PLAN_SCHEMA = f"""array<struct<
     class: string, `num-children`: int,
@@ -120,6 +120,18 @@ def expression_refs(elems: Column) -> Column:
     return F.when(partial, exact).otherwise(simple)
 
 
+# Type names of the plan text that differ from Spark SQL's.
+TYPE_NAMES = {"long": "bigint", "integer": "int", "short": "smallint", "byte": "tinyint"}
+
+
+def simple_type(text: Column) -> Column:
+    """Type of the plan text as Spark SQL writes it; nested types stay JSON."""
+    out = text
+    for name, simple in TYPE_NAMES.items():
+        out = F.when(text == name, simple).otherwise(out)
+    return out
+
+
 def _vertex(scope: Column, node: Column, pos: Column) -> Column:
     return F.concat_ws(":", scope, node.cast("string"), pos.cast("string"))
 
@@ -162,6 +174,8 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
         F.when((cls == "SubqueryAlias") & (F.size(n["identifier"]["qualifier"]) > 0), F.concat_ws(
             ".", n["identifier"]["qualifier"], n["identifier"]["name"])).alias("table_name"),
         n["joinType"].alias("join_type"),
+        F.when(n["num-children"] == 0, F.transform(n["output"], lambda a: F.struct(
+            a[0]["name"].alias("name"), simple_type(a[0]["dataType"]).alias("type")))).alias("fields"),
         F.when(cls.isin("LogicalRelation", "LogicalRDD", "LocalRelation", "DataSourceV2Relation", "Range",
                         "HiveTableRelation", "StreamingRelation", "StreamingRelationV2"), True)
         .otherwise(False).alias("is_scan"),
@@ -203,15 +217,14 @@ def _bind(desc: Column) -> Column:
     return F.element_at(_fold(desc, NODE_FOLD, merge), 1)
 
 
-def _parse_level(level: DataFrame) -> DataFrame:
-    """Parse one nesting level of (sub)plans: plan_id, scope, plan_json, files.
+def _parse(plans: DataFrame) -> DataFrame:
+    """Parse (sub)plans: plan_id, scope, plan_json, files.
 
     What comes back per plan is compact: its nodes, scans, column edges and output columns.
     """
     scope = F.col("scope")
     bound = (
-        level.withColumn("raw", F.from_json("plan_json", PLAN_SCHEMA))
-        .withColumn("subplans", F.flatten(F.transform("raw", _subplans_of)))
+        plans.withColumn("raw", F.from_json("plan_json", PLAN_SCHEMA))
         .withColumn("desc", F.transform("raw", lambda n, i: _describe(n, i, scope).withField(
             "prefix", F.concat_ws(":", scope, i.cast("string"), F.lit("")))))
         .drop("raw", "plan_json")
@@ -222,17 +235,18 @@ def _parse_level(level: DataFrame) -> DataFrame:
         F.get("desc", b["nid"]), lambda d: _edges_of(b["nid"], b["scope"], d, scope)))
     roots = F.transform("bound.out", lambda p, i: _edge(_vertex(scope, F.lit("R"), i), p["v"]))
     return bound.withColumn("leaves", leaves).select(
-        "plan_id", "scope", "subplans",
+        "plan_id", "scope",
         F.transform("bound.done", lambda b: _let(F.get("desc", b["nid"]), lambda d: F.struct(
             b["nid"].alias("nid"), b["size"].alias("size"), b["kids"].alias("kids"), d["cls"].alias("cls"),
             d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))).alias("nodes"),
         F.transform(F.filter("desc", lambda d: d["is_scan"]), lambda d: F.struct(
             d["nid"].alias("nid"), d["cls"].alias("cls"), d["own"].alias("own"),
-            F.coalesce(_stand_in(d["nid"], "table_name"), _stand_in(d["nid"], "view_name")).alias("known_as"),
+            d["fields"].alias("fields"), F.coalesce(_stand_in(d["nid"], "table_name"), _stand_in(d["nid"], "view_name")).alias("known_as"),
             F.get(F.filter("files", lambda f: f["leaf"] == F.array_position("leaves", d["nid"]) - 1),
                   F.lit(0))["paths"].alias("paths"))).alias("scans"),
         F.concat(F.flatten(edges), roots).alias("edges"),
         F.transform("bound.out", lambda p: p["name"]).alias("outputs"),
+        (~F.exists("desc", lambda d: d["cls"].isin(*UNTRACEABLE))).alias("traceable"),
     )
 
 
@@ -289,38 +303,50 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
     )
 
 
-def _subplans_of(n: Column) -> Column:
-    attrs = F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"],
-                       F.array().cast(ATTRS))
-    elems = F.concat(F.flatten(attrs), F.coalesce(n["condition"], F.array().cast(f"array<{ELEM}>")))
-    return F.transform(
-        F.filter(elems, lambda e: e["plan"].isNotNull()),
-        lambda e: F.struct(e["exprId"]["id"].alias("id"), e["plan"].alias("plan_json")))
+# Only what it takes to find plans inside expressions.
+INNER = "struct<exprId: struct<id: bigint>, plan: string>"
+INNER_SCHEMA = f"""array<struct<projectList: array<array<{INNER}>>, aggregateExpressions: array<array<{INNER}>>,
+    windowExpressions: array<array<{INNER}>>, condition: array<{INNER}>>>"""
+FILES = "array<struct<leaf: int, paths: array<string>>>"
+
+
+def _inner_plans(level: DataFrame) -> DataFrame:
+    """Plans embedded in the expressions of the plans of one nesting level."""
+    none = F.array().cast(f"array<{INNER}>")
+
+    def elems(n):
+        lists = F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"],
+                           F.array().cast(f"array<array<{INNER}>>"))
+        return F.concat(F.flatten(lists), F.coalesce(n["condition"], none))
+
+    nodes = F.from_json("plan_json", INNER_SCHEMA)
+    return (
+        level.filter(F.col("plan_json").rlike('"plan" *: *\\['))
+        .select("plan_id", "scope", F.explode(F.flatten(F.transform(nodes, elems))).alias("e"))
+        .filter("e.plan is not null")
+        .select("plan_id", F.concat_ws("/", "scope", F.col("e.exprId.id").cast("string")).alias("scope"),
+                F.col("e.plan").alias("plan_json"), F.lit(None).cast(FILES).alias("files"))
+    )
 
 
 def parse_plans(plans: DataFrame) -> DataFrame:
-    """Parse plans and the plans embedded in their expressions, level by level.
+    """Parse plans and the plans embedded in their expressions.
 
     ``plans``: plan_id, plan_json, optionally files. One row per (sub)plan comes back:
-    plan_id, scope, nodes, scans, edges, outputs. Each level is a written table, so later
-    jobs read only the columns they need and deeper levels start from compact rows.
+    plan_id, scope, nodes, scans, edges, outputs. Embedded plans are pulled out level by
+    level first, then all are parsed together. The result is a written table, so later jobs
+    read only the columns they need.
     """
     if "files" not in plans.columns:
-        plans = plans.withColumn("files", F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>"))
-    level = plans.select("plan_id", F.lit("0").alias("scope"), "plan_json", "files")
-    parsed = None
+        plans = plans.withColumn("files", F.lit(None).cast(FILES))
+    everything = level = plans.select("plan_id", F.lit("0").alias("scope"), "plan_json", "files")
     while True:
-        written = materialize(_parse_level(level), "parsed")
-        # Filtering before the write would make Spark parse every plan twice.
-        body = written.filter("outputs is not null").drop("subplans")
-        parsed = body if parsed is None else parsed.unionByName(body)
-        inner = written.filter(F.size("subplans") > 0)
-        if inner.isEmpty():
-            return parsed
-        level = inner.select("plan_id", "scope", F.explode("subplans").alias("s")).select(
-            "plan_id", F.concat_ws("/", "scope", F.col("s.id").cast("string")).alias("scope"),
-            F.col("s.plan_json").alias("plan_json"),
-            F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files"))
+        level = materialize(_inner_plans(level), "subplans")
+        if level.isEmpty():
+            break
+        everything = everything.unionByName(level)
+    # Filtering before the write would make Spark parse every plan twice.
+    return materialize(_parse(everything), "parsed").filter("outputs is not null")
 
 
 def plan_nodes(parsed: DataFrame) -> DataFrame:
@@ -330,7 +356,7 @@ def plan_nodes(parsed: DataFrame) -> DataFrame:
 
 
 def scan_leaves(parsed: DataFrame, default_namespace: str) -> DataFrame:
-    """Scans with their dataset: plan_id, scope, nid, own (columns), dataset, paths.
+    """Scans with their dataset: plan_id, scope, nid, own and fields (columns), dataset, paths.
 
     A table, or a view that only stands for its scan, names the dataset; otherwise the
     first file does; a scan with neither is (``file``, node class).

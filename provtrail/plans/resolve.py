@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from provtrail.functions.ids import parse_prefixes
 from provtrail.operators.closure import close_edges
 from provtrail.plans import parse
 from provtrail.schema import DEFAULT_NAMESPACE
@@ -55,7 +56,8 @@ def resolve_plans(
         sources.select("plan_id", F.col("v").alias("src"), F.col("v").alias("dst"),
                        F.lit(False).alias("breaks"), F.lit(True).alias("terminal")))
     reach = close_edges(edges, ["plan_id"])
-    roots = parse.root_columns(parsed.levels)
+    untraceable = parsed.levels.filter("not traceable").select("plan_id").distinct()
+    roots = parse.root_columns(parsed.levels).join(untraceable, "plan_id", "left_anti")
     by_output = (
         reach.filter(F.col("src").startswith("0:R:"))
         .join(roots.withColumnRenamed("v", "src"), ["plan_id", "src"])
@@ -98,11 +100,11 @@ def rejected_plans(plan_log: DataFrame) -> DataFrame:
 
 
 def scan_datasets(parsed: Parsed) -> DataFrame:
-    """Input datasets of every plan with their columns: plan_id, position, namespace, name, fields."""
+    """Input datasets of every plan: plan_id, scope, position, namespace, name, fields (name, type)."""
     return parsed.scans.select(
         "plan_id", "scope", F.col("nid").alias("position"),
         F.col("dataset.namespace").alias("namespace"), F.col("dataset.name").alias("name"),
-        F.transform("own", lambda p: p["name"]).alias("fields"))
+        "fields")
 
 
 def file_scan_datasets(plan_log: DataFrame) -> DataFrame:
@@ -115,6 +117,36 @@ def file_scan_datasets(plan_log: DataFrame) -> DataFrame:
     )
 
 
+def sink_datasets(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """Output dataset of every query that writes: query_id, namespace, name, operation, dataset_type."""
+    return plan_log.filter("sink_name is not null").select(
+        "query_id", F.coalesce("sink_ns", F.lit(default_namespace)).alias("namespace"), F.col("sink_name").alias("name"),
+        F.col("sink_op").alias("operation"),
+        F.when(F.col("sink_op") == "CREATE_VIEW", "VIEW").otherwise("TABLE").alias("dataset_type"))
+
+
+def exclude_sources(columns: DataFrame, prefixes) -> DataFrame:
+    """Drop excluded datasets from column sources, and columns left without a source."""
+    wanted = parse_prefixes(prefixes)
+
+    def keep(source):
+        hit = F.lit(False)
+        for prefix in wanted:
+            hit = hit | source["name"].startswith(prefix)
+        return ~hit
+
+    return columns.withColumn("input_fields", F.filter("input_fields", keep)).filter(F.size("input_fields") > 0)
+
+
+def with_target_columns(columns: DataFrame, targets: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
+    """Add ``target_col``: the sink's own column at the same position.
+
+    ``targets``: keys + target_cols (array of the sink table's column names).
+    """
+    return columns.join(targets.select(*keys, "target_cols"), list(keys), "left").withColumn(
+        "target_col", F.get("target_cols", F.col("ordinal"))).drop("target_cols")
+
+
 def view_dependencies(parsed: Parsed) -> DataFrame:
     """Views and the datasets found beneath them: plan_id, view_name, namespace, name.
 
@@ -147,8 +179,3 @@ def plan_inputs(parsed: Parsed, default_namespace: str = DEFAULT_NAMESPACE) -> D
     return direct.select("plan_id", "namespace", "name", F.lit("TABLE").alias("dataset_type")).unionByName(
         views.withColumn("dataset_type", F.lit("VIEW"))).distinct()
 
-
-__all__ = [
-    "Parsed", "columns_per_plan", "distinct_plans", "file_scan_datasets", "parse_log", "plan_inputs",
-    "plan_key", "rejected_plans", "resolve_columns", "resolve_plans", "scan_datasets", "view_dependencies",
-]

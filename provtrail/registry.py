@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from provtrail.functions import ids, naming
 from provtrail.operators import datasets, events, graph, profile
 from provtrail.operators.closure import close_edges
-from provtrail.plans import resolve
+from provtrail.plans import assemble, resolve
 from provtrail.plans.shapes import shape_queries
 from provtrail.session import work_dir
 from provtrail.sources import event_io, fixtures as fx
-from provtrail.sources.tables import table
+from provtrail.sources.tables import register, table
+from provtrail.sources.traced_io import TraceLog
 from provtrail.streaming import ingest as intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,7 +141,8 @@ def c01_c16_resolve_columns(spark, sf_dir):
 @query
 def s01_scan_datasets(spark, sf_dir):
     queries, _, parsed = _resolved(spark, sf_dir)
-    scans = resolve.scan_datasets(parsed).select("plan_id", "namespace", "name", F.array_join("fields", ",").alias("fields")).distinct()
+    scans = resolve.scan_datasets(parsed).select("plan_id", "namespace", "name", F.array_join(
+        F.transform("fields", lambda f: F.concat_ws(" ", f["name"], f["type"])), ",").alias("fields")).distinct()
     return queries.select("query_id", "plan_id").join(scans, "plan_id").drop("plan_id")
 
 
@@ -422,6 +424,38 @@ def r21_required_facets(spark, sf_dir):
 
 # -- sources and sinks ----------------------------------------------------------------
 
+@query
+def s04_s06_traced_writes(spark, sf_dir):
+    """Export, create and append, each traced: rows written per operation."""
+    base = f"{work_dir(spark)}/provtrail/traced-{uuid.uuid4().hex}"
+    log = TraceLog(spark, f"{base}/log")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    name = f"traced_{uuid.uuid4().hex}"
+    log.write(orders.filter("o_totalprice > 100000"), f"{base}/export")
+    log.create(customer.select("c_custkey", "c_name"), name, path=f"{base}/table")
+    log.append(customer.filter("c_acctbal > 0").select("c_custkey", "c_name"), name)
+    return log.runs().join(log.plans().select("query_id", "sink_op"), "query_id").select(
+        "sink_op", "event_type", "row_count")
+
+
+@query
+def s04_r01_traced_events(spark, sf_dir):
+    """Events of a traced export, assembled from its log: input, output, columns, statistics."""
+    base = f"{work_dir(spark)}/provtrail/assembled-{uuid.uuid4().hex}"
+    log = TraceLog(spark, f"{base}/log")
+    register(spark, sf_dir, ["orders"])
+    log.write(spark.sql("SELECT o_custkey AS customer, SUM(o_totalprice) AS total FROM orders GROUP BY o_custkey"),
+              f"{base}/export", query="select")
+    start, end = assemble.log_events(log.plans(), log.runs())
+    stats = F.get("outputs.outputFacets.outputStatistics", F.lit(0))["rowCount"]
+    columns = F.get("outputs.facets.columnLineage.fields", F.lit(0))
+    both = start.unionByName(end)
+    return both.select(
+        "eventType", F.get("inputs.name", F.lit(0)).alias("input"), stats.alias("row_count"),
+        columns["total"]["transformationType"].alias("total_type"),
+        F.get("outputs.facets.lifecycleStateChange.lifecycleStateChange", F.lit(0)).alias("state"))
+
+
 @query
 def s09_s10_event_round_trip(spark, sf_dir):
     """Events written as JSON files and read back."""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from provtrail.plans.traced import traced_plan_log
+from provtrail.plans.traced import TRACED, traced_plan_log
 from provtrail.sources.tables import small_side, table
 
 
@@ -180,15 +180,18 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     tenant (by customer). ``plans`` holds each distinct plan text once: the captured plan
     with its table names moved to the tenant's. Plans grow with the number of customers.
     """
-    templates = traced_plan_log(spark, sf_dir).select("query_id", "query", "plan_json").withColumnRenamed("query_id", "template")
-    names = sorted(r.template for r in templates.select("template").collect())
+    templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "query", "plan_json")
+    names = sorted(TRACED)
     number = F.map_from_arrays(F.array(*[F.lit(i) for i in range(len(names))]), F.array(*[F.lit(n) for n in names]))
     queries = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("query_id"),
         number[(F.col("o_orderkey") % len(names)).cast("int")].alias("template"),
         F.expr("o_custkey div 20").alias("tenant"), F.col("o_orderdate").alias("event_time"),
     ).withColumn("plan_id", F.concat_ws("@", "template", "tenant"))
-    plans = queries.select("template", "tenant", "plan_id").distinct().join(small_side(templates), "template").select(
+    # Plan texts are thousands of times larger than their keys: spread the keys first.
+    spread = queries.select("template", "tenant", "plan_id").distinct().repartition(
+        4 * spark.sparkContext.defaultParallelism, "plan_id")
+    plans = spread.join(small_side(templates), "template").select(
         "plan_id", "query",
         F.regexp_replace("plan_json", F.lit('"table":"([a-z_]+)"'), F.concat(F.lit('"table":"$1_'), "tenant", F.lit('"'))).alias("plan_json"))
     return queries, plans

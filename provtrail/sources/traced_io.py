@@ -58,9 +58,10 @@ class TraceLog:
         """Insert into an existing table."""
         return self._traced(df, "INSERT", None, table, query, lambda d: d.write.mode("append").saveAsTable(table))
 
-    def create(self, df: DataFrame, table: str, query: str | None = None, fmt: str = "parquet") -> dict:
+    def create(self, df: DataFrame, table: str, query: str | None = None, fmt: str = "parquet", **options) -> dict:
         """Create a table from a query."""
-        return self._traced(df, "CREATE_TABLE", None, table, query, lambda d: d.write.format(fmt).saveAsTable(table))
+        return self._traced(df, "CREATE_TABLE", None, table, query,
+                            lambda d: d.write.format(fmt).options(**options).saveAsTable(table))
 
 
 def _now() -> datetime:
