@@ -173,7 +173,7 @@ def traced_plan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured plans of all traced queries: one plan-log row each, captured once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CAPTURED:
-        prepare(spark, sf_dir)
+        prepare(spark, sf_dir, " ".join([*TRACED.values(), *VIEWS]))
         _CAPTURED[key] = [
             capture(spark.sql(text), name, text, "CREATE_TABLE", None, f"{name}_out") for name, text in TRACED.items()]
     return plan_log(spark, _CAPTURED[key])
