@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from provtrail.functions.binding import let
+
 # Fixed values.
 OBJECT_STORE_SCHEMES = ("s3", "gs", "abfss", "wasbs", "hdfs")
 MEMORY_NAMES = (":memory:", "duckdb_memory")
@@ -22,7 +24,10 @@ def _dataset(namespace: Column, name: Column) -> Column:
 
 def split_path(path: Column | str) -> Column:
     """Path or URI to a struct (namespace, name)."""
-    path = F.coalesce(_col(path), F.lit(""))
+    return let(F.coalesce(_col(path), F.lit("")), _split_path)
+
+
+def _split_path(path: Column) -> Column:
     at = F.locate("://", path)
     scheme = F.when(F.substring_index(path, "://", 1) == "s3a", "s3").otherwise(
         F.substring_index(path, "://", 1))
@@ -145,24 +150,27 @@ def split_location(location: Column | str, table: Column | str, schema: Column |
     namespace and what was taken off is the name.
     """
     location, table, schema = _col(location), _col(table), F.coalesce(_col(schema), F.lit(""))
-    clean = F.substring_index(location, PLACEHOLDER, 1)
-    clean = F.when(clean.startswith("s3a://"), F.concat(F.lit("s3://"), clean.substr(F.lit(7), F.length(clean)))).otherwise(clean)
-    clean = F.regexp_replace(clean, "/$", "")
-    parts = F.split(clean, "/", -1)
-
-    def pop(kept: Column, test) -> Column:
-        last = F.element_at(kept, -1)
-        return F.when((F.size(kept) > 2) & test(last), F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
-
-    no_table = pop(parts, lambda s: s.contains(table))
-    kept = pop(no_table, lambda s: s.endswith(".db") | ((schema != "") & (s == schema)))
-    namespace = F.concat(
-        F.element_at(kept, 1), F.lit("//"), F.element_at(kept, 3),
-        F.when(F.size(kept) > 3, F.concat(F.lit("/"), F.array_join(F.slice(kept, F.lit(4), F.size(kept) - 3), "/"))).otherwise(""))
-    # A two-part remainder has no bucket left: the whole kept text is the namespace.
-    namespace = F.when(F.size(kept) < 3, F.array_join(kept, "/")).otherwise(namespace)
-    name = F.array_join(F.slice(parts, F.size(kept) + 1, F.size(parts)), "/")
-    return F.when(F.size(parts) >= 3, _dataset(namespace, name)).otherwise(_dataset(clean, table))
+    clean = F.regexp_replace(F.regexp_replace(F.substring_index(location, PLACEHOLDER, 1), "^s3a://", "s3://"), "/$", "")
+
+    def without_last(parts: Column, test) -> Column:
+        take = F.when((F.size(parts) > 2) & test(F.element_at(parts, -1)), 1).otherwise(0)
+        return F.slice(parts, F.lit(1), F.size(parts) - take)
+
+    def named(parts: Column, kept: Column) -> Column:
+        bucket = F.concat(F.element_at(kept, 1), F.lit("//"), F.get(kept, F.lit(2)))
+        # Two parts left over hold no bucket.
+        namespace = F.when(F.size(kept) < 3, F.array_join(kept, "/")).otherwise(F.array_join(
+            F.concat(F.array(bucket), F.slice(kept, F.lit(4), F.greatest(F.size(kept) - 3, F.lit(0)))), "/"))
+        return _dataset(namespace, F.array_join(F.slice(parts, F.size(kept) + 1, F.size(parts)), "/"))
+
+    def of_parts(parts: Column) -> Column:
+        kept = let(
+            without_last(parts, lambda s: s.contains(table)),
+            lambda rest: without_last(rest, lambda s: s.endswith(".db") | ((schema != "") & (s == schema))))
+        return F.when(F.size(parts) >= 3, let(kept, lambda k: named(parts, k))).otherwise(
+            _dataset(F.array_join(parts, "/"), table))
+
+    return let(F.split(clean, "/", -1), of_parts)
 
 
 def split_table_location(df: DataFrame, location: str, table: str, schema: str) -> DataFrame:

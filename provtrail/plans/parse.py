@@ -5,14 +5,17 @@ Everything here is a narrow transformation of native expressions, so a plan log
 size is parsed without a shuffle; the text of one plan bounds the work of one row.
 
 Vertices are strings unique within a plan: ``<scope>:<node>:<pos>`` for a column that a
-node defines, ``<scope>:R:<pos>`` for an output column of a (sub)plan, and
-``cte:<id>:<pos>`` for a column of a common table expression.
+node defines, with an ``S`` in front for a scanned column, ``<scope>:R:<pos>`` for an output
+column of a subplan, and ``cte:<id>:<pos>`` for a column of a common table expression. A
+column that only hands another one on (a bare reference, alias or cast) is no vertex of its
+own: it points to the other's vertex, which keeps edge tables small and paths short.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from provtrail.functions.binding import let
 from provtrail.functions.ids import split_path
 from provtrail.session import materialize
 
@@ -44,6 +47,9 @@ PARTIAL = ("AggregateExpression", "PivotFirst", "ScalarSubquery", "Exists", "Lis
 # Nodes whose column references the plan text does not carry.
 UNTRACEABLE = ("Expand", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow",
                "FlatMapCoGroupsInPandas", "ScriptTransformation", "MapPartitions", "MapElements")
+SCANS = ("LogicalRelation", "LogicalRDD", "LocalRelation", "DataSourceV2Relation", "Range",
+         "HiveTableRelation", "StreamingRelation", "StreamingRelationV2")
+LEAF = "S"  # first letter of the vertices of scanned columns
 SET_OPS = ("Union", "Intersect", "Except")
 SCOPES = ("Project", "Aggregate")
 
@@ -51,11 +57,6 @@ PTR = "struct<id: bigint, name: string, v: string>"
 REFS = "struct<refs: array<bigint>, breaks: boolean, subs: array<bigint>>"
 
 
-def _let(value: Column, body) -> Column:
-    """Bind ``value`` once and use it several times in a lambda body."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def short(col: Column) -> Column:
     return F.substring_index(col, ".", -1)
 
@@ -102,17 +103,17 @@ def _own_subs(elem: Column) -> Column:
 def expression_refs(elems: Column) -> Column:
     """References, DIRECT-breaking flag and scalar subqueries of one flat expression."""
     def merge(kids, elem):
-        return _let(_kept(kids, elem), lambda k: F.struct(
+        return let(_kept(kids, elem), lambda k: F.struct(
             F.concat(F.flatten(F.transform(k, lambda e: e["refs"])), _own_refs(elem)).alias("refs"),
             (F.exists(k, lambda e: e["breaks"]) | ~short(elem["class"]).isin(*TRANSPARENT)).alias("breaks"),
             F.concat(F.flatten(F.transform(k, lambda e: e["subs"])), _own_subs(elem)).alias("subs"),
         ))
 
-    exact = F.element_at(_fold(elems, REFS, merge), 1)
+    exact = let(F.element_at(_fold(elems, REFS, merge), 1), lambda r: r.withField("refs", F.array_distinct(r["refs"])))
     simple = F.struct(
-        F.transform(
+        F.array_distinct(F.transform(
             F.filter(elems, lambda e: short(e["class"]) == "AttributeReference"), lambda e: e["exprId"]["id"]
-        ).alias("refs"),
+        )).alias("refs"),
         F.exists(elems, lambda e: ~short(e["class"]).isin(*TRANSPARENT)).alias("breaks"),
         F.array().cast("array<bigint>").alias("subs"),
     )
@@ -151,7 +152,9 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
         cls == "UnionLoop",
         F.transform(n["outputAttrIds"], lambda a, p: F.struct(
             a["id"].alias("id"), F.lit(None).cast("string").alias("name"), _vertex(scope, i, p).alias("v"))),
-    ).otherwise(_ptrs(attrs, scope, i))
+    ).otherwise(_ptrs(
+        attrs, F.when(cls == "CTERelationRef", F.lit("cte")).when(cls.isin(*SCANS), F.concat(F.lit(LEAF), scope)).otherwise(scope),
+        F.when(cls == "CTERelationRef", n["cteId"]).otherwise(i)))
     exprs = F.when(cls == "Generate", F.transform(n["generatorOutput"], lambda _: n["generator"])).otherwise(
         F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"]))
     semi = n["joinType"].rlike("LeftSemi|LeftAnti|ExistenceJoin")
@@ -176,9 +179,7 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
         n["joinType"].alias("join_type"),
         F.when(n["num-children"] == 0, F.transform(n["output"], lambda a: F.struct(
             a[0]["name"].alias("name"), simple_type(a[0]["dataType"]).alias("type")))).alias("fields"),
-        F.when(cls.isin("LogicalRelation", "LogicalRDD", "LocalRelation", "DataSourceV2Relation", "Range",
-                        "HiveTableRelation", "StreamingRelation", "StreamingRelationV2"), True)
-        .otherwise(False).alias("is_scan"),
+        cls.isin(*SCANS).alias("is_scan"),
     )
 
 
@@ -187,6 +188,11 @@ NODE_FOLD = f"""struct<nid: int, size: int, out: array<{PTR}>,
     done: array<struct<nid: int, size: int, kids: array<int>, scope: array<array<{PTR}>>>>>"""
 
 
+def _plain(expr: Column) -> Column:
+    """An expression that only hands on one column."""
+    return (F.size(expr["refs"]) == 1) & ~expr["breaks"] & (F.size(expr["subs"]) == 0)
+
+
 def _bind(desc: Column) -> Column:
     """Visible columns of every node: one bottom-up pass over the described nodes."""
     empty = F.array().cast(f"array<{PTR}>")
@@ -196,7 +202,13 @@ def _bind(desc: Column) -> Column:
         first = F.coalesce(F.get(kids, F.lit(0))["out"], empty)
         mode = d["mode"]
         out = (
-            F.when(mode == "own", F.coalesce(d["own"], empty))
+            F.when(d["cls"].isin(*SCOPES), let(F.transform(first, lambda p: p["id"]), lambda known: F.transform(
+                F.arrays_zip(d["own"].alias("o"), d["exprs"].alias("e")),
+                lambda z: F.when(
+                    _plain(z["e"]) & F.array_contains(known, z["e"]["refs"][0]),
+                    z["o"].withField("v", F.get(first, (F.array_position(known, z["e"]["refs"][0]) - 1).cast("int"))["v"]),
+                ).otherwise(z["o"]))))
+            .when(mode == "own", F.coalesce(d["own"], empty))
             .when(mode == "append", F.concat(first, F.coalesce(d["own"], empty)))
             .when(mode == "concat", F.flatten(outs))
             .when(mode == "setop", F.transform(first, lambda o, p: F.struct(
@@ -231,12 +243,12 @@ def _parse(plans: DataFrame) -> DataFrame:
         .withColumn("bound", F.when(F.size("desc") > 0, _bind(F.col("desc"))))
     )
     leaves = F.transform(F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"])
-    edges = F.transform("bound.done", lambda b: _let(
+    edges = F.transform("bound.done", lambda b: let(
         F.get("desc", b["nid"]), lambda d: _edges_of(b["nid"], b["scope"], d, scope)))
     roots = F.transform("bound.out", lambda p, i: _edge(_vertex(scope, F.lit("R"), i), p["v"]))
     return bound.withColumn("leaves", leaves).select(
         "plan_id", "scope",
-        F.transform("bound.done", lambda b: _let(F.get("desc", b["nid"]), lambda d: F.struct(
+        F.transform("bound.done", lambda b: let(F.get("desc", b["nid"]), lambda d: F.struct(
             b["nid"].alias("nid"), b["size"].alias("size"), b["kids"].alias("kids"), d["cls"].alias("cls"),
             d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))).alias("nodes"),
         F.transform(F.filter("desc", lambda d: d["is_scan"]), lambda d: F.struct(
@@ -244,8 +256,8 @@ def _parse(plans: DataFrame) -> DataFrame:
             d["fields"].alias("fields"), F.coalesce(_stand_in(d["nid"], "table_name"), _stand_in(d["nid"], "view_name")).alias("known_as"),
             F.get(F.filter("files", lambda f: f["leaf"] == F.array_position("leaves", d["nid"]) - 1),
                   F.lit(0))["paths"].alias("paths"))).alias("scans"),
-        F.concat(F.flatten(edges), roots).alias("edges"),
-        F.transform("bound.out", lambda p: p["name"]).alias("outputs"),
+        F.concat(F.flatten(edges), F.when(scope != "0", roots).otherwise(F.array().cast(EDGES))).alias("edges"),
+        F.transform("bound.out", lambda p: F.struct(p["name"].alias("name"), p["v"].alias("v"))).alias("outputs"),
         (~F.exists("desc", lambda d: d["cls"].isin(*UNTRACEABLE))).alias("traceable"),
     )
 
@@ -271,7 +283,7 @@ def _edge(src: Column, dst: Column, breaks: Column | None = None) -> Column:
 
 def _lookup(visible: Column, ids: Column) -> Column:
     """Vertices of the visible columns with the given ids; unknown ids drop out."""
-    return _let(F.transform(visible, lambda p: p["id"]), lambda known: F.transform(
+    return let(F.transform(visible, lambda p: p["id"]), lambda known: F.transform(
         F.filter(ids, lambda r: F.array_contains(known, r)),
         lambda r: F.get(visible, (F.array_position(known, r) - 1).cast("int"))["v"]))
 
@@ -283,7 +295,8 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
             F.arrays_zip(d["own"].alias("o"), d["exprs"].alias("e")),
             lambda z: F.transform(
                 F.concat(
-                    F.array_distinct(_lookup(visible, z["e"]["refs"])),
+                    F.when(_plain(z["e"]) & d["cls"].isin(*SCOPES), F.array().cast("array<string>")).otherwise(
+                        _lookup(visible, z["e"]["refs"])),
                     F.transform(z["e"]["subs"], lambda s: F.concat_ws(
                         ":", F.concat_ws("/", scope, s.cast("string")), F.lit("R"), F.lit("0")))),
                 lambda dst: _edge(z["o"]["v"], dst, z["e"]["breaks"]))))
@@ -293,12 +306,10 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
     by_position = F.flatten(F.transform(branches, lambda cols: F.transform(
         cols, lambda p, i: _edge(_vertex(scope, nid, i), p["v"]))))
     return (
-        F.when(d["cls"].isin(*SCOPES, "Window", "Generate"), _let(F.flatten(kid_cols), from_exprs))
+        F.when(d["cls"].isin(*SCOPES, "Window", "Generate"), let(F.flatten(kid_cols), from_exprs))
         .when(d["cls"].isin(*SET_OPS, "UnionLoop"), by_position)
         .when(d["cls"] == "CTERelationDef", F.transform(
             F.get(kid_cols, F.lit(0)), lambda p, i: _edge(_vertex(F.lit("cte"), d["cte"], i), p["v"])))
-        .when(d["cls"] == "CTERelationRef", F.transform(
-            d["own"], lambda p, i: _edge(p["v"], _vertex(F.lit("cte"), d["cte"], i))))
         .otherwise(F.array().cast(EDGES))
     )
 
@@ -373,15 +384,16 @@ def scan_leaves(parsed: DataFrame, default_namespace: str) -> DataFrame:
 
 
 def column_edges(parsed: DataFrame) -> DataFrame:
-    """Edges between column vertices: plan_id, src, dst, breaks."""
-    return parsed.select("plan_id", F.explode("edges").alias("e")).select("plan_id", "e.*")
+    """Edges between column vertices: plan_id, src, dst, breaks, terminal (dst is scanned)."""
+    return parsed.select("plan_id", F.explode("edges").alias("e")).select(
+        "plan_id", "e.*", F.col("e.dst").startswith(LEAF).alias("terminal"))
 
 
 def root_columns(parsed: DataFrame) -> DataFrame:
     """Output columns of every top-level plan: plan_id, ordinal, out_col, v."""
     return parsed.filter(F.col("scope") == "0").select(
-        "plan_id", F.posexplode("outputs").alias("ordinal", "out_col")).select(
-        "plan_id", "ordinal", "out_col", _vertex(F.lit("0"), F.lit("R"), F.col("ordinal")).alias("v"))
+        "plan_id", F.posexplode("outputs").alias("ordinal", "o")).select(
+        "plan_id", "ordinal", F.col("o.name").alias("out_col"), F.col("o.v").alias("v"))
 
 
 def leaf_sources(scans: DataFrame) -> DataFrame:

@@ -49,19 +49,15 @@ def resolve_plans(
     same name the last one stays.
     """
     parsed = parsed or parse_log(plans, default_namespace)
-    inner = parse.column_edges(parsed.levels)
-    sources = parse.leaf_sources(parsed.scans)
-    # A leaf vertex ends at itself; every other edge goes on.
-    edges = inner.select("plan_id", "src", "dst", "breaks", F.lit(False).alias("terminal")).unionByName(
-        sources.select("plan_id", F.col("v").alias("src"), F.col("v").alias("dst"),
-                       F.lit(False).alias("breaks"), F.lit(True).alias("terminal")))
-    reach = close_edges(edges, ["plan_id"])
     untraceable = parsed.levels.filter("not traceable").select("plan_id").distinct()
     roots = parse.root_columns(parsed.levels).join(untraceable, "plan_id", "left_anti")
+    reach = close_edges(parse.column_edges(parsed.levels), ["plan_id"])
+    # An output that only hands a scanned column on ends there; the others follow their paths.
+    direct = roots.filter(F.col("v").startswith(parse.LEAF)).withColumn("breaks", F.lit(False))
+    traced = roots.join(reach.withColumnRenamed("src", "v"), ["plan_id", "v"]).drop("v").withColumnRenamed("dst", "v")
     by_output = (
-        reach.filter(F.col("src").startswith("0:R:"))
-        .join(roots.withColumnRenamed("v", "src"), ["plan_id", "src"])
-        .join(sources.withColumnRenamed("v", "dst"), ["plan_id", "dst"])
+        direct.unionByName(traced)
+        .join(parse.leaf_sources(parsed.scans), ["plan_id", "v"])
         .groupBy("plan_id", "ordinal", "out_col")
         .agg(F.array_sort(F.collect_set("source")).alias("input_fields"), F.max("breaks").alias("breaks"))
     )
