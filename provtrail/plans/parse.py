@@ -68,9 +68,8 @@ def _fold(items: Column, entry_type: str, merge) -> Column:
     """
     def step(stack, item):
         n = item["num-children"]
-        entry = merge(F.slice(stack, 1, n), item)
-        rest = F.slice(stack, n + 1, F.size(stack))
-        return F.concat(F.array(entry), rest)
+        entry = let(F.slice(stack, 1, n), lambda kids: merge(kids, item))
+        return F.concat(F.array(entry), F.slice(stack, n + 1, F.size(stack)))
 
     return F.aggregate(F.reverse(items), F.array().cast(f"array<{entry_type}>"), step)
 
@@ -199,14 +198,18 @@ def _bind(desc: Column) -> Column:
 
     def merge(kids, d):
         outs = F.transform(kids, lambda k: k["out"])
-        first = F.coalesce(F.get(kids, F.lit(0))["out"], empty)
+        return let(F.coalesce(F.get(kids, F.lit(0))["out"], empty), lambda first: bound(kids, first, outs, d))
+
+    def bound(kids, first, outs, d):
         mode = d["mode"]
         out = (
             F.when(d["cls"].isin(*SCOPES), let(F.transform(first, lambda p: p["id"]), lambda known: F.transform(
                 F.arrays_zip(d["own"].alias("o"), d["exprs"].alias("e")),
                 lambda z: F.when(
                     _plain(z["e"]) & F.array_contains(known, z["e"]["refs"][0]),
-                    z["o"].withField("v", F.get(first, (F.array_position(known, z["e"]["refs"][0]) - 1).cast("int"))["v"]),
+                    F.struct(
+                        z["o"]["id"].alias("id"), z["o"]["name"].alias("name"),
+                        F.get(first, (F.array_position(known, z["e"]["refs"][0]) - 1).cast("int"))["v"].alias("v")),
                 ).otherwise(z["o"]))))
             .when(mode == "own", F.coalesce(d["own"], empty))
             .when(mode == "append", F.concat(first, F.coalesce(d["own"], empty)))
