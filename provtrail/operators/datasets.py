@@ -32,13 +32,13 @@ def exclude_by_table(df: DataFrame, prefixes: DataFrame, name: str = "name") ->
     an equi-join whose right side is the prefix table.
     """
     clean = prefixes.select(F.trim("prefix").alias("prefix")).filter("prefix <> ''").distinct()
-    lengths = clean.select(F.length("prefix").alias("len")).distinct()
-    # Distinct lengths are at most the longest name's length: a bounded set.
-    lens = lengths.agg(F.collect_set("len").alias("lens"))
+    # Distinct lengths are at most as many as the longest prefix has letters: safe to collect.
+    lengths = sorted(r.n for r in clean.select(F.length("prefix").alias("n")).distinct().collect())
+    if not lengths:
+        return df
+    cuts = F.array(*[F.substring(F.col(name), 1, n) for n in lengths])
     hits = (
-        df.select(name).distinct().join(F.broadcast(lens), how="cross")
-        .select(name, F.explode("lens").alias("len"))
-        .select(name, F.expr(f"substring({name}, 1, len)").alias("prefix"))
+        df.select(name).distinct().select(name, F.explode(F.array_distinct(cuts)).alias("prefix"))
         .join(small_side(clean), "prefix").select(name).distinct()
     )
     return df.join(hits, name, "left_anti")

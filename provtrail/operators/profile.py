@@ -42,27 +42,40 @@ def operator_of(cls: Column, join_type: Column, has_condition: Column | None = N
     return F.when(cls == "Join", join).otherwise(F.coalesce(lookup(CATALYST_OPERATORS, cls), cls))
 
 
-def profile_plans(nodes: DataFrame) -> DataFrame:
+def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
     """One row per query: root, child_types, operators, counts of joins, first tables.
 
-    ``nodes``: query_id, node_id (pre-order, root 0), parent_id, operator, table_name. One
-    aggregation with map-side combine: the aggregates are of bounded size, but for the table
-    list, which holds the tables of one plan.
+    ``nodes``: query_id, node_id (pre-order, root first), parent_id (0 below the root),
+    operator, table_name. Each query is first reduced in ``salts`` parts, so a query with
+    very many nodes is spread over tasks; what is merged per query is then of bounded size
+    (the sets are of operator kinds, each part keeps at most three tables).
     """
-    op, node = F.col("operator"), F.col("node_id")
-    tables = F.collect_list(F.when(F.col("table_name").isNotNull(), F.struct("node_id", "table_name")))
+    op = F.col("operator")
+
+    def first_tables(lists):
+        return F.slice(F.array_sort(lists), 1, MAX_TABLES)
+
+    part = (
+        nodes.groupBy("query_id", F.pmod(F.xxhash64("node_id"), F.lit(salts)).alias("_salt"))
+        .agg(
+            F.min(F.struct("node_id", "operator")).alias("_root"),
+            F.collect_set(F.when(F.col("parent_id") == 0, op)).alias("_children"),
+            F.collect_set(op).alias("_operators"),
+            F.count_if(op.isin("JOIN", "COMPARISON_JOIN")).alias("_joins"),
+            F.count("node_id").alias("_nodes"),
+            first_tables(F.collect_list(
+                F.when(F.col("table_name").isNotNull(), F.struct("node_id", "table_name")))).alias("_tables"),
+        )
+    )
     return (
-        nodes.groupBy("query_id")
+        part.groupBy("query_id")
         .agg(
-            F.min_by("operator", "node_id").alias("root"),
-            F.collect_set(F.when(F.col("parent_id") == 0, op)).alias("child_types"),
-            F.array_sort(F.collect_set(op)).alias("operators"),
-            F.count_if(op.isin("JOIN", "COMPARISON_JOIN")).alias("join_count"),
-            F.count(node).alias("node_count"),
-            F.slice(F.array_sort(tables), 1, MAX_TABLES).alias("_t"),
+            F.min("_root")["operator"].alias("root"),
+            F.array_distinct(F.flatten(F.collect_list("_children"))).alias("child_types"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_operators")))).alias("operators"),
+            F.sum("_joins").alias("join_count"), F.sum("_nodes").alias("node_count"),
+            F.transform(first_tables(F.flatten(F.collect_list("_tables"))), lambda t: t["table_name"]).alias("tables"),
         )
-        .withColumn("tables", F.transform("_t", lambda t: t["table_name"]))
-        .drop("_t")
     )
 
 
