@@ -212,6 +212,9 @@ SQL: dict[str, str] = {
     "r20_latest_dataset_state": f"""SELECT name, op_id, {OP_STATE} AS state FROM (SELECT *, row_number() OVER (
         PARTITION BY name ORDER BY event_time DESC, op_id DESC) AS k FROM ({OP_NAMES}) n WHERE operation <> 'FROBNICATE') x
         WHERE k = 1""",
+    "r20_latest_schema": """SELECT 'd' || o_custkey AS name, 'c' || (o_orderkey % 7) AS first_field FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) o
+        WHERE k = 1""",
     "r21_required_facets": f"""SELECT 'START' AS "eventType", count(*) AS with_producer, count(*) AS with_engine,
         count(query) AS with_sql FROM ({STARTS}) s""",
     "s04_s06_traced_writes": """SELECT 'COPY' AS sink_op, 'COMPLETE' AS event_type, count(*) AS row_count FROM orders

@@ -39,15 +39,13 @@ def job_name(statement: Column | str, tables: Column | str, hash8: Column | str,
     """
     statement, tables, hash8 = (F.col(c) if isinstance(c, str) else c for c in (statement, tables, hash8))
     room = max_length - HASH_LENGTH - 1
+    parts = F.filter(F.transform(tables, sanitized), lambda p: p != "")
     start = F.struct(statement.alias("name"), F.lit(False).alias("full"))
 
-    def add(acc, table):
-        longer = F.concat(acc["name"], F.lit("_"), sanitized(table))
-        fits = F.length(longer) <= room
-        skip = acc["full"] | (sanitized(table) == "")
+    def add(acc, part):
+        full = acc["full"] | (F.length(acc["name"]) + 1 + F.length(part) > room)
         return F.struct(
-            F.when(~skip & fits, longer).otherwise(acc["name"]).alias("name"),
-            (acc["full"] | (~skip & ~fits)).alias("full"))
+            F.when(full, acc["name"]).otherwise(F.concat_ws("_", acc["name"], part)).alias("name"), full.alias("full"))
 
-    prefix = F.aggregate(F.coalesce(tables, F.array().cast("array<string>")), start, add, lambda a: a["name"])
+    prefix = F.aggregate(F.coalesce(parts, F.array().cast("array<string>")), start, add, lambda a: a["name"])
     return F.concat_ws("_", prefix, hash8)

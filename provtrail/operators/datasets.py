@@ -73,7 +73,7 @@ def merge_columns(edges: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> Da
     per_output = edges.groupBy(*keys, "out_col", "ordinal", "namespace", "name", "field").agg(
         F.max("breaks").alias("breaks"))
     merged = per_output.groupBy(*keys, "out_col", "ordinal").agg(
-        F.array_sort(F.collect_set(F.struct("namespace", "name", "field"))).alias("input_fields"),
+        F.sort_array(F.collect_set(F.struct("namespace", "name", "field"))).alias("input_fields"),
         F.max("breaks").alias("breaks"))
     last = merged.groupBy(*keys, "out_col").agg(
         F.max(F.struct("ordinal", "input_fields", "breaks")).alias("r"))

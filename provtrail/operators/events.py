@@ -255,7 +255,7 @@ def start_events(
 
     ``runs``: query_id, run_id, event_time, query. ``jobs``: query_id, job_name. ``inputs``
     and ``outputs``: query_id, position, namespace, name, optionally facets. ``columns``:
-    query_id, out_col, input_fields, transformation_type. Dataset lists are built per query,
+    query_id, out_col, input_fields, transformation_type, or these as an array ``cols``. Dataset lists are built per query,
     bounded by its plan. Queries without a dataset give no event.
     """
     def listed(df, out):
@@ -275,8 +275,10 @@ def start_events(
         listed(dedup_inputs(inputs), "inputs"), "query_id", "left").join(
         listed(outputs, "outputs"), "query_id", "left")
     if columns is not None:
-        per_query = columns.groupBy("query_id").agg(F.collect_list(F.struct(
-            "out_col", "input_fields", "transformation_type")).alias("_cols"))
+        if "cols" not in columns.columns:
+            columns = columns.groupBy("query_id").agg(F.collect_list(F.struct(
+                "out_col", "input_fields", "transformation_type")).alias("cols"))
+        per_query = columns.select("query_id", F.col("cols").alias("_cols"))
         base = base.join(per_query, "query_id", "left")
     base = base.withColumns({
         "event_type": F.lit("START"), "job_namespace": F.lit(job_namespace),
@@ -375,3 +377,10 @@ def latest_state(events: DataFrame) -> DataFrame:
     """Latest state of every job: job_name, event_time, event_type, run_id."""
     return latest_by(events, ["job_name"], ["event_time", "run_id", "event_type"],
                      ["event_time", "run_id", "event_type"])
+
+
+def latest_schema(events: DataFrame) -> DataFrame:
+    """Latest known columns of every output dataset: namespace, name, fields."""
+    seen = events.select("eventTime", F.col("run.runId").alias("run_id"), F.explode("outputs").alias("o")).select(
+        "eventTime", "run_id", "o.namespace", "o.name", F.col("o.facets.schema.fields").alias("fields"))
+    return latest_by(seen.filter("fields is not null"), ["namespace", "name"], ["eventTime", "run_id"], ["fields"])

@@ -53,7 +53,7 @@ def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
     op = F.col("operator")
 
     def first_tables(lists):
-        return F.slice(F.array_sort(lists), 1, MAX_TABLES)
+        return F.slice(F.sort_array(lists), 1, MAX_TABLES)
 
     part = (
         nodes.groupBy("query_id", F.pmod(F.xxhash64("node_id"), F.lit(salts)).alias("_salt"))
@@ -72,7 +72,7 @@ def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
         .agg(
             F.min("_root")["operator"].alias("root"),
             F.array_distinct(F.flatten(F.collect_list("_children"))).alias("child_types"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_operators")))).alias("operators"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("_operators")))).alias("operators"),
             F.sum("_joins").alias("join_count"), F.sum("_nodes").alias("node_count"),
             F.transform(first_tables(F.flatten(F.collect_list("_tables"))), lambda t: t["table_name"]).alias("tables"),
         )

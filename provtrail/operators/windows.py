@@ -52,7 +52,7 @@ def with_halo(df: DataFrame, keys: list[str], bucket: str, order: list[str], row
     tails = (
         df.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= rows)
         .groupBy(*keys, bucket)
-        .agg(F.array_sort(F.collect_list(F.struct(
+        .agg(F.sort_array(F.collect_list(F.struct(
             *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *payload))).alias("_t"))
     )
     earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(-rows, -1)

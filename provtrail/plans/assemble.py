@@ -5,54 +5,56 @@ from __future__ import annotations
 from pyspark import __version__ as spark_version
 from pyspark.sql import Column, DataFrame, functions as F
 
+from provtrail.functions.ids import classify_catalogs
 from provtrail.operators import events, profile
 from provtrail.operators.datasets import exclude_datasets
 from provtrail.plans import resolve
 from provtrail.schema import DEFAULT_NAMESPACE
+from provtrail.sources.tables import small_side
 
 
 def log_events(
     plan_log: DataFrame, runs: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, exclude: str = "",
     keep_excluded_sources: bool = False, parent: tuple[Column, Column, Column] | None = None,
+    catalogs: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(START events, end events) of the runs of a plan log.
 
     Plans are resolved once per distinct plan and joined back to their queries. Excluded
     name prefixes apply to inputs, outputs and, unless kept, column sources. ``parent``:
-    run id, job namespace and job name of the run that started these.
+    run id, job namespace and job name of the run that started these. ``catalogs`` (see
+    ``functions.ids.classify_catalogs``) adds namespaces, catalog and source facets.
     """
     keyed = plan_log.select("query_id", resolve.plan_key().alias("plan_id"))
     plans = resolve.distinct_plans(plan_log)
-    parsed = resolve.parse_log(plans, default_namespace)
+    parsed = resolve.parse_log(plans, default_namespace, catalogs)
 
     scans = resolve.plan_inputs(parsed, default_namespace).withColumn("position", F.lit(0))
     schemas = resolve.scan_datasets(parsed).select("plan_id", "namespace", "name", "fields").groupBy(
         "plan_id", "namespace", "name").agg(F.first("fields").alias("fields"))
+    described, catalog_facets = _with_catalogs(scans.join(schemas, ["plan_id", "namespace", "name"], "left"), catalogs)
     facets = events.dataset_facets(
-        schema=events.schema_facet(F.col("fields")), datasetType=events.type_facet(F.col("dataset_type")))
-    inputs = keyed.join(scans.join(schemas, ["plan_id", "namespace", "name"], "left"), "plan_id").select(
+        schema=events.schema_facet(F.col("fields")), datasetType=events.type_facet(F.col("dataset_type")), **catalog_facets)
+    inputs = keyed.join(described, "plan_id").select(
         "query_id", "position", "namespace", "name", facets.alias("facets"))
-    # Each scanned file is an input of its own; the first is in the plan's scans already.
-    files = resolve.file_scan_datasets(plan_log).join(
-        inputs.select("query_id", "namespace", "name"), ["query_id", "namespace", "name"], "left_anti")
-    named = inputs.filter("namespace <> 'file'").select("query_id").distinct()
-    files = files.join(named, "query_id", "left_anti").withColumns(
-        {"position": F.lit(1), "facets": events.dataset_facets().cast(inputs.schema["facets"].dataType)})
-    inputs = exclude_datasets(inputs.unionByName(files), exclude)
+    inputs = exclude_datasets(inputs, exclude)
 
     sinks = exclude_datasets(resolve.sink_datasets(plan_log, default_namespace), exclude)
+    if catalogs is not None:
+        sinks = resolve.in_catalogs(sinks, catalogs, default_namespace)
+    sinks, catalog_facets = _with_catalogs(sinks, catalogs)
     state = events.lifecycle_state(F.col("operation"))
     none = F.lit(None).cast("string")
     outputs = sinks.select("query_id", F.lit(0).alias("position"), "namespace", "name", events.dataset_facets(
         datasetType=events.type_facet(F.col("dataset_type")),
-        lifecycleStateChange=events.lifecycle_facet(state, none, none)).alias("facets"))
+        lifecycleStateChange=events.lifecycle_facet(state, none, none), **catalog_facets).alias("facets"))
 
     # Column lineage only where there is an output to attach it to.
     columns = resolve.resolve_plans(plans, default_namespace, parsed)
     if exclude and not keep_excluded_sources:
         columns = resolve.exclude_sources(columns, exclude)
     per_query = keyed.join(sinks.select("query_id"), "query_id", "left_semi").join(
-        resolve.columns_per_plan(columns), "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
+        resolve.columns_per_plan(columns), "plan_id").select("query_id", "cols")
 
     shapes = profile.statement_type(profile.profile_plans(profile.plan_log_nodes(parsed.nodes, parsed.scans)))
     jobs = _job_names(plan_log, keyed, shapes)
@@ -65,6 +67,18 @@ def log_events(
     return start, events.terminal_events(start, ends)
 
 
+def _with_catalogs(datasets: DataFrame, catalogs: DataFrame | None) -> tuple[DataFrame, dict[str, Column]]:
+    """Datasets with their catalog's record, and the facets it gives."""
+    if catalogs is None:
+        return datasets, {}
+    records = classify_catalogs(catalogs).select(
+        F.col("name").alias("_catalog"), F.col("data_path").alias("_path"),
+        F.struct("framework", "type", "name", "metadata_uri", "warehouse_uri", "source").alias("_record"))
+    joined = datasets.withColumn("_catalog", F.substring_index("name", ".", 1)).join(
+        small_side(records), "_catalog", "left")
+    return joined, {"catalog": events.catalog_facet(F.col("_record")), "dataSource": events.source_facet(F.col("_path"))}
+
+
 def _job_names(plan_log: DataFrame, keyed: DataFrame, shapes: DataFrame) -> DataFrame:
     """Job names; a query with a sink is named after what it does to the sink."""
     operation = F.col("sink_op")

@@ -27,7 +27,7 @@ PLAN_SCHEMA = f"""array<struct<
     output: {ATTRS}, generatorOutput: {ATTRS},
     generator: array<{ELEM}>, condition: array<{ELEM}>,
     joinType: string, isTempView: boolean,
-    identifier: struct<name: string, qualifier: array<string>>,
+    identifier: struct<name: string, qualifier: string>,
     desc: struct<identifier: struct<table: string, database: string, catalog: string>>,
     id: bigint, cteId: bigint, outputAttrIds: array<struct<id: bigint>>>>"""
 
@@ -173,8 +173,10 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
         F.when((cls == "View") & n["desc"].isNotNull(), F.concat_ws(
             ".", n["desc"]["identifier"]["catalog"], n["desc"]["identifier"]["database"],
             n["desc"]["identifier"]["table"])).alias("view_name"),
-        F.when((cls == "SubqueryAlias") & (F.size(n["identifier"]["qualifier"]) > 0), F.concat_ws(
-            ".", n["identifier"]["qualifier"], n["identifier"]["name"])).alias("table_name"),
+        # A table of a catalog: the alias above its scan has a qualifier, "[catalog, schema]".
+        F.when((cls == "SubqueryAlias") & (n["identifier"]["qualifier"] != "[]"), F.concat_ws(
+            ".", F.split(F.regexp_replace(n["identifier"]["qualifier"], r"[\[\]\s\"]", ""), ","),
+            n["identifier"]["name"])).alias("table_name"),
         n["joinType"].alias("join_type"),
         F.when(n["num-children"] == 0, F.transform(n["output"], lambda a: F.struct(
             a[0]["name"].alias("name"), simple_type(a[0]["dataType"]).alias("type")))).alias("fields"),
@@ -232,25 +234,34 @@ def _bind(desc: Column) -> Column:
     return F.element_at(_fold(desc, NODE_FOLD, merge), 1)
 
 
-def _parse(plans: DataFrame) -> DataFrame:
-    """Parse (sub)plans: plan_id, scope, plan_json, files.
+def _parse(plans: DataFrame, steps: tuple | None = None) -> DataFrame:
+    """Parse (sub)plans: plan_id, scope, plan_json, files. Narrow: no shuffle.
 
-    What comes back per plan is compact: its nodes, scans, column edges and output columns.
+    What comes back per plan is compact: its nodes, scans, column edges and output columns,
+    and the text of the plans embedded in its expressions.
     """
+    columns, results = steps or _parse_steps()
+    for name, column in columns:
+        plans = plans.withColumn(name, column)
+    return plans.select("plan_id", "scope", *results)
+
+
+def _parse_steps() -> tuple[list[tuple[str, Column]], list[Column]]:
+    """Expressions of ``_parse``: intermediate columns in order, then the results."""
     scope = F.col("scope")
-    bound = (
-        plans.withColumn("raw", F.from_json("plan_json", PLAN_SCHEMA))
-        .withColumn("desc", F.transform("raw", lambda n, i: _describe(n, i, scope).withField(
-            "prefix", F.concat_ws(":", scope, i.cast("string"), F.lit("")))))
-        .drop("raw", "plan_json")
-        .withColumn("bound", F.when(F.size("desc") > 0, _bind(F.col("desc"))))
-    )
-    leaves = F.transform(F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"])
+    columns = [
+        ("raw", F.from_json("plan_json", PLAN_SCHEMA)),
+        ("desc", F.transform("raw", lambda n, i: _describe(n, i, scope).withField(
+            "prefix", F.concat_ws(":", scope, i.cast("string"), F.lit(""))))),
+        ("subplans", F.flatten(F.transform("raw", _subplans_of))),
+        ("bound", F.when(F.size("desc") > 0, _bind(F.col("desc")))),
+        ("leaves", F.transform(F.filter("desc", lambda d: d["num-children"] == 0), lambda d: d["nid"])),
+    ]
     edges = F.transform("bound.done", lambda b: let(
         F.get("desc", b["nid"]), lambda d: _edges_of(b["nid"], b["scope"], d, scope)))
     roots = F.transform("bound.out", lambda p, i: _edge(_vertex(scope, F.lit("R"), i), p["v"]))
-    return bound.withColumn("leaves", leaves).select(
-        "plan_id", "scope",
+    results = [
+        F.col("subplans"),
         F.transform("bound.done", lambda b: let(F.get("desc", b["nid"]), lambda d: F.struct(
             b["nid"].alias("nid"), b["size"].alias("size"), b["kids"].alias("kids"), d["cls"].alias("cls"),
             d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))).alias("nodes"),
@@ -262,7 +273,17 @@ def _parse(plans: DataFrame) -> DataFrame:
         F.concat(F.flatten(edges), F.when(scope != "0", roots).otherwise(F.array().cast(EDGES))).alias("edges"),
         F.transform("bound.out", lambda p: F.struct(p["name"].alias("name"), p["v"].alias("v"))).alias("outputs"),
         (~F.exists("desc", lambda d: d["cls"].isin(*UNTRACEABLE))).alias("traceable"),
-    )
+    ]
+    return columns, results
+
+
+def _subplans_of(n: Column) -> Column:
+    """Plans embedded in the expressions of a node."""
+    lists = F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"], F.array().cast(ATTRS))
+    elems = F.concat(F.flatten(lists), F.coalesce(n["condition"], F.array().cast(f"array<{ELEM}>")))
+    return F.transform(
+        F.filter(elems, lambda e: e["plan"].isNotNull()),
+        lambda e: F.struct(e["exprId"]["id"].alias("id"), e["plan"].alias("plan_json")))
 
 
 def _stand_in(nid: Column, field: str) -> Column:
@@ -317,50 +338,33 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
     )
 
 
-# Only what it takes to find plans inside expressions.
-INNER = "struct<exprId: struct<id: bigint>, plan: string>"
-INNER_SCHEMA = f"""array<struct<projectList: array<array<{INNER}>>, aggregateExpressions: array<array<{INNER}>>,
-    windowExpressions: array<array<{INNER}>>, condition: array<{INNER}>>>"""
 FILES = "array<struct<leaf: int, paths: array<string>>>"
 
 
-def _inner_plans(level: DataFrame) -> DataFrame:
-    """Plans embedded in the expressions of the plans of one nesting level."""
-    none = F.array().cast(f"array<{INNER}>")
-
-    def elems(n):
-        lists = F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"],
-                           F.array().cast(f"array<array<{INNER}>>"))
-        return F.concat(F.flatten(lists), F.coalesce(n["condition"], none))
-
-    nodes = F.from_json("plan_json", INNER_SCHEMA)
-    return (
-        level.filter(F.col("plan_json").rlike('"plan" *: *\\['))
-        .select("plan_id", "scope", F.explode(F.flatten(F.transform(nodes, elems))).alias("e"))
-        .filter("e.plan is not null")
-        .select("plan_id", F.concat_ws("/", "scope", F.col("e.exprId.id").cast("string")).alias("scope"),
-                F.col("e.plan").alias("plan_json"), F.lit(None).cast(FILES).alias("files"))
-    )
-
-
 def parse_plans(plans: DataFrame) -> DataFrame:
     """Parse plans and the plans embedded in their expressions.
 
     ``plans``: plan_id, plan_json, optionally files. One row per (sub)plan comes back:
-    plan_id, scope, nodes, scans, edges, outputs. Embedded plans are pulled out level by
-    level first, then all are parsed together. The result is a written table, so later jobs
-    read only the columns they need.
+    plan_id, scope, nodes, scans, edges, outputs. The plan texts are read once: embedded
+    plans come out with their parent's row and are parsed as the next level. Each level is a
+    written table, so later jobs read only the columns they need.
     """
     if "files" not in plans.columns:
         plans = plans.withColumn("files", F.lit(None).cast(FILES))
-    everything = level = plans.select("plan_id", F.lit("0").alias("scope"), "plan_json", "files")
+    steps = _parse_steps()
+    level = plans.select("plan_id", F.lit("0").alias("scope"), "plan_json", "files")
+    parsed = None
     while True:
-        level = materialize(_inner_plans(level), "subplans")
-        if level.isEmpty():
-            break
-        everything = everything.unionByName(level)
-    # Filtering before the write would make Spark parse every plan twice.
-    return materialize(_parse(everything), "parsed").filter("outputs is not null")
+        written = materialize(_parse(level, steps), "parsed")
+        # Filtering before the write would make Spark parse every plan twice.
+        good = written.filter("outputs is not null").drop("subplans")
+        parsed = good if parsed is None else parsed.unionByName(good)
+        inner = written.select("plan_id", "scope", F.explode("subplans").alias("s"))
+        if inner.isEmpty():
+            return parsed
+        level = inner.select(
+            "plan_id", F.concat_ws("/", "scope", F.col("s.id").cast("string")).alias("scope"),
+            F.col("s.plan_json").alias("plan_json"), F.lit(None).cast(FILES).alias("files"))
 
 
 def plan_nodes(parsed: DataFrame) -> DataFrame:

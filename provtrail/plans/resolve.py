@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.functions.ids import parse_prefixes
+from provtrail.functions.ids import namespace_of, parse_prefixes
 from provtrail.operators.closure import close_edges
 from provtrail.plans import parse
 from provtrail.schema import DEFAULT_NAMESPACE
+from provtrail.sources.tables import small_side
 
 
 @dataclass
@@ -33,10 +34,36 @@ def distinct_plans(plan_log: DataFrame) -> DataFrame:
         F.first("plan_json").alias("plan_json"), F.first("files").alias("files"))
 
 
-def parse_log(plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> Parsed:
+def parse_log(
+    plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, catalogs: DataFrame | None = None
+) -> Parsed:
+    """Parse plans once for all the functions below.
+
+    ``catalogs`` (name, data_path): scans of tables of a catalog with a data path get that
+    path as their namespace, here and so in inputs and column sources alike.
+    """
     levels = parse.parse_plans(plans)
     nodes = parse.plan_nodes(levels)
-    return Parsed(levels, nodes, parse.scan_leaves(levels, default_namespace))
+    scans = parse.scan_leaves(levels, default_namespace)
+    if catalogs is not None:
+        scans = scans.withColumns({"namespace": F.col("dataset.namespace"), "name": F.col("dataset.name")})
+        scans = in_catalogs(scans, catalogs, default_namespace).withColumn(
+            "dataset", F.struct("namespace", "name")).drop("namespace", "name")
+    return Parsed(levels, nodes, scans)
+
+
+def in_catalogs(datasets: DataFrame, catalogs: DataFrame, default_namespace: str) -> DataFrame:
+    """Namespaces of datasets from their catalogs' data paths.
+
+    ``datasets`` has namespace and name; the catalog is the first part of the name. Files
+    keep their own namespace.
+    """
+    paths = catalogs.select(F.col("name").alias("_catalog"), F.col("data_path").alias("_path"))
+    joined = datasets.withColumn("_catalog", F.substring_index("name", ".", 1)).join(
+        small_side(paths), "_catalog", "left")
+    return joined.withColumn("namespace", F.when(
+        F.col("namespace") == default_namespace, namespace_of("_path", default_namespace)).otherwise(
+        F.col("namespace"))).drop("_catalog", "_path")
 
 
 def resolve_plans(
@@ -59,7 +86,7 @@ def resolve_plans(
         direct.unionByName(traced)
         .join(parse.leaf_sources(parsed.scans), ["plan_id", "v"])
         .groupBy("plan_id", "ordinal", "out_col")
-        .agg(F.array_sort(F.collect_set("source")).alias("input_fields"), F.max("breaks").alias("breaks"))
+        .agg(F.sort_array(F.collect_set("source")).alias("input_fields"), F.max("breaks").alias("breaks"))
     )
     last = by_output.groupBy("plan_id", "out_col").agg(
         F.max(F.struct("ordinal", "input_fields", "breaks")).alias("r"))
@@ -166,11 +193,15 @@ def view_dependencies(parsed: Parsed) -> DataFrame:
 def plan_inputs(parsed: Parsed, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
     """Inputs per plan with each view in place of the scans beneath it.
 
-    A table read both directly and through a view stays: only scans beneath a view go.
+    A table read both directly and through a view stays: only scans beneath a view go. Each
+    file of a scan without a name is an input of its own.
     """
     deps = view_dependencies(parsed)
-    scans = scan_datasets(parsed).select("plan_id", "scope", "position", "namespace", "name")
-    direct = scans.join(deps, ["plan_id", "scope", "position"], "left_anti")
+    unnamed = F.col("known_as").isNull() & (F.size("paths") > 0)
+    scans = parsed.scans.select("plan_id", "scope", F.col("nid").alias("position"), F.when(
+        unnamed, F.transform("paths", parse.split_path)).otherwise(F.array("dataset")).alias("datasets"))
+    direct = scans.join(deps, ["plan_id", "scope", "position"], "left_anti").select(
+        "plan_id", F.explode("datasets").alias("d")).select("plan_id", "d.namespace", "d.name")
     views = deps.select("plan_id", F.lit(default_namespace).alias("namespace"), F.col("view_name").alias("name"))
     return direct.select("plan_id", "namespace", "name", F.lit("TABLE").alias("dataset_type")).unionByName(
         views.withColumn("dataset_type", F.lit("VIEW"))).distinct()

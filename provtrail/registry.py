@@ -341,7 +341,7 @@ def r15_symlinks(spark, sf_dir):
     links = table(spark, sf_dir, "orders").select(
         F.col("o_custkey"), F.struct(F.lit("hive").alias("namespace"), F.concat(
             F.lit("o"), F.col("o_orderkey") % 5).alias("name"), F.lit("TABLE").alias("type")).alias("link"))
-    per = links.groupBy("o_custkey").agg(F.array_sort(F.collect_set("link")).alias("identifiers"))
+    per = links.groupBy("o_custkey").agg(F.sort_array(F.collect_set("link")).alias("identifiers"))
     rows = per.select(
         F.col("o_custkey").cast("string").alias("run_id"), F.lit("START").alias("event_type"),
         F.lit(None).cast("timestamp").alias("event_time"), F.lit("spark").alias("job_namespace"), F.lit("j").alias("job_name"),
@@ -413,6 +413,20 @@ def r20_latest_dataset_state(spark, sf_dir):
     return events.latest_by(good, ["name"], ["event_time", "op_id"], ["op_id", "state"])
 
 
+@query
+def r20_latest_schema(spark, sf_dir):
+    """Latest columns of every customer's dataset, one event per order."""
+    fields = F.array(F.struct(F.concat(F.lit("c"), F.col("o_orderkey") % 7).alias("name"), F.lit("bigint").alias("type")))
+    rows = table(spark, sf_dir, "orders").select(
+        F.lit("COMPLETE").alias("event_type"), F.col("o_orderdate").alias("event_time"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("run_id"), F.lit("spark").alias("job_namespace"),
+        F.lit("j").alias("job_name"), F.array(F.struct(
+            F.lit("spark").alias("namespace"), F.concat(F.lit("d"), F.col("o_custkey")).alias("name"),
+            events.dataset_facets(schema=events.schema_facet(fields)).alias("facets"),
+            F.lit(None).alias("outputFacets"))).alias("outputs"))
+    return events.latest_schema(events.build_events(rows)).select("name", F.get("fields.name", F.lit(0)).alias("first_field"))
+
+
 @query
 def r21_required_facets(spark, sf_dir):
     """START events and the facets they carry, counted: every event names producer and schema."""

@@ -19,6 +19,8 @@ def local_session(cpus: int | str = 8, memory: str = "16g") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.files.maxPartitionBytes", "16m")
+        # Collecting aggregates otherwise sort once a task has seen 128 keys.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="provtrail-ckpt-"))
         .getOrCreate()
     )

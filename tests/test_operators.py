@@ -155,3 +155,23 @@ def test_excluded_datasets_leave_no_event(spark, tmp_path):
     row = start.first()
     assert row.inputs == [] and row.outputs[0].facets.columnLineage is None
     assert assemble.log_events(log.plans(), log.runs(), exclude=f"tmp_, {tmp_path}")[0].count() == 0
+
+
+def test_catalogs_give_namespaces_and_facets(spark, tmp_path):
+    log = TraceLog(spark, f"{tmp_path}/log")
+    spark.range(3).write.mode("overwrite").option("path", f"{tmp_path}/src").saveAsTable("catalog_src")
+    log.write(spark.sql("SELECT id + 1 AS next FROM catalog_src"), f"{tmp_path}/out")
+    catalogs = spark.createDataFrame(
+        [("spark_catalog", "lake", "postgres:dbname=m host=h port=1 password=x", False, False, False, "s3://wh/")],
+        "name string, kind string, db_path string, in_memory boolean, is_initial boolean, is_read_only boolean, data_path string")
+    start, _ = assemble.log_events(log.plans(), log.runs(), catalogs=catalogs)
+    row = start.first()
+    spark.sql("DROP TABLE catalog_src")
+    assert len(row.inputs) == 1, row.inputs
+    source = row.inputs[0]
+    assert (source.namespace, source.name) == ("s3://wh", "spark_catalog.default.catalog_src")
+    assert source.facets.catalog.metadataUri == "postgres://h:1/m" and source.facets.catalog.type == "lake"
+    assert source.facets.dataSource.uri == "s3://wh/"
+    (field,) = row.outputs[0].facets.columnLineage.fields["next"].inputFields
+    assert (field.namespace, field.name, field.field) == (source.namespace, source.name, "id")
+    assert row.outputs[0].namespace == "file" and row.outputs[0].facets.catalog is None
