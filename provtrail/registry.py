@@ -527,7 +527,7 @@ def t02_stream_dedup(spark, sf_dir):
     """A stream in which every third event is delivered twice."""
     e = fx.run_events(spark, sf_dir)
     path = _event_files(spark, sf_dir, e.unionByName(e.filter("run_no % 3 = 0")), "twice")
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(path)
     return intake.run_to_table(intake.dedup_stream(stream, "40 days"), "dedup").select("run_id", "event_type", "row_count")
 
 

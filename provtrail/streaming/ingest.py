@@ -39,7 +39,8 @@ def flat_events(events: DataFrame) -> DataFrame:
     """Event rows to run_id, job_name, event_type, event_time, row_count."""
     return events.select(
         F.col("run.runId").alias("run_id"), F.col("job.name").alias("job_name"), F.col("eventType").alias("event_type"),
-        F.to_timestamp("eventTime").alias("event_time"),
+        # Event times are UTC; without a zone they read the same in every session time zone.
+        F.to_timestamp_ntz(F.regexp_replace("eventTime", "Z$", "")).alias("event_time"),
         F.get("outputs.outputFacets.outputStatistics.rowCount", F.lit(0)).alias("row_count"))
 
 
