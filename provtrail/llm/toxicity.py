@@ -15,16 +15,21 @@ import unicodedata
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, map_rows
+from provtrail.llm.common import map_batches, map_rows, mixed, small, utf8
+from provtrail.llm.jaccard import Hasher
+from provtrail.session import materialize
 
 #: Parameters of the fit: labelled documents of each class at most (about, chosen by hash of the
-#: id), entries and exceptions at most, the smallest share of toxic documents and the smallest
-#: weight of an entry, and the shortest stem.
+#: id), entries and exceptions at most, the smallest share of toxic documents, weight and
+#: log-likelihood ratio of an entry (it keeps out what is in toxic documents by chance), and the
+#: shortest stem, and the hash functions by which near copies are found.
 SAMPLE_DOCS = 10_000
 MAX_ENTRIES = 2000
 MIN_SHARE = 0.004
 MIN_WEIGHT = 3.0
+MIN_RATIO = 24.0
 MIN_STEM = 4
+SKETCHES = 4
 #: Characters that are written for letters.
 LOOKALIKES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i",
@@ -71,8 +76,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exce
         F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)).select(
         F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
     # At most about twice the sample of (id, label) pairs is broadcast, whatever the corpus holds.
-    sample = docs.filter("text is not null").join(
-        F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", "_toxic")
+    sample = _distinct(docs.filter("text is not null").join(
+        F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "_toxic", "text"))
 
     def count(batch):
         seen: dict[tuple, list] = {}
@@ -93,10 +98,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exce
         return model
     weight = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     least = max(3, math.ceil(MIN_SHARE * n[1]))
+    either, share_bad = F.col("bad") + F.col("clean"), n[1] / (n[0] + n[1])
+    ratio = 2 * (F.col("bad") * F.log(F.col("bad") / (either * share_bad)) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (either * (1 - share_bad)))).otherwise(0.0))
     kept = counts.filter((F.col("stem") >= 0) & (F.col("bad") >= least)).withColumn("weight", weight).filter(
-        F.col("weight") >= MIN_WEIGHT)
+        (F.col("weight") >= MIN_WEIGHT) & (ratio >= MIN_RATIO))
     rows = kept.orderBy(F.desc(F.col("weight") * F.col("bad")), "term", "stem").limit(MAX_ENTRIES).collect()
-    # A stem covers what begins with it, unless the longer entry is far purer.
+    # Of nested entries with the same documents the longest stays; then a stem covers what begins
+    # with it, unless the longer entry is far purer.
+    rows = [r for r in rows if not r["stem"] or not any(
+        q is not r and q["term"].startswith(r["term"]) and q["bad"] >= 0.95 * r["bad"] and q["clean"] <= r["clean"] for q in rows)]
     stems: dict[str, float] = {}
     for r in sorted((r for r in rows if r["stem"]), key=lambda r: len(r["term"])):
         if not any(r["term"].startswith(s) and w >= r["weight"] - 1.5 for s, w in stems.items()):
@@ -132,6 +143,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exce
     return model
 
 
+def _distinct(sample: DataFrame) -> DataFrame:
+    """Labelled texts (text, _toxic) without near copies, whose chance words would look like evidence.
+
+    Of the texts of a class that agree in the smallest shingle hash one stays, for SKETCHES
+    hash functions one after the other.
+    """
+    def sketch(batch):
+        hasher = Hasher(5)
+        found = [hasher.shingles(t) for t in utf8(batch.column(2))]
+        own = [[int(mixed(f ^ np.uint64(i)).min()) % (1 << 62) if len(f) else 0 for i in range(SKETCHES)] for f in found]
+        return {"doc_id": batch.column(0), "_toxic": batch.column(1), "text": batch.column(2), "m": own}
+
+    rows = materialize(
+        map_rows(sample, sketch, "doc_id long, _toxic int, text string, m array<long>"), "toxicity-sample")
+    kept = rows.select("doc_id", "_toxic", "m")
+    for i in range(SKETCHES):
+        kept = kept.groupBy("_toxic", F.element_at("m", i + 1).alias("_m")).agg(F.min(F.struct("doc_id", "m")).alias("r"))
+        kept = kept.select(F.col("r.doc_id").alias("doc_id"), "_toxic", F.col("r.m").alias("m"))
+    return rows.join(small(kept.select("doc_id")), "doc_id", "left_semi").select("text", "_toxic")
+
+
 def _cut(x: np.ndarray, toxic: np.ndarray) -> float:
     """The density that divides the sample with the fewest errors, classes weighing the same."""
     levels = np.unique(x[x > 0])
