@@ -90,6 +90,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has such columns already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def small(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Broadcast a side of a written table if its size allows; otherwise the join shuffles."""
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df

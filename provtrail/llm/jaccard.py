@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import components, map_batches, map_rows, mixed, small, space_words, utf8
+from provtrail.llm.common import components, free_names, map_batches, map_rows, mixed, small, space_words, utf8
 from provtrail.session import materialize
 
 SHINGLE = 5
@@ -335,9 +335,10 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
 
     Rows with a null id and rows without shingles stay. Of rows that repeat an id all stay or none.
     """
+    gone = free_names(docs, "_gone")[0]
     found = materialize(jaccard_components(docs, **options).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
-    return docs.join(small(found), F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+        F.col("doc_id").alias(gone)).distinct(), "jaccard-gone")
+    return docs.join(small(found), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def oracle() -> str:

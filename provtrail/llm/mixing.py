@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from provtrail.llm.common import small
+from provtrail.llm.common import free_names, small
 from provtrail.session import materialize
 
 PERIOD = 1000
@@ -121,11 +121,13 @@ def mixed_order(docs: DataFrame, weights: dict | None = None, period: int = PERI
     A join with the slots and one range shuffle; written files follow each other in that order.
     Rows that share a doc_id share a place.
     """
+    own, slot, rank = free_names(docs, "_id", "_slot", "_rank")
     slots = mix(docs, weights, period=period, block_rows=block_rows)
-    slots = slots.groupBy("doc_id").agg(F.min(F.struct("slot", "rank")).alias("_at"))
-    slots = materialize(slots.select(F.col("doc_id").alias("_id"), F.col("_at.slot").alias("_slot"), F.col("_at.rank").alias("_rank")), "slots")
-    out = docs.join(small(slots), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    return out.repartitionByRange("_slot", "_rank").sortWithinPartitions("_slot", "_rank").select(*docs.columns)
+    slots = slots.groupBy("doc_id").agg(F.min(F.struct("slot", "rank")).alias("at"))
+    slots = materialize(slots.select(
+        F.col("doc_id").alias(own), F.col("at.slot").alias(slot), F.col("at.rank").alias(rank)), "slots")
+    out = docs.join(small(slots), F.col("doc_id").eqNullSafe(F.col(own)), "left")
+    return out.repartitionByRange(slot, rank).sortWithinPartitions(slot, rank).drop(own, slot, rank)
 
 
 def oracle(period: int = PERIOD, block_rows: int = BLOCK_ROWS) -> str:
