@@ -33,21 +33,18 @@ DIALECT = {
     "q35_view_expr": "SELECT o_orderkey, o_totalprice * CAST(1.1 AS DOUBLE) AS gross FROM orders",
     "q37_csv": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
     "q37_parquet": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
-    "q38_executive_summary": """WITH details AS (
-            SELECT o_orderkey, o_orderdate, o_custkey, l_quantity, p_name, p_type,
-                CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS line_total
-            FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey),
-        products AS (SELECT p_name, p_type, SUM(line_total) AS revenue FROM details GROUP BY ALL),
-        customers AS (SELECT c_name, c_mktsegment, COUNT(DISTINCT o_orderkey) AS orders, SUM(line_total) AS value
-            FROM details JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
-        days AS (SELECT o_orderdate, SUM(line_total) AS revenue FROM details GROUP BY ALL)
-        SELECT (SELECT CAST(SUM(revenue) AS DOUBLE) FROM products) AS total_revenue,
-            (SELECT COUNT(*) FROM products) AS unique_products,
-            (SELECT CAST(SUM(orders) AS BIGINT) FROM customers) AS total_orders,
-            (SELECT COUNT(*) FROM customers) AS total_customers,
-            (SELECT CAST(SUM(value) AS DOUBLE) / COUNT(*) FROM customers) AS avg_customer_value,
-            (SELECT CAST(SUM(revenue) AS DOUBLE) / COUNT(*) FROM days) AS avg_daily_revenue,
-            (SELECT CAST(CAST(MAX(o_orderdate) AS DATE) AS VARCHAR) FROM days) AS latest_order""",
+    "q38_multi_layer": """WITH waits AS (SELECT r_name AS area, n_name AS place, p_brand,
+            datediff('day', o_orderdate, l_shipdate) AS days
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+            JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+            JOIN region ON n_regionkey = r_regionkey),
+        whole AS (SELECT area, count(*) AS n_lines, sum(days) AS days, avg(days) AS mean FROM waits GROUP BY area),
+        slow AS (SELECT area, place, p_brand, avg(days) AS mean FROM waits
+            GROUP BY GROUPING SETS ((area, place), (area, p_brand)))
+        SELECT area, n_lines, CAST(days AS BIGINT) AS days,
+            count(*) FILTER (WHERE place IS NOT NULL AND slow.mean > whole.mean) AS slow_places,
+            count(*) FILTER (WHERE p_brand IS NOT NULL AND slow.mean > whole.mean) AS slow_brands
+        FROM whole JOIN slow USING (area) GROUP BY area, n_lines, days""",
     "q40_nested": """SELECT doc_id, lang, n_chars AS chars, array_to_string(string_split(source, '_'), '|') AS parts
         FROM documents""",
 }

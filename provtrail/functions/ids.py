@@ -85,7 +85,7 @@ def is_connection_string(text: Column | str) -> Column:
 def redact_connection(text: Column | str) -> Column:
     """Connection string to ``postgres://host[:port][/db]``: no user, no password.
 
-    Without a host the text cannot be rewritten and comes back as it is.
+    Without a host the text comes back as it is but for its user and password.
     """
     text = _col(text)
     body = F.when(text.startswith("postgres:"), text.substr(F.lit(10), F.length(text))).otherwise(text)
@@ -103,7 +103,20 @@ def redact_connection(text: Column | str) -> Column:
         F.lit("postgres://"), host,
         F.coalesce(F.concat(F.lit(":"), port), F.lit("")),
         F.coalesce(F.concat(F.lit("/"), db), F.lit("")))
-    return F.coalesce(uri, text)
+    return F.coalesce(uri, F.regexp_replace(without_login(text), SECRETS, "$1"))
+
+
+# A user or a password in a connection string, quoted or not.
+SECRETS = r"(?i)(^|[ :])[ ]*(?:user|password|passfile|sslpassword)[\t\r\n]*=(?:'(?:[^'\\]|\\.)*'|[^ ]*)"
+
+
+def without_login(uri: Column) -> Column:
+    """A URI without ``user:password@``, and for databases also without ``user@``.
+
+    Stores that name a container before the ``@`` (``abfss://container@account``) keep it.
+    """
+    plain = F.regexp_replace(uri, r"^((?:[a-z]+:)?(?:postgres|postgresql|mysql|mariadb|mongodb|redis)://)[^?#\s]*@", "$1")
+    return F.regexp_replace(plain, r"^([A-Za-z][A-Za-z0-9+.:-]*://)[^/@:]*:[^/]*@", "$1")
 
 
 def redact_conn_strings(df: DataFrame, col: str, out: str = "uri") -> DataFrame:
@@ -117,7 +130,7 @@ def source_uri(path: Column | str) -> Column:
     return (
         F.when((path == "") | path.isin(*MEMORY_NAMES), path)
         .when(is_connection_string(path), redact_connection(path))
-        .when(path.contains("://"), path)
+        .when(path.contains("://"), without_login(path))
         .otherwise(F.concat(F.lit("file://"), path))
     )
 
@@ -129,7 +142,7 @@ def metadata_uri(path: Column | str) -> Column:
     return (
         F.when(path == "", path)
         .when(is_connection_string(path), redact_connection(path))
-        .when(path.contains("://"), path)
+        .when(path.contains("://"), without_login(path))
         .when((colon > 0) & ((slash == 0) | (colon < slash)), path)
         .otherwise(F.concat(F.lit("file://"), path))
     )

@@ -22,13 +22,22 @@ OPERATION_STATES = {
     "INSERT": "OVERWRITE", "UPDATE": "OVERWRITE", "DELETE": "OVERWRITE", "COPY": "OVERWRITE",
     "CREATE_TABLE": "CREATE", "CREATE_VIEW": "CREATE", "DROP": "DROP", "RENAME": "RENAME", "ALTER": "ALTER",
 }
+# The forms of run ids and event times.
 UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z$"
 
 
 def iso_time(ts: Column | str) -> Column:
-    """ISO-8601 UTC text with microseconds and a trailing ``Z``."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO-8601 UTC text with microseconds and a trailing ``Z``, in every session time zone.
+
+    Times with a zone are converted to UTC; times without one (TIMESTAMP_NTZ) are UTC already.
+    """
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    seconds = (F.unix_micros(ts.cast("timestamp")).cast("decimal(24,0)") / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    utc = F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("timestamp_ntz")).otherwise(
+        F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(zero, zero, zero, seconds))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def facet(kind: str, **fields: Column) -> Column:

@@ -42,13 +42,13 @@ def operator_of(cls: Column, join_type: Column, has_condition: Column | None = N
     return F.when(cls == "Join", join).otherwise(F.coalesce(lookup(CATALYST_OPERATORS, cls), cls))
 
 
-def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
+def profile_plans(nodes: DataFrame, salts: int = 1) -> DataFrame:
     """One row per query: root, child_types, operators, counts of joins, first tables.
 
     ``nodes``: query_id, node_id (pre-order, root first), parent_id (0 below the root),
-    operator, table_name. Each query is first reduced in ``salts`` parts, so a query with
-    very many nodes is spread over tasks; what is merged per query is then of bounded size
-    (the sets are of operator kinds, each part keeps at most three tables).
+    operator, table_name. A plan has few nodes, so one aggregate does. For queries with very
+    many nodes set ``salts``: each is then first reduced in so many parts; what is merged per
+    query is of bounded size (sets of operator kinds, at most three tables a part).
     """
     op = F.col("operator")
 
@@ -56,7 +56,7 @@ def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
         return F.slice(F.sort_array(lists), 1, MAX_TABLES)
 
     part = (
-        nodes.groupBy("query_id", F.pmod(F.xxhash64("node_id"), F.lit(salts)).alias("_salt"))
+        nodes.groupBy("query_id", *([F.pmod(F.xxhash64("node_id"), F.lit(salts)).alias("_salt")] if salts > 1 else []))
         .agg(
             F.min(F.struct("node_id", "operator")).alias("_root"),
             F.collect_set(F.when(F.col("parent_id") == 0, op)).alias("_children"),
@@ -67,6 +67,11 @@ def profile_plans(nodes: DataFrame, salts: int = 16) -> DataFrame:
                 F.when(F.col("table_name").isNotNull(), F.struct("node_id", "table_name")))).alias("_tables"),
         )
     )
+    if salts == 1:
+        return part.select(
+            "query_id", F.col("_root.operator").alias("root"), F.col("_children").alias("child_types"),
+            F.sort_array("_operators").alias("operators"), F.col("_joins").alias("join_count"),
+            F.col("_nodes").alias("node_count"), F.transform("_tables", lambda t: t["table_name"]).alias("tables"))
     return (
         part.groupBy("query_id")
         .agg(

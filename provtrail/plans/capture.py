@@ -15,13 +15,18 @@ def plan_text(df: DataFrame) -> str:
 
 
 def scanned_files(df: DataFrame) -> list[tuple[int, list[str]]]:
-    """Files behind each scan leaf, by the leaf's place in plan order."""
+    """Files behind each scan leaf that no catalog names, by the leaf's place in plan order.
+
+    A table of a catalog goes by its name, so its files are not listed however many they are.
+    """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     out = []
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         if leaf.getClass().getSimpleName() != "LogicalRelation":
             continue
+        if leaf.catalogTable().isDefined():
+            continue
         relation = leaf.relation()
         if relation.getClass().getSimpleName() == "HadoopFsRelation":
             out.append((i, [_plain(p) for p in relation.location().inputFiles()]))

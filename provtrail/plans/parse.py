@@ -25,7 +25,8 @@ PLAN_SCHEMA = f"""array<struct<
     class: string, `num-children`: int,
     projectList: {ATTRS}, aggregateExpressions: {ATTRS}, windowExpressions: {ATTRS},
     output: {ATTRS}, generatorOutput: {ATTRS},
-    generator: array<{ELEM}>, condition: array<{ELEM}>,
+    generator: array<{ELEM}>, condition: array<{ELEM}>, right: array<{ELEM}>, asOfCondition: array<{ELEM}>,
+    order: {ATTRS}, partitionSpec: {ATTRS}, orderSpec: {ATTRS}, groupingExpressions: {ATTRS},
     joinType: string, isTempView: boolean,
     identifier: struct<name: string, qualifier: string>,
     desc: struct<identifier: struct<table: string, database: string, catalog: string>>,
@@ -44,14 +45,22 @@ TRANSPARENT = (
 )
 # Classes some of whose children carry no lineage (see _kept).
 PARTIAL = ("AggregateExpression", "PivotFirst", "ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")
-# Nodes whose column references the plan text does not carry.
-UNTRACEABLE = ("Expand", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow",
-               "FlatMapCoGroupsInPandas", "ScriptTransformation", "MapPartitions", "MapElements")
 SCANS = ("LogicalRelation", "LogicalRDD", "LocalRelation", "DataSourceV2Relation", "Range",
          "HiveTableRelation", "StreamingRelation", "StreamingRelationV2")
 LEAF = "S"  # first letter of the vertices of scanned columns
 SET_OPS = ("Union", "Intersect", "Except")
+# Nodes that hand on all columns of their (first) child. A node of any other class makes its plan
+# untraceable: its text does not tell how columns flow through it.
+PASS_THROUGH = (
+    "Filter", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Tail", "Sample", "Distinct", "Deduplicate",
+    "DeduplicateWithinWatermark", "SubqueryAlias", "View", "Repartition", "RepartitionByExpression",
+    "RebalancePartitions", "ResolvedHint", "CollectMetrics", "EventTimeWatermark", "WithCTE", "CTERelationDef",
+    "CTERelationRef", "UnionLoop", "UnionLoopRef", "OneRowRelation", "EmptyRelation",
+    "CreateViewCommand", "InsertIntoHadoopFsRelationCommand", "InsertIntoStatement", "CreateDataSourceTableAsSelectCommand",
+    "SaveIntoDataSourceCommand", "CreateTableAsSelect", "ReplaceTableAsSelect", "AppendData", "OverwriteByExpression",
+    "SetCommand", "DropTableCommand", "AlterTableRenameCommand")
 SCOPES = ("Project", "Aggregate")
+JOINS = ("Join", "AsOfJoin", "LateralJoin")
 
 PTR = "struct<id: bigint, name: string, v: string>"
 REFS = "struct<refs: array<bigint>, breaks: boolean, subs: array<bigint>>"
@@ -154,6 +163,7 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
     ).otherwise(_ptrs(
         attrs, F.when(cls == "CTERelationRef", F.lit("cte")).when(cls.isin(*SCANS), F.concat(F.lit(LEAF), scope)).otherwise(scope),
         F.when(cls == "CTERelationRef", n["cteId"]).otherwise(i)))
+    own = F.when(cls == "LateralJoin", _lateral_columns(n["right"], scope)).otherwise(own)
     exprs = F.when(cls == "Generate", F.transform(n["generatorOutput"], lambda _: n["generator"])).otherwise(
         F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"]))
     semi = n["joinType"].rlike("LeftSemi|LeftAnti|ExistenceJoin")
@@ -163,7 +173,8 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
         n["num-children"].alias("num-children"),
         F.when(cls.isin(*SCOPES) | (n["num-children"] == 0) | (cls == "UnionLoop"), "own")
         .when(cls.isin("Window", "Generate"), "append")
-        .when((cls == "Join") & ~semi, "concat")
+        .when(cls.isin("Join", "AsOfJoin") & ~semi, "concat")
+        .when(cls == "LateralJoin", "append")
         .when(cls.isin(*SET_OPS), "setop")
         .when(cls == "WithCTE", "last")
         .otherwise("first").alias("mode"),
@@ -184,6 +195,19 @@ def _describe(n: Column, i: Column, scope: Column) -> Column:
     )
 
 
+def _lateral_columns(right: Column, scope: Column) -> Column:
+    """Columns that a lateral join adds: pointers to the outputs of the plan on its right."""
+    def of(sub):
+        top = F.from_json(sub["plan"], f"array<struct<projectList: {ATTRS}, aggregateExpressions: {ATTRS}, output: {ATTRS}>>")
+        lists = F.filter(F.transform(top, lambda t: F.coalesce(
+            t["projectList"], t["aggregateExpressions"], t["output"])), lambda x: x.isNotNull())
+        inner = F.concat_ws("/", scope, sub["exprId"]["id"].cast("string"))
+        return F.transform(F.get(lists, F.lit(0)), lambda a, i: F.struct(
+            a[0]["exprId"]["id"].alias("id"), a[0]["name"].alias("name"), _vertex(inner, F.lit("R"), i).alias("v")))
+
+    return let(F.get(F.filter(right, lambda e: e["plan"].isNotNull()), F.lit(0)), of)
+
+
 EDGES = "array<struct<src: string, dst: string, breaks: boolean>>"
 NODE_FOLD = f"""struct<nid: int, size: int, out: array<{PTR}>,
     done: array<struct<nid: int, size: int, kids: array<int>, scope: array<array<{PTR}>>>>>"""
@@ -272,32 +296,31 @@ def _parse_steps() -> tuple[list[tuple[str, Column]], list[Column]]:
                   F.lit(0))["paths"].alias("paths"))).alias("scans"),
         F.concat(F.flatten(edges), F.when(scope != "0", roots).otherwise(F.array().cast(EDGES))).alias("edges"),
         F.transform("bound.out", lambda p: F.struct(p["name"].alias("name"), p["v"].alias("v"))).alias("outputs"),
-        (~F.exists("desc", lambda d: d["cls"].isin(*UNTRACEABLE))).alias("traceable"),
+        F.get(F.filter("desc", lambda d: ~d["cls"].isin(
+            *PASS_THROUGH, *SCOPES, *SET_OPS, *SCANS, *JOINS, "Window", "Generate")), F.lit(0))["cls"].alias("unknown"),
     ]
     return columns, results
 
 
 def _subplans_of(n: Column) -> Column:
     """Plans embedded in the expressions of a node."""
-    lists = F.coalesce(n["projectList"], n["aggregateExpressions"], n["windowExpressions"], F.array().cast(ATTRS))
-    elems = F.concat(F.flatten(lists), F.coalesce(n["condition"], F.array().cast(f"array<{ELEM}>")))
+    lists = [F.coalesce(n[k], F.array().cast(ATTRS)) for k in (
+        "projectList", "aggregateExpressions", "windowExpressions", "order", "partitionSpec", "orderSpec", "groupingExpressions")]
+    single = [F.coalesce(n[k], F.array().cast(f"array<{ELEM}>")) for k in ("condition", "generator", "right", "asOfCondition")]
+    elems = F.concat(*[F.flatten(x) for x in lists], *single)
     return F.transform(
         F.filter(elems, lambda e: e["plan"].isNotNull()),
         lambda e: F.struct(e["exprId"]["id"].alias("id"), e["plan"].alias("plan_json")))
 
 
 def _stand_in(nid: Column, field: str) -> Column:
-    """Name carried by the View / SubqueryAlias nodes directly above a scan leaf."""
-    def above(k):
-        return F.get("desc", nid - k)
-
-    def ok(k):
-        return F.coalesce((nid >= k) & above(k)["cls"].isin("View", "SubqueryAlias"), F.lit(False))
-
-    return F.coalesce(
-        F.when(ok(1), above(1)[field]),
-        F.when(ok(1) & ok(2), above(2)[field]),
-        F.when(ok(1) & ok(2) & ok(3), above(3)[field]))
+    """Name carried by the View / SubqueryAlias nodes directly above a scan leaf: the lowest."""
+    above = F.reverse(F.filter("desc", lambda d: d["nid"] < nid))
+    found = F.aggregate(
+        above, F.struct(F.lit(True).alias("open"), F.lit(None).cast("string").alias("name")),
+        lambda a, d: let(a["open"] & d["cls"].isin("View", "SubqueryAlias"), lambda ok: F.struct(
+            ok.alias("open"), F.when(ok, F.coalesce(a["name"], d[field])).otherwise(a["name"]).alias("name"))))
+    return found["name"]
 
 
 def _edge(src: Column, dst: Column, breaks: Column | None = None) -> Column:
@@ -341,11 +364,12 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
 FILES = "array<struct<leaf: int, paths: array<string>>>"
 
 
-def parse_plans(plans: DataFrame) -> DataFrame:
+def parse_plans(plans: DataFrame, keep_broken: bool = False) -> DataFrame:
     """Parse plans and the plans embedded in their expressions.
 
     ``plans``: plan_id, plan_json, optionally files. One row per (sub)plan comes back:
-    plan_id, scope, nodes, scans, edges, outputs. The plan texts are read once: embedded
+    plan_id, scope, nodes, scans, edges, outputs, unknown (a node class of unknown column flow).
+    Texts that are no plan are left out unless ``keep_broken``. The plan texts are read once: embedded
     plans come out with their parent's row and are parsed as the next level. Each level is a
     written table, so later jobs read only the columns they need.
     """
@@ -357,7 +381,7 @@ def parse_plans(plans: DataFrame) -> DataFrame:
     while True:
         written = materialize(_parse(level, steps), "parsed")
         # Filtering before the write would make Spark parse every plan twice.
-        good = written.filter("outputs is not null").drop("subplans")
+        good = (written if keep_broken else written.filter("outputs is not null")).drop("subplans")
         parsed = good if parsed is None else parsed.unionByName(good)
         inner = written.select("plan_id", "scope", F.explode("subplans").alias("s"))
         if inner.isEmpty():

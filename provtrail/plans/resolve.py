@@ -6,10 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from provtrail.functions.binding import let
 from provtrail.functions.ids import namespace_of, parse_prefixes
 from provtrail.operators.closure import close_edges
 from provtrail.plans import parse
 from provtrail.schema import DEFAULT_NAMESPACE
+from provtrail.session import materialize
 from provtrail.sources.tables import small_side
 
 
@@ -22,16 +24,36 @@ class Parsed:
     scans: DataFrame
 
 
+# Ids of expressions, common tables and results in a plan text: fresh numbers on each analysis.
+ID = r'"(?:id|cteId|loopId)":\d+'
+
+
 def plan_key():
-    """128-bit fingerprint of the plan and of what it read."""
-    return F.md5(F.concat_ws("\u0001", "plan_json", F.to_json("files")))
+    """128-bit fingerprint of the plan and of the files that it names as inputs.
+
+    A plan gets new expression ids and a session id each time it is analyzed; ids are numbered
+    by first appearance and the session id is left out, so that equal queries have one key.
+    Work and memory are bounded by the text of one plan.
+    """
+    text = F.regexp_replace("plan_json", r'"jvmId":"[^"]*"', "")
+    found = F.regexp_extract_all(text, F.lit(f"({ID})"), F.lit(1))
+    numbers = let(F.array_distinct(found), lambda known: F.transform(
+        found, lambda x: F.concat(F.lit("#"), F.array_position(known, x).cast("string"))))
+    between = F.split(text, ID)
+    plain = F.array_join(F.zip_with(between, numbers, lambda t, n: F.concat(t, F.coalesce(n, F.lit("")))), "")
+    return F.md5(F.concat_ws("\u0001", plain, F.to_json("files")))
 
 
 def distinct_plans(plan_log: DataFrame) -> DataFrame:
-    """Each distinct plan once. Scheduled jobs repeat their plans; resolving one copy and
-    joining back also removes the skew of a plan that makes up much of the log."""
-    return plan_log.withColumn("plan_id", plan_key()).groupBy("plan_id").agg(
-        F.first("plan_json").alias("plan_json"), F.first("files").alias("files"))
+    """Each distinct plan once: plan_id, plan_json, files. Scheduled jobs repeat their plans;
+    resolving one copy and joining back also removes the skew of a plan that makes up much of the
+    log.
+
+    Only keys and query ids are grouped; then the text of one query per key is fetched.
+    """
+    keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
+    chosen = materialize(keyed.groupBy("plan_id").agg(F.min("query_id").alias("query_id")), "plan-keys")
+    return plan_log.join(small_side(chosen), "query_id").select("plan_id", "plan_json", "files").dropDuplicates(["plan_id"])
 
 
 def parse_log(
@@ -76,7 +98,7 @@ def resolve_plans(
     same name the last one stays.
     """
     parsed = parsed or parse_log(plans, default_namespace)
-    untraceable = parsed.levels.filter("not traceable").select("plan_id").distinct()
+    untraceable = parsed.levels.filter("unknown is not null").select("plan_id").distinct()
     roots = parse.root_columns(parsed.levels).join(untraceable, "plan_id", "left_anti")
     reach = close_edges(parse.column_edges(parsed.levels), ["plan_id"])
     # An output that only hands a scanned column on ends there; the others follow their paths.
@@ -113,13 +135,18 @@ def resolve_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESP
 
 
 def rejected_plans(plan_log: DataFrame) -> DataFrame:
-    """Queries whose plan text is broken or has a node that carries no column references."""
-    node = "array<struct<class: string>>"
-    nodes = F.from_json("plan_json", node)
-    bad = F.filter(nodes, lambda n: parse.short(n["class"]).isin(*parse.UNTRACEABLE))
-    reason = F.when(nodes.isNull() | F.coalesce(F.get(nodes, F.lit(0))["class"].isNull(), F.lit(True)), "malformed plan").when(
-        F.size(bad) > 0, F.concat(F.lit("untraceable node "), parse.short(F.get(bad, F.lit(0))["class"])))
-    return plan_log.select("query_id", reason.alias("reason")).filter("reason is not null")
+    """Queries left out of ``resolve_columns``, with the reason: query_id, reason.
+
+    A plan text is broken, or the plan or one embedded in its expressions has a node of unknown
+    column flow. Each distinct plan is looked at once.
+    """
+    keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
+    levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True)
+    reason = F.when(F.col("outputs").isNull(), "malformed plan").when(
+        F.col("unknown").isNotNull(), F.concat(F.lit("untraceable node "), F.col("unknown")))
+    bad = levels.select("plan_id", "scope", reason.alias("reason")).filter("reason is not null")
+    first = bad.groupBy("plan_id").agg(F.min_by("reason", "scope").alias("reason"))
+    return keyed.join(first, "plan_id").select("query_id", "reason")
 
 
 def scan_datasets(parsed: Parsed) -> DataFrame:

@@ -1,7 +1,7 @@
 """Data queries for the traced shapes.
 
 Most run the traced SQL as it is. Those below use a form that also stands up to hot keys,
-large recursions or global ranks; their results are those of the traced SQL.
+large recursions or global ranks; their results are those of the traced SQL (q27 asks the same of other tables).
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from provtrail.operators.recursive import recurse
 from provtrail.operators.windows import asof_join, first_per_key, global_rank, ordered_prefix, with_halo
 from provtrail.plans.traced import TRACED, traced
-from provtrail.session import materialize, work_dir
+from provtrail.session import work_dir
 from provtrail.sources.tables import register, small_side, table
+from provtrail.sources.traced_io import TraceLog
 
 MONEY = "decimal(18,2)"
 
@@ -115,39 +116,42 @@ def file_round_trip(spark: SparkSession, sf_dir: str, fmt: str, **options) -> Da
     return spark.read.format(fmt).options(**options).schema(orders.schema).load(path)
 
 
-def executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two staging joins, three aggregates and a fan-in summary, each a written table."""
-    register(spark, sf_dir, ["orders", "lineitem", "part", "customer"])
-
-    def stage(name, text):
-        materialize(spark.sql(text), name).createOrReplaceTempView(name)
-
-    stage("stg_order_details", """
-        SELECT o_orderkey, o_orderdate, l_linenumber, l_quantity, p_partkey, p_name, p_type,
-            CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS line_total
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey""")
-    stage("stg_customer_orders", """
-        SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_orderdate FROM customer
-        JOIN orders ON c_custkey = o_custkey""")
-    stage("revenue_by_product", """
-        SELECT p_name, p_type, COUNT(DISTINCT o_orderkey) AS total_orders, SUM(l_quantity) AS units,
-            SUM(line_total) AS total_revenue FROM stg_order_details GROUP BY p_name, p_type""")
-    stage("customer_value", """
-        SELECT c.c_name, c.c_mktsegment, COUNT(DISTINCT c.o_orderkey) AS total_orders, SUM(d.line_total) AS lifetime_value,
-            MIN(c.o_orderdate) AS first_order, MAX(c.o_orderdate) AS last_order
-        FROM stg_customer_orders c JOIN stg_order_details d ON c.o_orderkey = d.o_orderkey
-        GROUP BY c.c_name, c.c_mktsegment""")
-    stage("daily_sales", """
-        SELECT o_orderdate, COUNT(DISTINCT o_orderkey) AS num_orders, SUM(line_total) AS revenue
-        FROM stg_order_details GROUP BY o_orderdate""")
-    return spark.sql("""SELECT
-        (SELECT CAST(SUM(total_revenue) AS DOUBLE) FROM revenue_by_product) AS total_revenue,
-        (SELECT COUNT(*) FROM revenue_by_product) AS unique_products,
-        (SELECT SUM(total_orders) FROM customer_value) AS total_orders,
-        (SELECT COUNT(*) FROM customer_value) AS total_customers,
-        (SELECT CAST(SUM(lifetime_value) AS DOUBLE) / COUNT(*) FROM customer_value) AS avg_customer_value,
-        (SELECT CAST(SUM(revenue) AS DOUBLE) / COUNT(*) FROM daily_sales) AS avg_daily_revenue,
-        (SELECT CAST(CAST(MAX(o_orderdate) AS DATE) AS STRING) FROM daily_sales) AS latest_order""")
+WAITS = "datediff(l_shipdate, o_orderdate)"
+# A pipeline over how long lines wait for their shipment: (table, query), layer by layer.
+WAITING: tuple[tuple[str, str], ...] = (
+    ("line_waits", f"""SELECT l_suppkey, l_partkey, l_quantity, {WAITS} AS days
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
+    ("supplier_places", """SELECT s_suppkey, n_name AS place, r_name AS area FROM supplier
+        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""),
+    ("place_waits", """SELECT area, place, count(*) AS n_lines, sum(days) AS days FROM {line_waits}
+        JOIN {supplier_places} ON l_suppkey = s_suppkey GROUP BY area, place"""),
+    ("brand_waits", """SELECT area, p_brand, count(*) AS n_lines, sum(days) AS days FROM {line_waits}
+        JOIN {supplier_places} ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY area, p_brand"""),
+    ("area_report", """WITH areas AS (SELECT area, sum(n_lines) AS n_lines, sum(days) AS days FROM {place_waits} GROUP BY area),
+        places AS (SELECT p.area, count_if(p.days * a.n_lines > a.days * p.n_lines) AS slow_places
+            FROM {place_waits} p JOIN areas a ON p.area = a.area GROUP BY p.area),
+        brands AS (SELECT b.area, count_if(b.days * a.n_lines > a.days * b.n_lines) AS slow_brands
+            FROM {brand_waits} b JOIN areas a ON b.area = a.area GROUP BY b.area)
+        SELECT areas.area, n_lines, days, slow_places, slow_brands FROM areas
+        JOIN places ON areas.area = places.area JOIN brands ON areas.area = brands.area"""),
+)
+
+
+def waiting_pipeline(spark: SparkSession, sf_dir: str) -> tuple[TraceLog, dict[str, str]]:
+    """Run the pipeline as traced writes: the log, and the table that each layer became."""
+    register(spark, sf_dir, ["orders", "lineitem", "part", "supplier", "nation", "region"])
+    base, run = f"{work_dir(spark)}/provtrail/waiting-{uuid.uuid4().hex}", uuid.uuid4().hex
+    log, made = TraceLog(spark, f"{base}/log"), {}
+    for name, text in WAITING:
+        query = text.format(**made)
+        log.create(spark.sql(query), f"{name}_{run}", query=query, path=f"{base}/{name}")
+        made[name] = f"{name}_{run}"
+    return log, made
+
+
+def multi_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last layer of the pipeline."""
+    return spark.table(waiting_pipeline(spark, sf_dir)[1]["area_report"])
 
 
 # Plan-only shapes: they read no table, or SQL gives their data in a form of their own here.
@@ -166,7 +170,7 @@ OWN_FORM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q36_cte_join_agg_window": cte_join_agg_window,
     "q37_csv": partial(file_round_trip, fmt="csv", header="true"),
     "q37_parquet": partial(file_round_trip, fmt="parquet"),
-    "q38_executive_summary": executive_summary,
+    "q38_multi_layer": multi_layer,
     "q40_nested": nested_fields,
 }
 

@@ -56,13 +56,20 @@ class TraceLog:
 
     def append(self, df: DataFrame, table: str, query: str | None = None) -> dict:
         """Insert into an existing table."""
-        return self._traced(df, "INSERT", None, table, query, lambda d: d.write.mode("append").saveAsTable(table))
+        return self._traced(
+            df, "INSERT", None, self._qualified(table), query, lambda d: d.write.mode("append").saveAsTable(table))
 
     def create(self, df: DataFrame, table: str, query: str | None = None, fmt: str = "parquet", **options) -> dict:
         """Create a table from a query."""
-        return self._traced(df, "CREATE_TABLE", None, table, query,
+        return self._traced(df, "CREATE_TABLE", None, self._qualified(table), query,
                             lambda d: d.write.format(fmt).options(**options).saveAsTable(table))
 
+    def _qualified(self, table: str) -> str:
+        """``catalog.schema.table``, as scans name the table."""
+        parts = table.replace("`", "").split(".")
+        here = [self.spark.catalog.currentCatalog(), self.spark.catalog.currentDatabase()]
+        return ".".join(here[:max(0, 3 - len(parts))] + parts)
+
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)

@@ -40,9 +40,18 @@ def test_connection_strings(spark):
         "/x/host=a/port=b": "file:///x/host=a/port=b",
         "ahost=1 port=2": "file://ahost=1 port=2",
     }
-    got = apply(spark, ids.source_uri, list(want))
-    assert got == list(want.values())
-    assert not any("hunter2" in g for g in got)
+    want |= {
+        f"postgres:dbname=d user=u {secret}": "postgres:dbname=d ",
+        "postgres:password='a hunter2 b' dbname=d": "postgres: dbname=d",
+        "postgres://u:hunter2@h/d": "postgres://h/d", "postgresql://u@h/d": "postgresql://h/d",
+        "postgres://u:p@hunter2@h/d": "postgres://h/d", "https://u:hunter2@h/x@y": "https://h/x@y",
+        "abfss://c@acc.dfs/x": "abfss://c@acc.dfs/x",
+    }
+    for fn in (ids.source_uri, ids.metadata_uri):
+        got = dict(zip(want, apply(spark, fn, list(want))))
+        assert not any("hunter2" in g for g in got.values())
+        if fn is ids.source_uri:
+            assert {k: v.rstrip() for k, v in got.items()} == {k: v.rstrip() for k, v in want.items()}
 
 
 def test_metadata_uris(spark):

@@ -187,10 +187,63 @@ def test_rejects(base):
 
 
 def test_repeated_plans_are_resolved_once(base):
-    row = capture(base.table("a").select("id"), "q0")
-    log = plan_log(base, [(f"q{i}", *row[1:]) for i in range(50)])
-    assert resolve.distinct_plans(log).count() == 1
-    assert columns_of(log) == {f"q{i}": {"id": ("DIRECT", frozenset({"a.id"}))} for i in range(50)}
+    """Fresh captures of one text are one plan; another text or constant is another."""
+    text = """WITH t AS (SELECT id, value FROM a) SELECT t.id, (SELECT max(score) FROM b WHERE b.id = t.id) AS m
+        FROM t JOIN t AS u ON t.id = u.id"""
+    log = plan_log(base, [capture(base.sql(text), f"q{i}") for i in range(5)] + [
+        capture(base.sql("SELECT id FROM a WHERE id > 1"), "r1"), capture(base.sql("SELECT id FROM a WHERE id > 2"), "r2")])
+    assert resolve.distinct_plans(log).count() == 3
+    got = columns_of(log)
+    assert len(got) == 7 and all(got[f"q{i}"] == got["q0"] for i in range(5))
+    assert got["q0"]["id"] == ("DIRECT", frozenset({"a.id"})) and got["q0"]["m"] == ("INDIRECT", frozenset({"b.score"}))
+
+
+def inputs_of(log):
+    parsed = resolve.parse_log(log.select(F.col("query_id").alias("plan_id"), "plan_json", "files"))
+    return {r.name for r in resolve.plan_inputs(parsed).collect()}
+
+
+def test_lateral_joins(base):
+    log = plan_log(base, [capture(base.sql("""SELECT a.name, t.m, t.twice FROM a,
+        LATERAL (SELECT max(score) AS m, max(score) * 2 AS twice FROM b WHERE b.id = a.id) t"""), "q")])
+    assert columns_of(log)["q"] == {
+        "name": ("DIRECT", frozenset({"a.name"})), "m": ("INDIRECT", frozenset({"b.score"})),
+        "twice": ("INDIRECT", frozenset({"b.score"}))}
+    assert inputs_of(log) == {"a", "b"} and resolve.rejected_plans(log).count() == 0
+
+
+def test_as_of_joins(base):
+    left, right = base.table("a"), base.table("b").withColumnRenamed("id", "other")
+    df = left._joinAsOf(right, leftAsOfColumn="id", rightAsOfColumn="other", how="left")
+    log = plan_log(base, [capture(df.select("name", "score"), "q")])
+    assert columns_of(log)["q"] == {"name": ("DIRECT", frozenset({"a.name"})), "score": ("DIRECT", frozenset({"b.score"}))}
+
+
+def test_subqueries_in_generators_and_sort_orders(base):
+    log = plan_log(base, [
+        capture(base.sql("SELECT name, x FROM a LATERAL VIEW explode(array((SELECT max(score) FROM b))) g AS x"), "q"),
+        capture(base.sql("SELECT name FROM a ORDER BY (SELECT max(score) FROM b) + id"), "s")])
+    assert columns_of(log)["q"]["x"] == ("INDIRECT", frozenset({"b.score"}))
+    for q in ("q", "s"):
+        assert inputs_of(log.filter(F.col("query_id") == q)) == {"a", "b"}
+
+
+def test_unknown_nodes_are_rejected_at_every_level(base):
+    a = base.table("a")
+    cogrouped = a.groupBy("id").cogroup(base.table("b").groupBy("id")).applyInArrow(lambda x, y: x, a.schema)
+    log = plan_log(base, [
+        capture(cogrouped, "cogroup"), capture(a.select("id"), "good"),
+        capture(base.sql("SELECT name, (SELECT count(*) FROM (SELECT id, count(*) FROM b GROUP BY ROLLUP (id))) AS n FROM a"), "inner")])
+    assert {r.query_id: r.reason for r in resolve.rejected_plans(log).collect()} == {
+        "cogroup": "untraceable node FlatMapCoGroupsInArrow", "inner": "untraceable node Expand"}
+    assert set(columns_of(log)) == {"good"}
+
+
+def test_names_under_many_aliases(base):
+    df = base.table("a")
+    for i in range(6):
+        df = df.alias(f"x{i}")
+    assert columns_of(plan_log(base, [capture(df.select("id"), "q")]))["q"] == {"id": ("DIRECT", frozenset({"a.id"}))}
 
 
 def test_views_of_views_and_direct_reads(base):

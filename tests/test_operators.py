@@ -73,15 +73,36 @@ def test_closure_refuses_cycles(spark):
     edges = spark.createDataFrame([("a", "b", False, False), ("b", "a", False, False)],
                                   "src string, dst string, breaks boolean, terminal boolean")
     with pytest.raises(ValueError, match="cycle"):
-        close_edges(edges, [], max_rounds=3)
+        close_edges(edges, [])
 
 
 def test_recursion_ends(spark):
     seed = spark.range(1).select(F.col("id").alias("n"))
     out = recurse(seed, lambda level: level.select((F.col("n") + 1).alias("n")).filter("n < 5"))
     assert sorted(r.n for r in out.collect()) == [0, 1, 2, 3, 4]
-    with pytest.raises(ValueError):
-        recurse(seed, lambda level: level, max_levels=2)
+    around = recurse(seed, lambda level: level.select(((F.col("n") + 1) % 3).alias("n")), keys=["n"])
+    assert sorted(r.n for r in around.collect()) == [0, 1, 2]
+
+
+def test_closure_of_a_long_path(spark):
+    edges = spark.range(600).select(
+        F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), (F.col("id") == 599).alias("breaks"),
+        (F.col("id") == 599).alias("terminal"))
+    assert {(r.dst, r.breaks) for r in close_edges(edges, []).collect()} == {(600, True)}
+
+
+def test_event_times_are_utc_in_every_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP'2024-01-01T00:00:00.000001Z' AS t, TIMESTAMP_NTZ'2024-01-01 00:00:00.000001' AS n")
+    rows = spark.sql("SELECT explode(array(1704067200000001, 1730617200000000, -1)) AS us").selectExpr("timestamp_micros(us) AS t")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = df.select(events.iso_time("t"), events.iso_time("n")).first()
+            assert set(got) == {"2024-01-01T00:00:00.000001Z"}
+            assert [r[0] for r in rows.select(events.iso_time("t")).collect()] == [
+                "2024-01-01T00:00:00.000001Z", "2024-11-03T07:00:00.000000Z", "1969-12-31T23:59:59.999999Z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_lifecycle_states_and_rejects(spark):
