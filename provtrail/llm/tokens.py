@@ -15,6 +15,7 @@ in ``block_offsets``, so blocks decode alone and a chunk decodes in a few vector
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame, functions as F
 from provtrail.llm.common import map_batches, utf8
 
 BLOCK = 128
-CHUNK_IDS = 1 << 20
+CHUNK_IDS = 1 << 18
 #: Ids per word and bits per id by selector, and the selector of an escape.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
 ESCAPED_BITS = 99
 END_ID = 1
-_CACHED = 500_000
+_CACHED = 200_000
 SCHEMA = ("part int, seq int, first_id long, n_ids long, dictionary binary, words binary, "
           "block_offsets binary, doc_ids array<long>, doc_lengths array<long>")
 
@@ -108,30 +109,79 @@ def encode_chunk(ids: np.ndarray) -> dict:
 
 
 class WordEncoder:
-    """Ids of whole texts. Text is cut at ASCII white space, which no token spans, and each piece is
-    encoded by the library once and remembered, up to a bound."""
+    """Ids of whole texts. Text is cut at ASCII white space, which no token spans, and the ids of a
+    piece are remembered, up to a bound.
+
+    Most pieces are a word of Latin letters and marks behind it. The library splits such a piece at
+    that place too, so the word, lowered, goes straight to its model; all others go through the
+    whole library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        # Pieces met in several calls, pieces of late calls, and words of Latin letters.
+        self.often: dict[bytes, bytes] = {}
+        self.late: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        pieces = [t.split() if t else [] for t in texts]
-        if len(self.known) > _CACHED:
-            self.known = {}
-        new = list({w for p in pieces for w in p if w not in self.known})
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        out = [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in pieces]
-        for w in new:
-            if len(w) > 64:
-                del self.known[w]
-        return out
+        # Lower case comes first in the library too, but for control strings.
+        pieces = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        for held in (self.often, self.late, self.words):
+            if len(held) > _CACHED:
+                held.clear()
+        often, late = self.often, self.late
+        table, rest = {}, []
+        for w in {w for p in pieces for w in p}:
+            ids = often.get(w)
+            if ids is None:
+                ids = late.get(w)
+                if ids is not None:
+                    often[w] = ids
+                elif (ids := self._simple(w)) is None:
+                    rest.append(w)
+                    continue
+                else:
+                    late[w] = ids
+            table[w] = ids
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            table[w] = np.array(e.ids, dtype="<u4").tobytes()
+            if len(w) <= 64:
+                late[w] = table[w]
+        get = table.__getitem__
+        return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in pieces]
+
+    def _simple(self, raw: bytes) -> bytes | None:
+        if raw.isalpha():  # ASCII letters only
+            return self._part(raw.decode().lower())
+        piece = raw.decode()
+        word = piece.rstrip(_MARKS)
+        if len(word) > 60 or not word.isalpha() or max(word) > "\u017f" or "\u0130" in word:
+            return None
+        ids = self._part(word.lower())
+        return ids if len(word) == len(piece) else ids + self._part(piece[len(word):])
+
+    def _part(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word if word.isascii() else "".join(_SPELLED[b] for b in word.encode())
+            ids = self.words[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
+
+
+def _spelling() -> list[str]:
+    """Byte-level spelling of the 256 bytes: printable ones as themselves, the others from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+_SPELLED = _spelling()
+#: ASCII marks that the library keeps together behind a word. An apostrophe may begin an ending.
+_MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
