@@ -12,7 +12,8 @@ RUN_EVENTS = f"""SELECT {uuid_of('event_id // 2')} AS run_id, event_id // 2 AS r
     CASE WHEN event_id % 2 = 0 THEN 'START' WHEN event_type = 'error' THEN 'FAIL' ELSE 'COMPLETE' END AS event_type,
     'job_' || ((event_id // 2) % 50) AS job_name, ts AS event_time, event_id % 1000 AS row_count,
     event_id % 3 * 100 AS size_bytes, props AS message
-    FROM events WHERE NOT (event_id % 2 = 1 AND event_type = 'click')"""
+    FROM events"""
+ORPHANED_EVENTS = f"{RUN_EVENTS} WHERE NOT (event_id % 2 = 1 AND event_type = 'click')"
 
 DATASET_PATHS = """SELECT page_id, CASE WHEN page_id % 25 = 0 THEN ''
     WHEN page_id % 9 = 0 THEN 's3://' || rest WHEN page_id % 9 = 1 THEN 's3a://' || rest
@@ -50,7 +51,7 @@ QUERY_INPUTS = """SELECT l_orderkey AS query_id, CAST(l_linenumber AS BIGINT) *
     FROM lineitem"""
 
 QUERY_OUTPUTS = """SELECT o_orderkey AS query_id, 'spark' AS namespace, 'lake.out.c' || o_custkey AS name
-    FROM orders WHERE o_orderkey % 5 <> 0"""
+    FROM orders"""
 
 PLAN_NODES = """SELECT o_orderkey AS query_id, CAST(0 AS BIGINT) AS node_id, CAST(NULL AS BIGINT) AS parent_id,
         CASE o_orderpriority WHEN '1-URGENT' THEN 'INSERT' WHEN '2-HIGH' THEN 'CREATE_TABLE'

@@ -243,8 +243,17 @@ q40_nested
     doc_id DIRECT documents.doc_id
     meta INDIRECT documents.lang documents.n_chars
     parts INDIRECT documents.source
+q41_lateral
+    o_orderkey DIRECT orders.o_orderkey
+    top INDIRECT lineitem.l_quantity
+q43_asof_frame
+    event_id DIRECT events.event_id
+    o_orderkey DIRECT orders.o_orderkey
 """
 
+# Queries with a node of unknown column flow, and that node.
+UNTRACEABLE = {"q42_rollup": "Expand"}
+
 # Tables and views each query reads. Views stand in place of the tables beneath them.
 INPUTS = """
 q01_select orders
@@ -310,6 +319,9 @@ q35_view_expr priced_orders
 q36_cte_join_agg_window orders customer
 q39_null_safe customer supplier
 q40_nested documents
+q41_lateral orders lineitem
+q42_rollup lineitem
+q43_asof_frame events orders
 """
 VIEW_BASES = {"open_orders": "orders", "priced_orders": "orders"}
 
@@ -320,7 +332,9 @@ SELECT_JOIN q10_exists q10_in q10_anti q32_coalesce q39_null_safe
 SELECT_MULTIJOIN q06_three_way q06_five_way
 SELECT_AGG q12_group_by q12_ten_aggregates q13_count_star q13_count_distinct q14_having q15_conditional_agg
 SELECT_AGG q16_array_agg q18_rank q24_pivot
-SELECT_AGG_JOIN q11_scalar_subquery q27_asof
+SELECT_AGG q42_rollup
+SELECT_AGG_JOIN q11_scalar_subquery q27_asof q41_lateral
+SELECT_JOIN q43_asof_frame
 SELECT_WINDOW q17_row_number q18_rank_lag_frame q19_qualify q20_share q25_window_unnest
 SELECT_UNION q21_union2 q21_union3 q21_union4 q22_mixed
 SELECT_INTERSECT q22_intersect

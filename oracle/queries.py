@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from oracle import fixtures as fx
-from oracle.lineage import VIEW_BASES, expected_columns, expected_inputs, expected_statements
+from oracle.lineage import UNTRACEABLE, VIEW_BASES, expected_columns, expected_inputs, expected_statements
 from oracle.shapes import shape_sql
 from provtrail.plans.shapes import shape_queries
-from provtrail.plans.traced import TRACED
+from provtrail.plans.traced import traced_names
 
-NAMES = sorted(TRACED)
+NAMES = traced_names()
 TABLE_COLUMNS = {
     "orders": "o_orderkey bigint,o_custkey bigint,o_orderstatus string,o_totalprice double,"
               "o_orderdate timestamp_ntz,o_orderpriority string",
@@ -117,14 +117,12 @@ JOB_NAMES = f"""SELECT query_id, statement, concat_ws('_', statement,
 
 STARTS = f"""SELECT o_orderkey AS query_id, {fx.uuid_of('o_orderkey')} AS run_id, 'job_' || (o_custkey % 10) AS job_name,
     o_orderdate, o_custkey, o_orderstatus, o_orderpriority, CASE WHEN o_orderkey % 7 <> 0 THEN 'select ' || o_custkey END AS query,
-    coalesce(i.n, 0) AS n_inputs, coalesce(i.names, '') AS input_names, CASE WHEN o_orderkey % 5 <> 0 THEN 1 ELSE 0 END AS n_outputs,
-    CASE WHEN o_orderkey % 5 <> 0 THEN 'lake.out.c' || o_custkey END AS output_name
+    coalesce(i.n, 0) AS n_inputs, coalesce(i.names, '') AS input_names, 1 AS n_outputs, 'lake.out.c' || o_custkey AS output_name
     FROM orders LEFT JOIN (SELECT query_id, count(*) AS n, string_agg(name, ',' ORDER BY position, name) AS names FROM (
-        SELECT query_id, name, min(position) AS position FROM ({fx.QUERY_INPUTS}) q WHERE query_id % 3 <> 0 GROUP BY ALL) d
-        GROUP BY query_id) i ON query_id = o_orderkey
-    WHERE i.n IS NOT NULL OR o_orderkey % 5 <> 0"""
-ENDS = f"""SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'COMPLETE' ELSE 'FAIL' END AS eventType,
-    o_orderstatus = 'F' AND n_outputs > 0 AS has_stats FROM ({STARTS}) s WHERE o_orderstatus <> 'P'"""
+        SELECT query_id, name, min(position) AS position FROM ({fx.QUERY_INPUTS}) q GROUP BY ALL) d
+        GROUP BY query_id) i ON query_id = o_orderkey"""
+ENDS = f"""SELECT *, CASE WHEN o_orderstatus = 'O' THEN 'FAIL' ELSE 'COMPLETE' END AS eventType,
+    o_orderstatus <> 'O' AS has_stats FROM ({STARTS}) s"""
 
 BROKEN = f"""SELECT *, CASE WHEN n % 17 = 0 THEN 'runId is required' WHEN n % 19 = 0 THEN 'eventTime is required'
     WHEN n % 23 = 0 THEN 'job is required' WHEN n % 29 = 0 THEN 'runId is not a UUID' END AS reason
@@ -132,7 +130,13 @@ BROKEN = f"""SELECT *, CASE WHEN n % 17 = 0 THEN 'runId is required' WHEN n % 19
 RUN_STATE = f"""SELECT run_id, max(job_name) AS job_name, min(event_time) FILTER (WHERE event_type = 'START') AS started,
     max(event_time) FILTER (WHERE event_type <> 'START') AS ended,
     coalesce(max(event_type) FILTER (WHERE event_type <> 'START'), 'START') AS state,
-    max(row_count) FILTER (WHERE event_type <> 'START') AS row_count FROM ({fx.RUN_EVENTS}) r GROUP BY run_id"""
+    max(row_count) FILTER (WHERE event_type <> 'START') AS row_count FROM ({fx.ORPHANED_EVENTS}) r GROUP BY run_id"""
+
+# The layers of the traced pipeline and what each reads.
+PIPELINE = {
+    "line_waits": ("lineitem", "orders"), "supplier_places": ("supplier", "nation", "region"),
+    "place_waits": ("line_waits", "supplier_places"), "brand_waits": ("line_waits", "supplier_places", "part"),
+    "area_report": ("place_waits", "brand_waits")}
 
 SQL: dict[str, str] = {
     "i01_normalize_paths": f"SELECT page_id, {NAMESPACE} AS namespace, {NAME} AS name FROM ({fx.DATASET_PATHS}) p",
@@ -154,9 +158,10 @@ SQL: dict[str, str] = {
     "i10_excluded_datasets": f"""SELECT name, count(*) AS n FROM ({fx.QUERY_INPUTS}) q
         WHERE NOT starts_with(name, '__meta_') AND NOT starts_with(name, 'lake.s.7') GROUP BY name""",
     "i10_excluded_by_table": f"""SELECT name, count(*) AS n FROM ({fx.QUERY_INPUTS}) q WHERE NOT EXISTS (
-        SELECT 1 FROM supplier WHERE s_acctbal < 1000 AND starts_with(name, 'lake.s.' || s_suppkey)) GROUP BY name""",
+        SELECT 1 FROM supplier WHERE starts_with(name, 'lake.s.' || s_suppkey)) GROUP BY name""",
     "i11_dedup_inputs": f"SELECT query_id, name, min(position) AS position FROM ({fx.QUERY_INPUTS}) q GROUP BY ALL",
-    "i12_drop_empty": f"SELECT job_name, count(*) AS n FROM ({STARTS}) s GROUP BY job_name",
+    "i12_drop_empty": f"""SELECT job_name, count(*) AS n FROM ({STARTS}) s
+        WHERE (query_id % 3 <> 0 AND n_inputs > 0) OR query_id % 5 <> 0 GROUP BY job_name""",
     "c02_c15_c16_merge_columns": f"""SELECT DISTINCT query_id, out_col, ordinal, transformation_type, name, field
         FROM ({LAST_EDGES}) e JOIN ({KINDS}) k USING (query_id, out_col)""",
     "c_closure_of_bindings": """WITH RECURSIVE up(src, cur, breaks) AS (
@@ -165,6 +170,10 @@ SQL: dict[str, str] = {
             WHERE cur > 0)
         SELECT src, breaks FROM up WHERE cur = 0""",
     "c01_c16_resolve_columns": _resolved_columns(),
+    "c17_rejects": f"""SELECT query_id, 'untraceable node ' || node AS reason FROM ({LOG}) log
+        JOIN (VALUES {values((NAMES.index(q), n) for q, n in UNTRACEABLE.items())}) e(t, node) USING (t)""",
+    "c_distinct_plans": f"""SELECT name AS template, o_custkey // 20 AS tenant, count(*) AS executions, 1 AS plans FROM orders
+        JOIN (VALUES {values(enumerate(NAMES))}) e(t, name) ON o_orderkey % {len(NAMES)} = t GROUP BY ALL""",
     "s01_scan_datasets": _scans(),
     "s02_file_scan_datasets": f"""SELECT DISTINCT CAST(page_id // 3 AS VARCHAR) AS query_id, {NAMESPACE} AS namespace, {NAME} AS name
         FROM ({fx.DATASET_PATHS}) p""",
@@ -218,8 +227,8 @@ SQL: dict[str, str] = {
     "r21_required_facets": f"""SELECT 'START' AS "eventType", count(*) AS with_producer, count(*) AS with_engine,
         count(query) AS with_sql FROM ({STARTS}) s""",
     "s04_s06_traced_writes": """SELECT 'COPY' AS sink_op, 'COMPLETE' AS event_type, count(*) AS row_count FROM orders
-            WHERE o_totalprice > 100000 UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*) FROM customer
-        UNION ALL SELECT 'INSERT', 'COMPLETE', count(*) FROM customer WHERE c_acctbal > 0""",
+        UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*) FROM customer
+        UNION ALL SELECT 'INSERT', 'COMPLETE', count(*) FROM supplier""",
     "s04_r01_traced_events": """SELECT 'START' AS "eventType", 'orders' AS input, CAST(NULL AS BIGINT) AS row_count,
             'INDIRECT' AS total_type, 'OVERWRITE' AS state
         UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), 'INDIRECT', 'OVERWRITE' FROM orders""",
@@ -228,7 +237,10 @@ SQL: dict[str, str] = {
     "g01_dataset_edges": f"""SELECT DISTINCT i.name AS in_name, o.name AS out_name FROM ({fx.QUERY_INPUTS}) i
         JOIN ({fx.QUERY_OUTPUTS}) o USING (query_id)""",
     "g01_event_edges": f"""SELECT DISTINCT i.name AS in_name, o.name AS out_name FROM ({fx.QUERY_INPUTS}) i
-        JOIN ({fx.QUERY_OUTPUTS}) o USING (query_id) WHERE query_id % 3 <> 0""",
+        JOIN ({fx.QUERY_OUTPUTS}) o USING (query_id)""",
+    "g01_pipeline_edges": f"""SELECT * FROM (VALUES {values(
+        (i if i in ("lineitem", "orders", "supplier", "nation", "region", "part") else f"spark_catalog.default.{i}", f"spark_catalog.default.{o}")
+        for o, inputs in PIPELINE.items() for i in inputs)}) e(in_name, out_name)""",
     "g02_collapse_views": """WITH scans AS (SELECT l_orderkey AS query_id, l_suppkey,
             CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey AS position, l_returnflag = 'R' AS viewed FROM lineitem),
         hidden AS (SELECT DISTINCT query_id, position FROM scans WHERE viewed)

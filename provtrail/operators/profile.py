@@ -21,7 +21,7 @@ UTILITY = ("SET", "RESET", "PRAGMA", "EXPLAIN", "TRANSACTION", "LOAD", "PREPARE"
 CATALYST_OPERATORS = {
     "Aggregate": "AGGREGATE", "Window": "WINDOW", "Union": "UNION", "Except": "EXCEPT",
     "Intersect": "INTERSECT", "Distinct": "DISTINCT", "Deduplicate": "DISTINCT", "WithCTE": "MATERIALIZED_CTE",
-    "UnionLoop": "RECURSIVE_CTE", "AsOfJoin": "ASOF_JOIN", "InsertIntoStatement": "INSERT",
+    "UnionLoop": "RECURSIVE_CTE", "AsOfJoin": "ASOF_JOIN", "LateralJoin": "COMPARISON_JOIN", "InsertIntoStatement": "INSERT",
     "InsertIntoHadoopFsRelationCommand": "INSERT", "AppendData": "INSERT", "OverwriteByExpression": "INSERT",
     "CreateTableAsSelect": "CREATE_TABLE", "CreateDataSourceTableAsSelectCommand": "CREATE_TABLE",
     "CreateViewCommand": "CREATE_VIEW", "DeleteFromTable": "DELETE", "UpdateTable": "UPDATE",

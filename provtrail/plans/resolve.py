@@ -31,11 +31,11 @@ ID = r'"(?:id|cteId|loopId)":\d+'
 def plan_key():
     """128-bit fingerprint of the plan and of the files that it names as inputs.
 
-    A plan gets new expression ids and a session id each time it is analyzed; ids are numbered
-    by first appearance and the session id is left out, so that equal queries have one key.
-    Work and memory are bounded by the text of one plan.
+    A plan gets new expression ids and a session id each time it is analyzed, and views the time
+    of their registration; ids are numbered by first appearance and the others are left out, so
+    that equal queries have one key. Work and memory are bounded by the text of one plan.
     """
-    text = F.regexp_replace("plan_json", r'"jvmId":"[^"]*"', "")
+    text = F.regexp_replace("plan_json", r'"jvmId":"[^"]*"|"(?:createTime|lastAccessTime)":-?\d+', "")
     found = F.regexp_extract_all(text, F.lit(f"({ID})"), F.lit(1))
     numbers = let(F.array_distinct(found), lambda known: F.transform(
         found, lambda x: F.concat(F.lit("#"), F.array_position(known, x).cast("string"))))
@@ -142,11 +142,15 @@ def rejected_plans(plan_log: DataFrame) -> DataFrame:
     """
     keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
     levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True)
+    return keyed.join(rejects_of(levels), "plan_id").select("query_id", "reason")
+
+
+def rejects_of(levels: DataFrame) -> DataFrame:
+    """Plans that cannot be traced, from their parsed levels: plan_id, reason."""
     reason = F.when(F.col("outputs").isNull(), "malformed plan").when(
         F.col("unknown").isNotNull(), F.concat(F.lit("untraceable node "), F.col("unknown")))
     bad = levels.select("plan_id", "scope", reason.alias("reason")).filter("reason is not null")
-    first = bad.groupBy("plan_id").agg(F.min_by("reason", "scope").alias("reason"))
-    return keyed.join(first, "plan_id").select("query_id", "reason")
+    return bad.groupBy("plan_id").agg(F.min_by("reason", "scope").alias("reason"))
 
 
 def scan_datasets(parsed: Parsed) -> DataFrame:

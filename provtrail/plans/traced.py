@@ -142,8 +142,26 @@ TRACED: dict[str, str] = {
         LEFT JOIN supplier ON c_custkey = s_suppkey WHERE c_name IS NOT NULL""",
     "q40_nested": """SELECT doc_id, named_struct('lang', lang, 'chars', n_chars) AS meta,
         split(source, '_') AS parts FROM documents""",
+    "q41_lateral": """SELECT o_orderkey, t.top FROM orders,
+        LATERAL (SELECT MAX(l_quantity) AS top FROM lineitem WHERE l_orderkey = o_orderkey) t""",
+    "q42_rollup": """SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS quantity FROM lineitem
+        GROUP BY ROLLUP (l_returnflag, l_linestatus)""",
 }
 
+
+def _asof_frame(spark: SparkSession) -> DataFrame:
+    orders = spark.table("orders").select("o_orderkey", "o_orderdate")
+    return spark.table("events").select("event_id", "ts")._joinAsOf(
+        orders, leftAsOfColumn="ts", rightAsOfColumn="o_orderdate", how="left").select("event_id", "o_orderkey")
+
+
+# Traced through the DataFrame API: SQL has no words for them.
+TRACED_FRAMES = {"q43_asof_frame": _asof_frame}
+
+
+def traced_names() -> list[str]:
+    return sorted([*TRACED, *TRACED_FRAMES])
+
 VIEWS = {
     "open_orders": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'O'",
     "priced_orders": "SELECT o_orderkey, o_totalprice * 1.1D AS gross FROM orders",
@@ -166,14 +184,17 @@ def traced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(TRACED[name])
 
 
-_CAPTURED: dict[tuple[str, str], list[tuple]] = {}
+_CAPTURED: dict[tuple[str, str, int], list[tuple]] = {}
 
 
-def traced_plan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured plans of all traced queries: one plan-log row each, captured once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def traced_plan_log(spark: SparkSession, sf_dir: str, fresh: int = 0) -> DataFrame:
+    """Captured plans of all traced queries: one plan-log row each, captured once per application
+    and number ``fresh``."""
+    key = (spark.sparkContext.applicationId, sf_dir, fresh)
     if key not in _CAPTURED:
-        prepare(spark, sf_dir, " ".join([*TRACED.values(), *VIEWS]))
+        prepare(spark, sf_dir, " ".join([*TRACED.values(), *VIEWS, "events", "orders"]))
         _CAPTURED[key] = [
             capture(spark.sql(text), name, text, "CREATE_TABLE", None, f"{name}_out") for name, text in TRACED.items()]
+        _CAPTURED[key] += [
+            capture(frame(spark), name, None, "CREATE_TABLE", None, f"{name}_out") for name, frame in TRACED_FRAMES.items()]
     return plan_log(spark, _CAPTURED[key])

@@ -11,7 +11,7 @@ from provtrail.functions import ids, naming
 from provtrail.operators import datasets, events, graph, profile
 from provtrail.operators.closure import close_edges
 from provtrail.plans import assemble, resolve
-from provtrail.plans.shapes import shape_queries
+from provtrail.plans.shapes import shape_queries, waiting_pipeline
 from provtrail.session import work_dir
 from provtrail.sources import event_io, fixtures as fx
 from provtrail.sources.tables import register, table
@@ -88,9 +88,8 @@ def i10_excluded_datasets(spark, sf_dir):
 
 @query
 def i10_excluded_by_table(spark, sf_dir):
-    # Prefixes from data: the datasets of every supplier with a negative or small balance.
-    s = table(spark, sf_dir, "supplier").filter("s_acctbal < 1000")
-    prefixes = s.select(F.concat(F.lit("lake.s."), "s_suppkey").alias("prefix"))
+    # Prefixes from data: the datasets of every supplier.
+    prefixes = table(spark, sf_dir, "supplier").select(F.concat(F.lit("lake.s."), "s_suppkey").alias("prefix"))
     return datasets.exclude_by_table(fx.query_inputs(spark, sf_dir), prefixes).groupBy("name").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -102,7 +101,10 @@ def i11_dedup_inputs(spark, sf_dir):
 
 @query
 def i12_drop_empty(spark, sf_dir):
-    return _start_events(spark, sf_dir).groupBy("job.name").agg(F.count(F.lit(1)).alias("n")).select(
+    # Every third query reads nothing, every fifth writes nothing: those without either go.
+    e = _start_events(spark, sf_dir, fx.query_inputs(spark, sf_dir).filter("query_id % 3 <> 0"),
+                      fx.query_outputs(spark, sf_dir).filter("query_id % 5 <> 0"))
+    return e.groupBy("job.name").agg(F.count(F.lit(1)).alias("n")).select(
         F.col("name").alias("job_name"), "n")
 
 
@@ -177,6 +179,22 @@ def j01_j02_traced_statements(spark, sf_dir):
     return queries.select("query_id", "plan_id").join(types, "plan_id").select("query_id", "statement")
 
 
+@query
+def c17_rejects(spark, sf_dir):
+    """Executions of the log whose plan has a node of unknown column flow."""
+    queries, _, parsed = _resolved(spark, sf_dir)
+    return queries.select("query_id", "plan_id").join(resolve.rejects_of(parsed.levels), "plan_id").select("query_id", "reason")
+
+
+@query
+def c_distinct_plans(spark, sf_dir):
+    """Each order runs one of three fresh captures of its query: executions and plan keys of each."""
+    queries, variants = fx.recaptured_plan_log(spark, sf_dir)
+    keyed = variants.select("template", "variant", "tenant", resolve.plan_key().alias("key"))
+    return queries.join(keyed, ["template", "variant", "tenant"]).groupBy("template", "tenant").agg(
+        F.count(F.lit(1)).alias("executions"), F.count_distinct("key").alias("plans"))
+
+
 # -- statements and names -------------------------------------------------------------
 
 @query
@@ -225,22 +243,22 @@ def j08_hash_fallback(spark, sf_dir):
 
 # -- runs and facets ------------------------------------------------------------------
 
-def _start_events(spark, sf_dir):
+def _start_events(spark, sf_dir, inputs=None, outputs=None):
     """START events of one run per order."""
     o = table(spark, sf_dir, "orders")
     runs = o.select(F.col("o_orderkey").alias("query_id"), fx.uuid_of(F.col("o_orderkey")).alias("run_id"),
                     F.col("o_orderdate").alias("event_time"),
                     F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("select "), "o_custkey")).alias("query"))
     jobs = o.select(F.col("o_orderkey").alias("query_id"), F.concat(F.lit("job_"), F.col("o_custkey") % 10).alias("job_name"))
-    inputs = fx.query_inputs(spark, sf_dir).filter("query_id % 3 <> 0")
-    return events.start_events(runs, jobs, inputs, fx.query_outputs(spark, sf_dir), engine_version="1.0")
+    inputs = fx.query_inputs(spark, sf_dir) if inputs is None else inputs
+    outputs = fx.query_outputs(spark, sf_dir) if outputs is None else outputs
+    return events.start_events(runs, jobs, inputs, outputs, engine_version="1.0")
 
 
 def _terminal_events(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    outcomes = o.select(
+    outcomes = table(spark, sf_dir, "orders").select(
         fx.uuid_of(F.col("o_orderkey")).alias("run_id"),
-        F.when(F.col("o_orderstatus") == "F", "COMPLETE").otherwise("FAIL").alias("event_type"),
+        F.when(F.col("o_orderstatus") == "O", "FAIL").otherwise("COMPLETE").alias("event_type"),
         F.date_add("o_orderdate", 1).cast("timestamp").alias("event_time"), F.col("o_custkey").alias("row_count"),
         (F.col("o_custkey") % 3 * 10).alias("size_bytes"), F.concat(F.lit("bad "), "o_orderpriority").alias("error"))
     return events.terminal_events(_start_events(spark, sf_dir), outcomes)
@@ -391,14 +409,14 @@ def r18_iso_time(spark, sf_dir):
 
 @query
 def r19_run_state(spark, sf_dir):
-    s = events.run_state(fx.run_events(spark, sf_dir))
+    s = events.run_state(fx.run_events(spark, sf_dir, orphans=True))
     return s.select("run_id", "job_name", events.iso_time("started").alias("started"),
                     events.iso_time("ended").alias("ended"), "state", "row_count")
 
 
 @query
 def r19_orphans(spark, sf_dir):
-    return events.run_state(fx.run_events(spark, sf_dir)).filter("orphan").select("run_id", "job_name")
+    return events.run_state(fx.run_events(spark, sf_dir, orphans=True)).filter("orphan").select("run_id", "job_name")
 
 
 @query
@@ -445,9 +463,9 @@ def s04_s06_traced_writes(spark, sf_dir):
     log = TraceLog(spark, f"{base}/log")
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     name = f"traced_{uuid.uuid4().hex}"
-    log.write(orders.filter("o_totalprice > 100000"), f"{base}/export")
+    log.write(orders, f"{base}/export")
     log.create(customer.select("c_custkey", "c_name"), name, path=f"{base}/table")
-    log.append(customer.filter("c_acctbal > 0").select("c_custkey", "c_name"), name)
+    log.append(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name")), name)
     return log.runs().join(log.plans().select("query_id", "sink_op"), "query_id").select(
         "sink_op", "event_type", "row_count")
 
@@ -487,6 +505,17 @@ def g01_dataset_edges(spark, sf_dir):
     return graph.dataset_edges(fx.query_inputs(spark, sf_dir), fx.query_outputs(spark, sf_dir)).select("in_name", "out_name")
 
 
+@query
+def g01_pipeline_edges(spark, sf_dir):
+    """The dataset graph of the traced pipeline, from its plan log; run ids taken off the names."""
+    log, _ = waiting_pipeline(spark, sf_dir)
+    plans = resolve.distinct_plans(log.plans())
+    keyed = log.plans().select("query_id", resolve.plan_key().alias("plan_id"))
+    inputs = keyed.join(resolve.plan_inputs(resolve.parse_log(plans)), "plan_id")
+    edges = graph.dataset_edges(inputs, resolve.sink_datasets(log.plans()))
+    return edges.select(*[F.regexp_replace(c, "_[0-9a-f]{32}$", "").alias(c) for c in ("in_name", "out_name")])
+
+
 @query
 def g01_event_edges(spark, sf_dir):
     return graph.event_edges(_start_events(spark, sf_dir)).select("in_name", "out_name")
@@ -507,7 +536,7 @@ def g02_collapse_views(spark, sf_dir):
 def _event_files(spark, sf_dir, df, label):
     """Events as time-ordered files for a stream to read."""
     path = f"{work_dir(spark)}/provtrail/{label}-{uuid.uuid4().hex}"
-    df.repartitionByRange(4, "event_time").write.parquet(path)
+    df.repartitionByRange("event_time").write.parquet(path)
     return path
 
 
@@ -534,7 +563,7 @@ def t02_stream_dedup(spark, sf_dir):
 @query
 def t03_stream_run_state(spark, sf_dir):
     """Run state from a stream; equals the batch result."""
-    e = fx.run_events(spark, sf_dir)
+    e = fx.run_events(spark, sf_dir, orphans=True)
     root = f"{work_dir(spark)}/provtrail/runs-{uuid.uuid4().hex}"
     rows = e.withColumn("job_namespace", F.lit("spark")).withColumn("outputs", F.array(F.struct(
         F.lit("spark").alias("namespace"), F.lit("d").alias("name"), events.dataset_facets().alias("facets"),

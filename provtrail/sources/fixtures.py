@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from provtrail.plans.traced import TRACED, traced_plan_log
+from provtrail.plans.traced import traced_names, traced_plan_log
 from provtrail.sources.tables import small_side, table
 
 
@@ -17,12 +17,13 @@ def uuid_of(n: Column) -> Column:
     return F.concat_ws("-", *[F.substring(h, i, w) for i, w in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
-def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """START / COMPLETE / FAIL rows from ``events``; odd clicks are missing, so some runs never end."""
+def run_events(spark: SparkSession, sf_dir: str, orphans: bool = False) -> DataFrame:
+    """START / COMPLETE / FAIL rows from ``events``; with ``orphans`` odd clicks are missing, so some
+    runs never end."""
     e = table(spark, sf_dir, "events")
     run = F.expr("event_id div 2")
     kind = F.when(F.col("event_id") % 2 == 0, "START").when(F.col("event_type") == "error", "FAIL").otherwise("COMPLETE")
-    return e.filter("not (event_id % 2 = 1 and event_type = 'click')").select(
+    return (e.filter("not (event_id % 2 = 1 and event_type = 'click')") if orphans else e).select(
         uuid_of(run).alias("run_id"), run.alias("run_no"), kind.alias("event_type"),
         F.concat(F.lit("job_"), run % 50).alias("job_name"), F.col("ts").alias("event_time"),
         (F.col("event_id") % 1000).alias("row_count"), (F.col("event_id") % 3 * 100).alias("size_bytes"),
@@ -167,8 +168,8 @@ def query_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One output per query from ``orders``; every fifth query writes nothing."""
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select(
+    """One output per query from ``orders``."""
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("query_id"), F.lit(0).cast("bigint").alias("position"), F.lit("spark").alias("namespace"),
         F.concat(F.lit("lake.out.c"), F.col("o_custkey")).alias("name"))
 
@@ -181,7 +182,7 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     with its table names moved to the tenant's. Plans grow with the number of customers.
     """
     templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "query", "plan_json")
-    names = sorted(TRACED)
+    names = traced_names()
     number = F.map_from_arrays(F.array(*[F.lit(i) for i in range(len(names))]), F.array(*[F.lit(n) for n in names]))
     queries = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("query_id"),
@@ -189,9 +190,29 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.expr("o_custkey div 20").alias("tenant"), F.col("o_orderdate").alias("event_time"),
     ).withColumn("plan_id", F.concat_ws("@", "template", "tenant"))
     # Plan texts are thousands of times larger than their keys: spread the keys first.
-    spread = queries.select("template", "tenant", "plan_id").distinct().repartition(
-        4 * spark.sparkContext.defaultParallelism, "plan_id")
+    spread = queries.select("template", "tenant", "plan_id").distinct().repartition("plan_id")
     plans = spread.join(small_side(templates), "template").select(
         "plan_id", "query",
-        F.regexp_replace("plan_json", F.lit('"table":"([a-z_]+)"'), F.concat(F.lit('"table":"$1_'), "tenant", F.lit('"'))).alias("plan_json"))
+        _of_tenant().alias("plan_json"))
     return queries, plans
+
+
+def recaptured_plan_log(spark: SparkSession, sf_dir: str, captures: int = 3) -> tuple[DataFrame, DataFrame]:
+    """As ``plan_log``, but each query text is analyzed anew ``captures`` times: (queries, variants).
+
+    Each execution has the text of one capture; ``variants`` has each (template, variant, tenant) once.
+    """
+    logs = [traced_plan_log(spark, sf_dir, fresh=i).select(
+        F.col("query_id").alias("template"), F.lit(i).alias("variant"), "plan_json",
+        F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files")) for i in range(captures)]
+    templates = logs[0]
+    for log in logs[1:]:
+        templates = templates.union(log)
+    queries = plan_log(spark, sf_dir)[0].withColumn("variant", (F.col("query_id").cast("bigint") % captures).cast("int"))
+    spread = queries.select("template", "variant", "tenant").distinct().repartition("template", "variant", "tenant")
+    return queries, spread.join(small_side(templates), ["template", "variant"]).withColumn("plan_json", _of_tenant())
+
+
+def _of_tenant():
+    """The plan text with its table names moved to the tenant's."""
+    return F.regexp_replace("plan_json", F.lit('"table":"([a-z_]+)"'), F.concat(F.lit('"table":"$1_'), "tenant", F.lit('"')))
