@@ -230,8 +230,9 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*) FROM customer
         UNION ALL SELECT 'INSERT', 'COMPLETE', count(*) FROM supplier""",
     "s04_r01_traced_events": """SELECT 'START' AS "eventType", 'orders' AS input, CAST(NULL AS BIGINT) AS row_count,
-            'INDIRECT' AS total_type, 'OVERWRITE' AS state
-        UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), 'INDIRECT', 'OVERWRITE' FROM orders""",
+            'INDIRECT' AS total_type, 'customer bigint,total double' AS fields, 'OVERWRITE' AS state
+        UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), 'INDIRECT', 'customer bigint,total double', 'OVERWRITE'
+        FROM orders""",
     "s09_s10_event_round_trip": f"""SELECT eventType AS "eventType", job_name, count(*) AS n,
         CAST(sum(CASE WHEN has_stats THEN o_custkey END) AS BIGINT) AS row_count FROM ({ENDS}) e GROUP BY ALL""",
     "g01_dataset_edges": f"""SELECT DISTINCT i.name AS in_name, o.name AS out_name FROM ({fx.QUERY_INPUTS}) i

@@ -28,17 +28,17 @@ def exclude_datasets(df: DataFrame, prefixes: str | Iterable[str], name: str = "
 def exclude_by_table(df: DataFrame, prefixes: DataFrame, name: str = "name") -> DataFrame:
     """As ``exclude_datasets`` with the prefixes in a table (column ``prefix``).
 
-    Names are cut to each prefix length that occurs, which turns the starts-with test into
-    an equi-join whose right side is the prefix table.
+    Distinct names are cut to every length up to that of the longest prefix, which turns the
+    starts-with test into an equi-join whose right side is the prefix table.
     """
     clean = prefixes.select(F.trim("prefix").alias("prefix")).filter("prefix <> ''").distinct()
-    # Distinct lengths are at most as many as the longest prefix has letters: safe to collect.
-    lengths = sorted(r.n for r in clean.select(F.length("prefix").alias("n")).distinct().collect())
-    if not lengths:
+    longest = clean.agg(F.max(F.length("prefix")).alias("n")).first()["n"]
+    if not longest:
         return df
-    cuts = F.array(*[F.substring(F.col(name), 1, n) for n in lengths])
+    most = F.least(F.length(name), F.lit(longest))
+    cuts = F.transform(F.sequence(F.lit(1), most), lambda n: F.substring(F.col(name), F.lit(1), n))
     hits = (
-        df.select(name).distinct().select(name, F.explode(F.array_distinct(cuts)).alias("prefix"))
+        df.select(name).filter(F.length(name) > 0).distinct().select(name, F.explode(cuts).alias("prefix"))
         .join(small_side(clean), "prefix").select(name).distinct()
     )
     return df.join(hits, name, "left_anti")

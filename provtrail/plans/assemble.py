@@ -46,7 +46,7 @@ def log_events(
     state = events.lifecycle_state(F.col("operation"))
     none = F.lit(None).cast("string")
     outputs = sinks.select("query_id", F.lit(0).alias("position"), "namespace", "name", events.dataset_facets(
-        datasetType=events.type_facet(F.col("dataset_type")),
+        schema=events.schema_facet(F.col("fields")), datasetType=events.type_facet(F.col("dataset_type")),
         lifecycleStateChange=events.lifecycle_facet(state, none, none), **catalog_facets).alias("facets"))
 
     # Column lineage only where there is an output to attach it to.
@@ -83,10 +83,11 @@ def _job_names(plan_log: DataFrame, keyed: DataFrame, shapes: DataFrame) -> Data
     """Job names; a query with a sink is named after what it does to the sink."""
     operation = F.col("sink_op")
     sink_table = F.element_at(F.split("sink_name", "[./]"), -1)
-    joined = keyed.join(shapes.withColumnRenamed("query_id", "plan_id"), "plan_id").join(
-        plan_log.select("query_id", "query", "plan_json", "sink_op", "sink_name"), "query_id")
+    # Texts are hashed before the join, so no plan text is shuffled.
+    named = plan_log.select("query_id", profile.short_hash("query", "plan_json").alias("hash8"), "sink_op", "sink_name")
+    joined = keyed.join(shapes.withColumnRenamed("query_id", "plan_id"), "plan_id").join(named, "query_id")
     tables = F.slice(F.concat(
         F.when(operation.isin("INSERT", "CREATE_TABLE"), F.array(sink_table)).otherwise(F.array().cast("array<string>")),
         F.col("tables")), 1, profile.MAX_TABLES)
     return joined.select("query_id", profile.job_name(
-        F.coalesce(operation, "statement"), tables, profile.short_hash("query", "plan_json")).alias("job_name"))
+        F.coalesce(operation, "statement"), tables, F.col("hash8")).alias("job_name"))

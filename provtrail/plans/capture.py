@@ -42,9 +42,11 @@ def capture(
     sink_ns: str | None = None, sink_name: str | None = None, event_time: datetime | None = None,
 ) -> tuple:
     """One plan-log row (see ``PLAN_LOG_DDL``) for the query behind ``df``."""
-    when = event_time or datetime.now(timezone.utc).replace(tzinfo=None)
-    return (query_id, query, plan_text(df), scanned_files(df), sink_op, sink_ns, sink_name, when)
+    when = event_time or datetime.now(timezone.utc)
+    fields = [(f.name, f.dataType.simpleString()) for f in df.schema] if sink_op else None
+    return (query_id, query, plan_text(df), scanned_files(df), sink_op, sink_ns, sink_name, when, fields)
 
 
 def plan_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, PLAN_LOG_DDL)
+    """A plan log of rows as ``capture`` gives them; what later columns a row lacks is null."""
+    return spark.createDataFrame([(*r, *[None] * (9 - len(r))) for r in rows], PLAN_LOG_DDL)

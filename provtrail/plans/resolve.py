@@ -172,11 +172,14 @@ def file_scan_datasets(plan_log: DataFrame) -> DataFrame:
 
 
 def sink_datasets(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
-    """Output dataset of every query that writes: query_id, namespace, name, operation, dataset_type."""
+    """Output dataset of every query that writes: query_id, namespace, name, operation, dataset_type,
+    fields (null where the log has none)."""
+    fields = F.col("sink_fields") if "sink_fields" in plan_log.columns else F.lit(None).cast(
+        "array<struct<name: string, type: string>>")
     return plan_log.filter("sink_name is not null").select(
         "query_id", F.coalesce("sink_ns", F.lit(default_namespace)).alias("namespace"), F.col("sink_name").alias("name"),
         F.col("sink_op").alias("operation"),
-        F.when(F.col("sink_op") == "CREATE_VIEW", "VIEW").otherwise("TABLE").alias("dataset_type"))
+        F.when(F.col("sink_op") == "CREATE_VIEW", "VIEW").otherwise("TABLE").alias("dataset_type"), fields.alias("fields"))
 
 
 def exclude_sources(columns: DataFrame, prefixes) -> DataFrame:

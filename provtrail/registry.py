@@ -485,6 +485,7 @@ def s04_r01_traced_events(spark, sf_dir):
     return both.select(
         "eventType", F.get("inputs.name", F.lit(0)).alias("input"), stats.alias("row_count"),
         columns["total"]["transformationType"].alias("total_type"),
+        F.array_join(F.transform(F.get("outputs.facets.schema.fields", F.lit(0)), lambda f: F.concat_ws(" ", f["name"], f["type"])), ",").alias("fields"),
         F.get("outputs.facets.lifecycleStateChange.lifecycleStateChange", F.lit(0)).alias("state"))
 
 

@@ -58,9 +58,11 @@ EVENT_DDL = f"""
     outputs array<{OUTPUT_DATASET}>
 """
 
-# One row per captured query. ``files`` lists, per scan leaf in plan order, its paths.
+# One row per captured query. ``files`` lists, per scan leaf in plan order, its paths; ``sink_fields``
+# are the columns written.
 PLAN_LOG_DDL = """
     query_id string, query string, plan_json string,
     files array<struct<leaf: int, paths: array<string>>>,
-    sink_op string, sink_ns string, sink_name string, event_time timestamp
+    sink_op string, sink_ns string, sink_name string, event_time timestamp,
+    sink_fields array<struct<name: string, type: string>>
 """

@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from provtrail.operators.events import with_reason
 from provtrail.session import work_dir
@@ -49,9 +49,14 @@ def _into(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
 
-def ingest(stream: DataFrame, tables: IntakeTables, checkpoint: str, strict: bool = False) -> StreamingQuery:
+def ingest(
+    stream: DataFrame, tables: IntakeTables, checkpoint: str, strict: bool = False, **trigger,
+) -> StreamingQuery:
     """Split a stream into valid events and rejects, and keep the run state.
 
+    ``trigger`` as for ``DataStreamWriter.trigger``: what is available now by default, or for a
+    continuous intake ``processingTime="1 minute"``.
+
     Each batch also leaves a small mergeable summary per run and its counts (events taken,
     rejected). Run state is merged from the summaries when read, so no state store grows
     with the number of runs and late or missing ends are never dropped.
@@ -71,7 +76,19 @@ def ingest(stream: DataFrame, tables: IntakeTables, checkpoint: str, strict: boo
             df.unpersist()
 
     return (checked.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_valid_events(spark: SparkSession, tables: IntakeTables) -> DataFrame:
+    """Valid events, each once: of deliveries of one run and event type the first by event time stays.
+
+    The summaries behind ``read_run_state`` are the same for repeated deliveries.
+    """
+    rows = spark.read.parquet(tables.events).drop("batch")
+    key = ["run.runId", "eventType"]
+    return rows.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(key)]).agg(
+        F.min_by(F.struct(*rows.columns), F.struct("eventTime", F.xxhash64(*[F.to_json(c) if c in (
+            "run", "job", "inputs", "outputs") else c for c in rows.columns]))).alias("e")).select("e.*")
 
 
 def run_partials(events: DataFrame) -> DataFrame:
@@ -131,7 +148,31 @@ def run_to_table(stream: DataFrame, label: str, output_mode: str = "append") ->
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that watermarks dropped, by query id: ``spark.streams.addListener(LateRows())``.
+
+    Counts every report, so also those of streams that run for long.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped so far, from the progress reports of a query."""
+    """Rows the watermark dropped in the last 100 batches; ``LateRows`` counts all."""
     return sum(
         op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])

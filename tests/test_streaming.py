@@ -1,5 +1,6 @@
 """Streams against their batch twins, late data, orphans."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -45,12 +46,20 @@ def test_duplicates_go_and_late_rows_are_counted(spark, files, tmp_path):
         [("r3", "j", "START", at(101), 1)],
         [("late", "j", "START", at(1), 1)],
     ])
+    counter = intake.LateRows()
+    spark.streams.addListener(counter)
     query = (intake.dedup_stream(stream, "2 hours").writeStream.format("parquet").option("path", f"{tmp_path}/out")
              .option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start())
     query.awaitTermination()
     got = sorted(r.run_id for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == ["r1", "r2", "r3"]
     assert intake.late_rows(query) == 1
+    for _ in range(100):
+        if str(query.id) in counter.ended:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(counter)
+    assert counter.dropped == {str(query.id): 1}
 
 
 def test_stream_join_pairs_and_reports_orphans(spark, files):
@@ -72,3 +81,24 @@ def test_rerun_batch_overwrites_itself(spark, tmp_path):
     for _ in range(2):
         intake._into(df, f"{tmp_path}/t", 0)
     assert spark.read.parquet(f"{tmp_path}/t").count() == 1
+
+
+def test_repeated_deliveries_of_an_intake(spark, sf_dir, tmp_path):
+    """Each file delivered twice: the same events and run state as delivered once."""
+    from provtrail.registry import _maybe_broken
+    from provtrail.sources import event_io
+
+    rows = _maybe_broken(spark, sf_dir).drop("n")
+    results = []
+    for times in (1, 2):
+        root = f"{tmp_path}/{times}"
+        for i in range(times):
+            event_io.write_events(rows, f"{root}/incoming/{i}")
+        tables = intake.IntakeTables(f"{root}/tables")
+        stream = spark.readStream.schema(event_io.stream_events(spark, f"{root}/incoming/0", 4).schema).option(
+            "recursiveFileLookup", "true").json(f"{root}/incoming")
+        intake.ingest(stream, tables, f"{root}/checkpoint", strict=True, availableNow=True).awaitTermination()
+        valid = intake.read_valid_events(spark, tables)
+        results.append((sorted(map(str, valid.select("eventType", "eventTime", "run.runId").collect())),
+                        sorted(map(str, intake.read_run_state(spark, tables).collect()))))
+    assert results[0] == results[1] and results[0][0]
