@@ -258,7 +258,11 @@ def _bind(desc: Column) -> Column:
     return F.element_at(_fold(desc, NODE_FOLD, merge), 1)
 
 
-def _parse(plans: DataFrame, steps: tuple | None = None) -> DataFrame:
+# What a parse can give besides subplans, outputs and unknown, which it always gives.
+RESULTS = ("nodes", "scans", "edges")
+
+
+def _parse(plans: DataFrame, steps: tuple | None = None, wanted: tuple[str, ...] = RESULTS) -> DataFrame:
     """Parse (sub)plans: plan_id, scope, plan_json, files. Narrow: no shuffle.
 
     What comes back per plan is compact: its nodes, scans, column edges and output columns,
@@ -267,11 +271,12 @@ def _parse(plans: DataFrame, steps: tuple | None = None) -> DataFrame:
     columns, results = steps or _parse_steps()
     for name, column in columns:
         plans = plans.withColumn(name, column)
-    return plans.select("plan_id", "scope", *results)
+    return plans.select("plan_id", "scope", *[
+        c.alias(name) for name, c in results.items() if name in wanted or name not in RESULTS])
 
 
-def _parse_steps() -> tuple[list[tuple[str, Column]], list[Column]]:
-    """Expressions of ``_parse``: intermediate columns in order, then the results."""
+def _parse_steps() -> tuple[list[tuple[str, Column]], dict[str, Column]]:
+    """Expressions of ``_parse``: intermediate columns in order, then the results by name."""
     scope = F.col("scope")
     columns = [
         ("raw", F.from_json("plan_json", PLAN_SCHEMA)),
@@ -284,21 +289,21 @@ def _parse_steps() -> tuple[list[tuple[str, Column]], list[Column]]:
     edges = F.transform("bound.done", lambda b: let(
         F.get("desc", b["nid"]), lambda d: _edges_of(b["nid"], b["scope"], d, scope)))
     roots = F.transform("bound.out", lambda p, i: _edge(_vertex(scope, F.lit("R"), i), p["v"]))
-    results = [
-        F.col("subplans"),
-        F.transform("bound.done", lambda b: let(F.get("desc", b["nid"]), lambda d: F.struct(
+    results = {
+        "subplans": F.col("subplans"),
+        "nodes": F.transform("bound.done", lambda b: let(F.get("desc", b["nid"]), lambda d: F.struct(
             b["nid"].alias("nid"), b["size"].alias("size"), b["kids"].alias("kids"), d["cls"].alias("cls"),
-            d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))).alias("nodes"),
-        F.transform(F.filter("desc", lambda d: d["is_scan"]), lambda d: F.struct(
+            d["view_name"].alias("view_name"), d["join_type"].alias("join_type")))),
+        "scans": F.transform(F.filter("desc", lambda d: d["is_scan"]), lambda d: F.struct(
             d["nid"].alias("nid"), d["cls"].alias("cls"), d["own"].alias("own"),
             d["fields"].alias("fields"), F.coalesce(_stand_in(d["nid"], "table_name"), _stand_in(d["nid"], "view_name")).alias("known_as"),
             F.get(F.filter("files", lambda f: f["leaf"] == F.array_position("leaves", d["nid"]) - 1),
-                  F.lit(0))["paths"].alias("paths"))).alias("scans"),
-        F.concat(F.flatten(edges), F.when(scope != "0", roots).otherwise(F.array().cast(EDGES))).alias("edges"),
-        F.transform("bound.out", lambda p: F.struct(p["name"].alias("name"), p["v"].alias("v"))).alias("outputs"),
-        F.get(F.filter("desc", lambda d: ~d["cls"].isin(
-            *PASS_THROUGH, *SCOPES, *SET_OPS, *SCANS, *JOINS, "Window", "Generate")), F.lit(0))["cls"].alias("unknown"),
-    ]
+                  F.lit(0))["paths"].alias("paths"))),
+        "edges": F.concat(F.flatten(edges), F.when(scope != "0", roots).otherwise(F.array().cast(EDGES))),
+        "outputs": F.transform("bound.out", lambda p: F.struct(p["name"].alias("name"), p["v"].alias("v"))),
+        "unknown": F.get(F.filter("desc", lambda d: ~d["cls"].isin(
+            *PASS_THROUGH, *SCOPES, *SET_OPS, *SCANS, *JOINS, "Window", "Generate")), F.lit(0))["cls"],
+    }
     return columns, results
 
 
@@ -364,11 +369,12 @@ def _edges_of(nid: Column, kid_cols: Column, d: Column, scope: Column) -> Column
 FILES = "array<struct<leaf: int, paths: array<string>>>"
 
 
-def parse_plans(plans: DataFrame, keep_broken: bool = False) -> DataFrame:
+def parse_plans(plans: DataFrame, keep_broken: bool = False, wanted: tuple[str, ...] = RESULTS) -> DataFrame:
     """Parse plans and the plans embedded in their expressions.
 
     ``plans``: plan_id, plan_json, optionally files. One row per (sub)plan comes back:
     plan_id, scope, nodes, scans, edges, outputs, unknown (a node class of unknown column flow).
+    ``wanted`` leaves out nodes, scans or edges, which are then neither computed nor written.
     Texts that are no plan are left out unless ``keep_broken``. The plan texts are read once: embedded
     plans come out with their parent's row and are parsed as the next level. Each level is a
     written table, so later jobs read only the columns they need.
@@ -379,7 +385,7 @@ def parse_plans(plans: DataFrame, keep_broken: bool = False) -> DataFrame:
     level = plans.select("plan_id", F.lit("0").alias("scope"), "plan_json", "files")
     parsed = None
     while True:
-        written = materialize(_parse(level, steps), "parsed")
+        written = materialize(_parse(level, steps, wanted), "parsed")
         # Filtering before the write would make Spark parse every plan twice.
         good = (written if keep_broken else written.filter("outputs is not null")).drop("subplans")
         parsed = good if parsed is None else parsed.unionByName(good)

@@ -25,7 +25,8 @@ class Parsed:
 
 
 # Ids of expressions, common tables and results in a plan text: fresh numbers on each analysis.
-ID = r'"(?:id|cteId|loopId)":\d+'
+# Those of expressions and of common tables may be the same number, so the kind belongs to the token.
+ID = r'(?:ExprId",)?"(?:id|cteId|loopId)":\d+'
 
 
 def plan_key():
@@ -57,14 +58,14 @@ def distinct_plans(plan_log: DataFrame) -> DataFrame:
 
 
 def parse_log(
-    plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, catalogs: DataFrame | None = None
+    plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, catalogs: DataFrame | None = None, columns: bool = True,
 ) -> Parsed:
-    """Parse plans once for all the functions below.
+    """Parse plans once for all the functions below; without ``columns`` for all but ``resolve_plans``.
 
     ``catalogs`` (name, data_path): scans of tables of a catalog with a data path get that
     path as their namespace, here and so in inputs and column sources alike.
     """
-    levels = parse.parse_plans(plans)
+    levels = parse.parse_plans(plans, wanted=parse.RESULTS if columns else ("nodes", "scans"))
     nodes = parse.plan_nodes(levels)
     scans = parse.scan_leaves(levels, default_namespace)
     if catalogs is not None:
@@ -141,7 +142,7 @@ def rejected_plans(plan_log: DataFrame) -> DataFrame:
     column flow. Each distinct plan is looked at once.
     """
     keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
-    levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True)
+    levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True, wanted=())
     return keyed.join(rejects_of(levels), "plan_id").select("query_id", "reason")
 
 

@@ -123,16 +123,16 @@ def c_closure_of_bindings(spark, sf_dir):
     return close_edges(fx.binding_edges(spark, sf_dir), []).select("src", "breaks")
 
 
-def _resolved(spark, sf_dir, namespace="spark"):
+def _resolved(spark, sf_dir, columns=False):
     queries, plans = fx.plan_log(spark, sf_dir)
-    parsed = resolve.parse_log(plans, namespace)
+    parsed = resolve.parse_log(plans, "spark", columns=columns)
     return queries, plans, parsed
 
 
 @query
 def c01_c16_resolve_columns(spark, sf_dir):
     """Columns of every execution in the log: one row per source column."""
-    queries, plans, parsed = _resolved(spark, sf_dir)
+    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
     per_plan = resolve.columns_per_plan(resolve.resolve_plans(plans, parsed=parsed))
     return queries.select("query_id", "plan_id").join(per_plan, "plan_id").select(
         "query_id", F.explode("cols").alias("c")).select(
