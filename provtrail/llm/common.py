@@ -59,12 +59,19 @@ def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of few rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one RecordBatch to a dict of columns (or None for no rows)."""
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = fn(batch)
             if columns is not None:
                 yield pa.RecordBatch.from_arrays(

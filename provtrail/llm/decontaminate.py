@@ -13,7 +13,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, map_rows, mixed, plain_words, utf8
+from provtrail.llm.common import map_batches, map_rows, mixed, slices, plain_words, utf8
 
 WIDTH = 10
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -155,7 +155,7 @@ def decontaminate(
         def scan(batches, windows=windows):
             import pyarrow as pa
 
-            for batch in batches:
+            for batch in slices(batches):
                 texts = utf8(batch.column(at))
                 hits = [windows.value.hits(plain_words(t)) if t else [] for t in texts]
                 if action == "document":

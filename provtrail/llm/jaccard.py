@@ -36,7 +36,7 @@ SHARED = (5, 16)
 #: Shingles that a task holds of one block.
 BLOCK_SHINGLES = 2_000_000
 FANOUT = 16
-_MEMORY = 500_000
+_MEMORY = 100_000
 
 
 class Hasher:

@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, map_rows, mixed, small, utf8
+from provtrail.llm.common import map_batches, map_rows, mixed, slices, small, utf8
 from provtrail.llm.jaccard import Hasher
 from provtrail.session import materialize
 
@@ -268,7 +268,7 @@ def reject_toxic(docs: DataFrame, model: dict) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             if "matcher" not in state:
                 state["matcher"] = Matcher(shared.value)
             matcher = state["matcher"]
