@@ -40,7 +40,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Write the tokens in the order in which the documents are stored, and read them back."""
     path = f"{work_dir(spark)}/provtrail/tokens-{uuid.uuid4().hex}"
     stored = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    tokens.write_tokens(stored, path, order=("_file", "_row"))
+    tokens.write_tokens(stored, path, order=("_file", "_row"), chunk_ids=1 << 17, remembered=50_000)
     return tokens.digest(tokens.read_tokens(spark, path))
 
 

@@ -117,11 +117,12 @@ class WordEncoder:
     whole library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = _CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.remembered = remembered
         # Pieces met in several calls, pieces of late calls, and words of Latin letters.
         self.often: dict[bytes, bytes] = {}
         self.late: dict[bytes, bytes] = {}
@@ -131,7 +132,7 @@ class WordEncoder:
         # Lower case comes first in the library too, but for control strings.
         pieces = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
         for held in (self.often, self.late, self.words):
-            if len(held) > _CACHED:
+            if len(held) > self.remembered:
                 held.clear()
         often, late = self.often, self.late
         table, rest = {}, []
@@ -187,10 +188,11 @@ _MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = _CACHED) -> WordEncoder:
     """One encoder per worker process."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].remembered = remembered
     return _ENCODERS[path]
 
 
@@ -202,12 +204,13 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 def write_tokens(
     docs: DataFrame, path: str, order: tuple[str, ...] = ("doc_id",), vocabulary_path: str | None = None,
-    end_id: int = END_ID, chunk_ids: int = CHUNK_IDS,
+    end_id: int = END_ID, chunk_ids: int = CHUNK_IDS, remembered: int = _CACHED,
 ) -> None:
     """Encode every whole text, append ``end_id`` and write the table in the given order.
 
     Null and empty texts are one id, the end. Repeated rows are written each; rows of equal order
-    columns go by their text. Null order values come first.
+    columns go by their text. Null order values come first. ``remembered`` bounds the pieces whose
+    ids a worker keeps, for speed only.
     """
     at_path = vocabulary_path or vocabulary()
     keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
@@ -233,7 +236,7 @@ def write_tokens(
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
                 for doc, part, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
-                                          encoder(at_path).encode(utf8(batch.column(1)))):
+                                          encoder(at_path, remembered).encode(utf8(batch.column(1)))):
                     ids += [own, tail]
                     docs_in.append(doc)
                     lengths.append(len(own) + 1)
