@@ -55,7 +55,9 @@ def op8_token_output(spark, sf_dir):
 
 def op9_lm_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return lmscore.score(docs, *lmscore.fit(docs))
+    counts = lmscore.word_counts(docs)
+    words, network = lmscore.fit(docs, counts=counts)
+    return lmscore.score(docs, words, network, within=lmscore.fit_within(counts, words))
 
 
 def op10_fingerprint(spark, sf_dir):
