@@ -5,10 +5,19 @@ floor(j D / w) and due by ceil((j + 1) D / w); earliest deadline first among the
 fills one slot after the other. All windows are kept, so at every slot each source is less than
 one block from its target, as long as no source has run out. The schedule repeats after D slots:
 one period is folded once and laid over all blocks.
+
+Given weights need not be whole shares of anything: their windows are taken from the exact weights,
+and the blocks of all sources, known by their number only, are placed once by the same rule.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from provtrail.llm.common import free_names, small
@@ -21,15 +30,18 @@ BUCKET_ROWS = 20_000
 
 
 def target_shares(sizes: dict, weights: dict | None = None, period: int = PERIOD) -> dict:
-    """Whole shares of the period by source, at least one each, by largest remainder.
+    """Shares of the period by source.
 
-    Without weights a source weighs the square root of its rows, which flattens hot sources.
+    Without weights a source weighs the square root of its rows, which flattens hot sources; shares
+    are whole, at least one each, by largest remainder. Given weights keep their exact proportions.
     """
     if not sizes:
         return {}
+    if weights is not None:
+        return {s: p * period for s, p in exact_shares(sizes, weights).items()}
     if len(sizes) > min(MAX_SOURCES, period):
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    want = {s: (weights.get(s, 0.0) if weights is not None else n ** 0.5) for s, n in sizes.items()}
+    want = {s: n ** 0.5 for s, n in sizes.items()}
     total = sum(want.values()) or 1.0
     spare = period - len(sizes)
     exact = {s: x / total * spare for s, x in want.items()}
@@ -40,6 +52,59 @@ def target_shares(sizes: dict, weights: dict | None = None, period: int = PERIOD
     return shares
 
 
+def exact_shares(sizes: dict, weights: dict) -> dict:
+    """Each source's part of the whole by its weight, 0 without one; equal parts if all are 0."""
+    if any(not (math.isfinite(w) and w >= 0) for w in weights.values()):
+        raise ValueError("weights are finite and not negative")
+    want = {s: Fraction(weights.get(s, 0)) for s in sizes}
+    if not any(want.values()):
+        want = dict.fromkeys(want, Fraction(1))
+    total = sum(want.values())
+    return {s: w / total for s, w in want.items()}
+
+
+def _windows(blocks: int, share: Fraction) -> Iterator[tuple[int, int]]:
+    """Release and deadline of each block."""
+    up, down = share.denominator, share.numerator
+    return ((j * up // down, -(-(j + 1) * up // down)) for j in range(blocks))
+
+
+def schedule(blocks: list[int], shares: list[Fraction]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source index, block, release, deadline, slot) of all blocks, earliest deadline first.
+
+    A source that has run out leaves its slots to released blocks of others. Sources of share 0 follow
+    after all others, block by block in turn.
+    """
+    ahead = [_windows(n, p) if p else iter(()) for n, p in zip(blocks, shares)]
+    waiting, ready, t, end = [], [], 0, 0
+
+    def send(i, j):
+        if (window := next(ahead[i], None)) is not None:
+            heapq.heappush(waiting, (window[0], i, j, window[1]))
+
+    for i in range(len(blocks)):
+        send(i, 0)
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
+        while waiting and waiting[0][0] <= t:
+            release, i, j, deadline = heapq.heappop(waiting)
+            heapq.heappush(ready, (deadline, i, j, release))
+        deadline, i, j, release = heapq.heappop(ready)
+        yield i, j, release, deadline, t
+        send(i, j + 1)
+        t, end = t + 1, max(end, deadline)
+    t = max(t, end)
+    idle = [(0, i) for i, p in enumerate(shares) if not p and blocks[i]]
+    heapq.heapify(idle)
+    while idle:
+        j, i = heapq.heappop(idle)
+        yield i, j, t, t + 1, t
+        t += 1
+        if j + 1 < blocks[i]:
+            heapq.heappush(idle, (j + 1, i))
+
+
 def _period(spark, shares: list[int], period: int) -> DataFrame:
     """One period of the schedule: rows (slot, source index, k) of the k-th block of a source."""
     w = "array(" + ", ".join(map(str, shares)) + ")"
@@ -59,6 +124,46 @@ def _order(id_column: Column) -> Column:
     return F.md5(F.coalesce(id_column.cast("string"), F.lit("")))
 
 
+def _ranked(rows: DataFrame, index: Column, total: int) -> DataFrame:
+    """``rows`` with _i, the source's index, and rank, the row's place in its source."""
+    # Rank within the source: rows fall into buckets by their md5, so that a hot source is many
+    # windows; the buckets' counts are summed up to give each its first rank.
+    buckets = 1
+    while buckets < 65536 and buckets * BUCKET_ROWS < total:
+        buckets *= 2
+    rows = rows.select("doc_id", "source", index.alias("_i"), _order(F.col("doc_id")).alias("_md5"))
+    rows = rows.withColumn("_b", (F.conv(F.substring("_md5", 1, 4), 16, 10).cast("int") / (65536 // buckets)).cast("int"))
+    counts = rows.groupBy("_i", "_b").agg(F.count("*").alias("n"))
+    before = counts.select(
+        "_i", "_b", (F.sum("n").over(Window.partitionBy("_i").orderBy("_b")) - F.col("n")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_i", "_b").orderBy("_md5", "doc_id")) - 1
+    rows = rows.withColumn("_rn", rank).join(before, ["_i", "_b"])
+    return rows.withColumn("rank", F.col("_before") + F.col("_rn"))
+
+
+def _mix_weighted(rows: DataFrame, weights: dict, block_rows: int) -> DataFrame:
+    """``mix`` by exact weights, for any number of sources: the schedule is a table to join with.
+
+    Blocks are placed on the driver, which sends them as five numbers for each ``block_rows`` rows.
+    """
+    spark = rows.sparkSession
+    sizes = {r["source"]: r["count"] for r in rows.groupBy("source").count().collect()}
+    names = sorted(sizes, key=lambda s: (s is not None, s or ""))
+    found = exact_shares(sizes, weights) if sizes else {}
+    shares, blocks = [found[s] for s in names], [-(-sizes[s] // block_rows) for s in names]
+    horizon = min((-(-n * p.denominator // p.numerator) for n, p in zip(blocks, shares) if p), default=0)
+    columns = ("_i", "block", "release", "deadline", "slot")
+    placed = list(zip(*schedule(blocks, shares))) or [()] * 5
+    slots = spark.createDataFrame(pa.table({c: pa.array(v, pa.int64()) for c, v in zip(columns, placed)}))
+    sources = spark.createDataFrame(pa.table({
+        "_source": pa.array(names, pa.string()), "_n": pa.array(range(len(names)), pa.int64())}))
+    rows = rows.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source")))
+    rows = _ranked(rows, F.col("_n"), sum(sizes.values()))
+    rows = rows.select("doc_id", "source", "_i", "rank", F.floor(F.col("rank") / block_rows).alias("block"))
+    rows = rows.join(slots, ["_i", "block"])
+    return rows.select("doc_id", "source", "rank", "block", "release", "deadline", "slot", (F.col("slot") < horizon).alias("mixed"))
+
+
 def mix(
     docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source",
     period: int = PERIOD, block_rows: int = BLOCK_ROWS,
@@ -67,15 +172,18 @@ def mix(
 
     A source's rows are shuffled by the md5 of their id and cut into blocks of ``block_rows``;
     ``slot`` is the block's place in the mixture, so sorting by (slot, rank) writes it. Null is a
-    source of its own; a source without a weight gets the least share; ties of the id are ordered
+    source of its own; with ``weights`` a source of weight 0 or none follows after all others and is
+    not ``mixed``, and the number of sources and their proportions are not bound to ``period``; ties of the id are ordered
     by the id's repeated rows in any way, which gives the same rows. ``mixed`` is false from the
     slot at which the first source has run out: those rows follow in the order of their slots, and
     no row is dropped. An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"))
+    if weights is not None:
+        return _mix_weighted(rows, weights, block_rows)
     sizes = {r["source"]: r["count"] for r in rows.groupBy("source").count().limit(MAX_SOURCES + 1).collect()}
-    shares = target_shares(sizes, weights, period)
+    shares = target_shares(sizes, None, period)
     if not shares:
         return rows.select("doc_id", "source", *[F.lit(0).cast("long").alias(c) for c in (
             "rank", "block", "release", "deadline", "slot")], F.lit(True).alias("mixed"))
@@ -83,19 +191,7 @@ def mix(
     index = F.lit(0)
     for i, s in enumerate(names):
         index = F.when(F.col("source").eqNullSafe(F.lit(s)), i).otherwise(index)
-    # Rank within the source: rows fall into buckets by their md5, so that a hot source is many
-    # windows; the buckets' counts are summed up to give each its first rank.
-    buckets = 1
-    while buckets < 65536 and buckets * BUCKET_ROWS < sum(sizes.values()):
-        buckets *= 2
-    rows = rows.select("doc_id", "source", index.alias("_i"), _order(F.col("doc_id")).alias("_md5"))
-    rows = rows.withColumn("_b", (F.conv(F.substring("_md5", 1, 4), 16, 10).cast("int") / (65536 // buckets)).cast("int"))
-    counts = rows.groupBy("_i", "_b").agg(F.count("*").alias("n"))
-    before = counts.select(
-        "_i", "_b", (F.sum("n").over(Window.partitionBy("_i").orderBy("_b")) - F.col("n")).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_i", "_b").orderBy("_md5", "doc_id")) - 1
-    rows = rows.withColumn("_rn", rank).join(before, ["_i", "_b"])
-    rows = rows.withColumn("rank", F.col("_before") + F.col("_rn"))
+    rows = _ranked(rows, index, sum(sizes.values()))
     share = F.element_at(F.array(*[F.lit(shares[s]) for s in names]), F.col("_i") + 1).cast("long")
     rows = rows.select("doc_id", "source", "_i", "rank", F.floor(F.col("rank") / block_rows).alias("block"), share.alias("_w"))
     slots = _period(spark, [shares[s] for s in names], period)

@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from provtrail.llm import lmscore
+from provtrail.llm import lmscore, mixing
 from provtrail.llm.common import plain_words
 
 TEXTS = [f"common words here {chr(97 + i % 26)}ing{i} walking talking" for i in range(300)] + ["слово другое", None, ""]
@@ -49,3 +49,20 @@ def test_gibberish_with_the_same_endings_scores_lower(spark):
     two = spark.createDataFrame([(1, TEXTS[5]), (2, TEXTS[5].replace("fing5", "qzxqng5"))], "doc_id long, text string")
     a, b = (r.log_prob for r in lmscore.score(two, words, network, within=lmscore.fit_within(counts, words)).orderBy("doc_id").collect())
     assert b < a - 5
+
+
+def test_mixing_keeps_the_weights_asked_for(spark):
+    """More sources than any bound, against the weights themselves; weight 0 comes last, nothing is dropped."""
+    df = spark.range(60_000).selectExpr("id AS doc_id", """CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 1001 = 1 THEN NULL
+        WHEN id % 1001 = 3 THEN 'zero' ELSE 's' || (id div 2 % 500) END AS source""")
+    weights = {"hot": 0.5, None: 0.0001, "zero": 0, **{f"s{i}": 0.4999 / 500 for i in range(500)}}
+    rows = mixing.mix(df, weights, block_rows=4).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(60_000)) and len({(r.source, r.block) for r in rows}) == len({r.slot for r in rows})
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    assert min(r.slot for r in rows if r.source == "zero") > max(r.slot for r in rows if r.source != "zero")
+    slots = {r.slot: r.source for r in rows if r.mixed}
+    end, done, total = next(t for t in range(10**9) if t not in slots), Counter(), sum(weights.values())
+    for t in range(end):
+        done[slots[t]] += 1
+        assert all(abs(done[s] - w / total * (t + 1)) < 1.001 for s, w in weights.items())
+    assert end > 5000
