@@ -2,7 +2,7 @@
 
 The normalised windows of the benchmark are a hash set that is broadcast to the scan of the
 documents. A benchmark larger than ``max_bytes`` is taken in blocks of that size, one scan each,
-whose hits are merged by document, so what is broadcast never grows with the data.
+whose hits are merged by document row, so what is broadcast never grows with the data.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, map_rows, mixed, slices, plain_words, utf8
+from provtrail.llm.common import free_names, map_batches, map_rows, mixed, slices, plain_words, utf8
+from provtrail.session import materialize
 
 WIDTH = 10
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -63,13 +64,21 @@ class Windows:
         return found
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int):
-    items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // max_bytes))
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.hash("i", "t"), F.lit(blocks)) == b) if blocks > 1 else items
-        yield [(r["i"], r["t"].encode()) for r in part.toLocalIterator()]
+class _blocks:
+    """The benchmark's (item id, UTF-8 text) in parts of about ``max_bytes``, one read at a time."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int):
+        self.items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null")
+        size = self.items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+        self.n = max(1, -(-size // max_bytes))
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self):
+        for b in range(self.n):
+            part = self.items.filter(F.pmod(F.hash("i", "t"), F.lit(self.n)) == b) if self.n > 1 else self.items
+            yield [(r["i"], r["t"].encode()) for r in part.toLocalIterator()]
 
 
 def find_hits(
@@ -81,14 +90,19 @@ def find_hits(
     A window is ``width`` consecutive item words; an item of fewer words, but not none, is one
     window. ``spans`` holds the hit words as merged pairs [first, end). Null and empty texts have
     no words and no hits; null benchmark texts are no items; an item with a null id hits words but
-    is in no list of items. Repeated items count once. Repeated document rows are each answered,
-    if the benchmark is one block; in several blocks rows of one id are merged.
+    is in no list of items. Repeated items count once. Repeated document rows are each answered;
+    for a benchmark of several blocks the documents are written once with a key for each row.
     """
     sc = docs.sparkSession.sparkContext
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = _blocks(benchmark, item_col, item_text_col, max_bytes)
+    several = len(blocks) > 1
     schema = "doc_id long, n_words long, starts array<int>, sizes array<int>, items array<string>"
+    if several:
+        source = materialize(source.withColumn("row", F.monotonically_increasing_id()), "documents")
+        schema = "row long, " + schema
     parts = []
-    for block in _blocks(benchmark, item_col, item_text_col, max_bytes):
+    for block in blocks:
         windows = sc.broadcast(Windows(block, width))
 
         def scan(batch, windows=windows):
@@ -109,15 +123,15 @@ def find_hits(
                 out["starts"].append(starts)
                 out["sizes"].append(sizes)
                 out["items"].append(sorted({str(x) for h in hits for x in h[2] if x is not None}))
-            return {"doc_id": batch.column(0), **out}
+            return {"doc_id": batch.column(0), **out, **({"row": batch.column(2)} if several else {})}
 
         parts.append(map_rows(source, scan, schema))
     rows = parts[0]
-    if len(parts) > 1:
+    if several:
         for part in parts[1:]:
             rows = rows.union(part)
-        rows = rows.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"),
+        rows = rows.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"),
             F.flatten(F.collect_list("sizes")).alias("sizes"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     spans = F.aggregate(
@@ -143,13 +157,17 @@ def decontaminate(
     """``docs`` with its own columns, without contaminated rows or without hit spans.
 
     ``action="document"`` drops rows with a hit; ``"span"`` cuts the hit words out of the text and
-    keeps every row. All other rows, also null and empty texts, stay as they are.
+    keeps every row. All other rows, also null and empty texts, stay as they are. With several
+    blocks, spans are found in the whole text by all blocks before anything is cut.
     """
     if action not in ("document", "span"):
         raise ValueError(f"action {action!r}")
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
-    for block in _blocks(benchmark, "item_id", item_text_col, max_bytes):
+    blocks = _blocks(benchmark, "item_id", item_text_col, max_bytes)
+    if action == "span" and len(blocks) > 1:
+        return _cut_all(docs, blocks, at, width)
+    for block in blocks:
         windows = sc.broadcast(Windows(block, width))
 
         def scan(batches, windows=windows):
@@ -170,6 +188,40 @@ def decontaminate(
     return docs
 
 
+def _cut_all(docs: DataFrame, blocks, at: int, width: int) -> DataFrame:
+    """``docs`` without the spans of any block: each block's scan adds its hits to a column."""
+    (own,) = free_names(docs, "_hits")
+    columns, sc = docs.columns, docs.sparkSession.sparkContext
+    found = docs.withColumn(own, F.expr("cast(array() as array<struct<first:int,n:int>>)"))
+    for block in blocks:
+        windows = sc.broadcast(Windows(block, width))
+
+        def add(batches, windows=windows):
+            import pyarrow as pa
+
+            for batch in slices(batches):
+                hits = [[(i, n) for i, n, _ in windows.value.hits(plain_words(t))] if t else [] for t in utf8(batch.column(at))]
+                if any(hits):
+                    field = batch.schema.field(batch.num_columns - 1)
+                    old = [[(h["first"], h["n"]) for h in x] for x in batch.column(batch.num_columns - 1).to_pylist()]
+                    column = pa.array([[{"first": i, "n": n} for i, n in [*x, *h]] for x, h in zip(old, hits)], field.type)
+                    batch = batch.set_column(batch.num_columns - 1, field, column)
+                yield batch
+
+        found = map_batches(found, add, found.schema)
+
+    def cut_all(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            hits = [[(h["first"], h["n"], None) for h in x] for x in batch.column(batch.num_columns - 1).to_pylist()]
+            field = batch.schema.field(at)
+            column = pa.array([cut(t, h) if h else t for t, h in zip(utf8(batch.column(at)), hits)], pa.binary())
+            yield batch.set_column(at, field, column.cast(field.type)).select(columns)
+
+    return map_batches(found, cut_all, docs.schema)
+
+
 def cut(text: bytes, hits) -> bytes:
     """Text without its hit words and what stands between them."""
     words = [m.span() for m in _WORD.finditer(text)]

@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from provtrail.llm import lmscore, mixing
+from provtrail.llm import decontaminate, lmscore, mixing
 from provtrail.llm.common import plain_words
 
 TEXTS = [f"common words here {chr(97 + i % 26)}ing{i} walking talking" for i in range(300)] + ["слово другое", None, ""]
@@ -66,3 +66,19 @@ def test_mixing_keeps_the_weights_asked_for(spark):
         done[slots[t]] += 1
         assert all(abs(done[s] - w / total * (t + 1)) < 1.001 for s, w in weights.items())
     assert end > 5000
+
+
+def test_blocks_of_the_benchmark_change_nothing(spark):
+    """Repeated and null ids, and spans of different blocks that overlap or would touch after a cut."""
+    w = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(w[2 * i:2 * i + 10])) for i in range(12)] + [(90, "left1 right1"), (None, " ".join(w[30:40]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    text = " ".join(w)
+    rows = [(1, text), (1, text), (1, "other"), (None, text), (None, "w1 w2"), (None, None), (2, ""), (3, f"left1 {text} right1"), (4, f"x {' '.join(w[3:33])} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    place = lambda rows: sorted(map(str, rows))
+    hits = [place(decontaminate.find_hits(docs, bench, max_bytes=b).collect()) for b in (1 << 20, 400)]
+    assert len(hits[0]) == 9 and hits[0] == hits[1]
+    for action in ("span", "document"):
+        kept = [place(decontaminate.decontaminate(docs, bench, action, max_bytes=b).collect()) for b in (1 << 20, 400)]
+        assert kept[0] == kept[1]
