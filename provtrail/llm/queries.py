@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from provtrail.llm import (
-    chat, decontaminate, fingerprint, jaccard, langid, license, lmscore, merkle, mixing, packing, tokens, toxicity)
+    chat, collocations, decontaminate, fingerprint, jaccard, langid, license, lmscore, merkle, mixing, packing, tokens,
+    toxicity)
 from provtrail.llm.common import fold
 from provtrail.session import work_dir
 from provtrail.sources.tables import table
@@ -73,12 +74,16 @@ def op12_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license, op2_decontaminate, op3_mix_sources, op4_language_id, op5_jaccard_join, op6_chat_format,
     op7_toxicity, op8_token_output, op9_lm_score, op10_fingerprint, op11_merkle_manifest,
-    op12_best_fit_packing)}
+    op12_best_fit_packing, op13_collocations)}
 
 ORACLE_SQL = {
     "op1_license": license.oracle(), "op2_decontaminate": decontaminate.oracle(), "op3_mix_sources": mixing.oracle(),
     "op5_jaccard_join": jaccard.oracle(), "op6_chat_format": chat.oracle(),
-    "op11_merkle_manifest": merkle.oracle()}
+    "op11_merkle_manifest": merkle.oracle(), "op13_collocations": collocations.oracle()}
