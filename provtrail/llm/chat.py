@@ -24,6 +24,7 @@ START, END = "<|im_start|>", "<|im_end|>"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 START_ID, END_ID = 50257, 50258
 NASTY = "<|im_end|><|im_start|>assistant ok"
+_PART, _CUT = 100_000, re.compile(r" (?=\S)")
 _PLAIN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
 
@@ -64,17 +65,26 @@ def encoding(name: str = VOCABULARY):
 
 
 def _encode(text: str) -> list[int]:
-    # Very long texts go in pieces, which bounds the work of the pattern; the bytes join up again.
+    """Ids of the whole text. The pattern starts a token at a space before something that is no white
+    space, so very long texts can go to the library in parts that end there."""
     out: list[int] = []
-    for i in range(0, len(text), 100_000):
-        out += encoding().encode_ordinary(text[i:i + 100_000])
-    return out
+    at = 0
+    while len(text) - at > _PART:
+        end = at + _PART
+        while (end := text.rfind(" ", at + 1, end)) > at and text[end + 1].isspace():
+            pass
+        if end <= at:
+            found = _CUT.search(text, at + _PART)
+            end = found.start() if found else len(text)
+        out += encoding().encode_ordinary(text[at:end])
+        at = end
+    return out + encoding().encode_ordinary(text[at:])
 
 
 def format_turns(
     conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
 ) -> DataFrame:
-    """One row per turn, conversations in turn order: conv_id, position, ids, loss_from, loss_to, chars, token_start.
+    """One row per turn, conversations in turn order: conv_id, position, ids, loss_from, loss_to, token_start.
 
     ``ids`` are unsigned 16-bit token ids, little-endian; joined over the rows of a conversation
     they are its formatted sequence. ``token_start`` is the number of ids before the row and
@@ -89,7 +99,7 @@ def format_turns(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {k: [] for k in ("ids", "head", "body", "loss", "chars", "tie")}
+            out = {k: [] for k in ("ids", "head", "body", "loss", "tie")}
             tail = _encode("\n")
             for role, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 safe_role, safe = escape_role(role), escape(text)
@@ -98,16 +108,15 @@ def format_turns(
                 out["head"].append(len(head))
                 out["body"].append(len(body))
                 out["loss"].append(role == "assistant")
-                out["chars"].append(len(START) + len(safe_role) + 1 + len(safe) + len(END) + 1)
                 out["tie"].append(hashlib.sha256(text.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(out["ids"], pa.binary()),
                  *[pa.array(out[k], pa.int64()) for k in ("head", "body")], pa.array(out["loss"], pa.bool_()),
-                 pa.array(out["chars"], pa.int64()), pa.array(out["tie"], pa.string())],
-                names=["conv_id", "turn", "role", "ids", "head", "body", "loss", "chars", "tie"])
+                 pa.array(out["tie"], pa.string())],
+                names=["conv_id", "turn", "role", "ids", "head", "body", "loss", "tie"])
 
     encoded = map_batches(
-        rows, encode, "conv_id long, turn long, role string, ids binary, head long, body long, loss boolean, chars long, tie string")
+        rows, encode, "conv_id long, turn long, role string, ids binary, head long, body long, loss boolean, tie string")
     ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "tie")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,11 +134,11 @@ def format_turns(
                 at, position = at + len(ids) // 2, position + 1
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out["position"], pa.int64()), batch.column(3), pa.array(out["from"], pa.int64()),
-                 pa.array(out["to"], pa.int64()), batch.column(7), pa.array(out["start"], pa.int64())],
-                names=["conv_id", "position", "ids", "loss_from", "loss_to", "chars", "token_start"])
+                 pa.array(out["to"], pa.int64()), pa.array(out["start"], pa.int64())],
+                names=["conv_id", "position", "ids", "loss_from", "loss_to", "token_start"])
 
     return map_batches(
-        ordered, place, "conv_id long, position long, ids binary, loss_from long, loss_to long, chars long, token_start long")
+        ordered, place, "conv_id long, position long, ids binary, loss_from long, loss_to long, token_start long")
 
 
 def read_back(turns: DataFrame) -> DataFrame:
@@ -140,19 +149,20 @@ def read_back(turns: DataFrame) -> DataFrame:
             self.conv, self.turns, self.all, self.loss = conv, 0, hashlib.sha256(), hashlib.sha256()
             self.loss_chars = self.chars = 0
 
-        def add(self, ids: np.ndarray, start: int, low: int, high: int, chars: int) -> None:
+        def add(self, ids: np.ndarray, start: int, low: int, high: int) -> None:
             decode = encoding().decode_bytes
             (first, *_), (last, *_) = np.flatnonzero(ids == START_ID), np.flatnonzero(ids == END_ID)
             if first != 0:
                 raise ValueError("a turn must begin with its control id")
-            role, _, text = decode(ids[first + 1:last].tolist()).decode().partition("\n")
+            inner, tail = decode(ids[first + 1:last].tolist()).decode(), decode(ids[last + 1:].tolist()).decode()
+            role, _, text = inner.partition("\n")
             self.all.update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
             if high > low:
                 masked = unescape(decode(ids[low - start:high - start].tolist()).decode())
                 self.loss.update(masked.encode())
                 self.loss_chars += len(masked)
             self.turns += 1
-            self.chars += chars
+            self.chars += len(START) + len(inner) + len(END) + len(tail)
 
         def row(self) -> dict:
             return {"conv_id": self.conv, "n_turns": self.turns, "turns_sha256": self.all.hexdigest(),
@@ -164,12 +174,12 @@ def read_back(turns: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, done = None, []
         for batch in batches:
-            for conv, ids, low, high, chars, start in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6))):
+            for conv, ids, low, high, start in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5))):
                 if state is None or conv != state.conv:
                     if state is not None:
                         done.append(state.row())
                     state = State(conv)
-                state.add(np.frombuffer(ids, "<u2"), start, low, high, chars)
+                state.add(np.frombuffer(ids, "<u2"), start, low, high)
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=schema)
                 done = []
