@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
@@ -113,6 +113,26 @@ def small(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
+def number(rows: DataFrame, group: str, order: Sequence[str], keep: Sequence[str], label: str) -> DataFrame:
+    """Rows (group, keep, nth, of): place in the group from 0, ascending with nulls first, and its rows.
+
+    Rows are dealt by ranges of (group, order), so no group is in one task unless its rows agree in
+    all order columns. What is summed up over a group has one row for each range.
+    """
+    part, row = free_names(rows, "_part", "_row")
+    keys = [group, *order]
+    placed = materialize(
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .select(group, *keep, F.spark_partition_id().alias(part), F.monotonically_increasing_id().alias(row)), f"{label}-placed")
+    counts = placed.groupBy(group, part).agg(F.count(F.lit(1)).alias("_rows"), F.min(row).alias("_first"))
+    shifts = materialize(counts.select(
+        F.col(group).alias("_of_group"), F.col(part).alias("_of_part"),
+        (F.sum("_rows").over(Window.partitionBy(group).orderBy(part)) - F.col("_rows") - F.col("_first")).alias("_shift"),
+        F.sum("_rows").over(Window.partitionBy(group)).alias("of")), f"{label}-shifts")
+    same = F.col(group).eqNullSafe(F.col("_of_group")) & (F.col(part) == F.col("_of_part"))
+    return placed.join(small(shifts), same).select(group, *keep, (F.col(row) + F.col("_shift")).alias("nth"), "of")
+
+
 #: Schema of count pieces: first index, packed counts, rows counted (in one piece of a task).
 PIECES = "piece long, counts binary, n long"
 _PIECE = 1 << 15

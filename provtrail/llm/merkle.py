@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from provtrail.llm.common import fold, small
+from provtrail.llm.common import fold, number
 from provtrail.session import materialize
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -62,9 +62,9 @@ def manifest(
     # Whole equal rows are parted by a number of their own, so that they can lie in different ranges.
     leaves = leaves.withColumn("_tie", F.monotonically_increasing_id())
     held = ["_order", "_hash", *[f"_x{i}" for i in range(len(extra))]]
-    nodes = number(leaves, ["_order", "_hash", "_tie"], held)
+    nodes = _placed(leaves, ["_order", "_hash", "_tie"], held)
     steps, subroots = climb(nodes, held, fanout, depth)
-    tops = number(subroots.select(F.lit(0).alias("_group"), F.col("_group").alias("_of"), "_hash"), ["_of"], ["_of", "_hash"])
+    tops = _placed(subroots.select(F.lit(0).alias("_group"), F.col("_group").alias("_of"), "_hash"), ["_of"], ["_of", "_hash"])
     top_steps, roots = climb(tops, ["_of", "_hash"], fanout, depth)
     none = F.array().cast(PROOF)
     down = descend(top_steps, roots.select("_group", F.lit(0).cast("long").alias("_i"), none.alias("_proof"), F.struct(F.col("_hash").alias("root")).alias("_top")), fanout, depth)
@@ -77,25 +77,10 @@ def manifest(
         *[F.col(f"_node._x{i}").alias(name) for i, name in enumerate(extra)])
 
 
-def number(rows: DataFrame, order: Sequence[str], held: Sequence[str]) -> DataFrame:
-    """Rows (_group, _i, _n, _node): place in the group from 0 in the given order, rows of the group.
-
-    Rows are dealt by ranges of (_group, order), so no group is in one task; what is summed over the
-    groups has one row for each range and group in it.
-    """
-    keys = ["_group", *order]
-    placed = materialize(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .select("_group", F.struct(*held).alias("_node"), F.spark_partition_id().alias("_part"),
-                F.monotonically_increasing_id().alias("_row")), "merkle-placed")
-    by_part = Window.partitionBy("_group").orderBy("_part")
-    counts = placed.groupBy("_group", "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
-    shifts = materialize(counts.select(
-        F.col("_group").alias("_of_group"), F.col("_part").alias("_of_part"),
-        (F.sum("_rows").over(by_part) - F.col("_rows") - F.col("_first")).alias("_shift"),
-        F.sum("_rows").over(Window.partitionBy("_group")).alias("_n")), "merkle-shifts")
-    same = F.col("_group").eqNullSafe(F.col("_of_group")) & (F.col("_part") == F.col("_of_part"))
-    return placed.join(small(shifts), same).select("_group", (F.col("_row") + F.col("_shift")).alias("_i"), "_n", "_node")
+def _placed(rows: DataFrame, order: Sequence[str], held: Sequence[str]) -> DataFrame:
+    """Rows (_group, _i, _n, _node): place in the group, nodes of the group, the ``held`` columns."""
+    numbered = number(rows.select("_group", *order, F.struct(*held).alias("_node")), "_group", order, ("_node",), "merkle")
+    return numbered.select("_group", F.col("nth").alias("_i"), F.col("of").alias("_n"), "_node")
 
 
 def climb(nodes: DataFrame, held: Sequence[str], fanout: int, depth: int) -> tuple[list[DataFrame], DataFrame]:

@@ -79,8 +79,8 @@ def test_mixing(odd, none, spark):
     assert mixing.mix(none).collect() == []
     laid = mixing.mixed_order(odd)
     assert laid.columns == odd.columns and laid.count() == 13
-    with pytest.raises(ValueError):
-        mixing.mix(spark.range(500).selectExpr("id AS doc_id", "cast(id AS string) AS source"))
+    many = mixing.mix(spark.range(1500).selectExpr("id AS doc_id", "cast(id % 500 AS string) AS source"), block_rows=1).collect()
+    assert len({r.slot for r in many}) == 1500 and sum(mixing.target_shares({str(i): 3 for i in range(500)}).values()) == 2000
 
 
 def test_mixing_stays_within_one_block(spark):
@@ -89,13 +89,12 @@ def test_mixing_stays_within_one_block(spark):
     weights = {"hot": 0.5, "s0": 3.0, "s1": 1.0, "s2": 0.01}
     rows = mixing.mix(df, weights, block_rows=8).filter("mixed").select("source", "block", "slot", "release", "deadline").distinct().collect()
     assert all(r.release <= r.slot < r.deadline for r in rows)
-    shares = mixing.target_shares({s: 1 for s in {r.source for r in rows}}, weights)
     slots = {r.slot: r.source for r in rows}
     end = next(t for t in range(10**9) if t not in slots)
     done = Counter()
     for t in range(end):
         done[slots[t]] += 1
-        assert all(abs(done[s] - shares[s] * (t + 1) / mixing.PERIOD) < 1 for s in shares)
+        assert all(abs(done[s] - w / sum(weights.values()) * (t + 1)) < 1 for s, w in weights.items())
     assert end > 100
 
 
