@@ -15,21 +15,20 @@ import unicodedata
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, map_rows, mixed, slices, small, utf8
-from provtrail.llm.jaccard import Hasher
+from provtrail.llm.common import map_batches, map_rows, slices, small
+from provtrail.llm.jaccard import jaccard_components
 from provtrail.session import materialize
 
 #: Parameters of the fit: labelled documents of each class at most (about, chosen by hash of the
 #: id), entries and exceptions at most, the smallest share of toxic documents, weight and
 #: log-likelihood ratio of an entry (it keeps out what is in toxic documents by chance), and the
-#: shortest stem, and the hash functions by which near copies are found.
+#: shortest stem.
 SAMPLE_DOCS = 10_000
 MAX_ENTRIES = 2000
 MIN_SHARE = 0.004
 MIN_WEIGHT = 3.0
 MIN_RATIO = 24.0
 MIN_STEM = 4
-SKETCHES = 4
 #: Characters that are written for letters.
 LOOKALIKES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i",
@@ -144,24 +143,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exce
 
 
 def _distinct(sample: DataFrame) -> DataFrame:
-    """Labelled texts (text, _toxic) without near copies, whose chance words would look like evidence.
+    """Labelled texts (text, _toxic) with one of each group of near copies in a class, whose chance words
+    would look like evidence otherwise.
 
-    Of the texts of a class that agree in the smallest shingle hash one stays, for SKETCHES
-    hash functions one after the other.
+    Near copies are linked by a similarity of 75 % of their word shingles, verified on whole texts.
     """
-    def sketch(batch):
-        hasher = Hasher(5)
-        found = [hasher.shingles(t) for t in utf8(batch.column(2))]
-        own = [[int(mixed(f ^ np.uint64(i)).min()) % (1 << 62) if len(f) else 0 for i in range(SKETCHES)] for f in found]
-        return {"doc_id": batch.column(0), "_toxic": batch.column(1), "text": batch.column(2), "m": own}
-
-    rows = materialize(
-        map_rows(sample, sketch, "doc_id long, _toxic int, text string, m array<long>"), "toxicity-sample")
-    kept = rows.select("doc_id", "_toxic", "m")
-    for i in range(SKETCHES):
-        kept = kept.groupBy("_toxic", F.element_at("m", i + 1).alias("_m")).agg(F.min(F.struct("doc_id", "m")).alias("r"))
-        kept = kept.select(F.col("r.doc_id").alias("doc_id"), "_toxic", F.col("r.m").alias("m"))
-    return rows.join(small(kept.select("doc_id")), "doc_id", "left_semi").select("text", "_toxic")
+    rows = materialize(sample.groupBy("doc_id", "_toxic").agg(F.min("text").alias("text")), "toxicity-sample")
+    groups = jaccard_components(rows.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), "component_id")
+    first = groups.join(rows.select("doc_id", "_toxic"), F.col("_id") == F.col("doc_id")).groupBy("component_id", "_toxic").agg(
+        F.min("doc_id").alias("doc_id"))
+    return rows.join(small(materialize(first.select("doc_id"), "toxicity-first")), "doc_id", "left_semi").select("text", "_toxic")
 
 
 def _cut(x: np.ndarray, toxic: np.ndarray) -> float:
