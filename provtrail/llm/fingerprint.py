@@ -1,9 +1,10 @@
 """I-Match document fingerprints.
 
-Terms whose inverse document frequency lies in a band make up the lexicon. A document's distinct
-lexicon terms are sorted and hashed once for each of several random subsets of the lexicon; the
-fingerprint is the list of these hashes. Subsets of four densities are used, since a sparse subset
-tells long near copies apart and a dense one short ones.
+Terms whose inverse document frequency lies in a band make up the lexicon; frequencies are counted
+for each term over all documents. A document's distinct lexicon terms are sorted and hashed once for
+each of several random subsets of the lexicon; the fingerprint is the list of these hashes. Subsets of
+four densities are used, since a sparse subset tells long near copies apart and a dense one short
+ones. A document without any lexicon term is fingerprinted by all its terms.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import PIECES, count_pieces, map_batches, mixed, plain_words, sum_pieces, utf8
+from provtrail.llm.common import map_batches, mixed, plain_words, utf8
+from provtrail.session import materialize
 
-#: Document frequencies are kept in this many buckets by term hash.
-BUCKETS = 1 << 20
-#: The band: terms (by bucket) in two documents and this share at least, and in that share at most.
-#: Rare terms that fall in one bucket add up to about 1e-4 of the documents, so the lower share is above it.
+#: The band: terms in two documents and this share at least, and in that share at most. As documents
+#: have so many distinct terms on average, the lexicon has that many divided by the lower share at most.
 MIN_SHARE, MAX_SHARE = 3e-4, 0.05
+_HELD_TERMS = 2_000_000
 #: Share of the lexicon in a subset, by level, and subsets at each level.
 LEVELS = (1 / 2, 1 / 8, 1 / 32, 1 / 128)
 SUBSETS = 16
@@ -48,38 +49,52 @@ class Terms:
         return np.sort(np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words)))
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """Documents by bucket of term hash, over all documents, and the number of documents."""
+def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows (term, n): documents that hold a term, over all documents; null texts have no terms.
+
+    A term is the 64-bit hash of a word. Tasks add up their documents before the shuffle.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, terms, n = np.zeros(BUCKETS, dtype=np.int64), Terms(), 0
+        terms, held, n = Terms(), [], 0
+
+        def flush():
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times, pa.int64())], names=["term", "n"])
+
         for batch in batches:
             for text in utf8(batch.column(0)):
-                total[np.unique(terms.of(text) % np.uint64(BUCKETS)).astype(np.int64)] += 1
-                n += 1
-        yield from count_pieces(total, n)
+                held.append(terms.of(text))
+                n += len(held[-1])
+                if n >= _HELD_TERMS:
+                    yield flush()
+                    held, n = [], 0
+        if n:
+            yield flush()
 
-    return sum_pieces(map_batches(docs.select(text_col), count, PIECES), BUCKETS)
+    return map_batches(docs.select(text_col), count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 class Lexicon:
-    """Fingerprints by a fixed lexicon, given as a flag for each bucket."""
+    """Fingerprints by a fixed lexicon, given as the sorted hashes of its terms."""
 
     def __init__(self, used: np.ndarray):
-        self.used = used
+        self.used = np.append(used, ~np.uint64(0))
         self.keys = mixed(np.arange(1, len(LEVELS) * SUBSETS + 1, dtype=np.uint64))
         share = np.repeat(np.array(LEVELS), SUBSETS)
         self.limits = (share * float(1 << 63)).astype(np.uint64) * np.uint64(2)
 
-    def fingerprint(self, terms: np.ndarray, text: bytes) -> str:
-        """Four hex digits for each subset (0000: none of its terms), then 16 digits for the text itself."""
-        kept = terms[self.used[(terms % np.uint64(BUCKETS)).astype(np.int64)]]
+    def fingerprint(self, terms: np.ndarray) -> str:
+        """Four hex digits for each subset (0000: none of its terms); 16 more digits, of all the terms,
+        if none of them is in the lexicon."""
+        kept = terms[self.used[np.searchsorted(self.used[:-1], terms)] == terms]
         with np.errstate(over="ignore"):
             drawn = mixed(kept[None, :] ^ self.keys[:, None]) < self.limits[:, None]
-            # Terms are sorted and distinct; a subset's hash mixes the terms with their order.
+            # The terms are distinct, so the sum of their mixed hashes stands for the sorted list.
             sums = (drawn * mixed(kept + np.uint64(0x9E3779B97F4A7C15))[None, :]).sum(axis=1, dtype=np.uint64)
         codes = (mixed(sums) >> np.uint64(48)).astype(np.int64)
         codes = np.where(drawn.any(axis=1), np.maximum(codes, 1), 0)
-        return codes.astype(">u2").tobytes().hex() + f"{xxhash.xxh3_64_intdigest(text):016x}"
+        out = codes.astype(">u2").tobytes().hex()
+        return out if len(kept) else out + f"{xxhash.xxh3_64_intdigest(terms.tobytes()):016x}"
 
 
 def likeness(a: str, b: str) -> float:
@@ -88,7 +103,8 @@ def likeness(a: str, b: str) -> float:
     levels (at all levels, if there is no such level)."""
     if a == b:
         return 1.0
-    x, y = (np.frombuffer(bytes.fromhex(f[:-16]), ">u2").reshape(len(LEVELS), SUBSETS) for f in (a, b))
+    digits = 4 * len(LEVELS) * SUBSETS
+    x, y = (np.frombuffer(bytes.fromhex(f[:digits]), ">u2").reshape(len(LEVELS), SUBSETS) for f in (a, b))
     some = (x > 0) | (y > 0)
     full = np.flatnonzero(2 * some.sum(axis=1) >= SUBSETS)
     low = full[-1] if len(full) else 0
@@ -99,9 +115,11 @@ def likeness(a: str, b: str) -> float:
 def fit_lexicon(
     docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE, text_col: str = "text",
 ) -> np.ndarray:
-    """The lexicon as a flag for each bucket, from the frequencies in all documents."""
-    counts, n = document_frequencies(docs, text_col)
-    return (counts >= max(2, min_share * n)) & (counts <= max(2, max_share * n))
+    """The lexicon as sorted term hashes, from the frequencies in all documents."""
+    counts = materialize(document_frequencies(docs, text_col), "term-counts")
+    n = docs.count()
+    band = counts.filter((F.col("n") >= max(2, min_share * n)) & (F.col("n") <= max(2, max_share * n)))
+    return np.sort(band.select("term").toArrow()["term"].to_numpy().view(np.uint64))
 
 
 def fingerprint_edits(docs: DataFrame, used: np.ndarray, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -109,8 +127,8 @@ def fingerprint_edits(docs: DataFrame, used: np.ndarray, rows_per_range: int = R
 
     The next document is the one before in ascending order of doc_id (for the first, the last); its
     first code points replace the last third of the text. Null texts are empty; null ids come first
-    in ascending order; repeated ids go by text. Texts travel once, compressed, to ranges of ids
-    sorted by id; the largest row of a range is also sent to the next range.
+    in ascending order; rows of one id are in any fixed order. Texts travel once, compressed, to ranges
+    of ids, one task each and sorted by id; the largest row of a range is also sent to the next range.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
@@ -133,18 +151,17 @@ def fingerprint_edits(docs: DataFrame, used: np.ndarray, rows_per_range: int = R
     filled = map_batches(ids, extent, "r int, doc_id long").groupBy("r").agg(F.max("doc_id").alias("top")).collect()
     # One row per range: where its largest document is also needed, as the one before.
     order = sorted((r["r"], r["top"]) for r in filled)
-    following = {r: order[(i + 1) % len(order)][0] for i, (r, _) in enumerate(order)}
-    top = dict(order)
-    first_range = order[0][0] if order else 0
+    place_of = {r: i for i, (r, _) in enumerate(order)}
+    top = {i: t for i, (_, t) in enumerate(order)}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            place = range_of(batch.column(0)).tolist()
+            place = [place_of[r] for r in range_of(batch.column(0)).tolist()]
             out = ([], [], [], [])
             for doc, text, r in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), place):
                 packed = squeeze(text or b"")
-                for where, before in ((r, 0), (following[r], 1)) if doc == top[r] else ((r, 0),):
+                for where, before in ((r, 0), ((r + 1) % len(top), 1)) if doc == top[r] else ((r, 0),):
                     for column, value in zip(out, (where, doc, 1 - before, packed)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -153,11 +170,11 @@ def fingerprint_edits(docs: DataFrame, used: np.ndarray, rows_per_range: int = R
 
     sent = map_batches(rows, send, "r int, doc_id long, own int, packed binary")
     # Rows sent ahead sort first in their range; the last of them is the one before.
-    sent = sent.repartition(max(1, len(order)), "r").sortWithinPartitions("r", "own", "doc_id", "packed")
-    shared = spark.sparkContext.broadcast(np.packbits(used))
+    sent = sent.repartitionById(max(1, len(order)), "r").sortWithinPartitions("r", "own", "doc_id", "packed")
+    shared = spark.sparkContext.broadcast(used)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, terms = Lexicon(np.unpackbits(shared.value).astype(bool)), Terms()
+        lexicon, terms = Lexicon(shared.value), Terms()
         unsqueeze = zstandard.ZstdDecompressor().decompress
         place, before, before_print = None, b"", ""
         for batch in batches:
@@ -166,12 +183,12 @@ def fingerprint_edits(docs: DataFrame, used: np.ndarray, rows_per_range: int = R
                 if r != place:
                     place, before, before_print = r, b"", ""
                 text = unsqueeze(packed)
-                print_ = lexicon.fingerprint(terms.of(text), text)
+                print_ = lexicon.fingerprint(terms.of(text))
                 if own:
                     whole = text.decode()
                     third = len(whole) // 3
                     edited = (whole[:len(whole) - third] + before.decode()[:third]).encode()
-                    edited_print = lexicon.fingerprint(terms.of(edited), edited)
+                    edited_print = lexicon.fingerprint(terms.of(edited))
                     for k, v in zip(out, (doc, len(whole), hashlib.sha256(edited).hexdigest(), print_, edited_print,
                                           likeness(print_, edited_print), likeness(print_, before_print))):
                         out[k].append(v)
