@@ -12,33 +12,41 @@ are broadcast.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from provtrail.llm.common import map_batches, slices, small
+from provtrail.llm.common import map_batches, small
+from provtrail.llm.tokens import _SPELLED
 from provtrail.session import materialize
 
 CAPACITY = 1024
 END_ID = 2
-_REMEMBERED = 150_000
-_LONGEST = 64
-#: A space before something that is no white space. The byte-level pattern starts a token there always.
-_CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
+_REMEMBERED = 400_000
+#: Texts that are encoded at once, and their bytes, unless a single one has more.
+_ROWS, _BYTES = 2000, 8 << 20
+#: ASCII marks: a run of them without letters behind is one piece of the pattern.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SPACE = _SPELLED[32]
+_TABLE = dict(enumerate(_SPELLED))
 
 
 class ByteEncoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    The pattern that cuts texts into pieces puts a space to the word behind it, so texts can be cut
-    there beforehand; the ids of short cuts are remembered, up to a bound. Cuts not remembered go to
-    the library. Control strings are ordinary text.
+    The pattern that cuts texts into pieces starts one at a space or a line feed between two characters
+    that are no white space, so texts are cut there beforehand and each distinct cut is looked at
+    once. Most cuts are letters or ASCII digits and marks behind them; these pieces go straight to the
+    library's model, and those of letters are remembered, up to a bound. All other cuts, and texts
+    with longer runs of white space, go through the whole library. Control strings are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -46,36 +54,95 @@ class ByteEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; null has none."""
-        cuts = []
-        for text in texts:
-            parts = (_CUT.split(text) if _ODD.search(text) else text.split(" ")) if text else []
-            # Keys of cuts behind a space are the cut alone, those of the first one begin with a mark.
-            if parts:
-                parts[0] = f"\n{parts[0]}" if parts[0] else ""
-            cuts.append(parts)
-        if len(self.known) > _REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        known[""] = b""
-        new = [p for p in {p for parts in cuts for p in parts} if p not in known]
-        own = dict(zip(new, self._library([p[1:] if p[0] == "\n" else f" {p}" for p in new]))) if new else {}
-        known.update((p, ids) for p, ids in own.items() if len(p) <= _LONGEST)
-        get = known.__getitem__
-        out = []
-        for parts in cuts:
-            try:
-                out.append(b"".join(map(get, parts)))
-            except KeyError:
-                out.append(b"".join([known[p] if p in known else own[p] for p in parts]))
+        parts = json.loads(Path(path).read_text())
+        own = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        before = parts["pre_tokenizer"] or {}
+        if parts["normalizer"] or parts["model"]["type"] != "BPE" or any(before.get(k) != v for k, v in own.items()):
+            raise ValueError("not a plain byte-level BPE")
+        self.pieces: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Unsigned 32-bit ids of each text; null has none."""
+        texts = pc.fill_null(texts, "")
+        # A space or line feed before other white space or the end.
+        odd = pc.match_substring_regex(texts, r"[ \n](?:\s|$)").to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for i, ids in zip(np.flatnonzero(odd), self._library(_listed(texts.filter(pa.array(odd))))):
+            out[i] = np.frombuffer(ids, "<u4")
+        for i, ids in zip(np.flatnonzero(~odd), self._plain(texts.filter(pa.array(~odd)))):
+            out[i] = ids
+        return out
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        borders = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.flatten().dictionary_encode()
+        index = flat.indices.to_numpy().astype(np.int64)
+        # Nothing is before the first cut of a text.
+        packed = self._cuts(flat.dictionary, " ") + self._cuts(pc.list_element(lists, 0), "")
+        index[borders[:-1]] = np.arange(len(packed) - len(texts), len(packed))
+        counts = np.array(list(map(len, packed)), dtype=np.int64) // 4
+        starts, pool = np.cumsum(counts) - counts, np.frombuffer(b"".join(packed), dtype="<u4")
+        own = counts[index]
+        ends = np.cumsum(own)
+        ids = pool[np.repeat(starts[index] - ends + own, own) + np.arange(ends[-1])]
+        return np.split(ids, np.concatenate([[0], ends])[borders[1:-1]])
+
+    def _cuts(self, cuts: pa.Array, before: str) -> list[bytes]:
+        """Ids of cuts, with ``before`` before those that do not begin with a line feed."""
+        lines = pc.starts_with(cuts, "\n")
+        bodies = pc.if_else(lines, pc.utf8_slice_codeunits(cuts, 1), cuts)
+        words = pc.ascii_rtrim(bodies, characters=_MARKS)
+        simple = pc.or_(pc.utf8_is_alpha(words), pc.ascii_is_decimal(words))
+        if len(self.pieces) > _REMEMBERED:
+            self.pieces.clear()
+        piece, lead, line = self._piece, _SPACE if before else "", self._piece("\n", "")
+        out: list = [None] * len(cuts)
+        rest = []
+        for i, (body, word, ok, new) in enumerate(zip(*map(_listed, (bodies, words, simple, lines)))):
+            if ok:
+                ids = line + piece(word, "") if new else piece(word, lead)
+                out[i] = ids if len(word) == len(body) else ids + piece(body[len(word):], "")
+            else:
+                rest.append(i)
+        texts = _listed(cuts.take(pa.array(rest, pa.int64())))
+        for i, ids in zip(rest, self._library([t if t[:1] == "\n" or not t else before + t for t in texts])):
+            out[i] = ids
         return out
 
     def _library(self, texts: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(e.ids, dtype="<u4").tobytes()
+        if texts:
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str, lead: str) -> bytes:
+        key = lead + piece
+        ids = self.pieces.get(key)
+        if ids is None:
+            spelled = key if piece.isascii() and piece != "\n" else lead + piece.encode().decode("latin-1").translate(_TABLE)
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+            if len(key) <= 64:
+                self.pieces[key] = ids
+        return ids
+
+
+def _listed(values: pa.Array) -> list:
+    """As ``to_pylist`` for values without nulls, many times faster."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def some_texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of _ROWS rows and _BYTES bytes of a text column at most, but for longer texts."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = min(at + _ROWS, max(at + 1, int(np.searchsorted(ends, before + _BYTES, side="right"))))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 _ENCODERS: dict[str, ByteEncoder] = {}
@@ -113,11 +180,10 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail, met = np.array([end_id], dtype="<u4").tobytes(), Counter()
-        for batch in slices(batches, 250):
+        for batch in some_texts(batches, 1):
             columns: dict[str, list] = {name: [] for name in names}
-            docs_in, texts, parts = (c.to_pylist() for c in batch.columns)
-            for doc, part, ids in zip(docs_in, parts, encoder(path).encode(texts)):
-                ids += tail
+            for doc, part, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), encoder(path).encode(batch.column(1))):
+                ids = ids.tobytes() + tail
                 start = 0
                 for piece, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
                     own = ids[4 * start:4 * (start + length)]
