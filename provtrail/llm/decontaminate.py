@@ -1,22 +1,28 @@
 """Benchmark decontamination: find test n-grams in training text, drop documents or cut spans.
 
 The normalised windows of the benchmark are a hash set that is broadcast to the scan of the
-documents. A benchmark larger than ``max_bytes`` is taken in blocks of that size, one scan each,
-whose hits are merged by document row, so what is broadcast never grows with the data.
+documents: their 64-bit hashes in order, and for each the place of the window in the normalised text,
+against which a hit is verified word by word. That is about three times the text. A benchmark larger
+than ``max_bytes`` is taken in blocks of that size, one scan each, whose hits are merged by document
+row, so what is broadcast never grows with the data.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from functools import reduce
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import free_names, map_batches, map_rows, mixed, slices, plain_words, utf8
+from provtrail.llm.common import free_names, map_batches, map_rows, mixed, plain_words, slices, small, utf8
 from provtrail.session import materialize
 
 WIDTH = 10
+#: Bytes of benchmark text in a block.
+BLOCK_BYTES = 32 << 20
+_MEMORY = 100_000
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -24,45 +30,84 @@ class Windows:
     """Hash set of benchmark windows. ``items`` are pairs (item id, UTF-8 text)."""
 
     def __init__(self, items, width: int):
-        self.vocab: dict[bytes, int] = {}
-        self.windows: dict[int, dict[tuple, set]] = {}
+        self.ids, texts, self.firsts, at = [], [], [], 0
+        found: dict[int, list] = {}
         for item, text in items:
-            words = [self.vocab.setdefault(w, len(self.vocab)) for w in plain_words(text)]
+            words = plain_words(text)
+            if not words:
+                continue
             size = min(width, len(words))
-            for i in range(len(words) - size + 1 if words else 0):
-                self.windows.setdefault(size, {}).setdefault(tuple(words[i:i + size]), set()).add(item)
-        # Two small random tables: word codes, and for each window size the slots in use.
-        self.codes = mixed(np.arange(1, len(self.vocab) + 2, dtype=np.uint64))
-        self.slots = {}
-        for size, known in self.windows.items():
-            used = np.zeros(1 << 20, dtype=bool)
-            ids = np.array(list(known), dtype=np.int64)
-            used[self._rolled(ids.T, size)] = True
-            self.slots[size] = used
-
-    def _rolled(self, columns, size: int) -> np.ndarray:
-        total = np.zeros(len(columns[0]), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for j in range(size):
-                total += self.codes[columns[j]] * np.uint64(2 * j * j + 6 * j + 0x9E3779B97F4A7C15)
-        return (mixed(total) >> np.uint64(44)).astype(np.int64)
+            lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            # Words stand behind one another with a space between, items with a line feed.
+            places = at + np.cumsum(lengths + 1) - lengths - 1
+            found.setdefault(size, []).append((_hashes(_codes(words), size), places[:len(words) - size + 1].astype(np.uint32)))
+            self.ids.append(item)
+            self.firsts.append(at)
+            texts.append(b" ".join(words) + b"\n")
+            at += len(texts[-1])
+        self.text, self.firsts = b"".join(texts), np.array(self.firsts, dtype=np.int64)
+        #: By window size: hashes in order, their places, and bits of the hashes in use.
+        self.sets = {}
+        for size, parts in found.items():
+            hashes, places = (np.concatenate(column) for column in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            hashes, places = hashes[order], places[order]
+            bits = 1 << 20
+            while bits < 8 * len(hashes):
+                bits *= 2
+            used = np.zeros(bits >> 6, dtype=np.uint64)
+            slots = hashes & np.uint64(bits - 1)
+            np.bitwise_or.at(used, (slots >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots & np.uint64(63)))
+            self.sets[size] = (hashes, places, used)
+
+    def nbytes(self) -> int:
+        return len(self.text) + sum(a.nbytes for arrays in self.sets.values() for a in arrays)
 
     def hits(self, words: list[bytes]) -> list[tuple[int, int, set]]:
         """Occurrences: (first word, number of words, items)."""
-        unknown = len(self.vocab)
-        get = self.vocab.get
-        ids = np.fromiter((get(w, unknown) for w in words), dtype=np.int64, count=len(words))
-        found = []
-        for size, known in self.windows.items():
-            n = len(ids) - size + 1
-            if n <= 0:
+        codes, found = _codes(words), []
+        for size, (hashes, places, used) in self.sets.items():
+            if len(words) < size:
                 continue
-            slots = self._rolled([ids[j:j + n] for j in range(size)], size)
-            for i in np.flatnonzero(self.slots[size][slots]).tolist():
-                if (items := known.get(tuple(ids[i:i + size].tolist()))) is not None:
-                    found.append((i, size, items))
+            own = _hashes(codes, size)
+            slots = own & np.uint64(len(used) * 64 - 1)
+            maybe = np.flatnonzero(used[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63)) & np.uint64(1))
+            low, high = (np.searchsorted(hashes, own[maybe], side) for side in ("left", "right"))
+            for i, a, b in zip(maybe.tolist(), low.tolist(), high.tolist()):
+                if a < b:
+                    window = b" ".join(words[i:i + size])
+                    same = [p for p in places[a:b].tolist() if self._stands(window, p)]
+                    if same:
+                        of = np.searchsorted(self.firsts, same, side="right") - 1
+                        found.append((i, size, {self.ids[k] for k in of.tolist()}))
         return found
 
+    def _stands(self, window: bytes, place: int) -> bool:
+        end = place + len(window)
+        return self.text[place:end] == window and self.text[end:end + 1] in (b" ", b"\n")
+
+
+_KNOWN: dict[bytes, int] = {}
+
+
+def _codes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; some are remembered."""
+    if len(_KNOWN) > _MEMORY:
+        _KNOWN.clear()
+    for w in set(words).difference(_KNOWN):
+        _KNOWN[w] = xxhash.xxh3_64_intdigest(w)
+    return np.fromiter(map(_KNOWN.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` words."""
+    n = len(codes) - size + 1
+    total = np.zeros(n, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(size):
+            total += codes[j:j + n] * np.uint64(2 * j * j + 6 * j + 0x9E3779B97F4A7C15)
+    return mixed(total)
+
 
 class _blocks:
     """The benchmark's (item id, UTF-8 text) in parts of about ``max_bytes``, one read at a time."""
@@ -83,7 +128,7 @@ class _blocks:
 
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, max_bytes: int = 64 << 20,
+    item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, max_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans.
 
@@ -152,7 +197,7 @@ def find_hits(
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, action: str = "document", text_col: str = "text",
-    item_text_col: str = "text", width: int = WIDTH, max_bytes: int = 64 << 20,
+    item_text_col: str = "text", width: int = WIDTH, max_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with its own columns, without contaminated rows or without hit spans.
 
@@ -165,61 +210,61 @@ def decontaminate(
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
     blocks = _blocks(benchmark, "item_id", item_text_col, max_bytes)
-    if action == "span" and len(blocks) > 1:
-        return _cut_all(docs, blocks, at, width)
-    for block in blocks:
-        windows = sc.broadcast(Windows(block, width))
-
-        def scan(batches, windows=windows):
-            import pyarrow as pa
-
-            for batch in slices(batches):
-                texts = utf8(batch.column(at))
-                hits = [windows.value.hits(plain_words(t)) if t else [] for t in texts]
-                if action == "document":
-                    yield batch.filter(pa.array([not h for h in hits], pa.bool_()))
-                elif any(hits):
-                    column = pa.array([cut(t, h) if h else t for t, h in zip(texts, hits)], pa.binary())
-                    yield batch.set_column(at, batch.schema.field(at), column.cast(batch.schema.field(at).type))
-                else:
-                    yield batch
-
-        docs = map_batches(docs, scan, docs.schema)
-    return docs
-
-
-def _cut_all(docs: DataFrame, blocks, at: int, width: int) -> DataFrame:
-    """``docs`` without the spans of any block: each block's scan adds its hits to a column."""
-    (own,) = free_names(docs, "_hits")
-    columns, sc = docs.columns, docs.sparkSession.sparkContext
-    found = docs.withColumn(own, F.expr("cast(array() as array<struct<first:int,n:int>>)"))
-    for block in blocks:
-        windows = sc.broadcast(Windows(block, width))
+    if len(blocks) > 1:
+        return _by_blocks(docs, blocks, at, width, action)
+    windows = sc.broadcast(Windows(next(iter(blocks)), width))
 
-        def add(batches, windows=windows):
-            import pyarrow as pa
+    def scan(batches):
+        import pyarrow as pa
 
-            for batch in slices(batches):
-                hits = [[(i, n) for i, n, _ in windows.value.hits(plain_words(t))] if t else [] for t in utf8(batch.column(at))]
-                if any(hits):
-                    field = batch.schema.field(batch.num_columns - 1)
-                    old = [[(h["first"], h["n"]) for h in x] for x in batch.column(batch.num_columns - 1).to_pylist()]
-                    column = pa.array([[{"first": i, "n": n} for i, n in [*x, *h]] for x, h in zip(old, hits)], field.type)
-                    batch = batch.set_column(batch.num_columns - 1, field, column)
+        for batch in slices(batches):
+            texts = utf8(batch.column(at))
+            hits = [windows.value.hits(plain_words(t)) if t else [] for t in texts]
+            if action == "document":
+                yield batch.filter(pa.array([not h for h in hits], pa.bool_()))
+            elif any(hits):
+                column = pa.array([cut(t, h) if h else t for t, h in zip(texts, hits)], pa.binary())
+                yield batch.set_column(at, batch.schema.field(at), column.cast(batch.schema.field(at).type))
+            else:
                 yield batch
 
-        found = map_batches(found, add, found.schema)
+    return map_batches(docs, scan, docs.schema)
+
+
+def _by_blocks(docs: DataFrame, blocks, at: int, width: int, action: str) -> DataFrame:
+    """``decontaminate`` for several blocks: the documents are written once with a number for each row,
+    every block is a scan of its own, and rows or spans go by the numbers of the hits of all blocks."""
+    own, of, hits = free_names(docs, "_row", "_of", "_hits")
+    sc = docs.sparkSession.sparkContext
+    rows = materialize(docs.withColumn(own, F.monotonically_increasing_id()), "documents")
+    texts = rows.select(F.col(own).alias(of), F.col(docs.columns[at]).alias("text"))
+    found = []
+    for block in blocks:
+        windows = sc.broadcast(Windows(block, width))
+
+        def scan(batch, windows=windows):
+            own_hits = [windows.value.hits(plain_words(t)) if t else [] for t in utf8(batch.column(1))]
+            some = [(row, [{"first": i, "n": n} for i, n, _ in h]) for row, h in zip(batch.column(0).to_pylist(), own_hits) if h]
+            return {of: [row for row, _ in some], hits: [h for _, h in some]}
+
+        found.append(map_rows(texts, scan, f"`{of}` long, `{hits}` array<struct<first:int,n:int>>"))
+    merged = reduce(DataFrame.union, found).groupBy(of).agg(F.flatten(F.collect_list(hits)).alias(hits))
+    merged = materialize(merged, "benchmark-hits")
+    same = F.col(own) == F.col(of)
+    if action == "document":
+        return rows.join(small(merged.select(of)), same, "left_anti").drop(own)
+    columns = docs.columns
 
     def cut_all(batches):
         import pyarrow as pa
 
         for batch in slices(batches):
-            hits = [[(h["first"], h["n"], None) for h in x] for x in batch.column(batch.num_columns - 1).to_pylist()]
+            spans = [[(h["first"], h["n"], None) for h in x] if x else [] for x in batch.column(batch.num_columns - 1).to_pylist()]
             field = batch.schema.field(at)
-            column = pa.array([cut(t, h) if h else t for t, h in zip(utf8(batch.column(at)), hits)], pa.binary())
+            column = pa.array([cut(t, h) if h else t for t, h in zip(utf8(batch.column(at)), spans)], pa.binary())
             yield batch.set_column(at, field, column.cast(field.type)).select(columns)
 
-    return map_batches(found, cut_all, docs.schema)
+    return map_batches(rows.join(small(merged), same, "left").select(*columns, hits), cut_all, docs.schema)
 
 
 def cut(text: bytes, hits) -> bytes:
