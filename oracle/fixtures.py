@@ -64,3 +64,13 @@ PLAN_NODES = """SELECT o_orderkey AS query_id, CAST(0 AS BIGINT) AS node_id, CAS
         WHEN l_quantity > 45 THEN l_linenumber - 1 ELSE 0 END AS k FROM lineitem) l"""
 
 DIRTY_NAMES = """SELECT p_partkey AS id, '-' || p_name || '.. ' || p_brand || ';é,' || p_type || '_' AS raw FROM part"""
+
+TABLE_OPERATIONS = """SELECT o_orderkey AS op_id, CASE WHEN o_orderkey % 5 < 2 THEN 'CREATE_TABLE' WHEN o_orderkey % 5 = 2 THEN 'RENAME'
+        WHEN o_orderkey % 5 = 3 THEN 'DROP' ELSE 'INSERT' END AS operation,
+    't' || CASE WHEN o_orderkey % 5 = 2 THEN (o_custkey * 7 + o_orderkey) % 40 ELSE o_custkey % 40 END AS name,
+    CASE WHEN o_orderkey % 5 = 2 THEN 't' || (o_custkey % 40) END AS previous_name, o_orderdate AS event_time FROM orders"""
+
+VIEW_LOG = """SELECT CAST(o_orderkey AS VARCHAR) AS query_id, 'v' || (o_custkey % 20) AS view_name,
+    o_orderdate + to_seconds(o_orderkey % 86400) AS event_time,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'CREATE_VIEW' WHEN o_orderkey % 31 = 1 THEN 'DROP_VIEW' END AS sink_op,
+    CAST((o_orderkey // 4) % 3 AS INTEGER) AS turn FROM orders"""

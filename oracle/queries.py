@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle import fixtures as fx
-from oracle.lineage import UNTRACEABLE, VIEW_BASES, expected_columns, expected_inputs, expected_statements
+from oracle.lineage import REJECTED, UNTRACEABLE, VIEW_BASES, expected_columns, expected_fates, expected_inputs, expected_statements
 from oracle.shapes import shape_sql
 from provtrail.plans.shapes import shape_queries
 from provtrail.plans.traced import traced_names
@@ -132,6 +132,29 @@ RUN_STATE = f"""SELECT run_id, max(job_name) AS job_name, min(event_time) FILTER
     coalesce(max(event_type) FILTER (WHERE event_type <> 'START'), 'START') AS state,
     max(row_count) FILTER (WHERE event_type <> 'START') AS row_count FROM ({fx.ORPHANED_EVENTS}) r GROUP BY run_id"""
 
+# Names on a time line: what an operation ends comes before what it begins.
+SPANS = f"""WITH RECURSIVE ops AS ({fx.TABLE_OPERATIONS}),
+    line AS (
+        SELECT op_id, name, event_time, operation, operation <> 'DROP' AS begins, CASE WHEN operation = 'DROP' THEN 1 ELSE 2 END AS place
+        FROM ops WHERE operation <> 'INSERT'
+        UNION ALL SELECT op_id, previous_name, event_time, 'RENAMED', false, 1 FROM ops WHERE operation = 'RENAME'),
+    nexts AS (SELECT *, lead(event_time) OVER w AS valid_to, lead(operation) OVER w AS ended_as, lead(op_id) OVER w AS ended_by
+        FROM line WINDOW w AS (PARTITION BY name ORDER BY event_time, op_id, place)),
+    parts AS (SELECT * FROM nexts WHERE begins),
+    linked AS (SELECT p.op_id, p.name, p.event_time AS valid_from, p.valid_to, p.ended_by, q.op_id AS renamed_from
+        FROM parts p LEFT JOIN parts q ON p.operation = 'RENAME' AND q.ended_as = 'RENAMED' AND q.ended_by = p.op_id),
+    up(op_id, cur) AS (SELECT op_id, op_id FROM linked
+        UNION ALL SELECT up.op_id, l.renamed_from FROM up JOIN linked l ON l.op_id = up.cur WHERE l.renamed_from IS NOT NULL),
+    roots AS (SELECT up.op_id, up.cur AS dataset FROM up JOIN linked l ON l.op_id = up.cur WHERE l.renamed_from IS NULL),
+    spans AS (SELECT l.*, r.dataset FROM linked l JOIN roots r ON r.op_id = l.op_id)"""
+
+# Sources of the columns of the views in the view log, by turn.
+VIEW_COLUMNS = ((0, "id", "DIRECT", "orders", "o_orderkey"), (0, "label", "INDIRECT", "orders", "o_orderpriority"),
+                (1, "id", "DIRECT", "customer", "c_custkey"), (1, "label", "DIRECT", "customer", "c_name"),
+                (2, "id", "DIRECT", "orders", "o_orderkey"), (2, "label", "INDIRECT", "customer", "c_name"),
+                (2, "label", "INDIRECT", "nation", "n_name"))
+VIEW_INPUTS = ((0, "orders"), (1, "customer"), (2, "orders"), (2, "customer"), (2, "nation"))
+
 # The layers of the traced pipeline and what each reads.
 PIPELINE = {
     "line_waits": ("lineitem", "orders"), "supplier_places": ("supplier", "nation", "region"),
@@ -172,12 +195,31 @@ SQL: dict[str, str] = {
     "c01_c16_resolve_columns": _resolved_columns(),
     "c17_rejects": f"""SELECT query_id, 'untraceable node ' || node AS reason FROM ({LOG}) log
         JOIN (VALUES {values((NAMES.index(q), n) for q, n in UNTRACEABLE.items())}) e(t, node) USING (t)""",
+    "c17_rejected_columns": f"""SELECT query_id, out_col, 'untraceable node ' || node AS reason FROM ({LOG}) log
+        JOIN (VALUES {values((NAMES.index(q), c, UNTRACEABLE[q]) for q, cs in REJECTED.items() for c in cs)}) e(t, out_col, node) USING (t)""",
+    "c17_conservation": f"""SELECT query_id, n AS columns, traced, sourceless, rejected, true AS conserved FROM ({LOG}) log
+        JOIN (VALUES {values((NAMES.index(q), *c) for q, c in expected_fates(NAMES).items())}) e(t, n, traced, sourceless, rejected) USING (t)""",
     "c_distinct_plans": f"""SELECT name AS template, o_custkey // 20 AS tenant, count(*) AS executions, 1 AS plans FROM orders
         JOIN (VALUES {values(enumerate(NAMES))}) e(t, name) ON o_orderkey % {len(NAMES)} = t GROUP BY ALL""",
     "s01_scan_datasets": _scans(),
     "s02_file_scan_datasets": f"""SELECT DISTINCT CAST(page_id // 3 AS VARCHAR) AS query_id, {NAMESPACE} AS namespace, {NAME} AS name
         FROM ({fx.DATASET_PATHS}) p""",
     "s07_g03_view_dependencies": _views(),
+    "s07_create_view": f"""SELECT query_id, view_name, out_col, transformation_type, name, field FROM ({fx.VIEW_LOG}) v
+        JOIN (VALUES {values(VIEW_COLUMNS)}) e(turn, out_col, transformation_type, name, field) USING (turn) WHERE sink_op = 'CREATE_VIEW'""",
+    "s07_views_over_time": f"""SELECT r.query_id, r.view_name, d.query_id AS definition, e.name
+        FROM (SELECT * FROM ({fx.VIEW_LOG}) v WHERE sink_op IS NULL) r
+        ASOF JOIN (SELECT view_name, event_time, max(query_id) AS query_id, arg_max(sink_op, query_id) AS sink_op, arg_max(turn, query_id) AS turn
+            FROM ({fx.VIEW_LOG}) v WHERE sink_op IS NOT NULL GROUP BY ALL) d
+            ON r.view_name = d.view_name AND r.event_time >= d.event_time
+        JOIN (VALUES {values(VIEW_INPUTS)}) e(turn, name) ON e.turn = d.turn WHERE d.sink_op = 'CREATE_VIEW'""",
+    "r14_rename_chain": f"""{SPANS} SELECT op_id, name, dataset, {ISO.format('valid_from')} AS valid_from,
+        {ISO.format('valid_to')} AS valid_to, renamed_from FROM spans""",
+    "r14_datasets_of_inserts": f"""{SPANS}
+        SELECT i.op_id, s.dataset FROM ops i JOIN spans s ON s.name = i.name
+        WHERE i.operation = 'INSERT' AND (s.valid_from, s.op_id) < (i.event_time, i.op_id)
+          AND (s.valid_to IS NULL OR (i.event_time, i.op_id) < (s.valid_to, s.ended_by))
+        QUALIFY row_number() OVER (PARTITION BY i.op_id ORDER BY s.valid_from DESC, s.op_id DESC) = 1""",
     "g02_g04_plan_inputs": _inputs(),
     "j01_j02_traced_statements": _statements(),
     "j01_profile": f"""SELECT query_id, root, join_count, node_count, array_to_string(ops, ',') AS operators,
@@ -226,12 +268,15 @@ SQL: dict[str, str] = {
         WHERE k = 1""",
     "r21_required_facets": f"""SELECT 'START' AS "eventType", count(*) AS with_producer, count(*) AS with_engine,
         count(query) AS with_sql FROM ({STARTS}) s""",
-    "s04_s06_traced_writes": """SELECT 'COPY' AS sink_op, 'COMPLETE' AS event_type, count(*) AS row_count FROM orders
-        UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*) FROM customer
-        UNION ALL SELECT 'INSERT', 'COMPLETE', count(*) FROM supplier""",
+    "s04_s06_traced_writes": """SELECT 'COPY' AS sink_op, 'COMPLETE' AS event_type, count(*) AS row_count, true AS has_bytes FROM orders
+        UNION ALL SELECT 'CREATE_TABLE', 'COMPLETE', count(*), true FROM customer
+        UNION ALL SELECT 'INSERT', 'COMPLETE', count(*), true FROM supplier""",
+    "s04_r14_traced_statements": f"""SELECT 'COMPLETE' AS "eventType", name, state, previous, fields FROM (VALUES
+        ('old', 'CREATE', NULL, 'o_orderkey,o_orderpriority'), ('new', 'RENAME', 'old', NULL), ('view', 'CREATE', NULL, 'o_orderkey'),
+        ('view', 'CREATE', NULL, 'priority'), ('view', 'DROP', NULL, NULL), ('new', 'DROP', NULL, NULL)) e(name, state, previous, fields)""",
     "s04_r01_traced_events": """SELECT 'START' AS "eventType", 'orders' AS input, CAST(NULL AS BIGINT) AS row_count,
-            'INDIRECT' AS total_type, 'customer bigint,total double' AS fields, 'OVERWRITE' AS state
-        UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), 'INDIRECT', 'customer bigint,total double', 'OVERWRITE'
+            CAST(NULL AS BOOLEAN) AS has_bytes, 'INDIRECT' AS total_type, 'customer bigint,total double' AS fields, 'OVERWRITE' AS state
+        UNION ALL SELECT 'COMPLETE', NULL, count(DISTINCT o_custkey), true, 'INDIRECT', 'customer bigint,total double', 'OVERWRITE'
         FROM orders""",
     "s09_s10_event_round_trip": f"""SELECT eventType AS "eventType", job_name, count(*) AS n,
         CAST(sum(CASE WHEN has_stats THEN o_custkey END) AS BIGINT) AS row_count FROM ({ENDS}) e GROUP BY ALL""",
@@ -250,6 +295,10 @@ SQL: dict[str, str] = {
         UNION ALL SELECT DISTINCT query_id, 'view_' || (l_suppkey % 10), 'VIEW' FROM scans WHERE viewed""",
     "t01_stream_intake": f"SELECT coalesce(reason, 'valid') AS reason, count(*) AS n FROM ({BROKEN}) b GROUP BY 1",
     "t02_stream_dedup": f"SELECT run_id, event_type, row_count FROM ({fx.RUN_EVENTS}) r",
+    "t02_late_deliveries": f"""SELECT event_type, count(*) AS first, count(DISTINCT run_id) AS runs, CAST(sum(row_count) AS BIGINT) AS row_count,
+        count(*) FILTER (WHERE run_no % 3 = 0) AS repeats FROM ({fx.RUN_EVENTS}) r GROUP BY event_type""",
+    "t03_compacted_run_state": f"""SELECT run_id, job_name, {ISO.format('started')} AS started, {ISO.format('ended')} AS ended, state
+        FROM ({RUN_STATE}) s""",
     "t03_stream_run_state": f"""SELECT run_id, job_name, {ISO.format('started')} AS started, {ISO.format('ended')} AS ended, state
         FROM ({RUN_STATE}) s""",
     "t04_intake_counters": f"SELECT count(*) AS seen, count(reason) AS rejected FROM ({BROKEN}) b",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from provtrail.plans.traced import TRACED
 
 WORDS = "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents"
+UNPIVOTED = """SELECT l_orderkey, l_linenumber, 'quantity' AS measure, l_quantity AS amount FROM lineitem WHERE l_quantity IS NOT NULL
+    UNION ALL SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem WHERE l_discount IS NOT NULL"""
 
 DIALECT = {
     "q16_array_agg": """SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities
@@ -45,6 +47,22 @@ DIALECT = {
             count(*) FILTER (WHERE place IS NOT NULL AND slow.mean > whole.mean) AS slow_places,
             count(*) FILTER (WHERE p_brand IS NOT NULL AND slow.mean > whole.mean) AS slow_brands
         FROM whole JOIN slow USING (area) GROUP BY area, n_lines, days""",
+    "q41_lateral_explode": WORDS,
+    "q41_lateral_select": WORDS,
+    "q41_lateral_stack": UNPIVOTED,
+    "q42_unpivot": UNPIVOTED,
+    "q42_unpivot_frame": """SELECT l_orderkey, l_linenumber, 'l_quantity' AS measure, l_quantity AS amount FROM lineitem
+        UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', l_discount FROM lineitem""",
+    "q41_lateral_outer": """SELECT s_suppkey, s_name || n_name AS home, s_name AS owner FROM supplier
+        JOIN nation ON n_nationkey = s_nationkey""",
+    "q41_lateral_join": """SELECT c_custkey, n_name, lower(r_name) AS area, upper(c_name) AS owner FROM customer
+        JOIN nation ON n_nationkey = c_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "q41_lateral_nested": """SELECT c_custkey, n_name, n_name || r_name AS label FROM customer
+        JOIN nation ON n_nationkey = c_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "q42_cube": """SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_linestatus) AS TINYINT) AS all_status, COUNT(l_orderkey) AS n
+        FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
+    "q44_pipe": """SELECT lower(o_orderpriority) AS priority, COUNT(*) AS n, MAX(o_totalprice) AS high FROM orders
+        WHERE o_orderstatus = 'F' GROUP BY 1""",
     "q40_nested": """SELECT doc_id, lang, n_chars AS chars, array_to_string(string_split(source, '_'), '|') AS parts
         FROM documents""",
 }

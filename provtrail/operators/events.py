@@ -20,7 +20,8 @@ from provtrail.schema import (
 LIFECYCLE_STATES = ("CREATE", "DROP", "ALTER", "OVERWRITE", "RENAME", "TRUNCATE")
 OPERATION_STATES = {
     "INSERT": "OVERWRITE", "UPDATE": "OVERWRITE", "DELETE": "OVERWRITE", "COPY": "OVERWRITE",
-    "CREATE_TABLE": "CREATE", "CREATE_VIEW": "CREATE", "DROP": "DROP", "RENAME": "RENAME", "ALTER": "ALTER",
+    "CREATE_TABLE": "CREATE", "CREATE_VIEW": "CREATE", "DROP": "DROP", "DROP_VIEW": "DROP",
+    "RENAME": "RENAME", "ALTER": "ALTER",
 }
 # The forms of run ids and event times.
 UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from provtrail.functions.naming import job_name, short_hash
+from provtrail.plans.parse import DEFINITION
 
 # Operator of the root node to statement type.
 STATEMENTS = {
@@ -21,7 +22,7 @@ UTILITY = ("SET", "RESET", "PRAGMA", "EXPLAIN", "TRANSACTION", "LOAD", "PREPARE"
 CATALYST_OPERATORS = {
     "Aggregate": "AGGREGATE", "Window": "WINDOW", "Union": "UNION", "Except": "EXCEPT",
     "Intersect": "INTERSECT", "Distinct": "DISTINCT", "Deduplicate": "DISTINCT", "WithCTE": "MATERIALIZED_CTE",
-    "UnionLoop": "RECURSIVE_CTE", "AsOfJoin": "ASOF_JOIN", "LateralJoin": "COMPARISON_JOIN", "InsertIntoStatement": "INSERT",
+    "UnionLoop": "RECURSIVE_CTE", "AsOfJoin": "ASOF_JOIN", "InsertIntoStatement": "INSERT",
     "InsertIntoHadoopFsRelationCommand": "INSERT", "AppendData": "INSERT", "OverwriteByExpression": "INSERT",
     "CreateTableAsSelect": "CREATE_TABLE", "CreateDataSourceTableAsSelectCommand": "CREATE_TABLE",
     "CreateViewCommand": "CREATE_VIEW", "DeleteFromTable": "DELETE", "UpdateTable": "UPDATE",
@@ -127,8 +128,8 @@ def drop_utility(profile: DataFrame) -> DataFrame:
 def plan_log_nodes(parsed_nodes: DataFrame, scans: DataFrame) -> DataFrame:
     """Nodes of parsed plans in the layout ``profile_plans`` reads (query_id = plan_id).
 
-    A subquery in an expression counts as a join of its plan with the outer query. The
-    joins below are on the node's full key, so their keys are unique and even.
+    A subquery in an expression, the right side of a lateral join too, counts as a join of its plan
+    with the outer query. The joins below are on the node's full key, so their keys are unique and even.
     """
     key = ["plan_id", "scope", "nid"]
     parents = parsed_nodes.select("plan_id", "scope", F.col("nid").alias("parent_id"), F.explode("kids").alias("nid"))
@@ -140,7 +141,8 @@ def plan_log_nodes(parsed_nodes: DataFrame, scans: DataFrame) -> DataFrame:
         F.col("plan_id").alias("query_id"), node_id.alias("node_id"),
         F.when(~inner, F.col("parent_id")).alias("parent_id"),
         operator_of(F.col("cls"), F.col("join_type")).alias("operator"), "table_name")
-    subqueries = parsed_nodes.filter(inner & (F.col("nid") == 0)).select(
+    # The query of a view definition is joined with nothing.
+    subqueries = parsed_nodes.filter(inner & (F.col("nid") == 0) & ~F.col("scope").endswith(f"/{DEFINITION}")).select(
         F.col("plan_id").alias("query_id"), node_id.alias("node_id"), F.lit(None).cast("int").alias("parent_id"),
         F.lit("COMPARISON_JOIN").alias("operator"), F.lit(None).cast("string").alias("table_name"))
     return nodes.unionByName(subqueries)

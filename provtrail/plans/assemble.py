@@ -20,12 +20,13 @@ def log_events(
 ) -> tuple[DataFrame, DataFrame]:
     """(START events, end events) of the runs of a plan log.
 
-    Plans are resolved once per distinct plan and joined back to their queries. Excluded
+    Plans are resolved once per distinct plan and joined back to their queries; a log with a column
+    ``plan_id`` is taken at its word which plans are equal. Utility statements have no events. Excluded
     name prefixes apply to inputs, outputs and, unless kept, column sources. ``parent``:
     run id, job namespace and job name of the run that started these. ``catalogs`` (see
     ``functions.ids.classify_catalogs``) adds namespaces, catalog and source facets.
     """
-    keyed = plan_log.select("query_id", resolve.plan_key().alias("plan_id"))
+    keyed = resolve.keyed_log(plan_log)
     plans = resolve.distinct_plans(plan_log)
     parsed = resolve.parse_log(plans, default_namespace, catalogs)
 
@@ -44,10 +45,10 @@ def log_events(
         sinks = resolve.in_catalogs(sinks, catalogs, default_namespace)
     sinks, catalog_facets = _with_catalogs(sinks, catalogs)
     state = events.lifecycle_state(F.col("operation"))
-    none = F.lit(None).cast("string")
     outputs = sinks.select("query_id", F.lit(0).alias("position"), "namespace", "name", events.dataset_facets(
         schema=events.schema_facet(F.col("fields")), datasetType=events.type_facet(F.col("dataset_type")),
-        lifecycleStateChange=events.lifecycle_facet(state, none, none), **catalog_facets).alias("facets"))
+        lifecycleStateChange=events.lifecycle_facet(state, F.col("prev_namespace"), F.col("prev_name")),
+        **catalog_facets).alias("facets"))
 
     # Column lineage only where there is an output to attach it to.
     columns = resolve.resolve_plans(plans, default_namespace, parsed)
@@ -56,7 +57,9 @@ def log_events(
     per_query = keyed.join(sinks.select("query_id"), "query_id", "left_semi").join(
         resolve.columns_per_plan(columns), "plan_id").select("query_id", "cols")
 
-    shapes = profile.statement_type(profile.profile_plans(profile.plan_log_nodes(parsed.nodes, parsed.scans)))
+    # Utility statements have no lineage, so no events either.
+    profiles = profile.drop_utility(profile.profile_plans(profile.plan_log_nodes(parsed.nodes, parsed.scans)))
+    shapes = profile.statement_type(profiles)
     jobs = _job_names(plan_log, keyed, shapes)
     run_rows = runs.select("query_id", "run_id", F.col("started").alias("event_time")).join(
         plan_log.select("query_id", "query"), "query_id")

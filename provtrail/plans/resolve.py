@@ -45,6 +45,12 @@ def plan_key():
     return F.md5(F.concat_ws("\u0001", plain, F.to_json("files")))
 
 
+def keyed_log(plan_log: DataFrame) -> DataFrame:
+    """Queries of a plan log and their plans: query_id, plan_id, by fingerprint unless the log has its own."""
+    key = F.col("plan_id") if "plan_id" in plan_log.columns else plan_key()
+    return plan_log.select("query_id", key.alias("plan_id"))
+
+
 def distinct_plans(plan_log: DataFrame) -> DataFrame:
     """Each distinct plan once: plan_id, plan_json, files. Scheduled jobs repeat their plans;
     resolving one copy and joining back also removes the skew of a plan that makes up much of the
@@ -52,9 +58,10 @@ def distinct_plans(plan_log: DataFrame) -> DataFrame:
 
     Only keys and query ids are grouped; then the text of one query per key is fetched.
     """
-    keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
+    keyed = keyed_log(plan_log)
     chosen = materialize(keyed.groupBy("plan_id").agg(F.min("query_id").alias("query_id")), "plan-keys")
-    return plan_log.join(small_side(chosen), "query_id").select("plan_id", "plan_json", "files").dropDuplicates(["plan_id"])
+    texts = plan_log.select("query_id", "plan_json", "files")
+    return texts.join(small_side(chosen), "query_id").select("plan_id", "plan_json", "files").dropDuplicates(["plan_id"])
 
 
 def parse_log(
@@ -65,7 +72,7 @@ def parse_log(
     ``catalogs`` (name, data_path): scans of tables of a catalog with a data path get that
     path as their namespace, here and so in inputs and column sources alike.
     """
-    levels = parse.parse_plans(plans, wanted=parse.RESULTS if columns else ("nodes", "scans"))
+    levels = parse.parse_plans(plans, keep_broken=True, wanted=parse.RESULTS if columns else ("nodes", "scans"))
     nodes = parse.plan_nodes(levels)
     scans = parse.scan_leaves(levels, default_namespace)
     if catalogs is not None:
@@ -95,27 +102,52 @@ def resolve_plans(
     """Column lineage of distinct plans.
 
     Returns plan_id, ordinal, out_col, input_fields (sorted array of namespace, name,
-    field), transformation_type. Columns without a source are left out; of outputs with the
-    same name the last one stays.
+    field), transformation_type. Columns without a source and columns that a node of unknown
+    column flow has a part in are left out; of outputs with the same name the last one stays.
     """
     parsed = parsed or parse_log(plans, default_namespace)
-    untraceable = parsed.levels.filter("unknown is not null").select("plan_id").distinct()
-    roots = parse.root_columns(parsed.levels).join(untraceable, "plan_id", "left_anti")
+    by_output = _sources_by_output(parsed)
+    last = by_output.groupBy("plan_id", "out_col").agg(
+        F.max(F.struct("ordinal", "input_fields", "breaks", "reason")).alias("r"))
+    return last.filter("r.reason is null").select(
+        "plan_id", F.col("r.ordinal").alias("ordinal"), "out_col", F.col("r.input_fields").alias("input_fields"),
+        F.when(F.col("r.breaks"), "INDIRECT").otherwise("DIRECT").alias("transformation_type"))
+
+
+def _sources_by_output(parsed: Parsed) -> DataFrame:
+    """Outputs with a source: plan_id, ordinal, out_col, input_fields, breaks, reason (null unless tainted)."""
+    broken = parsed.levels.filter("not readable").select("plan_id").distinct()
+    roots = parse.root_columns(parsed.levels).join(broken, "plan_id", "left_anti")
     reach = close_edges(parse.column_edges(parsed.levels), ["plan_id"])
     # An output that only hands a scanned column on ends there; the others follow their paths.
-    direct = roots.filter(F.col("v").startswith(parse.LEAF)).withColumn("breaks", F.lit(False))
+    ends = F.substring("v", 1, 1).isin(parse.LEAF, parse.TAINT)
+    direct = roots.filter(ends).withColumn("breaks", F.lit(False))
     traced = roots.join(reach.withColumnRenamed("src", "v"), ["plan_id", "v"]).drop("v").withColumnRenamed("dst", "v")
-    by_output = (
+    tainted = F.when(F.col("v").startswith(parse.TAINT), F.concat(F.lit("untraceable node "), F.split("v", ":")[1]))
+    return (
         direct.unionByName(traced)
-        .join(parse.leaf_sources(parsed.scans), ["plan_id", "v"])
+        .join(parse.leaf_sources(parsed.scans), ["plan_id", "v"], "left")
         .groupBy("plan_id", "ordinal", "out_col")
-        .agg(F.sort_array(F.collect_set("source")).alias("input_fields"), F.max("breaks").alias("breaks"))
+        .agg(F.sort_array(F.collect_set("source")).alias("input_fields"), F.max("breaks").alias("breaks"),
+             F.min(tainted).alias("reason"))
     )
-    last = by_output.groupBy("plan_id", "out_col").agg(
-        F.max(F.struct("ordinal", "input_fields", "breaks")).alias("r"))
-    return last.select(
-        "plan_id", F.col("r.ordinal").alias("ordinal"), "out_col", F.col("r.input_fields").alias("input_fields"),
-        F.when(F.col("r.breaks"), "INDIRECT").otherwise("DIRECT").alias("transformation_type"))
+
+
+def column_fates(
+    plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, parsed: Parsed | None = None
+) -> DataFrame:
+    """What became of every output column: plan_id, ordinal, out_col, fate, reason.
+
+    ``fate`` is ``traced`` (all its sources are known), ``sourceless`` (it has none, such as a constant)
+    or ``rejected`` (a node of unknown column flow has a part in it, which ``reason`` names). Each
+    output column of each readable plan is one row.
+    """
+    parsed = parsed or parse_log(plans, default_namespace)
+    found = _sources_by_output(parsed).select("plan_id", "ordinal", "reason", F.lit(True).alias("_found"))
+    return parse.root_columns(parsed.levels).select("plan_id", "ordinal", "out_col").join(
+        found, ["plan_id", "ordinal"], "left").select(
+        "plan_id", "ordinal", "out_col",
+        F.when(F.col("reason").isNotNull(), "rejected").when(F.col("_found"), "traced").otherwise("sourceless").alias("fate"), "reason")
 
 
 def columns_per_plan(resolved: DataFrame) -> DataFrame:
@@ -131,24 +163,33 @@ def resolve_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESP
     """
     resolved = resolve_plans(distinct_plans(plan_log), default_namespace)
     per_plan = columns_per_plan(resolved)
-    keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
+    keyed = keyed_log(plan_log)
+    return keyed.join(per_plan, "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
+
+
+def rejected_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """Output columns that ``resolve_columns`` leaves out because their sources are not all known:
+    query_id, ordinal, out_col, reason. The other columns of the same queries are traced."""
+    fates = column_fates(distinct_plans(plan_log), default_namespace).filter("fate = 'rejected'")
+    per_plan = fates.groupBy("plan_id").agg(F.collect_list(F.struct("ordinal", "out_col", "reason")).alias("cols"))
+    keyed = keyed_log(plan_log)
     return keyed.join(per_plan, "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
 
 
 def rejected_plans(plan_log: DataFrame) -> DataFrame:
-    """Queries left out of ``resolve_columns``, with the reason: query_id, reason.
+    """Queries that were not traced as a whole, with the reason: query_id, reason.
 
-    A plan text is broken, or the plan or one embedded in its expressions has a node of unknown
-    column flow. Each distinct plan is looked at once.
+    A plan text, or one embedded in it, is broken; or a node of unknown column flow is in it, of which
+    ``rejected_columns`` tells the columns. Each distinct plan is looked at once.
     """
-    keyed = plan_log.select("query_id", plan_key().alias("plan_id"))
+    keyed = keyed_log(plan_log)
     levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True, wanted=())
     return keyed.join(rejects_of(levels), "plan_id").select("query_id", "reason")
 
 
 def rejects_of(levels: DataFrame) -> DataFrame:
-    """Plans that cannot be traced, from their parsed levels: plan_id, reason."""
-    reason = F.when(F.col("outputs").isNull(), "malformed plan").when(
+    """Plans with a part that cannot be traced, from their parsed levels: plan_id, reason."""
+    reason = F.when(~F.coalesce("readable", F.lit(False)), "malformed plan").when(
         F.col("unknown").isNotNull(), F.concat(F.lit("untraceable node "), F.col("unknown")))
     bad = levels.select("plan_id", "scope", reason.alias("reason")).filter("reason is not null")
     return bad.groupBy("plan_id").agg(F.min_by("reason", "scope").alias("reason"))
@@ -173,14 +214,18 @@ def file_scan_datasets(plan_log: DataFrame) -> DataFrame:
 
 
 def sink_datasets(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
-    """Output dataset of every query that writes: query_id, namespace, name, operation, dataset_type,
-    fields (null where the log has none)."""
-    fields = F.col("sink_fields") if "sink_fields" in plan_log.columns else F.lit(None).cast(
-        "array<struct<name: string, type: string>>")
+    """Output dataset of every query that writes: query_id, namespace, name, operation, dataset_type, fields,
+    prev_namespace, prev_name (the last three null where the log has none)."""
+    def held(name, kind):
+        return F.col(name) if name in plan_log.columns else F.lit(None).cast(kind)
+
     return plan_log.filter("sink_name is not null").select(
         "query_id", F.coalesce("sink_ns", F.lit(default_namespace)).alias("namespace"), F.col("sink_name").alias("name"),
         F.col("sink_op").alias("operation"),
-        F.when(F.col("sink_op") == "CREATE_VIEW", "VIEW").otherwise("TABLE").alias("dataset_type"), fields.alias("fields"))
+        F.when(F.col("sink_op").isin("CREATE_VIEW", "DROP_VIEW"), "VIEW").otherwise("TABLE").alias("dataset_type"),
+        held("sink_fields", "array<struct<name: string, type: string>>").alias("fields"),
+        F.when(held("prev_name", "string").isNotNull(), F.coalesce(held("prev_ns", "string"), F.lit(default_namespace))).alias("prev_namespace"),
+        held("prev_name", "string").alias("prev_name"))
 
 
 def exclude_sources(columns: DataFrame, prefixes) -> DataFrame:

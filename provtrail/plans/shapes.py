@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from provtrail.operators.recursive import recurse
 from provtrail.operators.windows import asof_join, first_per_key, global_rank, ordered_prefix, with_halo
-from provtrail.plans.traced import TRACED, traced
+from provtrail.plans.traced import TRACED, traced, traced_frame
 from provtrail.session import work_dir
 from provtrail.sources.tables import register, small_side, table
 from provtrail.sources.traced_io import TraceLog
@@ -172,6 +172,7 @@ OWN_FORM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q37_parquet": partial(file_round_trip, fmt="parquet"),
     "q38_multi_layer": multi_layer,
     "q40_nested": nested_fields,
+    "q42_unpivot_frame": partial(traced_frame, name="q42_unpivot_frame"),
 }
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from provtrail.plans.capture import capture, plan_log
 from provtrail.sources.tables import TABLES, register
@@ -144,8 +144,32 @@ TRACED: dict[str, str] = {
         split(source, '_') AS parts FROM documents""",
     "q41_lateral": """SELECT o_orderkey, t.top FROM orders,
         LATERAL (SELECT MAX(l_quantity) AS top FROM lineitem WHERE l_orderkey = o_orderkey) t""",
+    "q41_lateral_explode": "SELECT doc_id, word FROM documents, LATERAL explode(split(text, ' ')) AS t(word)",
+    "q41_lateral_select": "SELECT doc_id, word FROM documents, LATERAL (SELECT explode(split(text, ' ')) AS word)",
+    "q41_lateral_stack": """SELECT l_orderkey, l_linenumber, measure, amount FROM lineitem,
+        LATERAL stack(2, 'quantity', l_quantity, 'discount', l_discount) AS t(measure, amount)""",
+    "q41_lateral_outer": """SELECT s_suppkey, t.home, t.owner FROM supplier,
+        LATERAL (SELECT concat(s_name, n_name) AS home, s_name AS owner FROM nation WHERE n_nationkey = s_nationkey) t""",
+    "q41_lateral_join": """SELECT c_custkey, t.n_name, t.area, t.owner FROM customer,
+        LATERAL (SELECT n_name, lower(r_name) AS area, upper(c_name) AS owner FROM nation
+            JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey = c_nationkey) t""",
+    "q41_lateral_nested": """SELECT c_custkey, t.n_name, t.label FROM customer,
+        LATERAL (SELECT n_name, u.label FROM nation,
+            LATERAL (SELECT concat(n_name, r_name) AS label FROM region WHERE r_regionkey = n_regionkey) u
+            WHERE n_nationkey = c_nationkey) t""",
     "q42_rollup": """SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS quantity FROM lineitem
         GROUP BY ROLLUP (l_returnflag, l_linestatus)""",
+    "q42_cube": """SELECT l_returnflag, l_linestatus, GROUPING(l_linestatus) AS all_status, COUNT(l_orderkey) AS n
+        FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
+    "q42_grouping_sets": """SELECT o_orderstatus, o_orderpriority, MAX(o_totalprice) AS high FROM orders
+        GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())""",
+    "q42_rollup_joined": """SELECT c_custkey, c_mktsegment, top FROM customer JOIN (
+        SELECT o_custkey, o_orderstatus, MAX(o_totalprice) AS top FROM orders GROUP BY ROLLUP (o_custkey, o_orderstatus)) t
+        ON c_custkey = o_custkey WHERE o_orderstatus IS NULL""",
+    "q42_unpivot": """SELECT l_orderkey, l_linenumber, measure, amount FROM lineitem
+        UNPIVOT (amount FOR measure IN (l_quantity AS quantity, l_discount AS discount))""",
+    "q44_pipe": """FROM orders |> WHERE o_orderstatus = 'F' |> EXTEND lower(o_orderpriority) AS priority
+        |> AGGREGATE COUNT(*) AS n, MAX(o_totalprice) AS high GROUP BY priority""",
 }
 
 
@@ -155,8 +179,21 @@ def _asof_frame(spark: SparkSession) -> DataFrame:
         orders, leftAsOfColumn="ts", rightAsOfColumn="o_orderdate", how="left").select("event_id", "o_orderkey")
 
 
+def _unpivoted_frame(spark: SparkSession) -> DataFrame:
+    return spark.table("lineitem").unpivot(
+        ["l_orderkey", "l_linenumber"], ["l_quantity", "l_discount"], "measure", "amount")
+
+
+def _python_beside(spark: SparkSession) -> DataFrame:
+    """A side that Python makes, whose columns no plan text can tell, beside one that is traced."""
+    scored = spark.table("customer").mapInArrow(lambda batches: batches, "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string")
+    return spark.table("orders").join(scored, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "c_name", F.concat("o_orderpriority", "c_mktsegment").alias("label"), F.lit(1).alias("one"))
+
+
 # Traced through the DataFrame API: SQL has no words for them.
-TRACED_FRAMES = {"q43_asof_frame": _asof_frame}
+TRACED_FRAMES = {
+    "q42_unpivot_frame": _unpivoted_frame, "q43_asof_frame": _asof_frame, "q45_python_beside": _python_beside}
 
 
 def traced_names() -> list[str]:
@@ -168,6 +205,11 @@ VIEWS = {
 }
 
 
+def traced_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark, sf_dir, "events orders lineitem customer")
+    return TRACED_FRAMES[name](spark)
+
+
 def prepare(spark: SparkSession, sf_dir: str, text: str | None = None) -> None:
     """Register the tables and views that ``text``, or any traced query, reads."""
     words = None if text is None else set(re.findall(r"\w+", text))
@@ -192,7 +234,7 @@ def traced_plan_log(spark: SparkSession, sf_dir: str, fresh: int = 0) -> DataFra
     and number ``fresh``."""
     key = (spark.sparkContext.applicationId, sf_dir, fresh)
     if key not in _CAPTURED:
-        prepare(spark, sf_dir, " ".join([*TRACED.values(), *VIEWS, "events", "orders"]))
+        prepare(spark, sf_dir, " ".join([*TRACED.values(), *VIEWS, "events", "orders", "lineitem", "customer"]))
         _CAPTURED[key] = [
             capture(spark.sql(text), name, text, "CREATE_TABLE", None, f"{name}_out") for name, text in TRACED.items()]
         _CAPTURED[key] += [

@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from provtrail.functions import ids, naming
-from provtrail.operators import datasets, events, graph, profile
+from provtrail.operators import datasets, events, graph, history, profile
 from provtrail.operators.closure import close_edges
 from provtrail.plans import assemble, resolve
 from provtrail.plans.shapes import shape_queries, waiting_pipeline
+from provtrail.plans.traced import traced_plan_log
 from provtrail.session import work_dir
 from provtrail.sources import event_io, fixtures as fx
 from provtrail.sources.tables import register, table
@@ -164,6 +165,26 @@ def s07_g03_view_dependencies(spark, sf_dir):
     return queries.select("query_id", "plan_id").join(deps, "plan_id").drop("plan_id")
 
 
+@query
+def s07_create_view(spark, sf_dir):
+    """Columns of the views that CREATE VIEW statements define, and their sources."""
+    log, _, plans = fx.view_log(spark, sf_dir)
+    per_plan = resolve.columns_per_plan(resolve.resolve_plans(plans))
+    return log.join(per_plan, "plan_id").select("query_id", F.col("sink_name").alias("view_name"), F.explode("cols").alias("c")).select(
+        "query_id", "view_name", "c.out_col", "c.transformation_type", F.explode("c.input_fields").alias("s")).select(
+        "query_id", "view_name", "out_col", "transformation_type", "s.name", "s.field")
+
+
+@query
+def s07_views_over_time(spark, sf_dir):
+    """What each read of a view read in the end, by the definition that held at its time."""
+    log, reads, plans = fx.view_log(spark, sf_dir)
+    seen = history.definitions_at(reads, history.view_definitions(log))
+    inputs = log.select(F.col("query_id").alias("definition"), "plan_id").join(
+        resolve.plan_inputs(resolve.parse_log(plans, columns=False)), "plan_id")
+    return seen.join(inputs, "definition").select("query_id", "view_name", "definition", "name")
+
+
 @query
 def g02_g04_plan_inputs(spark, sf_dir):
     queries, _, parsed = _resolved(spark, sf_dir)
@@ -186,6 +207,27 @@ def c17_rejects(spark, sf_dir):
     return queries.select("query_id", "plan_id").join(resolve.rejects_of(parsed.levels), "plan_id").select("query_id", "reason")
 
 
+@query
+def c17_rejected_columns(spark, sf_dir):
+    """Output columns in which a node of unknown column flow has a part."""
+    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
+    fates = resolve.column_fates(plans, parsed=parsed).filter("fate = 'rejected'")
+    return queries.select("query_id", "plan_id").join(fates, "plan_id").select("query_id", "out_col", "reason")
+
+
+@query
+def c17_conservation(spark, sf_dir):
+    """No column is lost: traced, sourceless and rejected ones are all that the query put out."""
+    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
+    n = [F.count_if(F.col("fate") == f).cast("int").alias(f) for f in ("traced", "sourceless", "rejected")]
+    per_plan = resolve.column_fates(plans, parsed=parsed).groupBy("plan_id").agg(*n)
+    # How many columns there are is what the query's own schema says, not the parsed plan.
+    schemas = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), F.size("sink_fields").alias("columns"))
+    return queries.join(per_plan, "plan_id", "left").join(schemas, "template").select(
+        "query_id", "columns", "traced", "sourceless", "rejected",
+        (F.col("traced") + F.col("sourceless") + F.col("rejected") == F.col("columns")).alias("conserved"))
+
+
 @query
 def c_distinct_plans(spark, sf_dir):
     """Each order runs one of three fresh captures of its query: executions and plan keys of each."""
@@ -353,6 +395,22 @@ def r13_lifecycle_rejects(spark, sf_dir):
     return events.lifecycle(ops)[1].select("op_id", "operation")
 
 
+@query
+def r14_rename_chain(spark, sf_dir):
+    """Spans of all names, each with the dataset it stands for through all renames."""
+    spans = history.dataset_spans(fx.table_operations(spark, sf_dir))
+    return spans.select("op_id", "name", "dataset", events.iso_time("valid_from").alias("valid_from"),
+                        events.iso_time("valid_to").alias("valid_to"), "renamed_from")
+
+
+@query
+def r14_datasets_of_inserts(spark, sf_dir):
+    """The dataset that each insert went to, whatever its name was then."""
+    ops = fx.table_operations(spark, sf_dir)
+    inserts = ops.filter("operation = 'INSERT'").select("op_id", "name", "event_time")
+    return history.datasets_at(inserts, history.dataset_spans(ops)).select("op_id", "dataset")
+
+
 @query
 def r15_symlinks(spark, sf_dir):
     """Every customer dataset with links to its orders' datasets."""
@@ -467,7 +525,30 @@ def s04_s06_traced_writes(spark, sf_dir):
     log.create(customer.select("c_custkey", "c_name"), name, path=f"{base}/table")
     log.append(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name")), name)
     return log.runs().join(log.plans().select("query_id", "sink_op"), "query_id").select(
-        "sink_op", "event_type", "row_count")
+        "sink_op", "event_type", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query
+def s04_r14_traced_statements(spark, sf_dir):
+    """A table that is created, renamed and dropped and a view that is defined anew: states and previous names."""
+    log, made = TraceLog(spark, f"{work_dir(spark)}/provtrail/statements-{uuid.uuid4().hex}"), uuid.uuid4().hex
+    register(spark, sf_dir, ["orders", "customer"])
+    old, new, view = f"old_{made}", f"new_{made}", f"view_{made}"
+    log.create(spark.sql("SELECT o_orderkey, upper(o_orderpriority) AS priority FROM orders"), old, path=f"{log.root}/table")
+    log.rename(old, new)
+    log.create_view(view, f"SELECT o_orderkey AS id FROM {new}")
+    log.create_view(view, f"SELECT priority AS id FROM {new}")
+    log.drop(view, view=True)
+    log.drop(new)
+    end = assemble.log_events(log.plans(), log.runs())[1]
+    out = F.get("outputs", F.lit(0))
+    state = out["facets"]["lifecycleStateChange"]
+    own = lambda c: F.regexp_replace(F.element_at(F.split(c, "[.]"), -1), "_[0-9a-f]{32}$", "")
+    return end.select(
+        "eventType", own(out["name"]).alias("name"), state["lifecycleStateChange"].alias("state"),
+        own(state["previousIdentifier"]["name"]).alias("previous"),
+        F.array_join(F.array_sort(F.transform(F.flatten(F.transform(
+            F.map_values(out["facets"]["columnLineage"]["fields"]), lambda v: v["inputFields"])), lambda f: f["field"])), ",").alias("fields"))
 
 
 @query
@@ -479,11 +560,12 @@ def s04_r01_traced_events(spark, sf_dir):
     log.write(spark.sql("SELECT o_custkey AS customer, SUM(o_totalprice) AS total FROM orders GROUP BY o_custkey"),
               f"{base}/export", query="select")
     start, end = assemble.log_events(log.plans(), log.runs())
-    stats = F.get("outputs.outputFacets.outputStatistics", F.lit(0))["rowCount"]
+    stats = F.get("outputs.outputFacets.outputStatistics", F.lit(0))
     columns = F.get("outputs.facets.columnLineage.fields", F.lit(0))
     both = start.unionByName(end)
     return both.select(
-        "eventType", F.get("inputs.name", F.lit(0)).alias("input"), stats.alias("row_count"),
+        "eventType", F.get("inputs.name", F.lit(0)).alias("input"), stats["rowCount"].alias("row_count"),
+        (stats["sizeInBytes"] > 0).alias("has_bytes"),
         columns["total"]["transformationType"].alias("total_type"),
         F.array_join(F.transform(F.get("outputs.facets.schema.fields", F.lit(0)), lambda f: F.concat_ws(" ", f["name"], f["type"])), ",").alias("fields"),
         F.get("outputs.facets.lifecycleStateChange.lifecycleStateChange", F.lit(0)).alias("state"))
@@ -561,6 +643,38 @@ def t02_stream_dedup(spark, sf_dir):
     return intake.run_to_table(intake.dedup_stream(stream, "40 days"), "dedup").select("run_id", "event_type", "row_count")
 
 
+@query
+def t02_late_deliveries(spark, sf_dir):
+    """A stream far out of order in which every third event comes twice, with a delay shorter than the
+    data: first deliveries, late ones among them, and repeats by type; nothing is lost."""
+    e = fx.run_events(spark, sf_dir).select("run_id", "run_no", "event_type", "event_time", "row_count")
+    root = f"{work_dir(spark)}/provtrail/late-{uuid.uuid4().hex}"
+    twice = e.unionByName(e.filter("run_no % 3 = 0"))
+    twice.repartition(6, "run_no", "row_count").write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/incoming")
+    tables = intake.DedupTables(f"{root}/tables")
+    intake.dedup_keeping_late(stream, tables, f"{root}/checkpoint", "2 hours").awaitTermination()
+    first = spark.read.parquet(tables.first).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("first"), F.count_distinct("run_id").alias("runs"), F.sum("row_count").alias("row_count"))
+    taken = twice.groupBy("event_type").agg(F.count(F.lit(1)).alias("deliveries"))
+    return first.join(taken, "event_type").select(
+        "event_type", "first", "runs", "row_count", (F.col("deliveries") - F.col("first")).alias("repeats"))
+
+
+@query
+def t03_compacted_run_state(spark, sf_dir):
+    """Run state of a stream whose batches are merged half-way and again at the end."""
+    e = fx.run_events(spark, sf_dir, orphans=True).select("run_id", "job_name", "event_type", "event_time", "row_count")
+    folder = f"{work_dir(spark)}/provtrail/compacted-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("run_id", "event_type"), F.lit(4))
+    for batch in range(4):
+        intake._into(intake.run_partials(e.filter(part == batch)), folder, batch)
+        if batch % 2:
+            intake.compact(spark, folder, intake.merge_summaries)
+    return intake.merge_partials(intake.read_batches(spark, folder)).select(
+        "run_id", "job_name", events.iso_time("started").alias("started"), events.iso_time("ended").alias("ended"), "state")
+
+
 @query
 def t03_stream_run_state(spark, sf_dir):
     """Run state from a stream; equals the batch result."""

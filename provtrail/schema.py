@@ -59,10 +59,10 @@ EVENT_DDL = f"""
 """
 
 # One row per captured query. ``files`` lists, per scan leaf in plan order, its paths; ``sink_fields``
-# are the columns written.
+# are the columns written; ``prev_ns`` and ``prev_name`` are what the sink was called before a rename.
 PLAN_LOG_DDL = """
     query_id string, query string, plan_json string,
     files array<struct<leaf: int, paths: array<string>>>,
     sink_op string, sink_ns string, sink_name string, event_time timestamp,
-    sink_fields array<struct<name: string, type: string>>
+    sink_fields array<struct<name: string, type: string>>, prev_ns string, prev_name string
 """

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from provtrail.plans.capture import capture, plan_log as plan_log_of
 from provtrail.plans.traced import traced_names, traced_plan_log
-from provtrail.sources.tables import small_side, table
+from provtrail.sources.tables import register, small_side, table
 
 
 def uuid_of(n: Column) -> Column:
@@ -158,6 +159,45 @@ def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("event_time"))
 
 
+def table_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that are created, renamed and dropped, from ``orders``: names by customer, few and reused."""
+    n = F.col("o_orderkey")
+    op = F.when(n % 5 < 2, "CREATE_TABLE").when(n % 5 == 2, "RENAME").when(n % 5 == 3, "DROP").otherwise("INSERT")
+    own = F.concat(F.lit("t"), F.col("o_custkey") % 40)
+    return table(spark, sf_dir, "orders").select(
+        n.alias("op_id"), op.alias("operation"),
+        F.when(n % 5 == 2, F.concat(F.lit("t"), (F.col("o_custkey") * 7 + n) % 40)).otherwise(own).alias("name"),
+        F.when(n % 5 == 2, own).alias("previous_name"), F.col("o_orderdate").alias("event_time"))
+
+
+# Queries that the views of the view log are defined by, in turn.
+VIEW_QUERIES = (
+    "SELECT o_orderkey AS id, upper(o_orderpriority) AS label FROM orders",
+    "SELECT c_custkey AS id, c_name AS label FROM customer WHERE c_acctbal > 0",
+    "SELECT o_orderkey AS id, concat(c_name, n_name) AS label FROM orders JOIN customer ON o_custkey = c_custkey "
+    "JOIN nation ON c_nationkey = n_nationkey")
+
+
+def view_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Views that are defined anew, dropped and read, from ``orders``: (log, reads, plans).
+
+    ``log`` has the CREATE VIEW and DROP VIEW statements as a plan log without texts (plan_id stands for
+    them), ``reads`` query_id, view_name and event_time, ``plans`` the captured text of each statement.
+    """
+    register(spark, sf_dir, ["orders", "customer", "nation"])
+    rows = [capture(spark.sql(f"CREATE OR REPLACE TEMP VIEW defined_{i} AS {q}"), str(i)) for i, q in enumerate(VIEW_QUERIES)]
+    plans = plan_log_of(spark, rows).select(F.col("query_id").alias("plan_id"), "plan_json", "files")
+    n = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        n.cast("string").alias("query_id"), F.concat(F.lit("v"), F.col("o_custkey") % 20).alias("view_name"),
+        F.expr("timestampadd(SECOND, cast(o_orderkey % 86400 AS int), o_orderdate)").alias("event_time"),
+        F.when(n % 4 == 0, "CREATE_VIEW").when(n % 31 == 1, "DROP_VIEW").alias("sink_op"), (F.expr("o_orderkey div 4") % 3).alias("turn"))
+    log = rows.filter("sink_op is not null").select(
+        "query_id", F.when(F.col("sink_op") == "CREATE_VIEW", F.col("turn").cast("string")).alias("plan_id"),
+        "sink_op", F.col("view_name").alias("sink_name"), "event_time")
+    return log, rows.filter("sink_op is null").select("query_id", "view_name", "event_time"), plans
+
+
 def query_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scans per query from ``lineitem``: query = order, dataset = supplier, position = line."""
     return table(spark, sf_dir, "lineitem").select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -112,7 +113,123 @@ def merge_partials(partials: DataFrame) -> DataFrame:
 
 
 def read_run_state(spark: SparkSession, tables: IntakeTables) -> DataFrame:
-    return merge_partials(spark.read.parquet(tables.partials))
+    return merge_partials(read_batches(spark, tables.partials))
+
+
+def read_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all batches of a folder: those merged by the last finished ``compact``, and later ones."""
+    upto, path = _compacted(spark, folder)
+    rows = spark.read.parquet(folder)
+    if path is None:
+        return rows.drop("batch")
+    return rows.filter(F.col("batch") > upto).drop("batch").unionByName(spark.read.schema(rows.drop("batch").schema).parquet(path))
+
+
+def compact(spark: SparkSession, folder: str, merge=None, files: int = 8) -> None:
+    """Merge the batches of a folder into ``files`` files, reduced by ``merge`` if given.
+
+    The merged rows are written aside and become valid by one row of the folder's manifest, so readers
+    see the old batches or the merged ones, and a compaction that breaks off changes nothing. Batches
+    that arrive meanwhile are read as before. What the manifest has replaced can be deleted once no
+    reader that began before is left.
+    """
+    last = spark.read.parquet(folder).agg(F.max("batch")).first()[0]
+    if last is None or last <= _compacted(spark, folder)[0]:
+        return
+    upto, path = _compacted(spark, folder)
+    batches = spark.read.parquet(folder).filter((F.col("batch") > upto) & (F.col("batch") <= last)).drop("batch")
+    rows = batches if path is None else batches.unionByName(spark.read.schema(batches.schema).parquet(path))
+    made = f"{folder}/_compacted/{uuid.uuid4().hex}"
+    (rows if merge is None else merge(rows)).coalesce(files).write.parquet(made)
+    manifest = spark.createDataFrame([(int(last), made)], MANIFEST_DDL)
+    manifest.coalesce(1).write.mode("append").parquet(f"{folder}/_manifest")
+
+
+MANIFEST_DDL = "upto bigint, path string"
+
+
+def _compacted(spark: SparkSession, folder: str) -> tuple[int, str | None]:
+    """The last merged batch and where the merged rows are; (-1, None) before any compaction."""
+    try:
+        row = spark.read.schema(MANIFEST_DDL).parquet(f"{folder}/_manifest").orderBy(F.desc("upto"), "path").first()
+    except AnalysisException:  # no manifest yet
+        row = None
+    return (-1, None) if row is None else (row["upto"], row["path"])
+
+
+def merge_summaries(partials: DataFrame) -> DataFrame:
+    """Summaries of several batches as one per run; they merge on like those of a batch."""
+    return partials.groupBy("run_id").agg(
+        F.max("job_name").alias("job_name"), F.min("started").alias("started"), F.max("last_end").alias("last_end"))
+
+
+@dataclass
+class DedupTables:
+    """Folders of ``dedup_keeping_late``."""
+
+    root: str
+
+    @property
+    def first(self) -> str:
+        return f"{self.root}/first"
+
+    @property
+    def progress(self) -> str:
+        return f"{self.root}/progress"
+
+
+def dedup_keeping_late(
+    stream: DataFrame, tables: DedupTables, checkpoint: str, delay: str = "2 days",
+    keys: tuple[str, ...] = ("run_id", "event_type"), **trigger,
+) -> StreamingQuery:
+    """Keep the first delivery of each event, however late it comes, and count the others.
+
+    A row whose event time is more than ``delay`` before the newest one of all earlier batches is late:
+    it is kept with ``late`` set, for a consumer that has closed those times. What was written is looked
+    up among the rows of the batch's own days, since deliveries of one event have one event time; so
+    there is no state that grows with the stream, and no row is lost. A batch that is run again finds
+    what it found before.
+    """
+    spark = stream.sparkSession
+
+    micros = F.unix_micros(F.col("event_time").cast("timestamp"))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            take(df, batch_id)
+        finally:
+            df.unpersist()
+
+    def take(df: DataFrame, batch_id: int) -> None:
+        day = F.to_date("event_time").alias("day")
+        earlier = F.col("batch") < batch_id
+        newest = None
+        if batch_id and (done := _read_if_any(spark, tables.progress)) is not None:
+            newest = done.filter(earlier).agg(F.max("newest")).first()[0]
+        rest = [c for c in df.columns if c not in keys]
+        once = df.withColumn("day", day).groupBy(*keys, "day").agg(
+            F.min_by(F.struct(*rest), F.struct("event_time", F.xxhash64(*rest))).alias("_r"), F.count(F.lit(1)).alias("deliveries"))
+        once = once.select(*[F.col(f"_r.{c}").alias(c) if c in rest else F.col(c) for c in df.columns], "day", "deliveries")
+        days = df.agg(F.min(day), F.max(day), F.max(micros), F.count(F.lit(1))).first()
+        fresh = once
+        if batch_id and days[0] is not None and (known := _read_if_any(spark, tables.first)) is not None:
+            known = known.filter(earlier & F.col("day").between(days[0], days[1])).select("day", *keys)
+            fresh = once.join(known, ["day", *keys], "left_anti")
+        late = F.lit(False) if newest is None else F.coalesce(
+            micros < F.expr(f"unix_micros(timestamp_micros({newest}) - INTERVAL {delay})"), F.lit(False))
+        _into(fresh.drop("deliveries").withColumn("late", late), tables.first, batch_id)
+        _into(spark.createDataFrame([(days[2], days[3])], "newest bigint, deliveries bigint").coalesce(1), tables.progress, batch_id)
+
+    return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _read_if_any(spark: SparkSession, folder: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException:  # nothing written yet
+        return None
 
 
 def dedup_stream(events: DataFrame, delay: str = "2 days") -> DataFrame:

@@ -1,5 +1,6 @@
 """Column lineage of captured plans, exact per output column."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -180,12 +181,108 @@ def test_rejects(base):
     log = plan_log(base, [
         ("bad", "x", "{nope", [], None, None, None, datetime(2024, 1, 1)),
         ("other", "x", "[{\"foo\": 1}]", [], None, None, None, datetime(2024, 1, 1)),
-        capture(base.table("a").cube("id").count(), "cube"), capture(base.table("a"), "good")])
+        capture(base.table("a").mapInArrow(lambda b: b, "id int"), "python"), capture(base.table("a"), "good")])
     assert {r.query_id: r.reason for r in resolve.rejected_plans(log).collect()} == {
-        "bad": "malformed plan", "other": "malformed plan", "cube": "untraceable node Expand"}
+        "bad": "malformed plan", "other": "malformed plan", "python": "untraceable node MapInArrow"}
     assert set(columns_of(log)) == {"good"}
 
 
+def fates_of(log):
+    plans = log.select(F.col("query_id").alias("plan_id"), "plan_json", "files")
+    out = {}
+    for r in resolve.column_fates(plans).collect():
+        out.setdefault(r.plan_id, {})[r.out_col] = (r.fate, r.reason)
+    return out
+
+
+def test_only_columns_that_touch_an_unknown_node_are_rejected(base):
+    made = base.table("b").mapInPandas(lambda b: b, "id int, category string, score double").withColumnRenamed("id", "b_id")
+    df = base.table("a").join(made, F.col("id") == F.col("b_id")).select(
+        "id", "name", F.lit(1).alias("one"), "category", (F.col("value") + F.col("score")).alias("both"))
+    both = df.select("id", "category").union(base.table("b").select("id", "category"))
+    log = plan_log(base, [capture(df, "q"), capture(both, "u")])
+    bad = ("rejected", "untraceable node MapInPandas")
+    assert fates_of(log) == {
+        "q": {"id": ("traced", None), "name": ("traced", None), "one": ("sourceless", None), "category": bad, "both": bad},
+        "u": {"id": ("traced", None), "category": bad}}
+    assert set(columns_of(log)["q"]) == {"id", "name"} and set(columns_of(log)["u"]) == {"id"}
+    assert {(r.query_id, r.out_col) for r in resolve.rejected_columns(log).collect()} == {
+        ("q", "category"), ("q", "both"), ("u", "category")}
+
+
+def test_references_that_nothing_defines_are_rejected(base):
+    """A plan text whose middle was lost: no column vanishes."""
+    row = list(capture(base.table("a").select("id", F.upper("name").alias("up")), "q"))
+    row[2] = row[2].replace('"name":"name"', '"name":"other"')
+    ids = sorted(set(re.findall(r'"name":"other".*?"id":(\d+)', row[2])), key=int)
+    head, tail = row[2].split('"class":"org.apache.spark.sql.catalyst.plans.logical.SubqueryAlias"', 1)
+    for i in ids:
+        tail = re.sub(rf'"id":{i}\b', f'"id":{int(i) + 900000}', tail)
+    row[2] = head + '"class":"org.apache.spark.sql.catalyst.plans.logical.SubqueryAlias"' + tail
+    assert fates_of(plan_log(base, [tuple(row)]))["q"] == {"id": ("traced", None), "up": ("rejected", "untraceable node unbound")}
+
+
+def test_grouping_sets_and_unpivots(base):
+    got = resolved(
+        base, cube="SELECT id, name, GROUPING_ID() AS g, SUM(value) AS s FROM a GROUP BY CUBE (id, name)",
+        sets="SELECT UPPER(name) AS up, MAX(id) AS m FROM a GROUP BY GROUPING SETS ((UPPER(name)), ())",
+        unpivot="SELECT * FROM b UNPIVOT (v FOR n IN (id, score))",
+        frame=base.table("b").unpivot(["category"], ["id", "score"], "n", "v").filter("v > 0"),
+        many="SELECT * FROM b UNPIVOT ((x, y) FOR n IN ((id, score) AS p, (score, id) AS q))")
+    assert got["cube"] == {"id": ("DIRECT", frozenset({"a.id"})), "name": ("DIRECT", frozenset({"a.name"})),
+                           "s": ("INDIRECT", frozenset({"a.value"}))}
+    assert got["sets"] == {"up": ("INDIRECT", frozenset({"a.name"})), "m": ("INDIRECT", frozenset({"a.id"}))}
+    two = frozenset({"b.id", "b.score"})
+    for q in ("unpivot", "frame"):
+        assert {k: v[1] for k, v in got[q].items()} == {"category": frozenset({"b.category"}), "v": two}
+    assert {k: v[1] for k, v in got["many"].items()} == {"category": frozenset({"b.category"}), "x": two, "y": two}
+
+
+def test_unpivot_inside_a_subquery(base):
+    base.table("b").unpivot(["category"], ["id", "score"], "n", "v").createOrReplaceTempView("long_b")
+    got = resolved(base, q="SELECT name, (SELECT MAX(v) FROM long_b) AS top FROM a")["q"]
+    assert got["top"] == ("INDIRECT", frozenset({"b.id", "b.score"}))
+
+
+def test_lateral_outputs_and_outer_columns(base):
+    got = resolved(
+        base, explode="SELECT id, x FROM c, LATERAL explode(tags) AS t(x)",
+        star="SELECT * FROM c, LATERAL (SELECT explode(tags) AS x)",
+        outer="SELECT a.name, t.z, t.w FROM a, LATERAL (SELECT a.value + b.score AS z, a.id AS w FROM b) t",
+        joined="""SELECT a.id, t.grp, t.s FROM a, LATERAL (SELECT c.grp, b.score + a.value AS s FROM b
+            JOIN c ON b.id = c.id WHERE b.id = a.id) t""",
+        deep="""SELECT a.id, t.u FROM a, LATERAL (SELECT u FROM b,
+            LATERAL (SELECT concat(b.category, c.grp) AS u FROM c WHERE c.id = b.id) WHERE b.id = a.id) t""",
+        unions="SELECT id, x FROM c, LATERAL (SELECT explode(tags) AS x UNION ALL SELECT id AS x) t",
+        frame=base.sql("SELECT * FROM a, LATERAL (SELECT score FROM b WHERE b.id = a.id)"))
+    one = frozenset
+    assert got["explode"] == {"id": ("DIRECT", one({"c.id"})), "x": ("INDIRECT", one({"c.tags"}))}
+    assert got["star"]["x"] == ("INDIRECT", one({"c.tags"})) and set(got["star"]) == {"id", "grp", "tags", "x"}
+    assert got["outer"] == {"name": ("DIRECT", one({"a.name"})), "z": ("INDIRECT", one({"a.value", "b.score"})),
+                            "w": ("DIRECT", one({"a.id"}))}
+    assert got["joined"]["s"] == ("INDIRECT", one({"a.value", "b.score"})) and got["joined"]["grp"] == ("DIRECT", one({"c.grp"}))
+    assert got["deep"]["u"] == ("INDIRECT", one({"b.category", "c.grp"}))
+    assert got["unions"]["x"] == ("INDIRECT", one({"c.tags", "c.id"}))
+    assert got["frame"]["score"] == ("DIRECT", one({"b.score"}))
+
+
+def test_outer_columns_of_a_filter_add_nothing(base):
+    got = resolved(base, q="SELECT name, (SELECT MAX(score) FROM b WHERE b.id = a.id) AS m FROM a")["q"]
+    assert got["m"] == ("INDIRECT", frozenset({"b.score"}))
+
+
+def test_view_statements_are_traced(base):
+    statement = base.sql("CREATE OR REPLACE TEMP VIEW named AS SELECT id, UPPER(name) AS up FROM a")
+    log = plan_log(base, [capture(statement, "v")])
+    assert inputs_of(log) == {"a"} and resolve.rejected_plans(log).count() == 0
+    assert columns_of(log)["v"] == {"id": ("DIRECT", frozenset({"a.id"})), "up": ("INDIRECT", frozenset({"a.name"}))}
+
+
+def test_pipes(base):
+    got = resolved(base, q="FROM a |> EXTEND value * 2 AS d |> AGGREGATE MAX(d) AS m GROUP BY name |> ORDER BY name")["q"]
+    assert got == {"name": ("DIRECT", frozenset({"a.name"})), "m": ("INDIRECT", frozenset({"a.value"}))}
+
+
 def test_repeated_plans_are_resolved_once(base):
     """Fresh captures of one text are one plan; another text or constant is another."""
     text = """WITH t AS (SELECT id, value FROM a) SELECT t.id, (SELECT max(score) FROM b WHERE b.id = t.id) AS m
@@ -230,13 +327,15 @@ def test_subqueries_in_generators_and_sort_orders(base):
 
 def test_unknown_nodes_are_rejected_at_every_level(base):
     a = base.table("a")
+    base.table("b").mapInArrow(lambda x: x, "score double").createOrReplaceTempView("made")
     cogrouped = a.groupBy("id").cogroup(base.table("b").groupBy("id")).applyInArrow(lambda x, y: x, a.schema)
     log = plan_log(base, [
         capture(cogrouped, "cogroup"), capture(a.select("id"), "good"),
-        capture(base.sql("SELECT name, (SELECT count(*) FROM (SELECT id, count(*) FROM b GROUP BY ROLLUP (id))) AS n FROM a"), "inner")])
+        capture(base.sql("SELECT name, (SELECT max(score) FROM made) AS n FROM a"), "inner")])
     assert {r.query_id: r.reason for r in resolve.rejected_plans(log).collect()} == {
-        "cogroup": "untraceable node FlatMapCoGroupsInArrow", "inner": "untraceable node Expand"}
-    assert set(columns_of(log)) == {"good"}
+        "cogroup": "untraceable node FlatMapCoGroupsInArrow", "inner": "untraceable node MapInArrow"}
+    got = columns_of(log)
+    assert set(got) == {"good", "inner"} and set(got["inner"]) == {"name"}
 
 
 def test_names_under_many_aliases(base):

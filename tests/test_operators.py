@@ -1,11 +1,12 @@
 """Windows, closure, events and traced writes on small data with hot keys."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import Window, functions as F
 
-from provtrail.operators import events, graph
+from provtrail.operators import events, graph, history
 from provtrail.operators.closure import close_edges
 from provtrail.operators.recursive import recurse
 from provtrail.operators.windows import asof_join, first_per_key, global_rank, ordered_prefix, with_halo
@@ -196,3 +197,55 @@ def test_catalogs_give_namespaces_and_facets(spark, tmp_path):
     (field,) = row.outputs[0].facets.columnLineage.fields["next"].inputFields
     assert (field.namespace, field.name, field.field) == (source.namespace, source.name, "id")
     assert row.outputs[0].namespace == "file" and row.outputs[0].facets.catalog is None
+
+
+def test_statements_are_traced_with_previous_names(spark, tmp_path):
+    log = TraceLog(spark, f"{tmp_path}/log")
+    made = log.create(spark.range(5).selectExpr("id", "id * 2 AS twice"), "ddl_old", path=f"{tmp_path}/t")
+    assert made["row_count"] == 5 and made["size_bytes"] > 0
+    assert log.append(spark.range(3).selectExpr("id", "id AS twice"), "ddl_old")["size_bytes"] > 0
+    log.rename("ddl_old", "ddl_new")
+    log.create_view("ddl_view", "SELECT twice AS x FROM ddl_new")
+    with pytest.raises(Exception):
+        log.delete("ddl_new", "id = 1")  # Parquet tables cannot
+    log.drop("ddl_view", view=True)
+    log.drop("ddl_new")
+    start, end = assemble.log_events(log.plans(), log.runs())
+    rows = {(r.outputs[0].name.rsplit(".", 1)[1], r.outputs[0].facets.lifecycleStateChange.lifecycleStateChange, r.eventType): r.outputs[0].facets
+            for r in end.collect()}
+    assert set(rows) == {("ddl_old", "CREATE", "COMPLETE"), ("ddl_old", "OVERWRITE", "COMPLETE"), ("ddl_new", "RENAME", "COMPLETE"),
+                         ("ddl_view", "CREATE", "COMPLETE"), ("ddl_new", "OVERWRITE", "FAIL"), ("ddl_view", "DROP", "COMPLETE"),
+                         ("ddl_new", "DROP", "COMPLETE")}
+    renamed = rows["ddl_new", "RENAME", "COMPLETE"]
+    assert renamed.lifecycleStateChange.previousIdentifier.name == "spark_catalog.default.ddl_old"
+    assert [f.name for f in renamed.schema.fields] == ["id", "twice"] and renamed.columnLineage is None
+    (source,) = rows["ddl_view", "CREATE", "COMPLETE"].columnLineage.fields["x"].inputFields
+    assert (source.name, source.field) == ("spark_catalog.default.ddl_new", "twice")
+    assert rows["ddl_view", "CREATE", "COMPLETE"].datasetType.datasetType == "VIEW"
+
+
+def test_names_that_change_hands(spark):
+    day = lambda n: datetime(2024, 1, n)
+    ops = spark.createDataFrame([
+        (1, "CREATE_TABLE", "a", None, day(1)), (2, "RENAME", "b", "a", day(2)), (3, "CREATE_TABLE", "a", None, day(3)),
+        (4, "RENAME", "c", "b", day(4)), (5, "DROP", "c", None, day(5)), (6, "RENAME", "d", "c", day(6)), (7, "INSERT", "a", None, day(7)),
+        (8, "CREATE_TABLE", "a", None, day(8)), (9, "RENAME", "a", "a", day(9)), (10, "CREATE_TABLE", None, None, day(9)),
+    ], "op_id long, operation string, name string, previous_name string, event_time timestamp")
+    got = {r.op_id: (r.name, r.dataset, r.ended_by, r.renamed_from) for r in history.dataset_spans(ops).collect()}
+    assert got == {1: ("a", 1, 2, None), 2: ("b", 1, 4, 1), 3: ("a", 3, 8, None), 4: ("c", 1, 5, 2), 6: ("d", 6, None, None),
+                   8: ("a", 8, 9, None), 9: ("a", 8, None, 8)}
+    rows = spark.createDataFrame([("a", day(1), 1), ("a", day(2), 50), ("b", day(3), 51), ("c", day(4), 52), ("c", day(7), 53), ("a", day(7), 7)],
+                                 "name string, event_time timestamp, op_id long")
+    found = {r.op_id: r.dataset for r in history.datasets_at(rows, history.dataset_spans(ops)).collect()}
+    assert found == {1: 1, 51: 1, 52: 1, 7: 3}
+
+
+def test_views_over_time(spark):
+    day = lambda n: datetime(2024, 1, n)
+    log = spark.createDataFrame([("d1", "CREATE_VIEW", "v", day(2)), ("d2", "CREATE_VIEW", "v", day(4)), ("d3", "DROP_VIEW", "v", day(6)),
+                                 ("d4", "CREATE_VIEW", "w", day(1)), ("t", "CREATE_TABLE", "v", day(5))],
+                                "query_id string, sink_op string, sink_name string, event_time timestamp")
+    reads = spark.createDataFrame([("q1", "v", day(1)), ("q2", "v", day(3)), ("q3", "v", day(4)), ("q4", "v", day(7)), ("q5", "w", day(30))],
+                                  "query_id string, view_name string, event_time timestamp")
+    got = {r.query_id: r.definition for r in history.definitions_at(reads, history.view_definitions(log)).collect()}
+    assert got == {"q2": "d1", "q3": "d2", "q5": "d4"}

@@ -37,8 +37,11 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 def test_parsing_needs_no_shuffle(spark):
     plans = spark.createDataFrame([("p", "[]")], "plan_id string, plan_json string").select(
-        "plan_id", F.lit("0").alias("scope"), "plan_json", F.lit(None).cast(parse.FILES).alias("files"))
+        "plan_id", F.lit("0").alias("scope"), "plan_json", F.lit(None).cast(parse.FILES).alias("files"),
+        F.lit(None).cast(parse.INNER).alias("inner"))
     assert "Exchange" not in explained(parse._parse(plans))
+    # What only nodes and scans are wanted of binds no columns.
+    assert "breaks" in explained(parse._parse(plans)) and "breaks" not in explained(parse._parse(plans, ("nodes", "scans")))
 
 
 def test_run_state_is_one_shuffle_with_partial_aggregation(spark, sf_dir):

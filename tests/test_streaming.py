@@ -4,6 +4,7 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from provtrail.operators import events
 from provtrail.streaming import ingest as intake
@@ -102,3 +103,45 @@ def test_repeated_deliveries_of_an_intake(spark, sf_dir, tmp_path):
         results.append((sorted(map(str, valid.select("eventType", "eventTime", "run.runId").collect())),
                         sorted(map(str, intake.read_run_state(spark, tables).collect()))))
     assert results[0] == results[1] and results[0][0]
+
+
+def test_late_first_deliveries_are_kept(spark, files, tmp_path):
+    """Accepted, late and repeated rows add up to what was delivered."""
+    batches = [
+        [("r1", "j", "START", at(0), 1), ("r1", "j", "START", at(0), 1)],
+        [("r1", "j", "START", at(0), 1), ("r2", "j", "START", at(100), 1)],
+        [("r3", "j", "START", at(101), 1), ("r1", "j", "START", at(0), 1)],
+        [("late", "j", "START", at(1), 1), ("soon", "j", "START", at(100), 1)],
+        [("late", "j", "START", at(1), 1), (None, "j", "START", at(200), 1)],
+    ]
+    tables = intake.DedupTables(f"{tmp_path}/dedup")
+    intake.dedup_keeping_late(files(batches), tables, f"{tmp_path}/cp", "2 hours").awaitTermination()
+    rows = spark.read.parquet(tables.first).collect()
+    assert {r.run_id for r in rows if r.late} == {"late"}
+    assert sorted(str(r.run_id) for r in rows) == ["None", "late", "r1", "r2", "r3", "soon"]
+    assert spark.read.parquet(tables.progress).agg({"deliveries": "sum"}).first()[0] == sum(map(len, batches))
+
+
+def test_compaction_changes_nothing_for_readers(spark, tmp_path):
+    rows = [(f"r{i % 30}", "j", ("START", "COMPLETE", "FAIL")[i % 3], at(i), i) for i in range(120)]
+    e = spark.createDataFrame(rows, DDL)
+    folder = f"{tmp_path}/partials"
+    state = lambda: sorted(map(str, intake.merge_partials(intake.read_batches(spark, folder)).collect()))
+    for batch in range(3):
+        intake._into(intake.run_partials(e.filter(f"row_count % 4 = {batch}")), folder, batch)
+    before = state()
+
+    def broken(df):
+        return df.withColumn("job_name", F.raise_error(F.lit("lost")))
+
+    with pytest.raises(Exception, match="lost"):
+        intake.compact(spark, folder, broken)
+    assert state() == before
+    intake.compact(spark, folder, intake.merge_summaries)
+    assert state() == before and intake._compacted(spark, folder)[0] == 2
+    intake._into(intake.run_partials(e.filter("row_count % 4 = 3")), folder, 3)
+    whole = sorted(map(str, intake.merge_partials(intake.run_partials(e)).collect()))
+    assert state() == whole
+    intake.compact(spark, folder, intake.merge_summaries)
+    intake.compact(spark, folder, intake.merge_summaries)
+    assert state() == whole
