@@ -1,37 +1,76 @@
 """License scans by a positional rare-token index, in DataFrame functions only.
 
-The index maps each template to its two words that are rarest in the corpus, with their offsets
-in the template. A file's words are looked up in it; an occurrence of the rarest word gives the
-place where the template would start, the posting of the second word must agree with that place,
-and the whole phrase is then verified word by word. Every occurrence is examined, so all places
-are found.
+A template is a passage of a license text or notice with mandatory key phrases in it. The index has
+postings of the template words that are rarest in the corpus: word, template, offset. The highest-idf
+one of each template is looked up among a file's words, which tells where the template would start;
+the postings of its other rare words must agree with that place, and the key phrases are then verified
+word by word at their places. Every occurrence is examined, so all places are found.
+
+Index and templates are one literal each, so the plan is the same for any number of templates.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
-#: Key phrases of license texts and notices, a label each.
-TEMPLATES = BASE + (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("apache-2", "you may not use this file except in compliance with the license"),
-    ("cc-by-nc", "creative commons attribution noncommercial"),
-    ("agpl-3", "gnu affero general public license"),
-    ("gpl-2", "gnu general public license version 2"),
-    ("gpl-3", "gnu general public license version 3"),
-    ("lgpl", "gnu lesser general public license"),
-    ("bsd", "redistribution and use in source and binary forms"),
-    ("cc-by", "creative commons attribution 4 0 international"),
-    ("cc-by-sa", "cc by sa"),
-    ("cc-by-sa", "creative commons attribution sharealike"),
-    ("cc0", "cc0 1 0 universal"),
-    ("isc", "permission to use copy modify and or distribute this software"),
-    ("mpl-2", "mozilla public license version 2"),
-    ("reserved", "all rights reserved"),
-    ("unlicense", "free and unencumbered software released into the public domain"),
+# Passages of license texts and notices as plain words, a label each; key phrases are in
+# brackets. A passage begins with a key phrase.
+PASSAGES = (
+    ("mit", "[permission is hereby granted free of charge to any person obtaining a copy] of this software and associated "
+            "documentation files the software [to deal in the software without restriction] including without limitation"),
+    ("mit", "[the above copyright notice and this permission notice shall be included] in all copies or substantial portions"),
+    ("apache-2", "[you may not use this file except in compliance with the license] you may obtain a copy of the license at"),
+    ("apache-2", "[unless required by applicable law or agreed to in writing software] distributed under the license is "
+                 "distributed on an as is basis [without warranties or conditions of any kind]"),
+    ("cc-by-nc", "[creative commons attribution noncommercial]"),
+    ("agpl-3", "[gnu affero general public license]"),
+    ("gpl", "[this program is free software you can redistribute it] and or modify it under the terms of the "
+            "[gnu general public license as published by the free software foundation]"),
+    ("gpl-2", "[gnu general public license version 2]"),
+    ("gpl-3", "[gnu general public license version 3]"),
+    ("lgpl", "[gnu lesser general public license]"),
+    ("bsd", "[redistribution and use in source and binary forms] with or without modification "
+            "[are permitted provided that the following conditions are met]"),
+    ("bsd", "[redistributions of source code must retain the above copyright notice] this list of conditions and the following disclaimer"),
+    ("bsd-3", "[neither the name of the copyright holder nor the names of its contributors] may be used to endorse or promote"),
+    ("cc-by", "[creative commons attribution 4 0 international]"),
+    ("cc-by-sa", "[cc by sa]"),
+    ("cc-by-sa", "[creative commons attribution sharealike]"),
+    ("cc0", "[cc0 1 0 universal]"),
+    ("isc", "[permission to use copy modify and or distribute this software] for any purpose with or without fee is hereby granted"),
+    ("mpl-2", "[mozilla public license version 2]"),
+    ("mpl-2", "[this source code form is subject to the terms of the mozilla public license]"),
+    ("reserved", "[all rights reserved]"),
+    ("unlicense", "[free and unencumbered software released into the public domain]"),
+    ("zlib", "[this software is provided as is without any express or implied warranty]"),
 )
+#: Rare words of a template that have postings, at most.
+RARE = 4
+
+
+def template(label: str, passage: str, base: bool = False) -> dict:
+    """A passage with key phrases in brackets (without any, all of it is one) as words and phrases with offsets."""
+    if "[" not in passage:
+        passage = f"[{passage}]"
+    words, phrases = [], []
+    for part in passage.replace("[", "\0[").replace("]", "\0").split("\0"):
+        own = part.lstrip("[").split()
+        if part.startswith("["):
+            phrases.append({"o": len(words), "w": own})
+        words += own
+    if not phrases or phrases[0]["o"]:
+        raise ValueError(f"no key phrase at the beginning: {passage}")
+    return {"label": label, "base": base, "words": words, "phrases": phrases}
+
+
+TEMPLATES = tuple(template(x, p, True) for x, p in BASE) + tuple(template(x, p) for x, p in PASSAGES)
+_KIND = """array<struct<label: string, base: boolean, words: array<string>, phrases: array<struct<o: int, w: array<string>>>,
+    rare: array<struct<o: int, w: string>>>>"""
 
 
 def words_of(text: Column) -> Column:
@@ -40,91 +79,91 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
 
 
-def rare_words(docs: DataFrame, templates=TEMPLATES, text_col: str = "text") -> list[tuple[int, int]]:
-    """For each template the offsets of its two rarest words over all documents (the same one twice
-    for a template of one word). Only one count per template word reaches the driver."""
-    vocabulary = sorted({w for _, phrase in templates for w in phrase.split()})
+def with_rare_words(docs: DataFrame, templates: Sequence[dict] = TEMPLATES, text_col: str = "text") -> list[dict]:
+    """Templates with ``rare``: offsets and words of the key-phrase words that the fewest documents of the
+    whole corpus have, the rarest first. Only one count for each such word reaches the driver."""
+    vocabulary = sorted({w for t in templates for p in t["phrases"] for w in p["w"]})
     present = F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
     counts = docs.select(words_of(F.col(text_col)).alias("words")).select(F.explode(present).alias("w")).groupBy("w").count()
     df = {r["w"]: r["count"] for r in counts.collect()}
-    picked = []
-    for _, phrase in templates:
-        order = sorted(range(len(phrase.split())), key=lambda i: (df.get(phrase.split()[i], 0), i))
-        picked.append((order[0], order[min(1, len(order) - 1)]))
-    return picked
+    out = []
+    for t in templates:
+        places = [(df.get(w, 0), p["o"] + i, w) for p in t["phrases"] for i, w in enumerate(p["w"])]
+        out.append(t | {"rare": [{"o": o, "w": w} for _, o, w in sorted(places)[:RARE]]})
+    return out
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Sequence[dict] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places.
 
-    The first templates are the base (``BASE``): n_base counts their places, first_word and
-    last_word are the smallest and largest start (null without one). ``labels`` are those of all
-    templates found. ``score`` is the largest share of a label's template words that was verified.
-    ``places`` lists (label, start) of every template found. Null and empty texts have no words,
-    no label and score 0. Repeated rows are answered each.
+    Base templates are counted by n_base; first_word and last_word are their smallest and largest start
+    (null without one). ``places`` lists (label, start, share, base) of every template found: all its key
+    phrases stand at their places, and ``share`` is the part of all its words that do. ``labels`` are
+    those of all templates found, ``score`` the largest share. Null and empty texts have no words, no
+    label and score 0. Repeated rows are answered each.
     """
-    anchors = rare_words(docs, templates, text_col)
-    lookup = sorted({phrase.split()[a] for (_, phrase), (a, _) in zip(templates, anchors)})
+    held = with_rare_words(docs, templates, text_col)
+    anchors: dict[str, list] = {}
+    for i, t in enumerate(held):
+        anchors.setdefault(t["rare"][0]["w"], []).append({"t": i, "o": t["rare"][0]["o"]})
+    table = F.from_json(F.lit(json.dumps(held)), _KIND)
+    index = F.from_json(F.lit(json.dumps(anchors)), "map<string, array<struct<t: int, o: int>>>")
     rows = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
     rows = rows.withColumn("hits", F.filter(
-        F.transform("words", lambda w, i: F.when(w.isin(lookup), i).otherwise(-1)), lambda i: i >= 0))
-    rows = rows.withColumn("found", F.when(F.size("hits") > 0, F.array(*[
-        _starts(phrase.split(), first, second) for (_, phrase), (first, second) in zip(templates, anchors)
-    ])).otherwise(F.array(*[F.expr("cast(array() as array<int>)") for _ in templates])))
-    starts = [F.element_at("found", k + 1) for k in range(len(templates))]
-    base = F.flatten(F.slice("found", 1, len(BASE)))
-    labels = sorted({label for label, _ in templates})
-    total = {x: sum(len(p.split()) for label, p in templates if label == x) for x in labels}
-    shares = [
-        sum((F.when(F.size(starts[k]) > 0, len(p.split())).otherwise(0) for k, (label, p) in enumerate(templates) if label == x),
-            F.lit(0)) / F.lit(float(total[x])) for x in labels]
-    places = F.flatten(F.array(*[
-        F.transform(starts[k], lambda s, label=label: F.struct(F.lit(label).alias("label"), s.alias("start")))
-        for k, (label, _) in enumerate(templates)]))
-    return rows.select(
-        "doc_id", F.size("words").cast("long").alias("n_words"), F.size(base).cast("long").alias("n_base"),
-        F.array_min(base).cast("long").alias("first_word"), F.array_max(base).cast("long").alias("last_word"),
-        _joined([(label, starts[k]) for k, (label, _) in enumerate(BASE)]).alias("base_labels"),
-        _joined([(label, starts[k]) for k, (label, _) in enumerate(templates)]).alias("labels"),
-        F.greatest(*shares).alias("score"), places.alias("places"))
+        F.transform("words", lambda w, i: F.when(w.isin(sorted(anchors)), i).otherwise(-1)), lambda i: i >= 0))
+    starts = F.flatten(F.transform("hits", lambda i: F.transform(index[F.get("words", i)], lambda a: F.struct(
+        a["t"].alias("t"), (i - a["o"]).alias("start")))))
+
+    def word_at(place: Column) -> Column:
+        return F.get("words", place)
 
+    def stands(s: Column) -> Column:
+        own = F.get(table, s["t"])
+        rare = F.forall(own["rare"], lambda r: F.coalesce(word_at(s["start"] + r["o"]) == r["w"], F.lit(False)))
+        return (s["start"] >= 0) & rare & F.forall(
+            own["phrases"], lambda p: F.slice("words", s["start"] + p["o"] + 1, F.size(p["w"])) == p["w"])
 
-def _starts(phrase: list[str], first: int, second: int) -> Column:
-    at = F.filter(F.col("hits"), lambda i: F.get("words", i) == phrase[first])
-    at = F.transform(at, lambda i: i - first)
-    return F.filter(at, lambda s: (s >= 0) & (F.get("words", s + second) == phrase[second])
-                    & (F.slice("words", s + 1, len(phrase)) == F.array(*[F.lit(w) for w in phrase])))
+    def described(s: Column) -> Column:
+        own = F.get(table, s["t"])
+        same = F.size(F.filter(own["words"], lambda w, k: F.coalesce(word_at(s["start"] + k) == w, F.lit(False))))
+        return F.struct(own["label"].alias("label"), s["start"].alias("start"),
+                        (same / F.size(own["words"])).alias("share"), own["base"].alias("base"))
 
+    rows = rows.withColumn("places", F.when(F.size("hits") > 0, F.transform(F.filter(starts, stands), described)).otherwise(
+        F.expr("cast(array() as array<struct<label:string,start:int,share:double,base:boolean>>)")))
+    base = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"])
 
-def _joined(found: list[tuple[str, Column]]) -> Column:
-    names = F.array(*[F.when(F.size(s) > 0, F.lit(label)) for label, s in found])
-    return F.array_join(F.array_sort(F.array_distinct(F.array_compact(names))), ",")
+    def joined(places: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
 
+    return rows.select(
+        "doc_id", F.size("words").cast("long").alias("n_words"), F.size(base).cast("long").alias("n_base"),
+        F.array_min(base).cast("long").alias("first_word"), F.array_max(base).cast("long").alias("last_word"),
+        joined(F.filter("places", lambda p: p["base"])).alias("base_labels"), joined(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["share"])), F.lit(0.0)).alias("score"), "places")
 
-def oracle(templates=TEMPLATES) -> str:
-    """DuckDB SQL for the rows of ``scan_licenses`` without ``places``, from plain phrase search."""
-    def at(phrase: str) -> str:
-        words = phrase.split()
-        listed = ", ".join(f"'{w}'" for w in words)
-        return f"list_filter(range(0, greatest(len(w) - {len(words) - 1}, 0)), lambda i: w[i + 1:i + {len(words)}] = [{listed}])"
 
-    found = ", ".join(at(p) for _, p in templates)
-    base = "flatten(f[1:%d])" % len(BASE)
+def oracle(templates: Sequence[dict] = TEMPLATES) -> str:
+    """DuckDB SQL for the rows of ``scan_licenses`` without ``places``, from plain phrase search: every place
+    of a template's first word is tried."""
+    def listed(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
-    def joined(pairs) -> str:
-        names = ", ".join(f"CASE WHEN len(f[{k + 1}]) > 0 THEN '{label}' END" for k, (label, _) in enumerate(pairs))
-        return f"coalesce(array_to_string(list_sort(list_distinct([{names}])), ','), '')"
+    def phrases(t: dict) -> str:
+        return "[" + ", ".join(f"{{'o': {p['o']}, 'w': {listed(p['w'])}}}" for p in t["phrases"]) + "]"
 
-    labels = sorted({label for label, _ in templates})
-    shares = []
-    for x in labels:
-        own = [(k, len(p.split())) for k, (label, p) in enumerate(templates) if label == x]
-        shares.append("(" + " + ".join(f"CASE WHEN len(f[{k + 1}]) > 0 THEN {n} ELSE 0 END" for k, n in own)
-                      + f") / {float(sum(n for _, n in own))}")
+    rows = ", ".join(f"('{t['label']}', {str(t['base']).lower()}, {listed(t['words'])}, {phrases(t)})" for t in templates)
     return f"""
-WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
-  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents), s AS (SELECT doc_id, w, [{found}] AS f FROM t)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len({base}) AS BIGINT) AS n_base,
-  CAST(list_min({base}) AS BIGINT) AS first_word, CAST(list_max({base}) AS BIGINT) AS last_word,
-  {joined(BASE)} AS base_labels, {joined(templates)} AS labels,
-  CAST(greatest({', '.join(shares)}) AS DOUBLE) AS score FROM s"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tpl AS (SELECT * FROM (VALUES {rows}) v(label, base, words, phrases)),
+tried AS (SELECT id, i, label, base, words, phrases
+  FROM (SELECT id, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM d) o JOIN tpl ON o.x = tpl.words[1]),
+found AS (SELECT id, i, label, base, len(list_filter(range(1, len(words) + 1), lambda j: w[i + j] = words[j])) / len(words) AS share
+  FROM tried JOIN d USING (id)
+  WHERE len(list_filter(phrases, lambda p: w[i + p.o + 1:i + p.o + len(p.w)] = p.w)) = len(phrases))
+SELECT d.doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(i) FILTER (WHERE base) AS n_base,
+  min(i) FILTER (WHERE base) AS first_word, max(i) FILTER (WHERE base) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0) AS score
+FROM d LEFT JOIN found USING (id) GROUP BY id, d.doc_id"""
