@@ -26,6 +26,13 @@ LOG = f"""SELECT CAST(o_orderkey AS VARCHAR) AS query_id, o_orderkey % {len(NAME
     '_' || (o_custkey // 20) AS tenant FROM orders"""
 
 
+def _log_counts() -> list[tuple]:
+    """For each traced query: inputs and traced columns when nothing of the nations is told."""
+    columns, inputs = expected_columns(), expected_inputs() | {"q29_series": {"Range"}}
+    return [(i, n, len(inputs.get(n, set()) - {"nation"}), sum(
+        1 for _, sources in columns.get(n, {}).values() if any(not s.startswith("nation.") for s in sources))) for i, n in enumerate(NAMES)]
+
+
 def values(rows) -> str:
     def lit(v):
         return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
@@ -163,7 +170,7 @@ PIPELINE = {
 
 SQL: dict[str, str] = {
     "i01_normalize_paths": f"SELECT page_id, {NAMESPACE} AS namespace, {NAME} AS name FROM ({fx.DATASET_PATHS}) p",
-    "i02_qualified_names": f"SELECT op_id, catalog || '.' || schema || '.' || tbl AS name FROM ({fx.OPERATIONS}) o WHERE catalog IS NOT NULL",
+    "i02_qualified_names": f"SELECT op_id, catalog || '.' || schema || '.' || tbl AS name FROM ({fx.OPERATIONS}) o",
     "i03_qualified_names_dropping": f"SELECT op_id, name FROM ({OP_NAMES}) n",
     "i04_source_uris": f"SELECT s_suppkey, {fx.SOURCE_URI} AS uri FROM ({fx.CATALOG_PATHS}) p",
     "i05_metadata_uris": f"SELECT s_suppkey, {fx.METADATA_URI} AS uri FROM ({fx.CATALOG_PATHS}) p",
@@ -232,6 +239,12 @@ SQL: dict[str, str] = {
     "j08_hash_fallback": f"SELECT o_orderkey AS query_id, {HASHED} AS hash8 FROM orders",
     "r01_start_events": f"""SELECT 'START' AS "eventType", {ISO.format('o_orderdate')} AS "eventTime", run_id, job_name, n_inputs,
         n_outputs, input_names, output_name, query, '1.0' AS engine FROM ({STARTS}) s""",
+    "r01_log_events": f"""SELECT {fx.uuid_of('o_orderkey')} AS run_id, event_type, CASE WHEN event_type = 'START' THEN n_inputs ELSE 0 END AS n_inputs,
+        's3://lake' AS out_namespace, 'lake.out.' || template || '_' || (o_custkey // 20) AS out_name, n_columns, 'lake' AS catalog_type,
+        'nightly' AS parent, CASE WHEN event_type = 'COMPLETE' THEN o_custkey END AS row_count,
+        CASE WHEN event_type = 'FAIL' THEN 'bad ' || o_orderpriority END AS error
+        FROM (SELECT *, unnest(['START', CASE WHEN o_orderstatus = 'O' THEN 'FAIL' ELSE 'COMPLETE' END]) AS event_type FROM orders) o
+        JOIN (VALUES {values(_log_counts())}) e(t, template, n_inputs, n_columns) ON o_orderkey % {len(NAMES)} = t""",
     "r02_r05_terminal_events": f"""SELECT eventType AS "eventType", {ISO.format('o_orderdate + INTERVAL 1 DAY')} AS "eventTime",
         run_id, job_name, 0 AS n_inputs, output_name, CASE WHEN has_stats THEN o_custkey END AS row_count,
         CASE WHEN has_stats AND o_custkey % 3 > 0 THEN o_custkey % 3 * 10 END AS size_bytes,

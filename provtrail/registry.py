@@ -37,7 +37,7 @@ def i01_normalize_paths(spark, sf_dir):
 
 @query
 def i02_qualified_names(spark, sf_dir):
-    rows = fx.datasets(spark, sf_dir).filter("catalog is not null")
+    rows = fx.datasets(spark, sf_dir)
     return ids.qualify(rows, "catalog", "schema", "table").select("op_id", "name")
 
 
@@ -317,6 +317,24 @@ def r01_start_events(spark, sf_dir):
         F.col("run.facets.processing_engine.version").alias("engine"))
 
 
+@query
+def r01_log_events(spark, sf_dir):
+    """Events of the whole plan log, one run per order: inputs without the nations, a catalog, a parent."""
+    log, runs = fx.raw_log(spark, sf_dir)
+    catalogs = spark.sql("""SELECT 'lake' AS name, 'lake' AS kind, '/meta.db' AS db_path, false AS in_memory,
+        false AS is_initial, false AS is_read_only, 's3://lake/' AS data_path""")
+    start, end = assemble.log_events(
+        log, runs, exclude="nation_", parent=(F.lit("p-1"), F.lit("scheduler"), F.lit("nightly")), catalogs=catalogs)
+    out = F.get("outputs", F.lit(0))
+    return start.unionByName(end).select(
+        F.col("run.runId").alias("run_id"), F.col("eventType").alias("event_type"), F.size("inputs").alias("n_inputs"),
+        out["namespace"].alias("out_namespace"), out["name"].alias("out_name"),
+        F.coalesce(F.size(F.map_keys(out["facets"]["columnLineage"]["fields"])), F.lit(0)).alias("n_columns"),
+        out["facets"]["catalog"]["type"].alias("catalog_type"), F.col("run.facets.parent.job.name").alias("parent"),
+        out["outputFacets"]["outputStatistics"]["rowCount"].alias("row_count"),
+        F.col("run.facets.errorMessage.message").alias("error"))
+
+
 @query
 def r02_r05_terminal_events(spark, sf_dir):
     e = _terminal_events(spark, sf_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from provtrail.plans.capture import capture, plan_log as plan_log_of
 from provtrail.plans.traced import traced_names, traced_plan_log
+from provtrail.session import materialize
 from provtrail.sources.tables import register, small_side, table
 
 
@@ -140,7 +141,7 @@ def plan_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names with separators and other characters, from ``part`` and ``documents``."""
+    """Names with separators and other characters, from ``part``."""
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"),
         F.concat(F.lit("-"), "p_name", F.lit(".. "), "p_brand", F.lit(";é,"), "p_type", F.lit("_")).alias("raw"))
@@ -237,6 +238,29 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return queries, plans
 
 
+def raw_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The query log as a plan log with the text of each execution, and its runs: (plan log, runs).
+
+    Each order is a query that creates a table of the lake, and a run that ends a day later.
+    """
+    queries, plans = plan_log(spark, sf_dir)
+    templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "sink_fields")
+    none = F.lit(None).cast("string")
+    log = queries.join(plans.select("plan_id", "query", "plan_json"), "plan_id").join(small_side(templates), "template").select(
+        "query_id", "query", "plan_json", F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files"),
+        F.lit("CREATE_TABLE").alias("sink_op"), none.alias("sink_ns"),
+        F.concat(F.lit("lake.out."), "template", F.lit("_"), F.col("tenant").cast("string")).alias("sink_name"),
+        F.col("event_time").cast("timestamp").alias("event_time"), "sink_fields", none.alias("prev_ns"), none.alias("prev_name"))
+    o = table(spark, sf_dir, "orders")
+    runs = o.select(
+        F.col("o_orderkey").cast("string").alias("query_id"), uuid_of(F.col("o_orderkey")).alias("run_id"),
+        F.col("o_orderdate").cast("timestamp").alias("started"), F.date_add("o_orderdate", 1).cast("timestamp").alias("ended"),
+        F.when(F.col("o_orderstatus") == "O", "FAIL").otherwise("COMPLETE").alias("event_type"),
+        F.col("o_custkey").alias("row_count"), F.lit(None).cast("bigint").alias("size_bytes"),
+        F.concat(F.lit("bad "), "o_orderpriority").alias("error"))
+    return materialize(log, "raw-log"), runs
+
+
 def recaptured_plan_log(spark: SparkSession, sf_dir: str, captures: int = 3) -> tuple[DataFrame, DataFrame]:
     """As ``plan_log``, but each query text is analyzed anew ``captures`` times: (queries, variants).
 
