@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from provtrail.llm import chat, collocations, decontaminate, fingerprint, license, merkle, packing, queries
 from provtrail.llm.common import plain_words
@@ -335,3 +336,22 @@ def test_held_out_toxic_documents_are_found(spark):
     toxic = [r.predicted for r in rows if r.toxic == 1]
     assert len(toxic) > 50 and sum(toxic) >= 0.9 * len(toxic)
     assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.01 * len(rows)
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, sf_dir, odd, none):
+    """Stage by stage on rows with nulls, repeated rows and clashing columns, and on no rows at all."""
+    import corpus_pipeline
+    from provtrail.session import materialize
+
+    clashing = ("_of", "_slot", "_own", "_part", "_file", "_row", "_i", "rank", "row", "component_id")
+    for docs, n in ((odd, len(ODD)), (none, 0)):
+        docs = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(i).alias(c) for i, c in enumerate(clashing)])
+        columns = docs.columns
+        docs = materialize(docs, "odd")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            assert docs.columns == columns and docs.count() <= n, name
+        rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+        assert len(rows) == docs.count() and {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+        # Nothing here is toxic or in the benchmark; of equal texts under several ids one stays.
+        assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ODD[:n])
