@@ -8,11 +8,10 @@
 3.  A suffix pointer is a place in a text; its key is the next words, up to the longest phrase, cut at
     the end of the piece and before the first pair that is infrequent. Suffixes whose leading pair is
     infrequent are abandoned there. Each task adds up equal suffixes, and they are routed by their
-    leading pair.
+    leading pair; where very many suffixes share it, by their leading three words, and so on.
 4.  In a route, multikey three-way quicksort to the depth of the longest phrase: the sizes of equal
-    partitions are the counts of phrases, and partitions below the least count are abandoned.
-    A pair with very many suffixes is split: its suffixes are routed by all their words, nothing of
-    it is abandoned before the partial counts of its phrases are added up.
+    partitions are the counts of phrases, and partitions below the least count are abandoned. The
+    few phrases shorter than the words by which a suffix is routed are added up over the routes.
 5.  Phrases are scored at each cut against the counts of both sides, all in exact arithmetic.
 """
 
@@ -38,11 +37,11 @@ MARK = b"\xff"
 #: A-Z lowered, ends of pieces as line feeds, tabs as spaces.
 _PREPARED = bytes(
     c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c for c in range(256))
-#: Occurrences from which on the suffixes of a leading pair are split over routes.
-HOT_PAIR = 20_000
+#: Suffixes with the same leading words from which on they are routed by one word more.
+HOT = 20_000
 #: Bits of a bitmap, at most; beyond, it lets more pass, which costs time only.
 MOST_BITS = 1 << 27
-_HELD_WORDS, _HELD_PAIRS, _HELD_SUFFIXES, _HELD_ROWS = 300_000, 4_000_000, 500_000, 1_000_000
+_HELD_WORDS, _HELD_PAIRS, _HELD_SUFFIXES, _HELD_ROWS = 150_000, 2_000_000, 500_000, 1_000_000
 
 
 def marked_words(text: bytes | None) -> list[bytes]:
@@ -129,7 +128,7 @@ def bitmap(keys: DataFrame, n: int) -> np.ndarray:
     while bits < MOST_BITS and bits < 64 * n:
         bits *= 2
     at = F.col("key").bitwiseAND(F.lit(bits - 1))
-    rows = keys.select(F.shiftright(at, 6).alias("at"), F.expr(f"shiftleft(1L, cast(key & 63 AS int))").alias("bit"))
+    rows = keys.select(F.shiftright(at, 6).alias("at"), F.expr("shiftleft(1L, cast(key & 63 AS int))").alias("bit"))
     found = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(bits >> 6, dtype=np.uint64)
     out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
@@ -193,9 +192,9 @@ def suffixes(codes: np.ndarray, ok: np.ndarray, longest: int) -> np.ndarray:
     return out
 
 
-def route_suffixes(docs: DataFrame, seed: int, pairs, hot, longest: int) -> DataFrame:
-    """Rows (route, hot, w0, w1, .., n) of the suffixes whose leading pair is in the broadcast bitmap ``pairs``."""
-    names = ["route", "hot", *[f"w{k}" for k in range(longest)], "n"]
+def find_suffixes(docs: DataFrame, seed: int, pairs, longest: int) -> DataFrame:
+    """Written rows (w0, w1, .., n) of the suffixes whose leading pair is in the broadcast bitmap ``pairs``."""
+    names = [*_words(longest), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, n = Coder(seed), [], 0
@@ -203,13 +202,7 @@ def route_suffixes(docs: DataFrame, seed: int, pairs, hot, longest: int) -> Data
         def flush():
             rows = np.concatenate(held)
             rows, times = _added_up(rows, np.ones(len(rows), dtype=np.int64))
-            route = pair_keys(rows[:, 0], rows[:, 1])
-            split = in_bitmap(hot.value, route)
-            whole = route.copy()
-            for k in range(2, longest):
-                whole = pair_keys(whole, rows[:, k])
-            route = np.where(split, whole, route)
-            columns = [route.view(np.int64), split, *[np.ascontiguousarray(rows[:, k]).view(np.int64) for k in range(longest)], times]
+            columns = [*[np.ascontiguousarray(rows[:, k]).view(np.int64) for k in range(longest)], times]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
         for lang, own in _by_lang(batches):
@@ -224,74 +217,90 @@ def route_suffixes(docs: DataFrame, seed: int, pairs, hot, longest: int) -> Data
         if n:
             yield flush()
 
-    schema = "route long, hot boolean, " + ", ".join(f"w{k} long" for k in range(longest)) + ", n long"
-    return map_batches(_texts(docs), run, schema)
+    return materialize(map_batches(_texts(docs), run, ", ".join(f"{c} long" for c in names)), "collocation-suffixes")
 
 
-def quicksort_counts(rows: np.ndarray, times: np.ndarray, least: int) -> Iterator[tuple[list[int], int]]:
+def _words(n: int) -> list[str]:
+    return [f"w{k}" for k in range(n)]
+
+
+def route_suffixes(found: DataFrame, longest: int, hot: int = HOT) -> DataFrame:
+    """Suffixes with ``depth``, the number of leading words by which they are routed, and ``route``.
+
+    Two words, and one more as long as ``hot`` suffixes or more share these.
+    """
+    rows = found.withColumn("depth", F.lit(2))
+    for depth in range(2, longest):
+        keys = _words(depth)
+        many = rows.filter(F.col("depth") == depth).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot)
+        many = materialize(many.select(*keys, F.lit(1).alias("_more")), "collocation-hot")
+        if many.isEmpty():
+            break
+        rows = rows.join(small(many), keys, "left").withColumn("depth", F.col("depth") + F.coalesce("_more", F.lit(0))).drop("_more")
+    # A place behind the routed words counts as a word like any other.
+    key = F.array(*[F.when(F.col("depth") > k, F.col(w)) for k, w in enumerate(_words(longest))])
+    return rows.select(F.xxhash64(key).alias("route"), "depth", *_words(longest), "n")
+
+
+def quicksort_counts(rows: np.ndarray, times: np.ndarray, least: int, depth: int = 2) -> Iterator[tuple[list[int], int]]:
     """(phrase, count) of all prefixes of two words or more with a count of ``least`` at least.
 
     Multikey three-way quicksort of pointers to the rows, column by column. Partitions whose rows
-    count for less than ``least`` are abandoned; a zero is the end of a row.
+    count for less than ``least`` are abandoned, but for prefixes shorter than ``depth``, which may
+    go on elsewhere; a zero is the end of a row.
     """
     longest = rows.shape[1]
     stack = [(np.arange(len(rows)), 0)]
     while stack:
-        pointers, depth = stack.pop()
-        if times[pointers].sum() < least:
+        pointers, at = stack.pop()
+        needed = least if at + 1 >= depth else 1
+        if times[pointers].sum() < needed:
             continue
-        keys = rows[pointers, depth]
+        keys = rows[pointers, at]
         pivot = np.partition(keys[[0, len(keys) // 2, -1]], 1)[1]
         equal = pointers[keys == pivot]
         if len(equal) < len(pointers):
-            stack += [(pointers[keys < pivot], depth), (pointers[keys > pivot], depth)]
-        if pivot and (n := int(times[equal].sum())) >= least:
-            if depth:
-                yield rows[equal[0], :depth + 1].view(np.int64).tolist(), n
-            if depth + 1 < longest:
-                stack.append((equal, depth + 1))
+            stack += [(pointers[keys < pivot], at), (pointers[keys > pivot], at)]
+        if pivot and (n := int(times[equal].sum())) >= needed:
+            if at:
+                yield rows[equal[0], :at + 1].view(np.int64).tolist(), n
+            if at + 1 < longest:
+                stack.append((equal, at + 1))
 
 
 def count_phrases(routed: DataFrame, least: int, longest: int) -> DataFrame:
-    """Rows (phrase, a): codes of the words and the exact count, of all phrases that occur ``least`` times."""
+    """Rows (phrase, a): codes of the words and the exact count, of all phrases that occur ``least`` times.
+
+    A task holds one route more than _HELD_ROWS rows at most.
+    """
     schema = pa.schema([("phrase", pa.list_(pa.int64())), ("a", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
-        def out(phrases: list, counts: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(phrases, schema.types[0]), pa.array(counts, pa.int64())], schema=schema)
-
-        def flush(table: np.ndarray, split: np.ndarray) -> Iterator[pa.RecordBatch]:
-            rows, times = np.ascontiguousarray(table[:, 1:-1]).view(np.uint64), table[:, -1]
-            found = list(quicksort_counts(rows[~split], times[~split], least))
-            yield out([p for p, _ in found], [a for _, a in found])
-            rows, times = rows[split], times[split]
-            for depth in range(2, longest + 1) if len(rows) else ():
-                reach = rows[:, depth - 1] != 0
-                parts, sums = _added_up(rows[reach, :depth], times[reach])
-                for lo in range(0, len(parts), 50_000):
-                    yield out(list(parts[lo:lo + 50_000].view(np.int64)), sums[lo:lo + 50_000])
-
-        def parts(held: list) -> tuple[np.ndarray, np.ndarray]:
-            columns = [np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in range(held[0].num_columns)]
-            return np.stack([columns[0], *columns[2:]], axis=1), columns[1].astype(bool)
+        def flush(table: np.ndarray) -> pa.RecordBatch:
+            found = []
+            for depth in range(2, longest + 1):
+                own = table[table[:, 1] == depth]
+                rows, times = np.ascontiguousarray(own[:, 2:-1]).view(np.uint64), own[:, -1]
+                found += quicksort_counts(rows, times, least, depth) if len(own) else ()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in found], schema.types[0]), pa.array([a for _, a in found], pa.int64())], schema=schema)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
+            held.append(np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1))
             n += batch.num_rows
             if n >= _HELD_ROWS:
-                table, split = parts(held)
+                table = np.concatenate(held)
                 # The last route may go on.
-                end = int(np.searchsorted(table[:, 0], table[-1, 0]))
+                end = int(np.flatnonzero(table[:, 0] == table[-1, 0])[0])
                 if end:
-                    yield from flush(table[:end], split[:end])
-                    held, n = [pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in (table[end:, 0], split[end:], *table[end:, 1:].T)], names=batch.schema.names)], len(table) - end
+                    yield flush(table[:end])
+                held, n = [table[end:]], len(table) - end
         if n:
-            yield from flush(*parts(held))
+            yield flush(np.concatenate(held))
 
     rows = routed.repartition("route").sortWithinPartitions("route")
     partial = map_batches(rows, run, "phrase array<long>, a long")
@@ -305,9 +314,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     coded, seed = code_words(words, least)
     known = sc.broadcast(bitmap(coded.select(F.col("code").alias("key")), coded.count()))
     pairs = materialize(count_pairs(docs, seed, known).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "collocation-pairs")
-    many = pairs.filter(F.col("n") >= HOT_PAIR)
-    routed = route_suffixes(docs, seed, sc.broadcast(bitmap(pairs, pairs.count())), sc.broadcast(bitmap(many, many.count())), longest)
-    return words, coded, materialize(count_phrases(routed, least, longest), "collocation-phrases")
+    found = find_suffixes(docs, seed, sc.broadcast(bitmap(pairs, pairs.count())), longest)
+    return words, coded, materialize(count_phrases(route_suffixes(found, longest), least, longest), "collocation-phrases")
 
 
 def collocations(
