@@ -198,10 +198,13 @@ def find_suffixes(docs: DataFrame, seed: int, pairs, longest: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, n = Coder(seed), [], 0
+        rows, times = np.zeros((0, longest), dtype=np.uint64), np.zeros(0, dtype=np.int64)
 
-        def flush():
-            rows = np.concatenate(held)
-            rows, times = _added_up(rows, np.ones(len(rows), dtype=np.int64))
+        def merged():
+            new = np.concatenate(held) if held else rows[:0]
+            return _added_up(np.concatenate([rows, new]), np.concatenate([times, np.ones(len(new), dtype=np.int64)]))
+
+        def batch():
             columns = [*[np.ascontiguousarray(rows[:, k]).view(np.int64) for k in range(longest)], times]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
@@ -212,10 +215,13 @@ def find_suffixes(docs: DataFrame, seed: int, pairs, longest: int) -> DataFrame:
             held.append(suffixes(codes, ok, longest))
             n += len(held[-1])
             if n > _HELD_SUFFIXES:
-                yield flush()
-                held, n = [], 0
-        if n:
-            yield flush()
+                (rows, times), held, n = merged(), [], 0
+                if len(rows) > _HELD_ROWS:
+                    yield batch()
+                    rows, times = rows[:0], times[:0]
+        rows, times = merged()
+        if len(rows):
+            yield batch()
 
     return materialize(map_batches(_texts(docs), run, ", ".join(f"{c} long" for c in names)), "collocation-suffixes")
 
