@@ -154,6 +154,22 @@ def multi_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(waiting_pipeline(spark, sf_dir)[1]["area_report"])
 
 
+# Lateral joins whose output has columns of the outer side: Spark would pair the sides to tell these apart.
+AS_JOINS = {
+    "q41_lateral_outer": """SELECT s_suppkey, concat(s_name, n_name) AS home, s_name AS owner FROM supplier
+        JOIN nation ON n_nationkey = s_nationkey""",
+    "q41_lateral_join": """SELECT c_custkey, n_name, lower(r_name) AS area, upper(c_name) AS owner FROM customer
+        JOIN nation ON n_nationkey = c_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "q41_lateral_nested": """SELECT c_custkey, n_name, concat(n_name, r_name) AS label FROM customer
+        JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
+}
+
+
+def lateral_as_join(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    register(spark, sf_dir, ["supplier", "customer", "nation", "region"])
+    return spark.sql(AS_JOINS[name])
+
+
 # Plan-only shapes: they read no table, or SQL gives their data in a form of their own here.
 PLAN_ONLY = ("q28_recursive_constant", "q29_series")
 OWN_FORM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -172,6 +188,7 @@ OWN_FORM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q37_parquet": partial(file_round_trip, fmt="parquet"),
     "q38_multi_layer": multi_layer,
     "q40_nested": nested_fields,
+    **{name: partial(lateral_as_join, name=name) for name in AS_JOINS},
     "q42_unpivot_frame": partial(traced_frame, name="q42_unpivot_frame"),
 }
 
