@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from provtrail.functions import ids, naming
 from provtrail.operators import datasets, events, graph, history, profile
 from provtrail.operators.closure import close_edges
-from provtrail.plans import assemble, resolve
+from provtrail.plans import assemble, parse, resolve, skeleton
 from provtrail.plans.shapes import shape_queries, waiting_pipeline
 from provtrail.plans.traced import traced_plan_log
-from provtrail.session import work_dir
+from provtrail.session import materialize, work_dir
 from provtrail.sources import event_io, fixtures as fx
-from provtrail.sources.tables import register, table
+from provtrail.sources.tables import register, small_side, table
 from provtrail.sources.traced_io import TraceLog
 from provtrail.streaming import ingest as intake
 
@@ -125,28 +125,37 @@ def c_closure_of_bindings(spark, sf_dir):
 
 
 def _resolved(spark, sf_dir, columns=False):
+    """Executions with the skeleton (as plan_id) and names of their plan, and the skeletons parsed."""
     queries, plans = fx.plan_log(spark, sf_dir)
-    parsed = resolve.parse_log(plans, "spark", columns=columns)
-    return queries, plans, parsed
+    found = skeleton.skeletons(plans.withColumn("files", F.lit(None).cast(parse.FILES)), ["plan_id"])
+    executed = queries.select("query_id", "template", "plan_id").join(found.members, "plan_id").select(
+        "query_id", "template", F.col("skeleton_id").alias("plan_id"), "names")
+    return executed, found.plans, resolve.parse_log(found.plans, "spark", columns=columns)
+
+
+def _at_executions(executed, results):
+    """What a skeleton gives, once per execution; small if the log's plans are alike."""
+    return executed.join(small_side(materialize(results, "of-skeletons")), "plan_id").drop("plan_id")
 
 
 @query
 def c01_c16_resolve_columns(spark, sf_dir):
     """Columns of every execution in the log: one row per source column."""
-    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
-    per_plan = resolve.columns_per_plan(resolve.resolve_plans(plans, parsed=parsed))
-    return queries.select("query_id", "plan_id").join(per_plan, "plan_id").select(
-        "query_id", F.explode("cols").alias("c")).select(
-        "query_id", "c.out_col", "c.transformation_type", F.explode("c.input_fields").alias("s")).select(
-        "query_id", "out_col", "transformation_type", "s.name", "s.field")
+    executed, plans, parsed = _resolved(spark, sf_dir, columns=True)
+    sources = resolve.resolve_plans(plans, parsed=parsed).select(
+        "plan_id", "out_col", "transformation_type", F.explode("input_fields").alias("s"))
+    per_plan = sources.groupBy("plan_id").agg(F.collect_list(
+        F.struct("out_col", "transformation_type", "s.name", "s.field")).alias("cols"))
+    return _at_executions(executed, per_plan).select("query_id", "names", F.explode("cols").alias("c")).select(
+        "query_id", "c.out_col", "c.transformation_type", skeleton.filled("c.name").alias("name"), "c.field")
 
 
 @query
 def s01_scan_datasets(spark, sf_dir):
-    queries, _, parsed = _resolved(spark, sf_dir)
+    executed, _, parsed = _resolved(spark, sf_dir)
     scans = resolve.scan_datasets(parsed).select("plan_id", "namespace", "name", F.array_join(
         F.transform("fields", lambda f: F.concat_ws(" ", f["name"], f["type"])), ",").alias("fields")).distinct()
-    return queries.select("query_id", "plan_id").join(scans, "plan_id").drop("plan_id")
+    return _at_executions(executed, scans).select("query_id", "namespace", skeleton.filled("name").alias("name"), "fields")
 
 
 @query
@@ -160,9 +169,10 @@ def s02_file_scan_datasets(spark, sf_dir):
 
 @query
 def s07_g03_view_dependencies(spark, sf_dir):
-    queries, _, parsed = _resolved(spark, sf_dir)
+    executed, _, parsed = _resolved(spark, sf_dir)
     deps = resolve.view_dependencies(parsed).select("plan_id", "view_name", "name").distinct()
-    return queries.select("query_id", "plan_id").join(deps, "plan_id").drop("plan_id")
+    return _at_executions(executed, deps).select(
+        "query_id", skeleton.filled("view_name").alias("view_name"), skeleton.filled("name").alias("name"))
 
 
 @query
@@ -187,43 +197,45 @@ def s07_views_over_time(spark, sf_dir):
 
 @query
 def g02_g04_plan_inputs(spark, sf_dir):
-    queries, _, parsed = _resolved(spark, sf_dir)
-    return queries.select("query_id", "plan_id").join(resolve.plan_inputs(parsed), "plan_id").drop("plan_id")
+    executed, _, parsed = _resolved(spark, sf_dir)
+    return _at_executions(executed, resolve.plan_inputs(parsed)).select(
+        "query_id", "namespace", skeleton.filled("name").alias("name"), "dataset_type")
 
 
 @query
 def j01_j02_traced_statements(spark, sf_dir):
     """Statement type of every execution in the log."""
-    queries, _, parsed = _resolved(spark, sf_dir)
+    executed, _, parsed = _resolved(spark, sf_dir)
     nodes = profile.plan_log_nodes(parsed.nodes, parsed.scans)
     types = profile.statement_type(profile.profile_plans(nodes)).select(F.col("query_id").alias("plan_id"), "statement")
-    return queries.select("query_id", "plan_id").join(types, "plan_id").select("query_id", "statement")
+    return _at_executions(executed, types).select("query_id", "statement")
 
 
 @query
 def c17_rejects(spark, sf_dir):
     """Executions of the log whose plan has a node of unknown column flow."""
-    queries, _, parsed = _resolved(spark, sf_dir)
-    return queries.select("query_id", "plan_id").join(resolve.rejects_of(parsed.levels), "plan_id").select("query_id", "reason")
+    executed, _, parsed = _resolved(spark, sf_dir)
+    return _at_executions(executed, resolve.rejects_of(parsed.levels)).select("query_id", "reason")
 
 
 @query
 def c17_rejected_columns(spark, sf_dir):
     """Output columns in which a node of unknown column flow has a part."""
-    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
+    executed, plans, parsed = _resolved(spark, sf_dir, columns=True)
     fates = resolve.column_fates(plans, parsed=parsed).filter("fate = 'rejected'")
-    return queries.select("query_id", "plan_id").join(fates, "plan_id").select("query_id", "out_col", "reason")
+    return _at_executions(executed, fates).select("query_id", "out_col", "reason")
 
 
 @query
 def c17_conservation(spark, sf_dir):
     """No column is lost: traced, sourceless and rejected ones are all that the query put out."""
-    queries, plans, parsed = _resolved(spark, sf_dir, columns=True)
+    executed, plans, parsed = _resolved(spark, sf_dir, columns=True)
     n = [F.count_if(F.col("fate") == f).cast("int").alias(f) for f in ("traced", "sourceless", "rejected")]
     per_plan = resolve.column_fates(plans, parsed=parsed).groupBy("plan_id").agg(*n)
     # How many columns there are is what the query's own schema says, not the parsed plan.
     schemas = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), F.size("sink_fields").alias("columns"))
-    return queries.join(per_plan, "plan_id", "left").join(schemas, "template").select(
+    executed = executed.join(small_side(materialize(per_plan, "of-skeletons")), "plan_id", "left")
+    return executed.join(F.broadcast(schemas), "template").select(
         "query_id", "columns", "traced", "sourceless", "rejected",
         (F.col("traced") + F.col("sourceless") + F.col("rejected") == F.col("columns")).alias("conserved"))
 

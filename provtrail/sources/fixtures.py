@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from provtrail.plans.capture import capture, plan_log as plan_log_of
 from provtrail.plans.traced import traced_names, traced_plan_log
 from provtrail.session import materialize
-from provtrail.sources.tables import register, small_side, table
+from provtrail.sources.tables import register, table
 
 
 def uuid_of(n: Column) -> Column:
@@ -222,7 +222,7 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     tenant (by customer). ``plans`` holds each distinct plan text once: the captured plan
     with its table names moved to the tenant's. Plans grow with the number of customers.
     """
-    templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "query", "plan_json")
+    templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "query", _between_tables())
     names = traced_names()
     number = F.map_from_arrays(F.array(*[F.lit(i) for i in range(len(names))]), F.array(*[F.lit(n) for n in names]))
     queries = table(spark, sf_dir, "orders").select(
@@ -232,7 +232,7 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ).withColumn("plan_id", F.concat_ws("@", "template", "tenant"))
     # Plan texts are thousands of times larger than their keys: spread the keys first.
     spread = queries.select("template", "tenant", "plan_id").distinct().repartition("plan_id")
-    plans = spread.join(small_side(templates), "template").select(
+    plans = spread.join(F.broadcast(templates), "template").select(
         "plan_id", "query",
         _of_tenant().alias("plan_json"))
     return queries, plans
@@ -243,11 +243,12 @@ def raw_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     Each order is a query that creates a table of the lake, and a run that ends a day later.
     """
-    queries, plans = plan_log(spark, sf_dir)
-    templates = traced_plan_log(spark, sf_dir).select(F.col("query_id").alias("template"), "sink_fields")
+    templates = traced_plan_log(spark, sf_dir).select(
+        F.col("query_id").alias("template"), "query", "sink_fields", _between_tables())
     none = F.lit(None).cast("string")
-    log = queries.join(plans.select("plan_id", "query", "plan_json"), "plan_id").join(small_side(templates), "template").select(
-        "query_id", "query", "plan_json", F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files"),
+    # Each execution makes its own text: no text is shuffled.
+    log = plan_log(spark, sf_dir)[0].join(F.broadcast(templates), "template").select(
+        "query_id", "query", _of_tenant().alias("plan_json"), F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files"),
         F.lit("CREATE_TABLE").alias("sink_op"), none.alias("sink_ns"),
         F.concat(F.lit("lake.out."), "template", F.lit("_"), F.col("tenant").cast("string")).alias("sink_name"),
         F.col("event_time").cast("timestamp").alias("event_time"), "sink_fields", none.alias("prev_ns"), none.alias("prev_name"))
@@ -267,16 +268,22 @@ def recaptured_plan_log(spark: SparkSession, sf_dir: str, captures: int = 3) ->
     Each execution has the text of one capture; ``variants`` has each (template, variant, tenant) once.
     """
     logs = [traced_plan_log(spark, sf_dir, fresh=i).select(
-        F.col("query_id").alias("template"), F.lit(i).alias("variant"), "plan_json",
+        F.col("query_id").alias("template"), F.lit(i).alias("variant"), _between_tables(),
         F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files")) for i in range(captures)]
     templates = logs[0]
     for log in logs[1:]:
         templates = templates.union(log)
     queries = plan_log(spark, sf_dir)[0].withColumn("variant", (F.col("query_id").cast("bigint") % captures).cast("int"))
     spread = queries.select("template", "variant", "tenant").distinct().repartition("template", "variant", "tenant")
-    return queries, spread.join(small_side(templates), ["template", "variant"]).withColumn("plan_json", _of_tenant())
+    return queries, spread.join(F.broadcast(templates), ["template", "variant"]).withColumn("plan_json", _of_tenant()).drop("between")
+
+
+def _between_tables():
+    """A captured plan text, cut behind each table name."""
+    cut = F.regexp_replace("plan_json", '"table":"([a-z_]+)"', '"table":"$1\ue000"')
+    return F.split(cut, "\ue000").alias("between")
 
 
 def _of_tenant():
     """The plan text with its table names moved to the tenant's."""
-    return F.regexp_replace("plan_json", F.lit('"table":"([a-z_]+)"'), F.concat(F.lit('"table":"$1_'), "tenant", F.lit('"')))
+    return F.expr("array_join(between, concat('_', tenant))")
