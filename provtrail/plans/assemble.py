@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from provtrail.functions.ids import classify_catalogs
 from provtrail.operators import events, profile
 from provtrail.operators.datasets import exclude_datasets
-from provtrail.plans import resolve
+from provtrail.plans import resolve, skeleton
 from provtrail.schema import DEFAULT_NAMESPACE
+from provtrail.session import materialize
 from provtrail.sources.tables import small_side
 
 
@@ -26,8 +27,10 @@ def log_events(
     run id, job namespace and job name of the run that started these. ``catalogs`` (see
     ``functions.ids.classify_catalogs``) adds namespaces, catalog and source facets.
     """
-    keyed = resolve.keyed_log(plan_log)
-    plans = resolve.distinct_plans(plan_log)
+    if catalogs is not None:
+        catalogs = materialize(catalogs, "catalogs")
+    # A temporary view may have the name of a catalog: such names are looked up as they are.
+    keyed, plans = resolve.log_skeletons(plan_log, None if catalogs is None else catalogs.select("name"))
     parsed = resolve.parse_log(plans, default_namespace, catalogs)
 
     scans = resolve.plan_inputs(parsed, default_namespace).withColumn("position", F.lit(0))
@@ -36,8 +39,8 @@ def log_events(
     described, catalog_facets = _with_catalogs(scans.join(schemas, ["plan_id", "namespace", "name"], "left"), catalogs)
     facets = events.dataset_facets(
         schema=events.schema_facet(F.col("fields")), datasetType=events.type_facet(F.col("dataset_type")), **catalog_facets)
-    inputs = keyed.join(described, "plan_id").select(
-        "query_id", "position", "namespace", "name", facets.alias("facets"))
+    inputs = resolve.at_queries(keyed, described).select(
+        "query_id", "position", "namespace", skeleton.filled("name").alias("name"), facets.alias("facets"))
     inputs = exclude_datasets(inputs, exclude)
 
     sinks = exclude_datasets(resolve.sink_datasets(plan_log, default_namespace), exclude)
@@ -51,11 +54,18 @@ def log_events(
         **catalog_facets).alias("facets"))
 
     # Column lineage only where there is an output to attach it to.
-    columns = resolve.resolve_plans(plans, default_namespace, parsed)
-    if exclude and not keep_excluded_sources:
-        columns = resolve.exclude_sources(columns, exclude)
-    per_query = keyed.join(sinks.select("query_id"), "query_id", "left_semi").join(
-        resolve.columns_per_plan(columns), "plan_id").select("query_id", "cols")
+    per_query = resolve.at_queries(
+        keyed.join(sinks.select("query_id"), "query_id", "left_semi"),
+        resolve.columns_per_plan(resolve.resolve_plans(plans, default_namespace, parsed)))
+
+    def of_query(column):
+        sources = skeleton.filled_sources(column["input_fields"])
+        if exclude and not keep_excluded_sources:
+            sources = resolve.kept_sources(sources, exclude)
+        return column.withField("input_fields", sources)
+
+    per_query = per_query.select("query_id", F.filter(
+        F.transform("cols", of_query), lambda c: F.size(c["input_fields"]) > 0).alias("cols"))
 
     # Utility statements have no lineage, so no events either.
     profiles = profile.drop_utility(profile.profile_plans(profile.plan_log_nodes(parsed.nodes, parsed.scans)))
@@ -88,9 +98,12 @@ def _job_names(plan_log: DataFrame, keyed: DataFrame, shapes: DataFrame) -> Data
     sink_table = F.element_at(F.split("sink_name", "[./]"), -1)
     # Texts are hashed before the join, so no plan text is shuffled.
     named = plan_log.select("query_id", profile.short_hash("query", "plan_json").alias("hash8"), "sink_op", "sink_name")
-    joined = keyed.join(shapes.withColumnRenamed("query_id", "plan_id"), "plan_id").join(named, "query_id")
+    joined = resolve.at_queries(keyed, shapes.withColumnRenamed("query_id", "plan_id")).join(named, "query_id")
+    own = F.transform("tables", lambda t: skeleton.filled(t))
     tables = F.slice(F.concat(
         F.when(operation.isin("INSERT", "CREATE_TABLE"), F.array(sink_table)).otherwise(F.array().cast("array<string>")),
-        F.col("tables")), 1, profile.MAX_TABLES)
-    return joined.select("query_id", profile.job_name(
+        own), 1, profile.MAX_TABLES)
+    # START and end events both use them, and the texts are read for them.
+    names = joined.select("query_id", profile.job_name(
         F.coalesce(operation, "statement"), tables, F.col("hash8")).alias("job_name"))
+    return materialize(names, "job-names")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from provtrail.functions.binding import let
 from provtrail.functions.ids import namespace_of, parse_prefixes
 from provtrail.operators.closure import close_edges
-from provtrail.plans import parse
+from provtrail.plans import parse, skeleton
 from provtrail.schema import DEFAULT_NAMESPACE
 from provtrail.session import materialize
 from provtrail.sources.tables import small_side
@@ -64,6 +64,26 @@ def distinct_plans(plan_log: DataFrame) -> DataFrame:
     return texts.join(small_side(chosen), "query_id").select("plan_id", "plan_json", "files").dropDuplicates(["plan_id"])
 
 
+def log_skeletons(plan_log: DataFrame, kept: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Queries of a plan log and what to parse: (query_id, plan_id, names) and (plan_id, plan_json, files).
+
+    A plan is the skeleton of one or more texts here; ``skeleton.filled`` puts a query's names into
+    what is found out about it. Each text is read once. Plans with a table of a name in ``kept`` are
+    plans of their own.
+    """
+    if "plan_id" not in plan_log.columns:
+        found = skeleton.skeletons(plan_log, ["query_id"], kept, plan_key)
+        return found.members.withColumnRenamed("skeleton_id", "plan_id"), found.plans
+    found = skeleton.skeletons(distinct_plans(plan_log), ["plan_id"], kept)
+    return plan_log.select("query_id", "plan_id").join(found.members, "plan_id").select(
+        "query_id", F.col("skeleton_id").alias("plan_id"), "names"), found.plans
+
+
+def at_queries(keyed: DataFrame, results: DataFrame) -> DataFrame:
+    """What a skeleton gives, with ``names``, once per query; small if the log's plans are alike."""
+    return keyed.join(small_side(materialize(results, "of-skeletons")), "plan_id").drop("plan_id")
+
+
 def parse_log(
     plans: DataFrame, default_namespace: str = DEFAULT_NAMESPACE, catalogs: DataFrame | None = None, columns: bool = True,
 ) -> Parsed:
@@ -161,19 +181,18 @@ def resolve_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESP
 
     Plans that could not be traced are in ``rejected_plans`` instead.
     """
-    resolved = resolve_plans(distinct_plans(plan_log), default_namespace)
-    per_plan = columns_per_plan(resolved)
-    keyed = keyed_log(plan_log)
-    return keyed.join(per_plan, "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
+    keyed, plans = log_skeletons(plan_log)
+    per_plan = columns_per_plan(resolve_plans(plans, default_namespace))
+    return at_queries(keyed, per_plan).select("query_id", "names", F.explode("cols").alias("c")).select(
+        "query_id", "c.*", "names").withColumn("input_fields", skeleton.filled_sources("input_fields")).drop("names")
 
 
 def rejected_columns(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
     """Output columns that ``resolve_columns`` leaves out because their sources are not all known:
     query_id, ordinal, out_col, reason. The other columns of the same queries are traced."""
-    fates = column_fates(distinct_plans(plan_log), default_namespace).filter("fate = 'rejected'")
-    per_plan = fates.groupBy("plan_id").agg(F.collect_list(F.struct("ordinal", "out_col", "reason")).alias("cols"))
-    keyed = keyed_log(plan_log)
-    return keyed.join(per_plan, "plan_id").select("query_id", F.explode("cols").alias("c")).select("query_id", "c.*")
+    keyed, plans = log_skeletons(plan_log)
+    fates = column_fates(plans, default_namespace).filter("fate = 'rejected'")
+    return at_queries(keyed, fates).select("query_id", "ordinal", "out_col", "reason")
 
 
 def rejected_plans(plan_log: DataFrame) -> DataFrame:
@@ -182,9 +201,9 @@ def rejected_plans(plan_log: DataFrame) -> DataFrame:
     A plan text, or one embedded in it, is broken; or a node of unknown column flow is in it, of which
     ``rejected_columns`` tells the columns. Each distinct plan is looked at once.
     """
-    keyed = keyed_log(plan_log)
-    levels = parse.parse_plans(distinct_plans(plan_log), keep_broken=True, wanted=())
-    return keyed.join(rejects_of(levels), "plan_id").select("query_id", "reason")
+    keyed, plans = log_skeletons(plan_log)
+    levels = parse.parse_plans(plans, keep_broken=True, wanted=())
+    return at_queries(keyed, rejects_of(levels)).select("query_id", "reason")
 
 
 def rejects_of(levels: DataFrame) -> DataFrame:
@@ -230,6 +249,11 @@ def sink_datasets(plan_log: DataFrame, default_namespace: str = DEFAULT_NAMESPAC
 
 def exclude_sources(columns: DataFrame, prefixes) -> DataFrame:
     """Drop excluded datasets from column sources, and columns left without a source."""
+    return columns.withColumn("input_fields", kept_sources(F.col("input_fields"), prefixes)).filter(F.size("input_fields") > 0)
+
+
+def kept_sources(fields: Column, prefixes) -> Column:
+    """Column sources without those of excluded datasets."""
     wanted = parse_prefixes(prefixes)
 
     def keep(source):
@@ -238,7 +262,7 @@ def exclude_sources(columns: DataFrame, prefixes) -> DataFrame:
             hit = hit | source["name"].startswith(prefix)
         return ~hit
 
-    return columns.withColumn("input_fields", F.filter("input_fields", keep)).filter(F.size("input_fields") > 0)
+    return F.filter(fields, keep)
 
 
 def with_target_columns(columns: DataFrame, targets: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:

@@ -133,11 +133,6 @@ def _resolved(spark, sf_dir, columns=False):
     return executed, found.plans, resolve.parse_log(found.plans, "spark", columns=columns)
 
 
-def _at_executions(executed, results):
-    """What a skeleton gives, once per execution; small if the log's plans are alike."""
-    return executed.join(small_side(materialize(results, "of-skeletons")), "plan_id").drop("plan_id")
-
-
 @query
 def c01_c16_resolve_columns(spark, sf_dir):
     """Columns of every execution in the log: one row per source column."""
@@ -146,7 +141,7 @@ def c01_c16_resolve_columns(spark, sf_dir):
         "plan_id", "out_col", "transformation_type", F.explode("input_fields").alias("s"))
     per_plan = sources.groupBy("plan_id").agg(F.collect_list(
         F.struct("out_col", "transformation_type", "s.name", "s.field")).alias("cols"))
-    return _at_executions(executed, per_plan).select("query_id", "names", F.explode("cols").alias("c")).select(
+    return resolve.at_queries(executed, per_plan).select("query_id", "names", F.explode("cols").alias("c")).select(
         "query_id", "c.out_col", "c.transformation_type", skeleton.filled("c.name").alias("name"), "c.field")
 
 
@@ -155,7 +150,7 @@ def s01_scan_datasets(spark, sf_dir):
     executed, _, parsed = _resolved(spark, sf_dir)
     scans = resolve.scan_datasets(parsed).select("plan_id", "namespace", "name", F.array_join(
         F.transform("fields", lambda f: F.concat_ws(" ", f["name"], f["type"])), ",").alias("fields")).distinct()
-    return _at_executions(executed, scans).select("query_id", "namespace", skeleton.filled("name").alias("name"), "fields")
+    return resolve.at_queries(executed, scans).select("query_id", "namespace", skeleton.filled("name").alias("name"), "fields")
 
 
 @query
@@ -171,7 +166,7 @@ def s02_file_scan_datasets(spark, sf_dir):
 def s07_g03_view_dependencies(spark, sf_dir):
     executed, _, parsed = _resolved(spark, sf_dir)
     deps = resolve.view_dependencies(parsed).select("plan_id", "view_name", "name").distinct()
-    return _at_executions(executed, deps).select(
+    return resolve.at_queries(executed, deps).select(
         "query_id", skeleton.filled("view_name").alias("view_name"), skeleton.filled("name").alias("name"))
 
 
@@ -198,7 +193,7 @@ def s07_views_over_time(spark, sf_dir):
 @query
 def g02_g04_plan_inputs(spark, sf_dir):
     executed, _, parsed = _resolved(spark, sf_dir)
-    return _at_executions(executed, resolve.plan_inputs(parsed)).select(
+    return resolve.at_queries(executed, resolve.plan_inputs(parsed)).select(
         "query_id", "namespace", skeleton.filled("name").alias("name"), "dataset_type")
 
 
@@ -208,14 +203,14 @@ def j01_j02_traced_statements(spark, sf_dir):
     executed, _, parsed = _resolved(spark, sf_dir)
     nodes = profile.plan_log_nodes(parsed.nodes, parsed.scans)
     types = profile.statement_type(profile.profile_plans(nodes)).select(F.col("query_id").alias("plan_id"), "statement")
-    return _at_executions(executed, types).select("query_id", "statement")
+    return resolve.at_queries(executed, types).select("query_id", "statement")
 
 
 @query
 def c17_rejects(spark, sf_dir):
     """Executions of the log whose plan has a node of unknown column flow."""
     executed, _, parsed = _resolved(spark, sf_dir)
-    return _at_executions(executed, resolve.rejects_of(parsed.levels)).select("query_id", "reason")
+    return resolve.at_queries(executed, resolve.rejects_of(parsed.levels)).select("query_id", "reason")
 
 
 @query
@@ -223,7 +218,7 @@ def c17_rejected_columns(spark, sf_dir):
     """Output columns in which a node of unknown column flow has a part."""
     executed, plans, parsed = _resolved(spark, sf_dir, columns=True)
     fates = resolve.column_fates(plans, parsed=parsed).filter("fate = 'rejected'")
-    return _at_executions(executed, fates).select("query_id", "out_col", "reason")
+    return resolve.at_queries(executed, fates).select("query_id", "out_col", "reason")
 
 
 @query
