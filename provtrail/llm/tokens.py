@@ -20,12 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from provtrail.llm.common import map_batches, utf8
+from provtrail.llm.common import give_back, map_batches, utf8
 
 BLOCK = 128
 CHUNK_IDS = 1 << 18
+#: Text whose words are Python objects at once.
+SLICE_BYTES = 1 << 20
 #: Ids per word and bits per id by selector, and the selector of an escape.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
@@ -202,6 +205,19 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _text_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``SLICE_BYTES`` of text (column 1) or one row: every word becomes a
+    Python object, so rows alone do not bound a worker's memory."""
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), dtype=np.int64)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at] - lengths[at]
+        to = max(at + 1, min(at + 1000, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_tokens(
     docs: DataFrame, path: str, order: tuple[str, ...] = ("doc_id",), vocabulary_path: str | None = None,
     end_id: int = END_ID, chunk_ids: int = CHUNK_IDS, remembered: int = _CACHED,
@@ -232,9 +248,9 @@ def write_tokens(
             return pa.RecordBatch.from_pylist([columns], schema=schema)
 
         tail = np.array([end_id], dtype="<u4")
+        give_back()
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
+            for batch in _text_slices(whole):
                 for doc, part, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
                                           encoder(at_path, remembered).encode(utf8(batch.column(1)))):
                     ids += [own, tail]
