@@ -62,7 +62,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     stored = docs.select(
         "doc_id", "text", number.alias("_part"), name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     tokens.write_tokens(stored, path, order=("_part", "_file", "_row"), chunk_ids=1 << 17, remembered=50_000)
-    return tokens.digest(tokens.read_tokens(spark, path))
+    return tokens.read_digests(spark, path)
 
 
 STAGES = [

@@ -14,9 +14,10 @@ in ``block_offsets``, so blocks decode alone and a chunk decodes in a few vector
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +112,32 @@ def encode_chunk(ids: np.ndarray) -> dict:
             "block_offsets": offsets.astype("<u4").tobytes(), "n_ids": len(ids)}
 
 
+class _Pieces(dict):
+    """Ids of pieces, found out when first asked for, in up to three parts of ``most`` pieces: those asked
+    for again, such ones from before the last time that part was full, and those asked for once."""
+
+    def __init__(self, find: Callable[[bytes], bytes], most: int):
+        super().__init__()
+        self.find, self.most = find, most
+        self.old: dict[bytes, bytes] = {}
+        self.once: dict[bytes, bytes] = {}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.once.pop(piece, None) or self.old.get(piece)
+        if ids is None:
+            ids = self.find(piece)
+            if len(piece) <= 64:
+                if len(self.once) >= self.most:
+                    self.once.clear()
+                self.once[piece] = ids
+            return ids
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts. Text is cut at ASCII white space, which no token spans, and the ids of a
     piece are remembered, up to a bound.
@@ -125,38 +152,17 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.remembered = remembered
-        # Pieces met in several calls, pieces of late calls, and words of Latin letters.
-        self.often: dict[bytes, bytes] = {}
-        self.late: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces = _Pieces(self._ids, remembered)
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        # Lower case comes first in the library too, but for control strings.
-        pieces = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        for held in (self.often, self.late, self.words):
-            if len(held) > self.remembered:
-                held.clear()
-        often, late = self.often, self.late
-        table, rest = {}, []
-        for w in {w for p in pieces for w in p}:
-            ids = often.get(w)
-            if ids is None:
-                ids = late.get(w)
-                if ids is not None:
-                    often[w] = ids
-                elif (ids := self._simple(w)) is None:
-                    rest.append(w)
-                    continue
-                else:
-                    late[w] = ids
-            table[w] = ids
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
-            table[w] = np.array(e.ids, dtype="<u4").tobytes()
-            if len(w) <= 64:
-                late[w] = table[w]
-        get = table.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in pieces]
+        ids = self.pieces.__getitem__
+        return [np.frombuffer(b"".join(map(ids, _cut(t))), dtype="<u4") for t in texts]
+
+    def _ids(self, raw: bytes) -> bytes:
+        ids = self._simple(raw)
+        if ids is None:
+            ids = array("I", self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids).tobytes()
+        return ids
 
     def _simple(self, raw: bytes) -> bytes | None:
         if raw.isalpha():  # ASCII letters only
@@ -169,11 +175,15 @@ class WordEncoder:
         return ids if len(word) == len(piece) else ids + self._part(piece[len(word):])
 
     def _part(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            spelled = word if word.isascii() else "".join(_SPELLED[b] for b in word.encode())
-            ids = self.words[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        return ids
+        spelled = word if word.isascii() else "".join(_SPELLED[b] for b in word.encode())
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+
+def _cut(text: bytes | None) -> list[bytes]:
+    """Pieces of a text. Lower case comes first in the library too, but for control strings."""
+    if not text:
+        return []
+    return (text if b"<|" in text else _MARK_BEHIND.sub(rb" \g<0>", text.lower())).split()
 
 
 def _spelling() -> list[str]:
@@ -186,6 +196,8 @@ def _spelling() -> list[str]:
 _SPELLED = _spelling()
 #: ASCII marks that the library keeps together behind a word. An apostrophe may begin an ending.
 _MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+#: A mark between a letter or digit and white space is a piece of its own in the library.
+_MARK_BEHIND = re.compile(rb"[,.;:!?](?<=[a-z0-9].)(?=[ \n])")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -195,7 +207,7 @@ def encoder(path: str, remembered: int = _CACHED) -> WordEncoder:
     """One encoder per worker process."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    _ENCODERS[path].remembered = remembered
+    _ENCODERS[path].pieces.most = remembered
     return _ENCODERS[path]
 
 
@@ -266,12 +278,8 @@ def write_tokens(
     map_batches(rows, chunks, SCHEMA).write.parquet(path)
 
 
-def read_tokens(spark, path: str) -> DataFrame:
-    """One row per document of a written table: doc_id, start, n_tokens, ids.
-
-    ``start`` counts the ids of all documents before it. Only one total per written part reaches
-    the driver.
-    """
+def _read(spark, path: str, keep, schema: str) -> DataFrame:
+    """``keep(doc_ids, start, n_tokens, ids, ends)`` of each chunk of a written table, as rows."""
     table = spark.read.schema(SCHEMA).parquet(path)
     totals = table.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
     before, so_far = {}, 0
@@ -282,20 +290,46 @@ def read_tokens(spark, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
                 ids = unpack(np.frombuffer(r["words"], "<u8"), np.frombuffer(r["dictionary"], "<u4"))
                 lengths = np.array(r["doc_lengths"], dtype=np.int64)
                 if len(ids) != r["n_ids"] or lengths.sum() != len(ids):
                     raise ValueError("damaged chunk")
                 ends = np.cumsum(lengths)
                 at = shared.value[r["part"]] + r["first_id"] + ends - lengths
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(at), pa.array(lengths), lists],
-                    names=["doc_id", "start", "n_tokens", "ids"])
+                yield keep(pa.array(r["doc_ids"], pa.int64()), pa.array(at), pa.array(lengths), ids, ends)
 
     columns = table.select("part", "first_id", "n_ids", "dictionary", "words", "doc_ids", "doc_lengths")
-    return map_batches(columns, decode, "doc_id long, start long, n_tokens long, ids array<int>")
+    return map_batches(columns, decode, schema)
+
+
+def read_tokens(spark, path: str) -> DataFrame:
+    """One row per document of a written table: doc_id, start, n_tokens, ids.
+
+    ``start`` counts the ids of all documents before it. Only one total per written part reaches
+    the driver.
+    """
+    def lists(doc_ids, start, n_tokens, ids, ends):
+        of = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
+        return pa.RecordBatch.from_arrays([doc_ids, start, n_tokens, of], names=["doc_id", "start", "n_tokens", "ids"])
+
+    return _read(spark, path, lists, "doc_id long, start long, n_tokens long, ids array<int>")
+
+
+def read_digests(spark, path: str) -> DataFrame:
+    """As ``read_tokens``, with the crc32 of the ids read, as little-endian 32-bit integers, in their place:
+    doc_id, start, n_tokens, ids_crc32."""
+    def sums(doc_ids, start, n_tokens, ids, ends):
+        return pa.RecordBatch.from_arrays(
+            [doc_ids, start, n_tokens, _crcs(ids, ends - n_tokens.to_numpy(), ends)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _read(spark, path, sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def _crcs(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    values = ids.astype("<u4", copy=False)
+    return pa.array([zlib.crc32(values[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.int64())
 
 
 def digest(tokens: DataFrame) -> DataFrame:
@@ -304,10 +338,9 @@ def digest(tokens: DataFrame) -> DataFrame:
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
-            values, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-            sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+            offsets = lists.offsets.to_numpy()
+            sums = _crcs(lists.values.to_numpy(), offsets[:-1], offsets[1:])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                [batch.column(0), batch.column(1), batch.column(2), sums], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return map_batches(tokens.select("doc_id", "start", "n_tokens", "ids"), crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
