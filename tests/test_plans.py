@@ -55,3 +55,9 @@ def test_profile_spreads_a_query_over_salts(spark):
     nodes = spark.createDataFrame(rows, "query_id int, node_id int, parent_id int, operator string, table_name string")
     got = profile.profile_plans(nodes).first()
     assert (got.root, got.child_types, got.node_count, got.tables) == ("PROJECTION", ["GET"], 2000, ["t1", "t2", "t3"])
+
+
+def test_column_facets_are_read_from_json_once(spark, sf_dir):
+    # A filter derived from an inner explode would read each document twice more.
+    plan = QUERIES["r16_column_facet"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
