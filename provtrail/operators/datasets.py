@@ -72,7 +72,8 @@ def merge_columns(edges: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> Da
     """
     per_output = edges.groupBy(*keys, "out_col", "ordinal", "namespace", "name", "field").agg(
         F.max("breaks").alias("breaks"))
-    merged = per_output.groupBy(*keys, "out_col", "ordinal").agg(
+    # Distinct sources of one name meet in one task, for both steps that follow.
+    merged = per_output.repartition(*keys, "out_col").groupBy(*keys, "out_col", "ordinal").agg(
         F.sort_array(F.collect_set(F.struct("namespace", "name", "field"))).alias("input_fields"),
         F.max("breaks").alias("breaks"))
     last = merged.groupBy(*keys, "out_col").agg(
