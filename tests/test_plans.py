@@ -61,3 +61,9 @@ def test_column_facets_are_read_from_json_once(spark, sf_dir):
     # A filter derived from an inner explode would read each document twice more.
     plan = QUERIES["r16_column_facet"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_texts_are_shuffled_and_not_their_words(spark, sf_dir):
+    plan = QUERIES["q25_window_unnest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    # Lines go from the result down to the scan: the only shuffle lies below the words' Generate.
+    assert plan.count("Exchange") == 1 and plan.rindex("Generate explode(split(") < plan.index("Exchange hashpartitioning(doc_id")
