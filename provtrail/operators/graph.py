@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def dataset_edges(inputs: DataFrame, outputs: DataFrame, key: str = "query_id") -> DataFrame:
+def dataset_edges(inputs: DataFrame, outputs: DataFrame, key: str = "query_id", parts: int | None = None) -> DataFrame:
     """Distinct direct edges input -> output of all queries; not transitive.
 
     Inputs and outputs are first reduced to distinct (key, dataset) pairs. One query's
-    datasets are bounded by its plan, so the join cannot blow up on a hot query.
+    datasets are bounded by its plan, so the join cannot blow up on a hot query. Given ``parts``,
+    both sides meet in as many partitions, which bounds the edges that one task holds.
     """
-    i = inputs.select(key, F.col("namespace").alias("in_namespace"), F.col("name").alias("in_name")).distinct()
-    o = outputs.select(key, F.col("namespace").alias("out_namespace"), F.col("name").alias("out_name")).distinct()
+    i = inputs.select(key, F.col("namespace").alias("in_namespace"), F.col("name").alias("in_name"))
+    o = outputs.select(key, F.col("namespace").alias("out_namespace"), F.col("name").alias("out_name"))
+    if parts:
+        i, o = i.repartition(parts, key), o.repartition(parts, key)
+    i, o = i.distinct(), o.distinct()
     return i.join(o, key).select("in_namespace", "in_name", "out_namespace", "out_name").distinct()
 
 

@@ -16,7 +16,7 @@ from provtrail.operators.recursive import recurse
 from provtrail.operators.windows import asof_join, first_per_key, global_rank, ordered_prefix, with_halo
 from provtrail.plans.traced import TRACED, traced, traced_frame
 from provtrail.session import work_dir
-from provtrail.sources.tables import plan_bytes, register, small_side, table
+from provtrail.sources.tables import parts_of, register, small_side, table
 from provtrail.sources.traced_io import TraceLog
 
 MONEY = "decimal(18,2)"
@@ -69,8 +69,7 @@ def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_over_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # Texts are shuffled, not their words, in parts of a size that does not grow with the table.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), plan_bytes(docs) // PART_BYTES + 1)
-    words = docs.repartition(parts, "doc_id").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    words = docs.repartition(parts_of(docs, PART_BYTES), "doc_id").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
     # COUNT(...) OVER the full key gives each of n equal rows the count n.
     return words.groupBy("doc_id", "word").agg(F.count("word").alias("n")).select(
         "doc_id", "word", "n", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_i")).drop("_i")

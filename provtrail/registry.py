@@ -15,7 +15,7 @@ from provtrail.plans.shapes import shape_queries, waiting_pipeline
 from provtrail.plans.traced import traced_plan_log
 from provtrail.session import materialize, work_dir
 from provtrail.sources import event_io, fixtures as fx
-from provtrail.sources.tables import register, small_side, table
+from provtrail.sources.tables import parts_of, register, small_side, table
 from provtrail.sources.traced_io import TraceLog
 from provtrail.streaming import ingest as intake
 
@@ -615,7 +615,8 @@ def s09_s10_event_round_trip(spark, sf_dir):
 
 @query
 def g01_dataset_edges(spark, sf_dir):
-    return graph.dataset_edges(fx.query_inputs(spark, sf_dir), fx.query_outputs(spark, sf_dir)).select("in_name", "out_name")
+    inputs = fx.query_inputs(spark, sf_dir)
+    return graph.dataset_edges(inputs, fx.query_outputs(spark, sf_dir), parts=parts_of(inputs, 2 << 20)).select("in_name", "out_name")
 
 
 @query

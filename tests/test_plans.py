@@ -10,6 +10,7 @@ import __spark_entry__ as entry_module
 from provtrail.operators import events, profile
 from provtrail.plans import parse
 from provtrail.sources import fixtures as fx
+from provtrail.sources.tables import parts_of, table
 
 QUERIES = entry_module.queries()
 
@@ -67,3 +68,10 @@ def test_texts_are_shuffled_and_not_their_words(spark, sf_dir):
     plan = QUERIES["q25_window_unnest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     # Lines go from the result down to the scan: the only shuffle lies below the words' Generate.
     assert plan.count("Exchange") == 1 and plan.rindex("Generate explode(split(") < plan.index("Exchange hashpartitioning(doc_id")
+
+
+def test_edges_meet_in_parts_that_do_not_grow(spark, sf_dir):
+    plan = QUERIES["g01_dataset_edges"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    lines = table(spark, sf_dir, "lineitem")
+    assert parts_of(lines, 1 << 40) == 8 and parts_of(lines, 1 << 10) > 32
