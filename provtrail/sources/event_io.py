@@ -22,8 +22,8 @@ def events_from_json(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Write events as JSON lines."""
-    events_to_json(events).write.mode(mode).text(path)
+    """Write events as JSON lines, compressed: their names and schema URLs repeat in each."""
+    events_to_json(events).write.mode(mode).text(path, compression="gzip")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

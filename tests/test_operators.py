@@ -249,3 +249,21 @@ def test_views_over_time(spark):
                                   "query_id string, view_name string, event_time timestamp")
     got = {r.query_id: r.definition for r in history.definitions_at(reads, history.view_definitions(log)).collect()}
     assert got == {"q2": "d1", "q3": "d2", "q5": "d4"}
+
+
+def test_edges_in_parts_are_those_of_the_plain_join(spark):
+    inputs = spark.createDataFrame([(i % 5, "ns", f"t{i % 3}") for i in range(40)] + [(9, "ns", "t0")], "query_id int, namespace string, name string")
+    outputs = spark.createDataFrame([(i % 5, "ns", f"o{i % 2}") for i in range(20)] + [(8, "ns", "o9")], "query_id int, namespace string, name string")
+    plain, parts = graph.dataset_edges(inputs, outputs), graph.dataset_edges(inputs, outputs, parts=7)
+    assert sorted(plain.collect()) == sorted(parts.collect()) and plain.count() == 6
+
+
+def test_written_events_are_compressed_and_read_back(spark, tmp_path):
+    rows = spark.range(50).select(
+        F.col("id").cast("string").alias("run_id"), F.lit("START").alias("event_type"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("event_time"), F.lit("spark").alias("job_namespace"), F.lit("j\u00e9").alias("job_name"))
+    event_io.write_events(events.build_events(rows), str(tmp_path / "e"))
+    files = [p.name for p in (tmp_path / "e").glob("part-*")]
+    assert files and all(f.endswith(".gz") for f in files)
+    back = event_io.read_events(spark, str(tmp_path / "e")).select("run.runId", "job.name").collect()
+    assert sorted((int(r[0]), r[1]) for r in back) == [(i, "j\u00e9") for i in range(50)]
