@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from provtrail.plans.capture import capture, plan_log as plan_log_of
 from provtrail.plans.traced import traced_names, traced_plan_log
 from provtrail.session import materialize
-from provtrail.sources.tables import register, table
+from provtrail.sources.tables import parts_of, register, table
 
 
 def uuid_of(n: Column) -> Column:
@@ -230,8 +230,9 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         number[(F.col("o_orderkey") % len(names)).cast("int")].alias("template"),
         F.expr("o_custkey div 20").alias("tenant"), F.col("o_orderdate").alias("event_time"),
     ).withColumn("plan_id", F.concat_ws("@", "template", "tenant"))
-    # Plan texts are thousands of times larger than their keys: spread the keys first.
-    spread = queries.select("template", "tenant", "plan_id").distinct().repartition("plan_id")
+    # Plan texts are thousands of times larger than their keys: spread the keys first, over a number of
+    # tasks that follows the table. Without one, keys are put together by their own size, into a task a core.
+    spread = queries.select("template", "tenant", "plan_id").distinct().repartition(_text_tasks(spark, sf_dir), "plan_id")
     plans = spread.join(F.broadcast(templates), "template").select(
         "plan_id", "query",
         _of_tenant().alias("plan_json"))
@@ -274,10 +275,17 @@ def recaptured_plan_log(spark: SparkSession, sf_dir: str, captures: int = 3) ->
     for log in logs[1:]:
         templates = templates.union(log)
     queries = plan_log(spark, sf_dir)[0].withColumn("variant", (F.col("query_id").cast("bigint") % captures).cast("int"))
-    spread = queries.select("template", "variant", "tenant").distinct().repartition("template", "variant", "tenant")
+    # In another order than they are told apart by, or that shuffle would be taken for this one.
+    spread = queries.select("template", "variant", "tenant").distinct().repartition(
+        _text_tasks(spark, sf_dir), "tenant", "variant", "template")
     return queries, spread.join(F.broadcast(templates), ["template", "variant"]).withColumn("plan_json", _of_tenant()).drop("between")
 
 
+def _text_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that plan texts are made in: as many orders in each, however long the log is."""
+    return parts_of(table(spark, sf_dir, "orders"), 512 << 10)
+
+
 def _between_tables():
     """A captured plan text, cut behind each table name."""
     cut = F.regexp_replace("plan_json", '"table":"([a-z_]+)"', '"table":"$1\ue000"')

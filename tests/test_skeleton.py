@@ -70,3 +70,12 @@ def test_the_plan_log_is_parsed_by_template(spark, sf_dir):
     found = skeleton.skeletons(plans.withColumn("files", F.lit(None).cast(parse.FILES)), ["plan_id"])
     templates = plans.select(F.substring_index("plan_id", "@", 1)).distinct().count()
     assert found.plans.count() == templates < plans.count()
+
+
+def test_texts_are_made_in_as_many_tasks_as_asked(spark, sf_dir):
+    """Keys are small and their texts are not: tasks are not put together by the size of the keys."""
+    _, plans = fx.plan_log(spark, sf_dir)
+    _, variants = fx.recaptured_plan_log(spark, sf_dir)
+    for texts in (plans, variants):
+        sizes = texts.groupBy(F.spark_partition_id()).count().select("count").collect()
+        assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(s[0] for s in sizes) * 4 < texts.count()
