@@ -31,10 +31,9 @@ class Skeletons:
 
 
 def cut(plans: DataFrame) -> DataFrame:
-    """Add ``skeleton`` and ``names`` to rows with a ``plan_json``.
+    """Add ``skeleton``, ``names`` and ``_id`` (of the skeleton and files) to rows with a ``plan_json`` and ``files``.
 
-    Equal names are one hole. A text stays whole, without names, if a name is more than letters, digits and
-    underscores or stands elsewhere in the text too: of such names more than the identifier could depend.
+    Equal names are one hole. A text stays whole, without names, if a name is more than letters, digits and underscores.
     """
     behind = F.slice("_pieces", F.lit(2), F.size("_pieces"))
     at = plans.withColumn("_pieces", F.split("plan_json", rf"\Q{BEFORE_NAME}\E"))
@@ -45,16 +44,26 @@ def cut(plans: DataFrame) -> DataFrame:
         "_behind", "_names", lambda p, n: F.concat(
             F.lit(BEFORE_NAME + OPEN), F.array_position(F.col("_distinct"), n).cast("string"), F.lit(CLOSE),
             F.substr(p, F.length(n) + 1))), "")))
-    at = at.withColumn("_sound", F.coalesce(
-        (F.size("_distinct") > 0) & ~F.contains("plan_json", F.lit(OPEN)) & F.forall(
-            "_distinct", lambda n: n.rlike("^[A-Za-z0-9_]+$") & ~F.contains(F.col("_holed"), n)), F.lit(False)))
-    return at.select(
-        *plans.columns, F.when(F.col("_sound"), F.col("_holed")).otherwise(F.col("plan_json")).alias("skeleton"),
-        F.when(F.col("_sound"), F.col("_distinct")).otherwise(F.array().cast("array<string>")).alias("names"))
+    at = at.withColumn("_plain", F.coalesce(
+        (F.size("_distinct") > 0) & F.forall("_distinct", lambda n: n.rlike(r"^[A-Za-z0-9_]+\z")), F.lit(False)))
+    at = at.select(
+        *plans.columns, F.when(F.col("_plain"), F.col("_holed")).otherwise(F.col("plan_json")).alias("skeleton"),
+        F.when(F.col("_plain"), F.col("_distinct")).otherwise(F.array().cast("array<string>")).alias("names"))
+    return at.withColumn("_id", F.md5(F.concat_ws("\u0001", F.size("names").cast("string"), "skeleton", F.to_json("files"))))
 
 
-def _digest(text: str) -> Column:
-    return F.md5(F.concat_ws("\u0001", text, F.to_json("files")))
+def _whole_id() -> Column:
+    """The id of a text that stays whole: its skeleton and names are all that it consists of."""
+    return F.md5(F.concat_ws("\u0001", F.col("_id"), F.array_join("names", ",")))
+
+
+def _one_text_each(plans: DataFrame, key: list[str], members: DataFrame, label: str) -> DataFrame:
+    """One text for each ``_id`` among ``members``, cut anew, with this as ``_wanted``; a key may have other texts too."""
+    chosen = materialize(members.groupBy(F.col("_id").alias("_wanted")).agg(F.min(F.struct(*key)).alias("_k")), label)
+    texts = plans.select(*key, "plan_json", "files").join(
+        small_side(chosen.select("_wanted", *[F.col(f"_k.{k}").alias(k) for k in key])), key)
+    # Written first: a comparison with what is cut would be made a key of the join, for which all texts are cut again.
+    return cut(materialize(texts, f"{label}-chosen"))
 
 
 def skeletons(
@@ -62,26 +71,39 @@ def skeletons(
 ) -> Skeletons:
     """Skeletons of plans: ``key``, plan_json and files.
 
-    Texts are read once, for one row of digests and names each, and once more for one text a skeleton.
-    Plans with one of the names ``kept`` (one column) stay whole. ``canonical`` gives the id of a skeleton
-    from its plan_json and files; otherwise each distinct one counts.
+    Texts are read once, for one row of a digest and names each, and once more for one text a skeleton.
+    A text stays whole if one of its names stands elsewhere in it too (of such names more than the identifier
+    could depend), if it has marks of holes of its own, or a name in ``kept`` (one column). What stands elsewhere
+    is the same for all texts of a skeleton, so names are looked for among its words and not in each text; only
+    if texts stay whole, they are read a third time for one of each. ``canonical`` gives the id of a skeleton from
+    its plan_json and files; otherwise each distinct one counts.
     """
-    found = cut(plans.select(*key, "plan_json", "files"))
-    whole = [] if kept is None else [_digest("plan_json").alias("_whole")]
-    members = materialize(found.select(*key, _digest("skeleton").alias("_id"), "names", *whole), "plan-names")
+    found = materialize(cut(plans.select(*key, "plan_json", "files")).select(*key, "_id", "names"), "plan-names")
+    texts = materialize(_one_text_each(plans, key, found, "skeletons").filter("_id = _wanted").select(
+        "_id", F.col("skeleton").alias("plan_json"), "files",
+        # A name has no other characters than words have, so it stands within one of them.
+        F.array_join(F.array_distinct(F.regexp_extract_all("skeleton", F.lit("[A-Za-z0-9_]+"), F.lit(0))), " ").alias("_words"),
+        (F.size(F.split("skeleton", OPEN)) > F.size(F.split("skeleton", rf"\Q{BEFORE_NAME}\E"))).alias("_marked"),
+    ).dropDuplicates(["_id"]), "skeleton-texts")
+    stays = (F.size("names") > 0) & (F.col("_marked") | F.exists("names", lambda n: F.contains(F.col("_words"), n)))
+    members = found.join(small_side(texts.select("_id", "_words", "_marked"), 16 << 20), "_id").select(
+        *key, "_id", _whole_id().alias("_whole"), "names", stays.alias("_stays"))
     if kept is not None:
-        named = members.select("_whole", F.explode("names").alias("_name")).join(
-            small_side(kept.toDF("_name")), "_name", "left_semi").select("_whole", F.lit(True).alias("_stays")).distinct()
-        members = members.join(small_side(named), "_whole", "left").select(
-            *key, F.when(F.col("_stays"), F.col("_whole")).otherwise(F.col("_id")).alias("_id"),
-            F.when(F.col("_stays"), F.array().cast("array<string>")).otherwise(F.col("names")).alias("names"))
-    chosen = materialize(members.groupBy("_id").agg(
-        F.min(F.struct(*key)).alias("_k"), F.max(F.size("names")).alias("_holes")), "skeletons")
-    texts = plans.select(*key, "plan_json", "files").join(
-        small_side(chosen.select("_id", "_holes", *[F.col(f"_k.{k}").alias(k) for k in key])), key)
-    texts = cut(texts).select(
-        "_id", F.when(F.col("_holes") > 0, F.col("skeleton")).otherwise(F.col("plan_json")).alias("plan_json"), "files")
-    texts = materialize(texts.filter(_digest("plan_json") == F.col("_id")).dropDuplicates(["_id"]), "skeleton-texts")
+        named = found.select(_whole_id().alias("_whole"), F.explode("names").alias("_name")).join(
+            small_side(kept.toDF("_name")), "_name", "left_semi").select("_whole", F.lit(True).alias("_kept")).distinct()
+        members = members.join(small_side(named), "_whole", "left").withColumn(
+            "_stays", F.col("_stays") | F.coalesce("_kept", F.lit(False)))
+    members = materialize(members.select(
+        *key, F.when(F.col("_stays"), F.col("_whole")).otherwise(F.col("_id")).alias("_id"),
+        F.when(F.col("_stays"), F.array().cast("array<string>")).otherwise(F.col("names")).alias("names"), "_stays"), "plan-members")
+    texts = texts.select("_id", "plan_json", "files")
+    staying = members.filter("_stays")
+    if not staying.isEmpty():
+        whole = _one_text_each(plans, key, staying, "whole").filter(_whole_id() == F.col("_wanted")).select(
+            F.col("_wanted").alias("_id"), "plan_json", "files").dropDuplicates(["_id"])
+        used = members.filter("not _stays").select("_id").distinct()
+        texts = materialize(texts.join(used, "_id", "left_semi").unionByName(whole), "skeleton-texts")
+    members = members.drop("_stays")
     if canonical is None:
         return Skeletons(members.withColumnRenamed("_id", "skeleton_id"), texts.withColumnRenamed("_id", "plan_id"))
     ids = materialize(texts.select("_id", canonical().alias("plan_id")), "skeleton-ids")

@@ -64,6 +64,27 @@ def test_kept_names_stay_in_the_text(spark, texts):
     assert "left_1" in {r.name for r in resolve.plan_inputs(resolve.parse_log(found.plans)).collect()}
 
 
+def test_one_tenant_of_a_skeleton_stays_whole(spark, texts):
+    """A name that stands elsewhere in one text of a skeleton, or marks in it, keep that text whole and no other."""
+    text = texts.filter("plan_id = 't0'").first().plan_json
+    odd = {"alias": renamed(text, "left_0", "sk_a"), "part": renamed(text, "left_0", "upp"), "newline": renamed(text, "left_0", "up\n"),
+           "mark": renamed(text, "left_0", skeleton.OPEN + "1" + skeleton.CLOSE)}
+    odd["marks"] = text.replace('"sk_a"', f'"{skeleton.OPEN}1{skeleton.CLOSE}"')
+    odd["marks too"] = odd["marks"].replace("left_0", "left_3")
+    rows = spark.createDataFrame(list(odd.items()), "plan_id string, plan_json string").withColumn("files", F.lit(None).cast(parse.FILES))
+    found = skeleton.skeletons(texts.filter("plan_id like 't_'").unionByName(rows), ["plan_id"])
+    of = {r.plan_id: (r.skeleton_id, list(r.names)) for r in found.members.collect()}
+    assert all(of[k][1] == [] for k in odd) and [of[f"t{i}"][1][0] for i in range(3)] == ["left_0", "left_1", "left_2"]
+    held = {r.plan_id: r.plan_json for r in found.plans.collect()}
+    assert len(held) == 7 and all(held[of[k][0]] == odd[k] for k in odd)
+
+
+def test_names_are_not_looked_for_in_each_text(texts):
+    """The text of a plan is searched for marks and names once a skeleton."""
+    plan = skeleton.cut(texts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" not in plan and "forall" in plan
+
+
 def test_the_plan_log_is_parsed_by_template(spark, sf_dir):
     """One skeleton for each of the traced queries, however many tenants run it."""
     _, plans = fx.plan_log(spark, sf_dir)
