@@ -303,15 +303,22 @@ def start_events(
     return events.drop("query_id", "query")
 
 
-def terminal_events(starts: DataFrame, outcomes: DataFrame) -> DataFrame:
+def with_outcomes(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Rows with a ``run_id`` joined with the outcomes (see ``terminal_events``) of their runs."""
+    return rows.join(outcomes.select(
+        "run_id", F.col("event_type").alias("_type"), F.col("event_time").alias("_time"), "row_count", "size_bytes", "error"), "run_id")
+
+
+def terminal_events(starts: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
     """COMPLETE and FAIL events: the run, job, parent, SQL and outputs of their START.
 
     ``outcomes``: run_id, event_type, event_time, row_count, size_bytes, error. Inputs and
-    the engine stay with START. The join is on the run, whose rows are few and even.
+    the engine stay with START. The join is on the run, whose rows are few and even. Without
+    ``outcomes``, ``starts`` were made of runs ``with_outcomes``: no event is shuffled for that join.
     """
-    ends = outcomes.select("run_id", F.col("event_type").alias("_type"), F.col("event_time").alias("_time"),
-                           "row_count", "size_bytes", "error")
-    joined = starts.filter("eventType = 'START'").withColumn("run_id", F.col("run.runId")).join(ends, "run_id")
+    joined = starts.filter("eventType = 'START'")
+    if outcomes is not None:
+        joined = with_outcomes(joined.withColumn("run_id", F.col("run.runId")), outcomes)
     out = joined.withColumns({
         "eventType": F.col("_type"), "eventTime": iso_time("_time"),
         "run": F.col("run").withField("facets.processing_engine", F.lit(None).cast(
@@ -319,7 +326,9 @@ def terminal_events(starts: DataFrame, outcomes: DataFrame) -> DataFrame:
         "inputs": F.array().cast(joined.schema["inputs"].dataType),
     })
     out = attach_error(attach_stats(out, "row_count", "size_bytes"), "error")
-    return out.select(*starts.columns)
+    own = starts.columns if outcomes is not None else [
+        c for c in starts.columns if c not in ("_type", "_time", "row_count", "size_bytes", "error")]
+    return out.select(*own)
 
 
 # -- checking and state ---------------------------------------------------------------

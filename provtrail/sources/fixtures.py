@@ -242,13 +242,16 @@ def plan_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def raw_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The query log as a plan log with the text of each execution, and its runs: (plan log, runs).
 
-    Each order is a query that creates a table of the lake, and a run that ends a day later.
+    Each order is a query that creates a table of the lake, and a run that ends a day later. Only the executions
+    are written; their texts, a thousand times as large, are made for whoever reads them.
     """
     templates = traced_plan_log(spark, sf_dir).select(
         F.col("query_id").alias("template"), "query", "sink_fields", _between_tables())
     none = F.lit(None).cast("string")
+    # In small files, or the texts of a log would be made and cut in as few tasks as there are row groups of orders.
+    executions = materialize(plan_log(spark, sf_dir)[0].select("query_id", "template", "tenant", "event_time"), "executions", 16384)
     # Each execution makes its own text: no text is shuffled.
-    log = plan_log(spark, sf_dir)[0].join(F.broadcast(templates), "template").select(
+    log = executions.join(F.broadcast(templates), "template").select(
         "query_id", "query", _of_tenant().alias("plan_json"), F.lit(None).cast("array<struct<leaf: int, paths: array<string>>>").alias("files"),
         F.lit("CREATE_TABLE").alias("sink_op"), none.alias("sink_ns"),
         F.concat(F.lit("lake.out."), "template", F.lit("_"), F.col("tenant").cast("string")).alias("sink_name"),
@@ -260,7 +263,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("o_orderstatus") == "O", "FAIL").otherwise("COMPLETE").alias("event_type"),
         F.col("o_custkey").alias("row_count"), F.lit(None).cast("bigint").alias("size_bytes"),
         F.concat(F.lit("bad "), "o_orderpriority").alias("error"))
-    return materialize(log, "raw-log"), runs
+    return log, runs
 
 
 def recaptured_plan_log(spark: SparkSession, sf_dir: str, captures: int = 3) -> tuple[DataFrame, DataFrame]:

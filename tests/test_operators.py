@@ -267,3 +267,22 @@ def test_written_events_are_compressed_and_read_back(spark, tmp_path):
     assert files and all(f.endswith(".gz") for f in files)
     back = event_io.read_events(spark, str(tmp_path / "e")).select("run.runId", "job.name").collect()
     assert sorted((int(r[0]), r[1]) for r in back) == [(i, "j\u00e9") for i in range(50)]
+
+
+def test_outcomes_meet_runs_before_events(spark):
+    when = "2024-01-01 00:00:00"
+    runs = spark.sql(f"""SELECT query_id, run_id, timestamp'{when}' AS event_time, query FROM VALUES
+        (1, 'a', 'x'), (1, 'a', 'x'), (2, 'b', 'y'), (3, NULL, 'z'), (4, 'c', NULL), (5, 'b', 'w') AS r(query_id, run_id, query)""")
+    ends = spark.sql(f"""SELECT run_id, event_type, timestamp'{when}' AS event_time, rows AS row_count, 7L AS size_bytes, error
+        FROM VALUES ('a', 'COMPLETE', 3L, 'no'), ('b', 'FAIL', 4L, 'boom'), ('b', 'COMPLETE', 5L, NULL), (NULL, 'FAIL', 6L, 'lost')
+        AS e(run_id, event_type, rows, error)""")
+    jobs = runs.select("query_id", F.concat(F.lit("j"), "query_id").alias("job_name")).distinct()
+    outputs = jobs.select("query_id", F.lit(0).alias("position"), F.lit("ns").alias("namespace"), F.col("job_name").alias("name"))
+
+    def starts(rows):
+        return events.start_events(rows, jobs, outputs, outputs, engine_version="1")
+
+    plain = events.terminal_events(starts(runs), ends)
+    early = events.terminal_events(starts(events.with_outcomes(runs, ends)))
+    assert early.schema == plain.schema
+    assert sorted(map(str, early.collect())) == sorted(map(str, plain.collect())) and plain.count() == 6

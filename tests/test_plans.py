@@ -2,6 +2,8 @@
 
 import contextlib
 import io
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from provtrail.operators import events, profile
 from provtrail.plans import parse
+from provtrail.plans.traced import traced_names
+from provtrail.session import work_dir
 from provtrail.sources import fixtures as fx
 from provtrail.sources.tables import parts_of, table
 
@@ -75,3 +79,15 @@ def test_edges_meet_in_parts_that_do_not_grow(spark, sf_dir):
     assert plan.count("REPARTITION_BY_NUM") == 2
     lines = table(spark, sf_dir, "lineitem")
     assert parts_of(lines, 1 << 40) == 8 and parts_of(lines, 1 << 10) > 32
+
+
+def test_a_log_writes_and_shuffles_no_texts(spark, sf_dir):
+    """Neither the texts of a log nor what is found in them is written or shuffled once for each run."""
+    root = Path(work_dir(spark)) / "provtrail"
+    before = set(root.glob("*"))
+    df = QUERIES["r01_log_events"](spark, sf_dir)
+    written = [spark.read.parquet(str(p)) for p in set(root.glob("*")) - before]
+    texts = [t.count() for t in written if "plan_json" in t.columns]
+    assert texts and max(texts) <= len(traced_names())
+    shuffled = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]$", explained(df), re.M)
+    assert shuffled and not [c for c in shuffled if re.search("facets|cols|buf|inputs|outputs|plan_json|min", c)]
